@@ -1 +1,247 @@
-"""Registered source / flatten / sink round-trip queries."""
+"""Registered source / flatten queries.
+
+Each query lands documents derived by Spark from the driver tables (once per
+session folder), reads them back through the reader under test and flattens
+them; the oracle computes the same lines straight from the tables.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..operators import aggregates as A
+from ..operators.flatten import flatten_m, flatten_r, flatten_y, m_nodes_from_pages
+from ..sources import documents as D
+from ..sources import readers as R
+from ..sources.adapters import star_lines_sql
+from ..sources.landing import land
+from .catalog import ORACLE, query
+from .params import STAR_STORES
+
+# ------------------------------------------------------------------ landing
+_WIN_START, _WIN_END = dt.datetime(1998, 1, 1), dt.datetime(1999, 1, 1)
+
+
+def landed_r_orders(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "r_orders", lambda: D.r_documents(spark, sf_dir).withColumn(
+        "store", F.col("_store_name")),
+        lambda df, p: df.write.mode("overwrite").partitionBy("store").json(p))
+
+
+def landed_r_search(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "r_search_1998",
+                lambda: D.r_search_pages(spark, sf_dir, _WIN_START, _WIN_END),
+                lambda df, p: df.write.mode("overwrite").json(p))
+
+
+def landed_y_xml(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "y_xml", lambda: D.y_xml_documents(spark, sf_dir).unionByName(
+        D.y_error_documents(spark, sf_dir)), lambda df, p: df.write.mode("overwrite").json(p))
+
+
+def landed_m_pages(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "m_pages", lambda: D.m_pages(spark, sf_dir),
+                lambda df, p: df.write.mode("overwrite").json(p))
+
+
+def r_lines(spark, sf_dir):
+    return flatten_r(R.read_order_json(spark, landed_r_orders(spark, sf_dir)))
+
+
+def y_lines(spark, sf_dir):
+    return flatten_y(R.read_text_documents(spark, landed_y_xml(spark, sf_dir)))
+
+
+def m_lines(spark, sf_dir, start=_WIN_START, end=dt.datetime(1998, 12, 31, 23, 59, 59)):
+    nodes, _ = m_nodes_from_pages(R.read_graphql_pages(spark, landed_m_pages(spark, sf_dir)))
+    return flatten_m(nodes, start, end)
+
+
+# ------------------------------------------------------------ oracle pieces
+_CMP_COLS = ["order_number", "order_datetime", "order_date", "order_hour", "order_month",
+             "order_weekday", "item_id", "item_name", "item_number", "unit_price", "quantity",
+             "subtotal", "point_used", "coupon_used", "shipping_charge", "total_price",
+             "order_net_sales", "payment_method", "status", "source", "ingest_seq"]
+
+_Y_LINES_SQL = """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS order_number, o.o_orderdate AS order_datetime,
+       CAST(o.o_orderdate AS DATE) AS order_date, CAST(hour(o.o_orderdate) AS INTEGER) AS order_hour,
+       strftime(o.o_orderdate, '%Y-%m') AS order_month, CAST(isodow(o.o_orderdate) - 1 AS INTEGER) AS order_weekday,
+       CASE WHEN l.l_orderkey IS NULL THEN NULL ELSE CAST(l.l_partkey AS VARCHAR) END AS item_id,
+       CASE WHEN l.l_orderkey IS NULL THEN '' ELSE p.p_name END AS item_name,
+       '' AS item_number,
+       CASE WHEN l.l_orderkey IS NULL THEN CAST(ROUND(o.o_totalprice * 100) AS BIGINT)
+            ELSE CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) // CAST(l.l_quantity AS BIGINT) END AS unit_price,
+       CASE WHEN l.l_orderkey IS NULL THEN 1 ELSE CAST(l.l_quantity AS BIGINT) END AS quantity,
+       CASE WHEN l.l_orderkey IS NULL THEN CAST(ROUND(o.o_totalprice * 100) AS BIGINT)
+            WHEN l.l_returnflag = 'R' THEN 0
+            ELSE (CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) // CAST(l.l_quantity AS BIGINT))
+                 * CAST(l.l_quantity AS BIGINT) END AS subtotal,
+       (o.o_custkey % 4) * 100 AS point_used,
+       (CAST(ROUND(o.o_totalprice * 100) AS BIGINT) * CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)) // 100
+           AS coupon_used,
+       CAST(0 AS BIGINT) AS shipping_charge,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS total_price,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) - (o.o_custkey % 4) * 100
+         - (CAST(ROUND(o.o_totalprice * 100) AS BIGINT) * CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)) // 100
+           AS order_net_sales,
+       '' AS payment_method, CAST(NULL AS INTEGER) AS status, 'Yahoo' AS source, 'Y' AS mall,
+       o.o_orderkey AS ingest_seq
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+LEFT JOIN part p ON l.l_partkey = p.p_partkey"""
+
+_M_TS = """CASE WHEN o.o_orderkey % 7 = 0 THEN (CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_orderdate END)
+            WHEN o.o_orderkey % 13 = 0 THEN NULL WHEN o.o_orderkey % 11 = 0 THEN NULL
+            ELSE o.o_orderdate END"""
+
+_M_LINES_SQL = f"""
+SELECT * FROM (
+SELECT CAST(o.o_orderkey AS VARCHAR) AS order_number, {_M_TS} AS order_datetime,
+       CAST({_M_TS} AS DATE) AS order_date, CAST(hour({_M_TS}) AS INTEGER) AS order_hour,
+       strftime({_M_TS}, '%Y-%m') AS order_month, CAST(isodow({_M_TS}) - 1 AS INTEGER) AS order_weekday,
+       CAST(o.o_custkey % 97 AS VARCHAR) AS item_id, c.c_name AS item_name, '' AS item_number,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS unit_price, CAST(1 AS BIGINT) AS quantity,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS subtotal,
+       CAST(0 AS BIGINT) AS point_used, CAST(0 AS BIGINT) AS coupon_used, CAST(0 AS BIGINT) AS shipping_charge,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS total_price,
+       CAST(ROUND(o.o_totalprice * 100) AS BIGINT) AS order_net_sales,
+       '' AS payment_method, CAST(NULL AS INTEGER) AS status, 'M' AS source, 'M' AS mall
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
+WHERE order_datetime IS NULL
+   OR order_datetime BETWEEN TIMESTAMP '1998-01-01 00:00:00' AND TIMESTAMP '1998-12-31 23:59:59'"""
+
+
+def _cols(cols):
+    return ", ".join(cols)
+
+
+# ------------------------------------------------------------------ SRC1/PRJ1
+@query("src1_read_order_json", oracle=f"""
+WITH lines AS ({star_lines_sql()})
+SELECT {_cols(_CMP_COLS)} FROM lines""")
+def src1_read_order_json(spark, sf_dir):
+    """SRC1 + PRJ1-PRJ5 + FLT1: landed nested JSON -> order lines."""
+    return r_lines(spark, sf_dir).select(*_CMP_COLS)
+
+
+@query("prj1_daily_from_order_json", oracle=ORACLE["agg2_daily_sales"])
+def prj1_daily_from_order_json(spark, sf_dir):
+    return A.daily_sales(r_lines(spark, sf_dir))
+
+
+@query("prj1_monthly_from_order_json", oracle=ORACLE["agg3_monthly_sales"])
+def prj1_monthly_from_order_json(spark, sf_dir):
+    return A.monthly_sales(r_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ SRC3/4
+@query("src3_search_ids", oracle="""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_number FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00'""")
+def src3_search_ids(spark, sf_dir):
+    return R.read_search_pages(spark, landed_r_search(spark, sf_dir))
+
+
+@query("jon4_details_for_search_ids", oracle=f"""
+WITH lines AS ({star_lines_sql()})
+SELECT {_cols(_CMP_COLS)} FROM lines
+WHERE order_datetime >= TIMESTAMP '1998-01-01 00:00:00' AND order_datetime < TIMESTAMP '1999-01-01 00:00:00'""")
+def jon4_details_for_search_ids(spark, sf_dir):
+    """SRC2-SRC4: id search pages ⋉ detail documents -> flatten."""
+    ids = R.read_search_pages(spark, landed_r_search(spark, sf_dir))
+    details = R.read_order_json(spark, landed_r_orders(spark, sf_dir))
+    return flatten_r(R.details_for_ids(details, ids)).select(*_CMP_COLS)
+
+
+# ------------------------------------------------------------------ SRC5
+_STORE_IN = ", ".join(f"'{s}'" for s in STAR_STORES)
+
+
+@query("src5_multi_store_stats", oracle=f"""
+WITH lines AS ({star_lines_sql()}),
+fl AS (SELECT * FROM lines WHERE source IN ({_STORE_IN})),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, order_number
+      ORDER BY ingest_seq, line_seq, item_id) AS rn FROM fl) WHERE rn = 1),
+o AS (SELECT source, count(DISTINCT order_number) AS total_orders, sum(order_net_sales) AS total_sales,
+      sum(total_price) AS gross_sales, avg(order_net_sales) AS avg_order_value FROM f GROUP BY 1),
+i AS (SELECT source, sum(quantity) AS total_items, min(order_date) AS period_start,
+      max(order_date) AS period_end FROM fl GROUP BY 1)
+SELECT o.source, total_orders, CAST(total_sales AS BIGINT) AS total_sales,
+       CAST(gross_sales AS BIGINT) AS gross_sales, CAST(total_items AS BIGINT) AS total_items,
+       avg_order_value, period_start, period_end
+FROM o JOIN i ON o.source = i.source""")
+def src5_multi_store_stats(spark, sf_dir):
+    """SRC5 + SET1: configured stores read in store order (partition pruning), stats per store."""
+    docs = R.read_store_orders(spark, landed_r_orders(spark, sf_dir), STAR_STORES)
+    return A.summary_stats(flatten_r(docs), group=("source",))
+
+
+# ------------------------------------------------------------------ SRC6-10/PRJ6-9
+@query("prj6_flatten_xml_orders", oracle=f"""
+SELECT {_cols(c for c in _CMP_COLS)} FROM ({_Y_LINES_SQL})""")
+def prj6_flatten_xml_orders(spark, sf_dir):
+    """SRC7-SRC10 + PRJ6-PRJ9: XML responses (3 wrappers, namespaces) -> order lines."""
+    lines, _ = y_lines(spark, sf_dir)
+    return lines.select(*_CMP_COLS)
+
+
+@query("src9_xml_quarantine", oracle="""
+SELECT 'error_response' AS reason, count(*) AS documents FROM nation""")
+def src9_xml_quarantine(spark, sf_dir):
+    """SRC9/D14: whole responses set aside, counted by reason."""
+    _, q = y_lines(spark, sf_dir)
+    return q.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("prj6_daily_from_xml", oracle=f"""
+WITH lines AS ({_Y_LINES_SQL}),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number ORDER BY ingest_seq) AS rn
+      FROM lines) WHERE rn = 1),
+d AS (SELECT order_date AS date, count(order_number) AS order_count,
+      CAST(sum(order_net_sales) AS BIGINT) AS total_sales, CAST(sum(total_price) AS BIGINT) AS gross_sales,
+      CAST(sum(coupon_used) AS BIGINT) AS coupon_total FROM f GROUP BY 1),
+i AS (SELECT order_date AS date, CAST(sum(quantity) AS BIGINT) AS item_count FROM lines GROUP BY 1)
+SELECT d.date, order_count, total_sales, gross_sales, coupon_total, item_count
+FROM d LEFT JOIN i ON d.date = i.date""")
+def prj6_daily_from_xml(spark, sf_dir):
+    lines, _ = y_lines(spark, sf_dir)
+    return A.daily_sales(lines)
+
+
+# ------------------------------------------------------------------ SRC11-12/PRJ19
+_M_CMP = [c for c in _CMP_COLS if c != "ingest_seq"]
+
+
+@query("prj19_graphql_orders", oracle=f"""
+SELECT {_cols(_M_CMP)} FROM ({_M_LINES_SQL})""")
+def prj19_graphql_orders(spark, sf_dir):
+    """SRC11-SRC12 + FLT6 + FLT11 + SET4 + WIN3 + PRJ19: GraphQL pages -> one line per order."""
+    return m_lines(spark, sf_dir).select(*_M_CMP)
+
+
+@query("src11_failed_pages", oracle="""
+SELECT CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS set_seq,
+       'Throttled' AS message
+FROM orders GROUP BY 1""")
+def src11_failed_pages(spark, sf_dir):
+    _, failed = m_nodes_from_pages(R.read_graphql_pages(spark, landed_m_pages(spark, sf_dir)))
+    return failed.select("set_seq", "message")
+
+
+# ------------------------------------------------------------------ SET3
+@query("set3_union_marketplaces", oracle=f"""
+WITH r AS ({star_lines_sql()}), y AS ({_Y_LINES_SQL}), m AS ({_M_LINES_SQL}),
+u AS (SELECT 'R' AS mall, quantity, subtotal FROM r
+      UNION ALL SELECT mall, quantity, subtotal FROM y
+      UNION ALL SELECT mall, quantity, subtotal FROM m)
+SELECT mall, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS quantity,
+       CAST(sum(subtotal) AS BIGINT) AS subtotal FROM u GROUP BY mall""")
+def set3_union_marketplaces(spark, sf_dir):
+    """SET3: lines of all marketplaces in one frame (missing columns -> NULL)."""
+    y, _ = y_lines(spark, sf_dir)
+    m = m_lines(spark, sf_dir).drop("payment_method")
+    u = r_lines(spark, sf_dir).unionByName(y).unionByName(m, allowMissingColumns=True)
+    return u.groupBy("mall").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"),
+                                 F.sum("subtotal").alias("subtotal"))
