@@ -245,3 +245,101 @@ def set3_union_marketplaces(spark, sf_dir):
     u = r_lines(spark, sf_dir).unionByName(y).unionByName(m, allowMissingColumns=True)
     return u.groupBy("mall").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"),
                                  F.sum("subtotal").alias("subtotal"))
+
+
+# ------------------------------------------------------------------ CSV (SRC13-15, PRJ10-14, SNK6, WIN2)
+# import id -> (layout, lines filter on the order key, quantity bumped in a re-export)
+_IMPORTS = {"0": (0, 3, 0, False), "1": (1, 3, 1, False), "2": (2, 3, 2, False), "3": (1, 10, 0, True)}
+
+
+def landed_csv_export(spark, sf_dir, import_id: str) -> str:
+    from ..sources.adapters import star_lines
+    layout, mod, rem, bump = _IMPORTS[import_id]
+    enc = D.CSV_LAYOUTS[layout][0]
+
+    def build():
+        lines = star_lines(spark, sf_dir, drop_cancelled=False)
+        return D.csv_export(lines.filter(F.col("ingest_seq") % mod == rem), layout, bump)
+
+    return land(spark, sf_dir, f"csv_export_{import_id}", build,
+                lambda df, p: df.write.mode("overwrite").option("header", True)
+                .option("encoding", enc).csv(p))
+
+
+def landed_import_dataset(spark, sf_dir) -> str:
+    from ..sources import csv_export as C
+
+    def build():
+        parts = []
+        for import_id, (layout, *_rest) in _IMPORTS.items():
+            path = landed_csv_export(spark, sf_dir, import_id)
+            parts.append(C.as_import(C.parse_order_csv(spark, path, D.CSV_LAYOUTS[layout][0]), import_id))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    return land(spark, sf_dir, "csv_imports", build, lambda df, p: C.save_imports(df, p, mode="overwrite"))
+
+
+_CSV_KEEP_LAST = f"""
+WITH lines AS ({star_lines_sql(drop_cancelled=False)}),
+imp AS (
+  SELECT 0 AS imp, quantity AS q, * FROM lines WHERE ingest_seq % 3 = 0
+  UNION ALL SELECT 1, quantity, * FROM lines WHERE ingest_seq % 3 = 1
+  UNION ALL SELECT 2, quantity, * FROM lines WHERE ingest_seq % 3 = 2
+  UNION ALL SELECT 3, quantity + 1, * FROM lines WHERE ingest_seq % 10 = 0),
+c AS (
+  SELECT imp, ingest_seq, line_seq, item_id, quantity AS oq, unit_price AS ou, shipping_charge,
+         order_number, order_datetime AS order_date, item_name, q AS quantity, unit_price,
+         unit_price * q AS subtotal, total_price,
+         CASE WHEN imp = 2 THEN 0 ELSE point_used END AS use_point,
+         CASE WHEN imp = 2 THEN 0 ELSE coupon_used END AS coupon_discount,
+         total_price - CASE WHEN imp = 2 THEN 0 ELSE point_used + coupon_used END AS order_net_sales,
+         'Yahoo' AS source
+  FROM imp),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number, item_name
+         ORDER BY imp DESC, ingest_seq DESC, line_seq DESC, item_id DESC, oq DESC, ou DESC,
+                  shipping_charge DESC) AS rn FROM c) WHERE rn = 1)"""
+
+_CSV_COLS = ("order_number, order_date, item_name, quantity, unit_price, subtotal, total_price, use_point, "
+             "coupon_discount, order_net_sales, source")
+
+
+@query("src14_load_saved_imports", oracle=f"""{_CSV_KEEP_LAST}
+SELECT {_CSV_COLS} FROM last""")
+def src14_load_saved_imports(spark, sf_dir):
+    """SRC13-SRC14 + PRJ10-PRJ14 + SNK6 + WIN2: exports (3 header sets, cp932/UTF-8+BOM)
+    -> import dataset -> last row per (order, item) across imports."""
+    from ..sources import csv_export as C
+    return C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir))
+
+
+@query("flt10_csv_date_range", oracle=f"""{_CSV_KEEP_LAST}
+SELECT {_CSV_COLS} FROM last
+WHERE order_date >= TIMESTAMP '1998-03-01 00:00:00' AND order_date <= TIMESTAMP '1998-06-30 00:00:00'""")
+def flt10_csv_date_range(spark, sf_dir):
+    from ..sources import csv_export as C
+    return C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir),
+                                dt.datetime(1998, 3, 1), dt.datetime(1998, 6, 30))
+
+
+@query("agg16_import_summary_csv", oracle=f"""{_CSV_KEEP_LAST}
+SELECT count(*) AS count, min(order_date) AS start, max(order_date) AS "end" FROM last""")
+def agg16_import_summary_csv(spark, sf_dir):
+    from ..sources import csv_export as C
+    return A.import_summary(C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir)))
+
+
+@query("src13_parse_export_cp932", oracle=f"""
+WITH lines AS ({star_lines_sql(drop_cancelled=False)})
+SELECT order_number, order_datetime AS order_date, item_name, quantity, unit_price,
+       unit_price * quantity AS subtotal, total_price, point_used AS use_point,
+       coupon_used AS coupon_discount, total_price - point_used - coupon_used AS order_net_sales,
+       'Yahoo' AS source
+FROM lines WHERE ingest_seq % 3 = 0""")
+def src13_parse_export_cp932(spark, sf_dir):
+    """SRC13 + PRJ10-PRJ12: one cp932 export with Japanese headers and '1,234' amounts."""
+    from ..sources import csv_export as C
+    df = C.parse_order_csv(spark, landed_csv_export(spark, sf_dir, "0"), "windows-31j")
+    return df.drop("_file", "_pos")

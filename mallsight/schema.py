@@ -150,7 +150,7 @@ IMPORTED_ORDER = T.StructType([
     _f("order_number", S), _f("order_date", T.TimestampNTZType()), _f("item_name", S),
     _f("quantity", L), _f("unit_price", L), _f("subtotal", L), _f("total_price", L),
     _f("use_point", L), _f("coupon_discount", L), _f("order_net_sales", L), _f("source", S),
-    _f("import_id", S), _f("row_seq", L),
+    _f("import_id", S), _f("row_seq", L), _f("file_name", S),
 ])
 
 # Store dimension (credentials are not modelled).

@@ -235,3 +235,46 @@ def m_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame
     set_rank = F.when(F.col("status_set") == M_STATUS_SETS[0], 0).when(
         F.col("status_set") == M_STATUS_SETS[1], 1).otherwise(2)
     return data.unionByName(errors).withColumn("set_seq", set_rank)
+
+
+# ---------------------------------------------------------------------------
+# Y: CSV order exports (three header vocabularies, two encodings)
+# ---------------------------------------------------------------------------
+# layout -> (encoding, date pattern, header names in canonical order; None = column absent)
+CSV_LAYOUTS = {
+    0: ("windows-31j", "yyyy/MM/dd HH:mm:ss",
+        ["注文ID", "注文日時", "商品名", "数量", "単価", "小計", "合計金額", "ポイント利用", "クーポン割引"]),
+    1: ("UTF-8", "yyyy-MM-dd HH:mm:ss",
+        ["OrderId", "OrderTime", "Title", "Quantity", "UnitPrice", "SubTotal", "TotalPrice", "UsePoint",
+         "CouponDiscount"]),
+    2: ("UTF-8", "yyyy-MM-dd",
+        ["オーダーID", "注文日", "商品タイトル", "個数", "商品単価", None, "請求金額", None, None]),
+}
+
+
+def csv_export(lines: DataFrame, layout: int, bump_quantity: bool = False) -> DataFrame:
+    """Order lines rendered as one export layout (all text columns, file order = line order).
+
+    Layout 0 writes amounts with thousands separators, layout 1 writes some
+    unit prices as decimals ('1234.0') and a byte-order mark on its first header.
+    """
+    _, date_fmt, names = CSV_LAYOUTS[layout]
+    qty = F.col("quantity") + (1 if bump_quantity else 0)
+    sub = F.col("unit_price") * qty
+
+    def amount(c):
+        if layout == 0:
+            return F.format_number(c.cast("double"), 0)
+        return c.cast("string")
+
+    unit = amount(F.col("unit_price"))
+    if layout == 1:
+        unit = F.when(F.col("ingest_seq") % 4 == 0, F.concat(unit, F.lit(".0"))).otherwise(unit)
+    values = [F.col("order_number"), F.date_format("order_datetime", date_fmt), F.col("item_name"),
+              qty.cast("string"), unit, amount(sub), amount(F.col("total_price")),
+              amount(F.col("point_used")), amount(F.col("coupon_used"))]
+    out = [v.alias(n) for v, n in zip(values, names) if n is not None]
+    if layout == 1:
+        out[0] = values[0].alias("\ufeff" + names[0])
+    order = ["ingest_seq", "line_seq", "item_id", "quantity", "unit_price", "shipping_charge"]
+    return lines.orderBy(*order).select(*out)
