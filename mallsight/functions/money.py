@@ -43,11 +43,8 @@ def delta(cur, prev) -> tuple[Column, Column]:
 
 
 def yen(c) -> Column:
-    """FN13: 1234567 -> '¥1,234,567' (half-even on fractions, like Python's format)."""
-    c = col(c)
-    return F.when(c.isNotNull(), F.concat(
-        F.when(c < 0, F.lit("-")).otherwise(F.lit("")), F.lit("¥"),
-        F.format_number(F.abs(c).cast("double"), 0)))
+    """FN13: 1234567 -> '¥1,234,567'; -5 -> '¥-5' (half-even on fractions, like Python's format)."""
+    return F.concat(F.lit("¥"), F.format_number(col(c), 0))
 
 
 def signed_pct(rate) -> Column:

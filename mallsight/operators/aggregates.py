@@ -344,3 +344,8 @@ def import_summary(df: DataFrame, date_col: str = "order_date") -> DataFrame:
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """AGG17: distinct dates / stores (sorted)."""
     return df.select(column).distinct().orderBy(column)
+
+
+def daily_average_days(sales: Column, days: Column) -> Column:
+    """AGG15 with the day count as a column: sales / max(days, 1)."""
+    return sales.cast("double") / F.greatest(days, F.lit(1))
