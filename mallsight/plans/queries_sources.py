@@ -343,3 +343,83 @@ def src13_parse_export_cp932(spark, sf_dir):
     from ..sources import csv_export as C
     df = C.parse_order_csv(spark, landed_csv_export(spark, sf_dir, "0"), "windows-31j")
     return df.drop("_file", "_pos")
+
+
+# ------------------------------------------------------------------ STR1
+def _closed_daily_sql():
+    """Batch daily totals of R documents for the days a 1-day watermark has closed."""
+    return f"""
+WITH lines AS ({star_lines_sql(product=False, store=False)}),
+fr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number
+       ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines) WHERE rn = 1),
+d AS (SELECT order_date AS date, count(order_number) AS order_count,
+      CAST(sum(order_net_sales) AS BIGINT) AS total_sales, CAST(sum(total_price) AS BIGINT) AS gross_sales,
+      CAST(sum(coupon_used) AS BIGINT) AS coupon_total FROM fr GROUP BY 1),
+i AS (SELECT order_date AS date, CAST(sum(quantity) AS BIGINT) AS item_count FROM lines GROUP BY 1),
+wm AS (SELECT max(order_datetime) - INTERVAL 1 DAY AS watermark FROM lines)
+SELECT d.date, order_count, total_sales, gross_sales, coupon_total, item_count
+FROM d JOIN i ON d.date = i.date, wm
+WHERE CAST(d.date AS TIMESTAMP) + INTERVAL 1 DAY <= wm.watermark"""
+
+
+@query("str1_incremental_daily", oracle=_closed_daily_sql())
+def str1_incremental_daily(spark, sf_dir):
+    """STR1: readStream over landed order documents -> watermark -> dedup -> daily windows."""
+    from ..sources.landing import landed_path
+    from ..streaming import run_daily_totals
+    source = landed_r_orders(spark, sf_dir)
+    out = landed_path(spark, sf_dir, "stream_daily")
+    return run_daily_totals(spark, source, out + "/sink", out + "/checkpoint")
+
+
+# ------------------------------------------------------------------ sinks round trips
+@query("snk3_table_roundtrip", oracle=f"""
+SELECT strftime(date, '%Y-%m-%d') AS date, order_count, total_sales, gross_sales, coupon_total, item_count
+FROM ({ORACLE['agg2_daily_sales']})""")
+def snk3_table_roundtrip(spark, sf_dir):
+    """SNK3 + SRC16: daily sales written as a table (dates as text), read back."""
+    from ..sinks import overwrite_table
+    from ..sources.adapters import star_lines
+    from ..sources.landing import landed_path
+    target = landed_path(spark, sf_dir, "table_daily_sales")
+    overwrite_table(A.daily_sales(star_lines(spark, sf_dir, product=False, store=False)), target)
+    return spark.read.parquet(target)
+
+
+@query("snk8_snapshot_roundtrip", oracle=f"""
+WITH lines AS ({star_lines_sql(product=False, store=False)}),
+flt AS (SELECT * FROM lines WHERE order_date BETWEEN DATE '1998-06-01' AND DATE '1998-06-15'),
+fr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number
+       ORDER BY ingest_seq, line_seq, item_id) AS rn FROM flt) WHERE rn = 1),
+d AS (SELECT order_date AS date, count(order_number) AS order_count,
+      CAST(sum(order_net_sales) AS BIGINT) AS total_sales, CAST(sum(total_price) AS BIGINT) AS gross_sales,
+      CAST(sum(coupon_used) AS BIGINT) AS coupon_total FROM fr GROUP BY 1),
+i AS (SELECT order_date AS date, CAST(sum(quantity) AS BIGINT) AS item_count FROM flt GROUP BY 1)
+SELECT d.date, order_count, total_sales, gross_sales, coupon_total, item_count FROM d JOIN i ON d.date = i.date""")
+def snk8_snapshot_roundtrip(spark, sf_dir):
+    """SNK8 + SRC17: lines snapshot partitioned by order_date; a date-bounded read prunes partitions."""
+    from ..sinks import write_snapshot
+    from ..sources.adapters import star_lines
+    from ..sources.landing import landed_path
+    path = landed_path(spark, sf_dir, "snapshot_lines")
+    write_snapshot(star_lines(spark, sf_dir, product=False, store=False), path)
+    snap = R.read_snapshot(spark, path, dt.date(1998, 6, 1), dt.date(1998, 6, 15))
+    return A.daily_sales(snap)
+
+
+@query("snk1_csv_roundtrip", oracle=f"""
+SELECT item_name, CAST(quantity AS VARCHAR) AS quantity, CAST(total_sales AS VARCHAR) AS total_sales,
+       CAST(order_count AS VARCHAR) AS order_count, nullif(item_number, '') AS item_number, item_id
+FROM ({ORACLE['agg4_product_sales']})""")
+def snk1_csv_roundtrip(spark, sf_dir):
+    """SNK1/SNK7: product sales as UTF-8+BOM CSV, read back as text columns.
+
+    An empty text cell reads back as NULL, as a CSV round trip through pandas does.
+    """
+    from ..sinks import write_csv
+    from ..sources.adapters import star_lines
+    from ..sources.csv_export import read_raw_export
+    from ..sources.landing import landed_path
+    path = landed_path(spark, sf_dir, "csv_product_sales")
+    write_csv(A.product_sales_sorted(star_lines(spark, sf_dir, store=False)), path)
+    return read_raw_export(spark, path, "UTF-8")
