@@ -365,10 +365,10 @@ WHERE CAST(d.date AS TIMESTAMP) + INTERVAL 1 DAY <= wm.watermark"""
 @query("str1_incremental_daily", oracle=_closed_daily_sql())
 def str1_incremental_daily(spark, sf_dir):
     """STR1: readStream over landed order documents -> watermark -> dedup -> daily windows."""
-    from ..sources.landing import landed_path
+    from ..session import unique_dir
     from ..streaming import run_daily_totals
     source = landed_r_orders(spark, sf_dir)
-    out = landed_path(spark, sf_dir, "stream_daily")
+    out = unique_dir(spark, "stream_daily")        # a fresh sink + checkpoint per run
     return run_daily_totals(spark, source, out + "/sink", out + "/checkpoint")
 
 
