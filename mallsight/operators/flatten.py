@@ -103,6 +103,16 @@ def y_order_info(value: Column) -> tuple[Column, Column]:
     return info, error
 
 
+def parse_once(*cols: Column) -> list[Column]:
+    """Evaluate costly parse expressions exactly once per row.
+
+    The columns come out of a one-element ``inline`` generator, so filters
+    written on them stay above it; a plain projection would let predicate
+    pushdown copy the parser into every filter that mentions a parsed field.
+    """
+    return [F.inline(F.array(F.struct(*cols)))]
+
+
 def _strict_int(c: Column) -> tuple[Column, Column]:
     """Python ``int(x or 0)`` on text: (value, is_bad).  '' and NULL -> 0."""
     txt = F.trim(c)
@@ -123,7 +133,7 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
       quarantines the whole order.
     """
     info, error = y_order_info(F.col("value"))
-    parsed = responses.select("value", "ingest_seq", info.alias("o"), error.alias("error"))
+    parsed = responses.select("value", "ingest_seq", *parse_once(info.alias("o"), error.alias("error")))
     o = F.col("o")
     pay_total, b1 = _strict_int(o.getField("Pay").getField("TotalPrice"))
     det_total, b2 = _strict_int(o.getField("Detail").getField("TotalPrice"))
@@ -190,7 +200,7 @@ def m_nodes_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     A page with an ``errors`` array is a failed request; its nodes are not used.
     """
     from ..schema import M_PAGE
-    p = pages.select("set_seq", "page", F.from_json("value", M_PAGE).alias("p"))
+    p = pages.select("set_seq", "page", *parse_once(F.from_json("value", M_PAGE).alias("p")))
     failed = p.filter(F.col("p.errors").isNotNull() | F.col("p").isNull()).select(
         "set_seq", "page", F.col("p.errors").getItem(0).getField("message").alias("message"))
     nodes = (p.filter(F.col("p.errors").isNull() & F.col("p").isNotNull())
@@ -218,7 +228,8 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
     * one line per order: quantity 1, product price, gross = net = payment total
     """
     n = nodes.select("set_seq", "page", "pos", F.col("node.*"))
-    n = n.withColumn("order_datetime", m_order_time(F.struct(*[F.col(c) for c in ("createdAt", "paidAt")])))
+    n = n.select("*", *parse_once(
+        m_order_time(F.struct(*[F.col(c) for c in ("createdAt", "paidAt")])).alias("order_datetime")))
     if start is not None or end is not None:
         t = F.col("order_datetime")
         keep = t.isNull()

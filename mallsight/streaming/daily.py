@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import parse_offset_time
+from ..operators.flatten import parse_once
 from ..sources.adapters import CANCELLED
 from ..sources.readers import R_ORDER_LANDED
 
@@ -55,7 +56,7 @@ def daily_totals_stream(stream: DataFrame, watermark: str = "1 day") -> DataFram
     goods = F.coalesce(F.col("goodsPrice"), F.lit(0).cast("bigint"))
     coupon = F.coalesce(F.col("couponAllTotalPrice"), F.lit(0).cast("bigint"))
     docs = (stream.filter(F.coalesce(F.col("orderProgress"), F.lit(0)) != CANCELLED)
-            .withColumn("event_time", event_time(parse_offset_time("orderDatetime")))
+            .select("*", *parse_once(event_time(parse_offset_time("orderDatetime")).alias("event_time")))
             .filter(F.col("event_time").isNotNull())
             .withWatermark("event_time", watermark)
             .dropDuplicatesWithinWatermark(["orderNumber"])
