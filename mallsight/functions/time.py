@@ -24,10 +24,26 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python date/datetime, independent of the session zone.
+
+    ``F.lit(datetime)`` builds a zoned TIMESTAMP and the cast to NTZ would go
+    through the session zone; the ISO text casts straight to the wall clock.
+    """
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def instant_to_jst(ts) -> Column:
     """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding the JST wall clock."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)),
-                           F.lit(_JST_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), ntz(_JST_EPOCH))
 
 
 def parse_wall_clock(s, fmt: str) -> Column:
@@ -72,8 +88,13 @@ def parse_lenient_time(s, formats=CSV_DATE_FORMATS) -> Column:
 
 def parse_iso_date(s) -> Column:
     """FN5: strict yyyy-MM-dd -> DATE, bad -> NULL."""
-    return F.try_to_date(col(s), F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") else \
-        F.to_date(parse_wall_clock(s, "yyyy-MM-dd"))
+    return F.try_to_date(col(s), "yyyy-MM-dd")
+
+
+def month_text(t) -> Column:
+    """'yyyy-MM' from calendar fields (no zone conversion of the wall clock)."""
+    t = col(t)
+    return F.when(t.isNotNull(), F.format_string("%04d-%02d", F.year(t), F.month(t)))
 
 
 def with_time_parts(df, ts: str = "order_datetime"):
@@ -81,7 +102,7 @@ def with_time_parts(df, ts: str = "order_datetime"):
     t = F.col(ts)
     return (df.withColumn("order_date", F.to_date(t))
               .withColumn("order_hour", F.hour(t))
-              .withColumn("order_month", F.date_format(t, "yyyy-MM"))
+              .withColumn("order_month", month_text(t))
               .withColumn("order_weekday", F.weekday(t)))
 
 
@@ -102,4 +123,4 @@ def year_ago(d) -> Column:
     """D5: same month/day one year earlier; 29 February -> NULL (no comparison)."""
     d = col(d)
     return F.try_to_date(F.format_string("%04d-%02d-%02d", F.year(d) - 1, F.month(d),
-                                         F.dayofmonth(d)), F.lit("yyyy-MM-dd"))
+                                         F.dayofmonth(d)), "yyyy-MM-dd")

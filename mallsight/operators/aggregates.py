@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import short_name
-from ..functions.time import WEEKDAY_NAMES, weekday_name
+from ..functions.time import WEEKDAY_NAMES, month_text, weekday_name
 from .grain import DEFAULT_KEY
 
 MONEY = ("order_net_sales", "total_price", "coupon_used")
@@ -69,7 +69,7 @@ def _pair(left: DataFrame, right: DataFrame, group) -> DataFrame:
 
 TIME_PARTS = {
     "date": lambda t: F.to_date(t),
-    "month": lambda t: F.date_format(t, "yyyy-MM"),
+    "month": lambda t: month_text(t),
     "hour": lambda t: F.hour(t),
     "weekday": lambda t: F.weekday(t),
 }

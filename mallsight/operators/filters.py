@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz
+
 from ..sources.adapters import CANCELLED
 
 
@@ -22,8 +24,8 @@ def drop_cancelled(df: DataFrame, status: str = "status") -> DataFrame:
 def time_range(df: DataFrame, start: dt.datetime, end: dt.datetime,
                ts: str = "order_datetime") -> DataFrame:
     """FLT2: half-open [start, end) on the order time (D8)."""
-    return df.filter((F.col(ts) >= F.lit(start).cast("timestamp_ntz")) &
-                     (F.col(ts) < F.lit(end).cast("timestamp_ntz")))
+    return df.filter((F.col(ts) >= ntz(start)) &
+                     (F.col(ts) < ntz(end)))
 
 
 def status_in(df: DataFrame, statuses, status: str = "status") -> DataFrame:
@@ -39,8 +41,8 @@ def sorted_by_time(df: DataFrame, ts: str = "order_datetime") -> DataFrame:
 def undated_or_between(df: DataFrame, start, end, ts: str = "order_datetime") -> DataFrame:
     """FLT6: keep rows with no usable time, else [start, end] inclusive."""
     t = F.col(ts)
-    return df.filter(t.isNull() | ((t >= F.lit(start).cast("timestamp_ntz")) &
-                                   (t <= F.lit(end).cast("timestamp_ntz"))))
+    return df.filter(t.isNull() | ((t >= ntz(start)) &
+                                   (t <= ntz(end))))
 
 
 def date_between(df: DataFrame, start, end, date_col: str = "order_date") -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from ..functions.time import ntz
 from pyspark.sql import types as T
 
 from ..functions.money import first_nonzero
@@ -143,7 +145,7 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
     total = first_nonzero(pay_total, det_total, top_total)
     ts = parse_compact_time(o.getField("OrderTime"))
     if fallback_ts is not None:
-        ts = F.coalesce(ts, F.lit(fallback_ts).cast("timestamp_ntz"))
+        ts = F.coalesce(ts, ntz(fallback_ts))
     items = o.getField("Item")
     n_items = F.coalesce(F.size(items), F.lit(0))
 
@@ -235,9 +237,9 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
         keep = t.isNull()
         inside = F.lit(True)
         if start is not None:
-            inside = inside & (t >= F.lit(start).cast("timestamp_ntz"))
+            inside = inside & (t >= ntz(start))
         if end is not None:
-            inside = inside & (t <= F.lit(end).cast("timestamp_ntz"))
+            inside = inside & (t <= ntz(end))
         n = n.filter(keep | inside)
     n = n.filter(F.nullif(F.col("id"), F.lit("")).isNotNull())
     first = keep_first(n, ("id",), ("set_seq", "page", "pos"),

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz
+
 from ..functions.money import clean_int
 from ..functions.time import parse_lenient_time
 from ..schema import IMPORTED_ORDER
@@ -130,9 +132,9 @@ def load_saved_imports(spark: SparkSession, root: str, start=None, end=None) ->
                      columns=["order_number", "item_name", *[c for c in cols if c not in
                                                              ("order_number", "item_name")]])
     if start is not None:
-        last = last.filter(F.col("order_date") >= F.lit(start).cast("timestamp_ntz"))
+        last = last.filter(F.col("order_date") >= ntz(start))
     if end is not None:
-        last = last.filter(F.col("order_date") <= F.lit(end).cast("timestamp_ntz"))
+        last = last.filter(F.col("order_date") <= ntz(end))
     return last.select(*cols)
 
 

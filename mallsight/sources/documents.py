@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz
+
 from .adapters import _store_dim, cents
 from .tables import read_table
 
@@ -101,9 +103,9 @@ def r_search_pages(spark: SparkSession, sf_dir: str, start=None, end=None,
     """SRC3 input: paged id-search responses for orders placed in [start, end)."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
     if start is not None:
-        o = o.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
+        o = o.filter(F.col("o_orderdate") >= ntz(start))
     if end is not None:
-        o = o.filter(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
+        o = o.filter(F.col("o_orderdate") < ntz(end))
     pages = (o.groupBy((F.col("o_orderkey") / page_size).cast("bigint").alias("page"))
               .agg(F.array_sort(F.collect_list("o_orderkey")).alias("keys")))
     return pages.select(

@@ -42,7 +42,8 @@ def read_store_orders(spark: SparkSession, root: str, stores) -> DataFrame:
     keep-first semantics follow store order first, like the reference's union.
     """
     stores = list(stores)
-    schema = R_ORDER_LANDED.add("store", T.StringType())
+    # StructType.add mutates; build a new schema
+    schema = T.StructType(R_ORDER_LANDED.fields + [T.StructField("store", T.StringType())])
     try:
         df = spark.read.schema(schema).json(root)
     except AnalysisException:

@@ -24,6 +24,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz
+
 from ..functions.time import parse_offset_time
 from ..operators.flatten import parse_once
 from ..sources.adapters import CANCELLED
@@ -33,9 +35,9 @@ _EPOCH = dt.datetime(1970, 1, 1)
 _DAY_MICROS = 86_400_000_000
 
 
-def event_time(ntz: Column) -> Column:
+def event_time(wall_clock: Column) -> Column:
     """TIMESTAMP_NTZ wall clock -> TIMESTAMP whose UTC reading is that wall clock."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ntz)
+    micros = F.timestamp_diff("MICROSECOND", ntz(_EPOCH), wall_clock)
     return F.timestamp_micros(micros)
 
 
