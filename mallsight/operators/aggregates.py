@@ -2,23 +2,19 @@
 
 Money and order counts are taken once per order, quantities once per line.
 
-Order grain in two hash-aggregation levels (no window, no join on lines):
-
-  level 1  ``order_docs``  groupBy(key, order_datetime): first ingest_seq, the
-           money of that document, Σ quantity of the lines.  Lines of one
-           document share the order time, so this is about one row per
-           document, combined map-side before the shuffle.
-  level 2  ``first_docs``  groupBy(key): the order time and money of the
-           document with the smallest ingest_seq.
-
-Both levels keep fixed-width buffers (min_by of numbers/timestamps over a
-BIGINT), so Spark picks HashAggregate.  Line-grain item counts come from the
-level-1 rows of each line's *own* time, which is exact even when one key spans
-documents with different dates (D1); the small time-keyed results are joined
-on their key (AQE turns that into a broadcast at runtime, both sides are one
-row per calendar day / month).  Calendar parts are always derived from
-``order_datetime`` (schema invariant: order_date/hour/month/weekday are
-functions of it).
+Order grain (``first_orders``): one ``groupBy(key)`` with ``min_by(x, ingest_seq)``
+for every order attribute.  Lines of one document share those attributes, so
+this is the first document of the key; the buffers are fixed-width (number or
+timestamp over a BIGINT ordering), so Spark plans a HashAggregate that combines
+map-side: even a key carrying a third of all lines leaves one partial row per
+task before the shuffle.  No window, no join on lines.
+
+Line-grain quantities are summed straight from the lines by calendar value
+(partial aggregation again, one row per value and task), and the two small
+calendar-keyed results are joined on that value (AQE turns it into a
+broadcast at runtime; both sides hold one row per day / month).  Calendar
+parts are always derived from ``order_datetime`` (schema invariant:
+order_date/hour/month/weekday are functions of it).
 """
 
 from __future__ import annotations
@@ -33,20 +29,17 @@ from .grain import DEFAULT_KEY
 MONEY = ("order_net_sales", "total_price", "coupon_used")
 
 
-def order_docs(lines: DataFrame, key=DEFAULT_KEY, money=MONEY) -> DataFrame:
-    """Level 1: one row per (key, order time) with the first document's money."""
-    return lines.groupBy(*key, "order_datetime").agg(
-        F.min("ingest_seq").alias("_seq"),
-        *[F.min_by(m, "ingest_seq").alias(m) for m in money],
-        F.sum("quantity").alias("_items"),
-    )
+def first_orders(lines: DataFrame, key=DEFAULT_KEY, money=MONEY) -> DataFrame:
+    """One row per key: order time and money of its first document (AGG1).
 
-
-def first_docs(docs: DataFrame, key=DEFAULT_KEY, money=MONEY) -> DataFrame:
-    """Level 2: one row per key: time and money of its first document."""
-    return docs.groupBy(*key).agg(
-        F.min_by("order_datetime", "_seq").alias("order_datetime"),
-        *[F.min_by(m, "_seq").alias(m) for m in money],
+    Lines of one document share these attributes, so the row with the smallest
+    ``ingest_seq`` is the first document.  ``min_by`` over a BIGINT keeps the
+    buffers fixed-width (HashAggregate) and combines map-side: a hot key
+    leaves one partial row per task.
+    """
+    return lines.groupBy(*key).agg(
+        F.min_by("order_datetime", "ingest_seq").alias("order_datetime"),
+        *[F.min_by(m, "ingest_seq").alias(m) for m in money],
     )
 
 
@@ -75,23 +68,26 @@ TIME_PARTS = {
 }
 
 
-def _by_time(orders: DataFrame, docs: DataFrame | None, part: str, key, money_out) -> DataFrame:
-    """Group first documents (and, when given, level-1 item sums) by a calendar part."""
+def _by_time(orders: DataFrame, lines: DataFrame | None, part: str, key, money_out) -> DataFrame:
+    """Group first documents (and, when given, line quantities) by a calendar part.
+
+    Item counts come straight from the lines: a map-side partial sum per
+    calendar value, so that branch only shuffles one row per value and task.
+    """
     t = TIME_PARTS[part](F.col("order_datetime"))
     o = (orders.withColumn(part, t).filter(F.col(part).isNotNull())
                .groupBy(part).agg(_count_orders(key, (part,)).alias("order_count"), *money_out))
-    if docs is None:
+    if lines is None:
         return o
-    i = (docs.withColumn(part, t).filter(F.col(part).isNotNull())
-             .groupBy(part).agg(F.sum("_items").alias("item_count")))
+    i = (lines.select(t.alias(part), "quantity").filter(F.col(part).isNotNull())
+              .groupBy(part).agg(F.sum("quantity").alias("item_count")))
     return o.join(i, part, "left")
 
 
 def daily_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG2 (+JON1): date, order_count, total_sales, gross_sales, coupon_total, item_count."""
-    docs = order_docs(lines, key)
-    orders = first_docs(docs, key)
-    out = _by_time(orders, docs, "date", key, [
+    orders = first_orders(lines, key)
+    out = _by_time(orders, lines, "date", key, [
         F.sum("order_net_sales").alias("total_sales"),
         F.sum("total_price").alias("gross_sales"),
         F.sum("coupon_used").alias("coupon_total")])
@@ -101,24 +97,21 @@ def daily_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
 
 def monthly_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG3 (+JON2): month, order_count, total_sales, item_count."""
-    docs = order_docs(lines, key, money=("order_net_sales",))
-    orders = first_docs(docs, key, money=("order_net_sales",))
-    out = _by_time(orders, docs, "month", key, [F.sum("order_net_sales").alias("total_sales")])
+    orders = first_orders(lines, key, money=("order_net_sales",))
+    out = _by_time(orders, lines, "month", key, [F.sum("order_net_sales").alias("total_sales")])
     return out.select("month", "order_count", "total_sales", "item_count").orderBy("month")
 
 
 def hourly_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG6: hour, order_count, total_sales."""
-    docs = order_docs(lines, key, money=("order_net_sales",))
-    orders = first_docs(docs, key, money=("order_net_sales",))
+    orders = first_orders(lines, key, money=("order_net_sales",))
     out = _by_time(orders, None, "hour", key, [F.sum("order_net_sales").alias("total_sales")])
     return out.select("hour", "order_count", "total_sales").orderBy("hour")
 
 
 def weekday_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG7: weekday (0=Mon), order_count, total_sales, weekday_name."""
-    docs = order_docs(lines, key, money=("order_net_sales",))
-    orders = first_docs(docs, key, money=("order_net_sales",))
+    orders = first_orders(lines, key, money=("order_net_sales",))
     out = _by_time(orders, None, "weekday", key, [F.sum("order_net_sales").alias("total_sales")])
     return out.select("weekday", "order_count", "total_sales",
                       weekday_name("weekday").alias("weekday_name")).orderBy("weekday")
@@ -126,8 +119,7 @@ def weekday_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
 
 def hour_weekday_heatmap(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG8: one row per hour seen, one column per weekday 月..日 (Σ net, 0 fill)."""
-    docs = order_docs(lines, key, money=("order_net_sales",))
-    orders = first_docs(docs, key, money=("order_net_sales",))
+    orders = first_orders(lines, key, money=("order_net_sales",))
     t = F.col("order_datetime")
     o = (orders.select(F.hour(t).alias("order_hour"), F.weekday(t).alias("wd"), "order_net_sales")
                .filter(F.col("order_hour").isNotNull() & F.col("wd").isNotNull()))
@@ -145,15 +137,14 @@ def summary_stats(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
     total_items   Σ quantity over all lines; period_start/end min/max date.
     """
     key = tuple(dict.fromkeys((*group, *key)))
-    docs = order_docs(lines, key, money=("order_net_sales", "total_price"))
-    orders = first_docs(docs, key, money=("order_net_sales", "total_price"))
+    orders = first_orders(lines, key, money=("order_net_sales", "total_price"))
     o = orders.groupBy(*group).agg(
         _count_orders(key, group).alias("total_orders"),
         F.sum("order_net_sales").alias("total_sales"),
         F.sum("total_price").alias("gross_sales"),
         F.avg("order_net_sales").alias("avg_order_value"))
-    i = docs.groupBy(*group).agg(
-        F.sum("_items").alias("total_items"),
+    i = lines.groupBy(*group).agg(
+        F.sum("quantity").alias("total_items"),
         F.min(F.to_date("order_datetime")).alias("period_start"),
         F.max(F.to_date("order_datetime")).alias("period_end"))
     out = _pair(o, i, group)
@@ -258,11 +249,10 @@ def period_kpi(lines: DataFrame, start, end, key=DEFAULT_KEY, group=()) -> DataF
     """AGG10: sales, orders, items for [start, end]; zeros when nothing matches."""
     p = period_filter(lines, start, end)
     key = tuple(dict.fromkeys((*group, *key)))
-    docs = order_docs(p, key, money=("order_net_sales",))
-    orders = first_docs(docs, key, money=("order_net_sales",))
+    orders = first_orders(p, key, money=("order_net_sales",))
     o = orders.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
                                    F.count(F.lit(1)).alias("orders"))
-    i = docs.groupBy(*group).agg(F.sum("_items").alias("items"))
+    i = p.groupBy(*group).agg(F.sum("quantity").alias("items"))
     out = _pair(o, i, group)
     return out.select(*group,
                       F.coalesce("sales", F.lit(0)).cast("bigint").alias("sales"),
@@ -296,8 +286,7 @@ def store_dim(spark, stores) -> DataFrame:
 def daily_store_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG12: per (store, day): dedup inside the day and store, then Σ net."""
     k = tuple(dict.fromkeys(("source", "order_date", *key)))
-    docs = order_docs(lines.filter(F.col("order_date").isNotNull()), k, money=("order_net_sales",))
-    orders = first_docs(docs, k, money=("order_net_sales",))
+    orders = first_orders(lines.filter(F.col("order_date").isNotNull()), k, money=("order_net_sales",))
     return (orders.groupBy("source", "order_date")
                   .agg(F.sum("order_net_sales").alias("total_sales"))
                   .select("source", F.col("order_date").alias("date"), "total_sales"))

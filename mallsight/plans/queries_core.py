@@ -42,11 +42,7 @@ SELECT f.order_number, f.order_datetime, f.order_net_sales, f.total_price, f.cou
 FROM first_rows f JOIN items i USING (order_number)""")
 def agg1_order_grain(spark, sf_dir):
     lines = star_lines(spark, sf_dir, product=False, store=False)
-    docs = A.order_docs(lines)
-    return docs.groupBy(*G.DEFAULT_KEY).agg(
-        F.min_by("order_datetime", "_seq").alias("order_datetime"),
-        *[F.min_by(m, "_seq").alias(m) for m in A.MONEY],
-        F.sum("_items").alias("items"))
+    return G.order_grain(lines, ["order_datetime", *A.MONEY], items=True)
 
 
 # --------------------------------------------------------------------- AGG2

@@ -31,11 +31,10 @@ def tag_periods(lines: DataFrame, periods: list[W.Period], date_col: str = "orde
 def kpi_by(tagged: DataFrame, group, key=DEFAULT_KEY) -> DataFrame:
     """sales / orders (deduplicated inside each group) and items per group."""
     k = tuple(dict.fromkeys((*group, *key)))
-    docs = A.order_docs(tagged, k, money=("order_net_sales",))
-    orders = A.first_docs(docs, k, money=("order_net_sales",))
+    orders = A.first_orders(tagged, k, money=("order_net_sales",))
     o = orders.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
                                    F.count(F.lit(1)).alias("orders"))
-    i = docs.groupBy(*group).agg(F.sum("_items").alias("items"))
+    i = tagged.groupBy(*group).agg(F.sum("quantity").alias("items"))
     return o.join(i, list(group), "full")
 
 
@@ -134,14 +133,13 @@ def daily_report_dataset(lines: DataFrame, target: dt.date, key=DEFAULT_KEY) ->
 
     def stats(group):
         k = tuple(dict.fromkeys((*group, *key)))
-        docs = A.order_docs(tagged, k, money=("order_net_sales",))
-        orders = A.first_docs(docs, k, money=("order_net_sales",))
+        orders = A.first_orders(tagged, k, money=("order_net_sales",))
         o = orders.groupBy(*group).agg(
             A._count_orders(k, group).alias("total_orders"),
             F.sum("order_net_sales").alias("total_sales"),
             F.avg("order_net_sales").alias("avg_order_value"))
-        i = docs.groupBy(*group).agg(F.sum("_items").alias("total_items"),
-                                     F.min("_seq").alias("first_seq"))
+        i = tagged.groupBy(*group).agg(F.sum("quantity").alias("total_items"),
+                                       F.min("ingest_seq").alias("first_seq"))
         return o.join(i, list(group), "full")
 
     total = stats(("section",)).select(F.lit("total").alias("scope"),
