@@ -259,3 +259,24 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
         (F.col("set_seq").cast("bigint") * 1_000_000_000_000 + F.col("page") * 1000 + F.col("pos"))
         .alias("ingest_seq"))
     return _canonical(lines)
+
+
+# ---------------------------------------------------------------------------
+# Y: order-list pages
+# ---------------------------------------------------------------------------
+def y_list_ids(pages: DataFrame) -> DataFrame:
+    """SRC6 + FLT4 + FLT11: list pages -> (order_id, order_time, status), empty ids dropped.
+
+    The list sits at ``Result/Search`` or at ``Search``; one order or many.
+    """
+    from ..schema import Y_LIST_DOC
+    search = Y_LIST_DOC["Search"].dataType
+    root = F.regexp_extract(F.col("value"), _ROOT_TAG, 1)
+    s = (F.when(root == "Result", F.from_xml("value", T.StructType([T.StructField("Search", search)]),
+                                             _XML_OPTS).getField("Search"))
+          .when(root == "Search", F.from_xml("value", search, _XML_OPTS)))
+    parsed = pages.select(*parse_once(s.alias("s")))
+    orders = parsed.select(F.explode("s.OrderInfo").alias("o")).select(
+        F.col("o.OrderId").alias("order_id"), parse_compact_time("o.OrderTime").alias("order_time"),
+        F.col("o.OrderStatus").alias("status"))
+    return orders.filter(F.nullif(F.col("order_id"), F.lit("")).isNotNull())

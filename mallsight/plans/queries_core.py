@@ -477,3 +477,55 @@ SELECT coalesce(o.source, i.source) AS source, CAST(coalesce(sales, 0) AS BIGINT
 FROM o FULL JOIN i ON o.source = i.source""")
 def agg10_period_kpi_events(spark, sf_dir):
     return A.period_kpi(event_lines(spark, sf_dir), EV_MTD.start, EV_MTD.end, group=("source",))
+
+
+from .catalog import ORACLE  # noqa: E402
+
+ORACLE_DAILY_EVENTS = ORACLE["agg2_daily_sales_events"].replace("ORDER BY d.date", "")
+
+# ------------------------------------------------------------------ JON5
+_STORES_PLUS = STAR_STORES + ["NO_SUCH_STORE"]
+
+
+@query("jon5_store_dimension_kpi", oracle=f"""
+WITH {_lines_cte(product=False)},
+p AS (SELECT * FROM lines WHERE order_date BETWEEN {_d(MTD.start)} AND {_d(MTD.end)}),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, order_number
+      ORDER BY ingest_seq, line_seq, item_id) AS rn FROM p) WHERE rn = 1),
+k AS (SELECT source, sum(order_net_sales) AS sales, count(*) AS orders FROM f GROUP BY source),
+dim AS (SELECT * FROM (VALUES {", ".join(f"('{s}')" for s in _STORES_PLUS)}) AS t(name))
+SELECT dim.name AS source, CAST(coalesce(k.sales, 0) AS BIGINT) AS sales,
+       CAST(coalesce(k.orders, 0) AS BIGINT) AS orders
+FROM dim LEFT JOIN k ON dim.name = k.source""")
+def jon5_store_dimension_kpi(spark, sf_dir):
+    """JON5: every configured store appears (0 when it has no rows)."""
+    return A.source_kpi(star_lines(spark, sf_dir, product=False), MTD.start, MTD.end, stores=_STORES_PLUS)
+
+
+# ------------------------------------------------------------------ FN7 / FN12-FN14
+@query("fn13_daily_display_table", oracle=f"""
+WITH d AS ({ORACLE_DAILY_EVENTS}),
+c AS (SELECT *, lag(total_sales) OVER (ORDER BY date) AS prev FROM d)
+SELECT strftime(date, '%m/%d') AS "日付", order_count AS "注文数",
+       '¥' || format('{{:,}}', total_sales) AS "売上",
+       CASE WHEN total_sales >= 1000000 THEN '¥' || format('{{:.1f}}', round(total_sales / 1000000.0, 1)) || 'M'
+            WHEN total_sales >= 1000 THEN '¥' || format('{{:,.0f}}', round(total_sales / 1000.0, 0)) || 'K'
+            ELSE '¥' || format('{{:,}}', total_sales) END AS "売上_略",
+       CASE WHEN coalesce(prev, 0) = 0 THEN NULL
+            ELSE (total_sales - prev) * 100.0 / prev END AS change_pct
+FROM c""")
+def fn13_daily_display_table(spark, sf_dir):
+    """FN7, FN10, FN12, FN13: the daily table as displayed (MM/dd, ¥ text, compact ¥, day-over-day %).
+
+    The day-over-day change uses ``lag`` over the (small) daily result.
+    """
+    from pyspark.sql import Window
+    from ..functions.money import compact_yen, yen
+    from ..functions.time import format_date
+    d = A.daily_sales(event_lines(spark, sf_dir))
+    prev = F.lag("total_sales").over(Window.orderBy("date"))
+    return d.select(
+        format_date("date", "short").alias("日付"), F.col("order_count").alias("注文数"),
+        yen("total_sales").alias("売上"), compact_yen("total_sales").alias("売上_略"),
+        F.when(F.coalesce(prev, F.lit(0)) == 0, F.lit(None).cast("double"))
+         .otherwise((F.col("total_sales") - prev) * 100.0 / prev).alias("change_pct"))

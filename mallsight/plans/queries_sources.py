@@ -423,3 +423,64 @@ def snk1_csv_roundtrip(spark, sf_dir):
     path = landed_path(spark, sf_dir, "csv_product_sales")
     write_csv(A.product_sales_sorted(star_lines(spark, sf_dir, store=False)), path)
     return read_raw_export(spark, path, "UTF-8")
+
+
+# ------------------------------------------------------------------ SRC6 / SRC10 / FLT4 / FLT5
+_Y_WIN = (dt.datetime(1998, 6, 1), dt.datetime(1998, 7, 1))
+
+
+def landed_y_list(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "y_list_199806", lambda: D.y_list_pages(spark, sf_dir, *_Y_WIN),
+                lambda df, p: df.write.mode("overwrite").json(p))
+
+
+@query("src6_xml_order_list", oracle="""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderdate AS order_time, o_orderstatus AS status
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-07-01 00:00:00'
+ORDER BY order_time""")
+def src6_xml_order_list(spark, sf_dir):
+    """SRC6 + FLT4: list pages (two paths, scalar-or-list) -> ids sorted by order time."""
+    from ..operators.filters import sorted_by_time
+    from ..operators.flatten import y_list_ids
+    ids = y_list_ids(spark.read.schema("page bigint, value string").json(landed_y_list(spark, sf_dir)))
+    return sorted_by_time(ids, "order_time")
+
+
+@query("src10_list_then_details", oracle=f"""
+SELECT {_cols(_CMP_COLS)} FROM ({_Y_LINES_SQL})
+WHERE order_datetime >= TIMESTAMP '1998-06-01 00:00:00' AND order_datetime < TIMESTAMP '1998-07-01 00:00:00'""")
+def src10_list_then_details(spark, sf_dir):
+    """SRC10: list -> ids -> detail responses (semi join) -> order lines."""
+    from ..operators.flatten import y_list_ids
+    ids = y_list_ids(spark.read.schema("page bigint, value string").json(landed_y_list(spark, sf_dir)))
+    lines, _ = y_lines(spark, sf_dir)
+    return lines.join(ids.select(F.col("order_id").alias("order_number")), "order_number", "left_semi") \
+        .select(*_CMP_COLS)
+
+
+@query("flt5_status_equals", oracle="""
+SELECT 'SHIPPED' AS status, count(*) AS nodes FROM orders WHERE o_orderstatus = 'O'
+   OR (o_orderstatus = 'F' AND o_orderkey % 5 = 0)""")
+def flt5_status_equals(spark, sf_dir):
+    """FLT5: nodes of one status across all pages (the SHIPPED set incl. stale copies)."""
+    from ..operators.filters import status_in
+    nodes, _ = m_nodes_from_pages(R.read_graphql_pages(spark, landed_m_pages(spark, sf_dir)))
+    shipped = status_in(nodes.select(F.col("node.status").alias("status")), ["SHIPPED"])
+    return shipped.groupBy("status").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+# ------------------------------------------------------------------ SRC18
+@query("src18_prefer_imported_csv", oracle=f"""{_CSV_KEEP_LAST},
+fr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number ORDER BY order_date) AS r
+       FROM last) WHERE r = 1),
+d AS (SELECT CAST(order_date AS DATE) AS date, count(*) AS order_count,
+      CAST(sum(order_net_sales) AS BIGINT) AS total_sales, CAST(sum(total_price) AS BIGINT) AS gross_sales,
+      CAST(sum(coupon_discount) AS BIGINT) AS coupon_total FROM fr GROUP BY 1),
+i AS (SELECT CAST(order_date AS DATE) AS date, CAST(sum(quantity) AS BIGINT) AS item_count FROM last GROUP BY 1)
+SELECT d.date, order_count, total_sales, gross_sales, coupon_total, item_count FROM d JOIN i ON d.date = i.date""")
+def src18_prefer_imported_csv(spark, sf_dir):
+    """SRC18: imported CSV rows when there are any, else the XML API lines; then daily sales."""
+    from ..sources import csv_export as C
+    csv_lines = C.imports_as_order_lines(C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir)))
+    api_lines, _ = y_lines(spark, sf_dir)
+    return A.daily_sales(R.prefer_first_nonempty(csv_lines, api_lines))

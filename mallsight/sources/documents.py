@@ -280,3 +280,26 @@ def csv_export(lines: DataFrame, layout: int, bump_quantity: bool = False) -> Da
         out[0] = values[0].alias("\ufeff" + names[0])
     order = ["ingest_seq", "line_seq", "item_id", "quantity", "unit_price", "shipping_charge"]
     return lines.orderBy(*order).select(*out)
+
+
+def y_list_pages(spark: SparkSession, sf_dir: str, start, end, page_size: int = 100) -> DataFrame:
+    """SRC6 input: order-list XML pages for orders placed in [start, end).
+
+    Pages hold blocks of ``page_size`` order keys; even pages use the
+    ``Result/Search`` path, odd pages the bare ``Search`` path.
+    """
+    from ..functions.time import ntz
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    o = o.filter((F.col("o_orderdate") >= ntz(start)) & (F.col("o_orderdate") < ntz(end)))
+    page = (F.col("o_orderkey") / page_size).cast("bigint")
+    info = F.struct(F.col("o_orderkey").alias("_k"),
+                    F.col("o_orderkey").cast("string").alias("OrderId"),
+                    F.date_format("o_orderdate", "yyyyMMddHHmmss").alias("OrderTime"),
+                    F.col("o_orderstatus").alias("OrderStatus"),
+                    cents("o_totalprice").cast("string").alias("TotalPrice"))
+    pages = o.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(info)).alias("infos"))
+    search = F.struct(F.size("infos").cast("string").alias("TotalCount"),
+                      F.transform("infos", lambda x: x.dropFields("_k")).alias("OrderInfo"))
+    body = F.regexp_replace(F.to_xml(search, {"rowTag": "Search"}), "\\s*\\n\\s*", "")
+    value = F.when(F.col("page") % 2 == 0, F.concat(F.lit("<Result>"), body, F.lit("</Result>"))).otherwise(body)
+    return pages.select("page", value.alias("value"))
