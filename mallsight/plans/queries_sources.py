@@ -484,3 +484,62 @@ def src18_prefer_imported_csv(spark, sf_dir):
     csv_lines = C.imports_as_order_lines(C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir)))
     api_lines, _ = y_lines(spark, sf_dir)
     return A.daily_sales(R.prefer_first_nonempty(csv_lines, api_lines))
+
+
+# ------------------------------------------------------------------ WIN3 / SET4
+@query("win3_status_priority", oracle="""
+SELECT 'm' || CAST(o_orderkey AS VARCHAR) AS id,
+       CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'SHIPPED' ELSE 'WAITING_FOR_SHIPMENT' END AS status
+FROM orders""")
+def win3_status_priority(spark, sf_dir):
+    """SET4 + WIN3: nodes of the three status sets unioned; one per id, best status first."""
+    from ..operators.grain import priority_first
+    nodes, _ = m_nodes_from_pages(R.read_graphql_pages(spark, landed_m_pages(spark, sf_dir)))
+    flat = nodes.select(F.col("node.id").alias("id"), F.col("node.status").alias("status"),
+                        "set_seq", "page", "pos")
+    return priority_first(flat, "id", "status", ("set_seq", "page", "pos"), columns=["id", "status"])
+
+
+# ------------------------------------------------------------------ SNK2 / SNK4 / SNK5
+@query("snk2_json_roundtrip", oracle=ORACLE["agg1_order_grain"])
+def snk2_json_roundtrip(spark, sf_dir):
+    """SNK2: order grain written as JSON lines and read back with an explicit schema."""
+    from ..operators import grain as G
+    from ..session import unique_dir
+    from ..sinks import write_json
+    from ..sources.adapters import star_lines
+    og = G.order_grain(star_lines(spark, sf_dir, product=False, store=False),
+                       ["order_datetime", *A.MONEY], items=True)
+    path = write_json(og, unique_dir(spark, "json_order_grain"))
+    return spark.read.schema(og.schema).json(path)
+
+
+@query("snk4_append_daily_job", oracle=f"""
+SELECT strftime(date, '%Y-%m-%d') AS date, order_count, total_sales, gross_sales, coupon_total, item_count
+FROM ({ORACLE['agg2_daily_sales']})
+WHERE date IN (DATE '1998-06-14', DATE '1998-06-15')""")
+def snk4_append_daily_job(spark, sf_dir):
+    """RPT9 + SNK4: the daily job run for two days, each appending its row to one table."""
+    from ..plans.reports import daily_job
+    from ..session import unique_dir
+    from ..sinks import append_table
+    from ..sources.adapters import star_lines
+    target = unique_dir(spark, "daily_append")
+    lines = star_lines(spark, sf_dir, product=False, store=False)
+    for as_of in (dt.date(1998, 6, 15), dt.date(1998, 6, 16)):
+        append_table(daily_job(lines, as_of), target)
+    return spark.read.parquet(target)
+
+
+@query("snk5_summary_bundle", oracle=ORACLE.get("rpt7_summary_table"))
+def snk5_summary_bundle(spark, sf_dir):
+    """SNK5 (RPT10): the weekly job's four tables; returns the key/value table read back."""
+    from ..plans.reports import weekly_job
+    from ..session import unique_dir
+    from ..sinks import SUMMARY_TABLES, summary_bundle
+    from ..sources.adapters import star_lines
+    from .params import STAR_AS_OF
+    t = weekly_job(star_lines(spark, sf_dir), STAR_AS_OF, dt.datetime(1998, 6, 16, 6, 0, 0))
+    root = unique_dir(spark, "summary_bundle")
+    summary_bundle(t["daily"], t["monthly"], t["products"], t["summary"], root)
+    return spark.read.parquet(f"{root}/{SUMMARY_TABLES[3]}")
