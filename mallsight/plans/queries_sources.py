@@ -527,8 +527,11 @@ def snk4_append_daily_job(spark, sf_dir):
     target = unique_dir(spark, "daily_append")
     lines = star_lines(spark, sf_dir, product=False, store=False)
     for as_of in (dt.date(1998, 6, 15), dt.date(1998, 6, 16)):
-        append_table(daily_job(lines, as_of), target)
-    return spark.read.parquet(target)
+        append_table(daily_job(lines, as_of), target)      # an empty day appends nothing
+    schema = "date string, order_count bigint, total_sales bigint, gross_sales bigint, " \
+             "coupon_total bigint, item_count bigint"
+    from pyspark.sql.types import _parse_datatype_string
+    return R.read_parquet_or_empty(spark, target, _parse_datatype_string(schema))
 
 
 @query("snk5_summary_bundle", oracle=ORACLE.get("rpt7_summary_table"))

@@ -101,6 +101,14 @@ def read_table_or_empty(spark: SparkSession, name: str, schema: T.StructType) ->
     return _empty(spark, schema)
 
 
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """SRC16 for path-named tables: the table, or an empty one of ``schema`` when absent."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return _empty(spark, schema)
+
+
 def read_snapshot(spark: SparkSession, path: str, start=None, end=None,
                   schema: T.StructType | None = None) -> DataFrame:
     """SRC17: result snapshot partitioned by ``order_date``; bounds prune partitions."""
