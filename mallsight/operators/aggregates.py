@@ -174,26 +174,19 @@ def _first_nonnull(c: str, order: Column) -> Column:
 def product_sales(lines: DataFrame, group=()) -> DataFrame:
     """AGG4: per product key: first name/number/id, Σ quantity, Σ subtotal, distinct orders.
 
-    Two explicit levels instead of COUNT(DISTINCT): (group, key, order_number)
-    then (group, key), so the first-name pick rides along the same shuffles.
+    One ``groupBy`` with ``COUNT(DISTINCT order_number)``: Spark plans the
+    distinct aggregate in two hash-partitioned levels ((group, key, order) then
+    (group, key)) and carries the other aggregates through them.
     """
     order = F.struct("ingest_seq", "line_seq", "item_id")
     g = lines.withColumn("_group_key", product_key()).filter(F.col("_group_key").isNotNull())
-    lvl1 = g.groupBy(*group, "_group_key", "order_number").agg(
-        _first_nonnull("item_name", order), _first_nonnull("item_number", order),
-        _first_nonnull("item_id", order),
-        F.min(F.when(F.col("item_name").isNotNull(), order)).alias("_o_name"),
-        F.min(F.when(F.col("item_number").isNotNull(), order)).alias("_o_number"),
-        F.min(F.when(F.col("item_id").isNotNull(), order)).alias("_o_id"),
-        F.sum("quantity").alias("quantity"), F.sum("subtotal").alias("total_sales"))
-    out = lvl1.groupBy(*group, "_group_key").agg(
-        F.min_by("item_name", "_o_name").alias("item_name"),
+    return g.groupBy(*group, "_group_key").agg(
+        _first_nonnull("item_name", order),
         F.sum("quantity").alias("quantity"),
-        F.sum("total_sales").alias("total_sales"),
-        F.count("order_number").alias("order_count"),
-        F.min_by("item_number", "_o_number").alias("item_number"),
-        F.min_by("item_id", "_o_id").alias("item_id"))
-    return out
+        F.sum("subtotal").alias("total_sales"),
+        F.count_distinct("order_number").alias("order_count"),
+        _first_nonnull("item_number", order),
+        _first_nonnull("item_id", order))
 
 
 def product_sales_sorted(lines: DataFrame) -> DataFrame:
@@ -205,11 +198,9 @@ def product_sales_sorted(lines: DataFrame) -> DataFrame:
 
 def product_sales_by_id_name(lines: DataFrame) -> DataFrame:
     """AGG5: fallback grouping by (item_id, item_name) when there is no item number."""
-    lvl1 = lines.groupBy("item_id", "item_name", "order_number").agg(
-        F.sum("quantity").alias("quantity"), F.sum("subtotal").alias("total_sales"))
-    return (lvl1.groupBy("item_id", "item_name").agg(
-        F.sum("quantity").alias("quantity"), F.sum("total_sales").alias("total_sales"),
-        F.count("order_number").alias("order_count"))
+    return (lines.groupBy("item_id", "item_name").agg(
+        F.sum("quantity").alias("quantity"), F.sum("subtotal").alias("total_sales"),
+        F.count_distinct("order_number").alias("order_count"))
         .orderBy(F.desc("total_sales"), "item_id", "item_name"))
 
 
