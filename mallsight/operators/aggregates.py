@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import short_name
-from ..functions.time import WEEKDAY_NAMES, month_text, weekday_name
+from ..functions.time import WEEKDAY_NAMES, month_text, ntz, weekday_name
 from .grain import DEFAULT_KEY
 
 MONEY = ("order_net_sales", "total_price", "coupon_used")
@@ -232,8 +232,13 @@ def top_product_share(lines: DataFrame, n: int = 10) -> DataFrame:
 # Period / store KPIs (AGG10-AGG17)
 # ---------------------------------------------------------------------------
 def period_filter(lines: DataFrame, start, end) -> DataFrame:
-    """FLT7: inclusive date range on the order date."""
-    return lines.filter(F.col("order_date").between(F.lit(start), F.lit(end)))
+    """FLT7: inclusive date range on the order date.
+
+    Stated on ``order_datetime`` (a half-open day range) so it reaches the scan.
+    """
+    import datetime as _dt
+    t = F.col("order_datetime")
+    return lines.filter((t >= ntz(start)) & (t < ntz(start if end is None else end + _dt.timedelta(days=1))))
 
 
 def period_kpi(lines: DataFrame, start, end, key=DEFAULT_KEY, group=()) -> DataFrame:

@@ -14,18 +14,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import delta, yen, yoy_text
-from ..functions.time import WEEKDAY_NAMES
+from ..functions.time import WEEKDAY_NAMES, ntz
 from ..operators import aggregates as A
 from ..operators.filters import time_range
 from ..operators.grain import DEFAULT_KEY
 from . import windows as W
 
 
+def within_periods(lines: DataFrame, periods) -> DataFrame:
+    """Keep lines whose order time falls in any of the periods.
+
+    Written on ``order_datetime`` as half-open day ranges so the predicate is
+    pushed into the scan (row-group skipping; partition pruning on
+    date-partitioned tables) before any tagging happens.
+    """
+    t = F.col("order_datetime")
+    cond = None
+    for p in periods:
+        if p is None:
+            continue
+        c = (t >= ntz(p.start)) & (t < ntz(p.end + dt.timedelta(days=1)))
+        cond = c if cond is None else (cond | c)
+    return lines.filter(cond) if cond is not None else lines
+
+
 def tag_periods(lines: DataFrame, periods: list[W.Period], date_col: str = "order_date") -> DataFrame:
     """Lines -> (period, line) for every period whose inclusive date range holds the line."""
     d = F.col(date_col)
     labels = [F.when(d.between(F.lit(p.start), F.lit(p.end)), F.lit(p.name)) for p in periods if p]
-    return (lines.withColumn("period", F.explode(F.filter(F.array(*labels), lambda x: x.isNotNull()))))
+    return (within_periods(lines, periods)
+            .withColumn("period", F.explode(F.filter(F.array(*labels), lambda x: x.isNotNull()))))
 
 
 def kpi_by(tagged: DataFrame, group, key=DEFAULT_KEY) -> DataFrame:
@@ -48,23 +66,48 @@ def _fill(df: DataFrame, cols) -> DataFrame:
                        for c in df.columns])
 
 
+def tag_yoy(lines: DataFrame, pairs, date_col: str = "order_date") -> DataFrame:
+    """Lines -> (period, ly, line): each current period and its year-ago twin share a name.
+
+    ``pairs`` is [(current Period, year-ago Period or None)]; a line can fall in
+    several periods (yesterday lies inside month-to-date), hence the explode.
+    """
+    d = F.col(date_col)
+    tags = []
+    for cur, ly in pairs:
+        for p, flag in ((cur, False), (ly, True)):
+            if p is not None:
+                tags.append(F.when(d.between(F.lit(p.start), F.lit(p.end)),
+                                   F.struct(F.lit(cur.name).alias("period"), F.lit(flag).alias("ly"))))
+    t = within_periods(lines, [p for pair in pairs for p in pair]).withColumn(
+        "_tag", F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())))
+    return t.withColumn("period", F.col("_tag.period")).withColumn("ly", F.col("_tag.ly")).drop("_tag")
+
+
+def _side_by_side(stats: DataFrame, group) -> DataFrame:
+    """(group, period, ly) KPIs -> one row per (group, period) with this year and last year."""
+    def pick(c, ly):
+        return F.max(F.when(F.col("ly") == ly, F.col(c)))
+    return stats.groupBy(*group, "period").agg(
+        pick("sales", False).alias("sales"), pick("orders", False).alias("orders"),
+        pick("items", False).alias("items"), pick("sales", True).alias("ly_sales"),
+        pick("orders", True).alias("ly_orders"), pick("items", True).alias("ly_items"))
+
+
 def yoy_panel(lines: DataFrame, as_of: dt.date, key=DEFAULT_KEY) -> DataFrame:
     """RPT1: yesterday and month-to-date vs the same periods a year earlier (total).
 
+    One scan, one aggregation by (period, ly), a conditional pivot of ``ly``.
     Columns: period, start, end, sales, orders, items, ly_sales, ly_orders,
     ly_items, diff, rate (0 when last year is 0 or absent), daily_average.
     """
     y, m, ly, lm = _periods(as_of)
-    stats = kpi_by(tag_periods(lines, [y, m, ly, lm]), ("period",), key)
-    spark = lines.sparkSession
-    frame = spark.createDataFrame(
-        [(p.name, p.start, p.end, p.days, lp.name if lp else None) for p, lp in ((y, ly), (m, lm))],
-        "period string, start date, end date, days int, ly_period string")
-    cur = stats.alias("c")
-    prev = stats.select(F.col("period").alias("ly_period"), F.col("sales").alias("ly_sales"),
-                        F.col("orders").alias("ly_orders"), F.col("items").alias("ly_items"))
-    out = (frame.join(cur, "period", "left").join(prev, "ly_period", "left"))
-    out = _fill(out, {"sales", "orders", "items", "ly_sales", "ly_orders", "ly_items"})
+    stats = _side_by_side(kpi_by(tag_yoy(lines, [(y, ly), (m, lm)]), ("period", "ly"), key), ())
+    frame = lines.sparkSession.createDataFrame(
+        [(p.name, p.start, p.end, p.days) for p in (y, m)],
+        "period string, start date, end date, days int")
+    out = _fill(F.broadcast(frame).join(stats, "period", "left"),
+                {"sales", "orders", "items", "ly_sales", "ly_orders", "ly_items"})
     diff, rate = delta("sales", "ly_sales")
     return out.select("period", "start", "end", "sales", "orders", "items", "ly_sales", "ly_orders",
                       "ly_items", diff.cast("bigint").alias("diff"), rate.alias("rate"),
@@ -78,18 +121,13 @@ def store_yoy_panel(lines: DataFrame, as_of: dt.date, stores, key=DEFAULT_KEY) -
     inside each store.
     """
     y, m, ly, lm = _periods(as_of)
-    tagged = tag_periods(lines.filter(F.col("source").isin(list(stores))), [y, m, ly, lm])
-    stats = kpi_by(tagged, ("source", "period"), key)
-    spark = lines.sparkSession
-    frame = spark.createDataFrame(
-        [(s, i, p.name, p.days, lp.name if lp else None) for i, s in enumerate(stores)
-         for p, lp in ((y, ly), (m, lm))],
-        "source string, store_seq int, period string, days int, ly_period string")
-    prev = stats.select("source", F.col("period").alias("ly_period"), F.col("sales").alias("ly_sales"),
-                        F.col("orders").alias("ly_orders"))
-    out = (F.broadcast(frame).join(stats, ["source", "period"], "left")
-           .join(prev, ["source", "ly_period"], "left"))
-    out = _fill(out, {"sales", "orders", "items", "ly_sales", "ly_orders"})
+    tagged = tag_yoy(lines.filter(F.col("source").isin(list(stores))), [(y, ly), (m, lm)])
+    stats = _side_by_side(kpi_by(tagged, ("source", "period", "ly"), key), ("source",))
+    frame = lines.sparkSession.createDataFrame(
+        [(s, i, p.name, p.days) for i, s in enumerate(stores) for p in (y, m)],
+        "source string, store_seq int, period string, days int")
+    out = _fill(F.broadcast(frame).join(stats, ["source", "period"], "left"),
+                {"sales", "orders", "items", "ly_sales", "ly_orders"})
     diff, rate = delta("sales", "ly_sales")
     return out.select("source", "store_seq", "period", "sales", "orders", "ly_sales", "ly_orders",
                       diff.cast("bigint").alias("diff"), rate.alias("rate"),
