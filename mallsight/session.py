@@ -67,3 +67,26 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 def unique_dir(spark: SparkSession, prefix: str) -> str:
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Session settings sized for a cluster run over ``input_bytes`` of parquet.
+
+    * scans split at 512 MB (fewer, longer tasks; parquet row groups stay whole)
+    * shuffles start with enough partitions for ~``target_partition_bytes`` of
+      the largest expected exchange (the line-grain shuffle of a join), never
+      fewer than 2 waves of cores; AQE coalesces the small order/day-grain ones
+    * AQE skew handling splits oversized join partitions; runtime broadcast only
+      below 64 MB of measured size.
+    """
+    initial = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    }

@@ -51,3 +51,10 @@ def test_period_tags_single_scan(spark):
     plan = _exec_plan(yoy_panel(lines, dt.date(1998, 6, 16)))
     assert plan.count("FileScan parquet") <= 4        # orders + lineitem, for money and for items
     assert "Generate explode" in plan
+
+
+def test_cluster_conf_sizes():
+    from mallsight.session import cluster_conf
+    c = cluster_conf(100 << 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
