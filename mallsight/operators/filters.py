@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz
-
 from ..sources.adapters import CANCELLED
 
 

@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import ntz
 from pyspark.sql import types as T
 
 from ..functions.money import first_nonzero
-from ..functions.time import parse_compact_time, parse_offset_time, with_time_parts
+from ..functions.time import ntz, parse_compact_time, parse_offset_time, with_time_parts
 from ..schema import ORDER_LINE_COLUMNS, Y_ORDER_INFO
 from ..sources.adapters import CANCELLED
 from .grain import keep_first

@@ -10,13 +10,12 @@ across imports.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import ntz
-
 from ..functions.money import clean_int
-from ..functions.time import parse_lenient_time
+from ..functions.time import ntz, parse_lenient_time
 from ..schema import IMPORTED_ORDER
 from .readers import _empty
 
@@ -93,9 +92,71 @@ def canonicalize(raw: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("_pos"))
 
 
+def _strip_replacement_chars(df: DataFrame) -> DataFrame:
+    # UTF-8 decoding "ignoring errors": undecodable bytes vanish instead of
+    # leaving U+FFFD behind.
+    return df.select(*[F.regexp_replace(F.col(f"`{c}`"), "\ufffd", "").alias(c) for c in df.columns])
+
+
 def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
-    """SRC13 + PRJ10-PRJ14 in one call."""
-    return canonicalize(read_raw_export(spark, path, encoding))
+    """SRC13 + PRJ10-PRJ14: decode with ``encoding``, else UTF-8 ignoring bad bytes.
+
+    The header decides: when the declared encoding yields no recognisable
+    required header, the export is read again as UTF-8 (the header is the only
+    part Spark reads at plan time).
+    """
+    raw = read_raw_export(spark, path, encoding)
+    present = set(raw.columns)
+    ok = all(any(a in present for a in HEADER_ALIASES[k]) for k in REQUIRED)
+    if not ok and encoding.upper().replace("-", "") != "UTF8":
+        raw = _strip_replacement_chars(read_raw_export(spark, path, "UTF-8"))
+        raw = raw.toDF(*[c.replace("\ufffd", "") for c in raw.columns])
+    return canonicalize(raw)
+
+
+# File name pattern of saved imports.
+SAVED_GLOB = "yahoo_orders_*.csv"
+
+
+def save_import_csv(df: DataFrame, root: str, import_id: str) -> str:
+    """SNK6 (file form): canonical rows as UTF-8+BOM CSV under ``root/yahoo_orders_<id>.csv/``."""
+    from ..sinks import write_csv
+    cols = [c for c in df.columns if not c.startswith("_")]
+    return write_csv(df.select(*cols), f"{root}/yahoo_orders_{import_id}.csv")
+
+
+def load_saved_csv(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
+    """SRC14 (file form): every saved import under ``root`` matching the glob; unreadable files skipped.
+
+    Import order = file (directory) name, which carries the save timestamp;
+    then keep-last per (order_number, item_name) and optional bounds (FLT10).
+    """
+    from ..operators.grain import keep_last
+    cols = [f.name for f in IMPORTED_ORDER.fields if f.name not in ("import_id", "row_seq", "file_name")]
+    try:
+        raw = (spark.read.option("header", True).option("encoding", "UTF-8")
+               .option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+               .option("pathGlobFilter", "part-*.csv").csv(root))
+    except AnalysisException:
+        return _empty(spark, IMPORTED_ORDER).select(*cols)
+    raw = raw.toDF(*[c.lstrip(BOM) for c in raw.columns])
+    path = F.col("_metadata.file_path")
+    imp = F.regexp_extract(path, r"/(yahoo_orders_[^/]+)\.csv/", 1)
+    typed = raw.select(
+        "order_number", parse_lenient_time("order_date").alias("order_date"), "item_name",
+        *[clean_int(c).alias(c) for c in ("quantity", "unit_price", "subtotal")],
+        F.col("total_price").try_cast("bigint").alias("total_price"),
+        *[clean_int(c).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
+        "source", imp.alias("import_id"), F.col("_metadata.file_name").alias("file_name"),
+        F.monotonically_increasing_id().alias("row_seq")).filter(F.col("import_id") != "")
+    last = keep_last(typed, ("order_number", "item_name"), ("import_id", "file_name", "row_seq"),
+                     columns=["order_number", "item_name", *[c for c in cols if c not in
+                                                             ("order_number", "item_name")]])
+    if start is not None:
+        last = last.filter(F.col("order_date") >= ntz(start))
+    if end is not None:
+        last = last.filter(F.col("order_date") <= ntz(end))
+    return last.select(*cols)
 
 
 def as_import(df: DataFrame, import_id: str) -> DataFrame:

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz
-
 from .adapters import _store_dim, cents
 from .tables import read_table
 
@@ -288,7 +287,6 @@ def y_list_pages(spark: SparkSession, sf_dir: str, start, end, page_size: int =
     Pages hold blocks of ``page_size`` order keys; even pages use the
     ``Result/Search`` path, odd pages the bare ``Search`` path.
     """
-    from ..functions.time import ntz
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     o = o.filter((F.col("o_orderdate") >= ntz(start)) & (F.col("o_orderdate") < ntz(end)))
     page = (F.col("o_orderkey") / page_size).cast("bigint")

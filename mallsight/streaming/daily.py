@@ -24,9 +24,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import ntz
-
-from ..functions.time import parse_offset_time
+from ..functions.time import ntz, parse_offset_time
 from ..operators.flatten import parse_once
 from ..sources.adapters import CANCELLED
 from ..sources.readers import R_ORDER_LANDED
