@@ -83,3 +83,9 @@ def test_no_python_udfs_in_functions(spark):
         .executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+def test_strict_iso_date(spark):
+    from mallsight.functions.time import parse_iso_date
+    assert one(spark, parse_iso_date("s"), [("2024-01-31",), ("2024-02-30",), ("2024/01/31",), ("",)]) == \
+        [dt.date(2024, 1, 31), None, None, None]
