@@ -50,15 +50,29 @@ def _items_in_document() -> tuple[Column, Column]:
     return units, F.size(items)
 
 
+DEDUP_SALTS = 64
+
+
 def daily_totals_stream(stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Streaming plan: closed-day totals from a stream of R order documents."""
+    """Streaming plan: closed-day totals from a stream of R order documents.
+
+    Deduplication runs in two stages so a hot order number (say the empty one
+    on a third of all documents) never lands whole in one task: first per
+    (number, salt) where the salt hashes the document's content (identical
+    re-fetches share it), then per number over at most ``DEDUP_SALTS``
+    survivors per number and batch.
+    """
     units, n_items = _items_in_document()
     goods = F.coalesce(F.col("goodsPrice"), F.lit(0).cast("bigint"))
     coupon = F.coalesce(F.col("couponAllTotalPrice"), F.lit(0).cast("bigint"))
+    salt = F.pmod(F.xxhash64(F.col("orderDatetime"), F.col("goodsPrice"), F.col("_store_name"),
+                             F.col("_ingest_seq")), F.lit(DEDUP_SALTS))
     docs = (stream.filter(F.coalesce(F.col("orderProgress"), F.lit(0)) != CANCELLED)
             .select("*", *parse_once(event_time(parse_offset_time("orderDatetime")).alias("event_time")))
             .filter(F.col("event_time").isNotNull())
+            .withColumn("_salt", salt)
             .withWatermark("event_time", watermark)
+            .dropDuplicatesWithinWatermark(["orderNumber", "_salt"])
             .dropDuplicatesWithinWatermark(["orderNumber"])
             .select("orderNumber", "event_time", goods.alias("goods"), coupon.alias("coupon"),
                     units.alias("units"), n_items.alias("n_items"))
