@@ -29,10 +29,6 @@ def first_by_doc(attr: str, seq: str = "ingest_seq") -> Column:
     return F.min_by(F.col(attr), F.col(seq)).alias(attr)
 
 
-def line_order_struct(extra=()) -> Column:
-    return F.struct(*[F.col(c) for c in (*LINE_ORDER, *extra)])
-
-
 def order_grain(lines: DataFrame, attrs, key=DEFAULT_KEY, items: bool = False) -> DataFrame:
     """AGG1: one row per order key carrying ``attrs`` of its first document.
 

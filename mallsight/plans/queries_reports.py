@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates as A
 from ..sources.adapters import star_lines, star_lines_sql
 from . import reports as RP
 from . import windows as W

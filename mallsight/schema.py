@@ -45,11 +45,6 @@ ORDER_LINE = T.StructType([
 
 ORDER_LINE_COLUMNS = [f.name for f in ORDER_LINE.fields]
 
-# Order-level attributes (constant for all lines of one order document).
-ORDER_ATTRS = ["order_datetime", "order_date", "order_hour", "order_month", "order_weekday",
-               "point_used", "coupon_used", "total_price", "order_net_sales",
-               "payment_method", "status", "source", "mall"]
-
 # Columns that fix "input order" of lines; ties on all of them are rows
 # that agree on every attribute any first/last operator returns.
 LINE_ORDER = ["ingest_seq", "line_seq", "item_id"]
@@ -101,12 +96,6 @@ Y_ORDER_INFO = T.StructType([
     _f("Detail", T.StructType([_f("TotalPrice", S)])),
     _f("Item", T.ArrayType(Y_ITEM)),
 ])
-# One detail response; the order can sit at three depths.
-Y_DETAIL_DOC = T.StructType([
-    _f("Result", T.StructType([_f("OrderInfo", Y_ORDER_INFO)])),
-    _f("OrderInfo", Y_ORDER_INFO),
-    _f("Error", T.StructType([_f("Code", S), _f("Message", S)])),
-])
 Y_LIST_ORDER = T.StructType([
     _f("OrderId", S), _f("OrderTime", S), _f("OrderStatus", S), _f("TotalPrice", S),
 ])
@@ -139,12 +128,6 @@ M_PAGE = T.StructType([
     _f("errors", T.ArrayType(T.StructType([_f("message", S)]))),
 ])
 
-# ---------------------------------------------------------------------------
-# Y CSV export after header canonicalisation (all text until cleaned)
-# ---------------------------------------------------------------------------
-CSV_CANONICAL = ["order_number", "order_date", "item_name", "quantity", "unit_price",
-                 "subtotal", "total_price", "use_point", "coupon_discount"]
-
 # Imported-order dataset written by the CSV importer (SNK6) and read back (SRC14).
 IMPORTED_ORDER = T.StructType([
     _f("order_number", S), _f("order_date", T.TimestampNTZType()), _f("item_name", S),
