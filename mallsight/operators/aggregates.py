@@ -43,6 +43,22 @@ def first_orders(lines: DataFrame, key=DEFAULT_KEY, money=MONEY) -> DataFrame:
     )
 
 
+def orders_with_lines(lines: DataFrame, key=DEFAULT_KEY, money=MONEY) -> DataFrame:
+    """``first_orders`` plus per-key line sums (items, first arrival, date range).
+
+    When the grouping of a result is part of the order key, line-grain totals
+    roll up exactly from these per-key sums, so one scan and one shuffle give
+    both grains.
+    """
+    return lines.groupBy(*key).agg(
+        F.min_by("order_datetime", "ingest_seq").alias("order_datetime"),
+        *[F.min_by(m, "ingest_seq").alias(m) for m in money],
+        F.sum("quantity").alias("_items"),
+        F.min("ingest_seq").alias("_first_seq"),
+        F.min(F.to_date("order_datetime")).alias("_dmin"),
+        F.max(F.to_date("order_datetime")).alias("_dmax"))
+
+
 def _count_orders(key, group=()) -> Column:
     # nunique(order_number) over the deduplicated rows.  When the key is the
     # number plus grouping columns, every row of a group already has a
@@ -52,14 +68,6 @@ def _count_orders(key, group=()) -> Column:
     return F.count_distinct("order_number")
 
 
-def _pair(left: DataFrame, right: DataFrame, group) -> DataFrame:
-    """Put two aggregates of the same grouping side by side."""
-    if group:
-        return left.join(right, list(group), "full")
-    # two one-row global aggregates: equi-join on a constant key
-    return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 TIME_PARTS = {
     "date": lambda t: F.to_date(t),
     "month": lambda t: month_text(t),
@@ -135,19 +143,18 @@ def summary_stats(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
     total_orders  distinct order numbers over all lines
     total_sales / gross_sales / avg_order_value  over first documents
     total_items   Σ quantity over all lines; period_start/end min/max date.
+    One per-order aggregate carries the line sums, then one small roll-up.
     """
     key = tuple(dict.fromkeys((*group, *key)))
-    orders = first_orders(lines, key, money=("order_net_sales", "total_price"))
-    o = orders.groupBy(*group).agg(
+    per = orders_with_lines(lines, key, money=("order_net_sales", "total_price"))
+    out = per.groupBy(*group).agg(
         _count_orders(key, group).alias("total_orders"),
         F.sum("order_net_sales").alias("total_sales"),
         F.sum("total_price").alias("gross_sales"),
-        F.avg("order_net_sales").alias("avg_order_value"))
-    i = lines.groupBy(*group).agg(
-        F.sum("quantity").alias("total_items"),
-        F.min(F.to_date("order_datetime")).alias("period_start"),
-        F.max(F.to_date("order_datetime")).alias("period_end"))
-    out = _pair(o, i, group)
+        F.avg("order_net_sales").alias("avg_order_value"),
+        F.sum("_items").alias("total_items"),
+        F.min("_dmin").alias("period_start"),
+        F.max("_dmax").alias("period_end"))
     return out.select(
         *group,
         F.coalesce("total_orders", F.lit(0)).cast("bigint").alias("total_orders"),
@@ -245,11 +252,10 @@ def period_kpi(lines: DataFrame, start, end, key=DEFAULT_KEY, group=()) -> DataF
     """AGG10: sales, orders, items for [start, end]; zeros when nothing matches."""
     p = period_filter(lines, start, end)
     key = tuple(dict.fromkeys((*group, *key)))
-    orders = first_orders(p, key, money=("order_net_sales",))
-    o = orders.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
-                                   F.count(F.lit(1)).alias("orders"))
-    i = p.groupBy(*group).agg(F.sum("quantity").alias("items"))
-    out = _pair(o, i, group)
+    per = orders_with_lines(p, key, money=("order_net_sales",))
+    out = per.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
+                                  F.count(F.lit(1)).alias("orders"),
+                                  F.sum("_items").alias("items"))
     return out.select(*group,
                       F.coalesce("sales", F.lit(0)).cast("bigint").alias("sales"),
                       F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"),
@@ -289,16 +295,20 @@ def daily_store_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
 
 
 def day_store_pivot(lines: DataFrame, stores, key=DEFAULT_KEY) -> DataFrame:
-    """AGG13: one row per date in the data; one column per configured store; total (D19)."""
-    per = daily_store_sales(lines.filter(F.col("source").isin(list(stores))), key)
-    dates = lines.filter(F.col("order_date").isNotNull()).select(
-        F.col("order_date").alias("date")).distinct()
-    wide = per.groupBy("date").pivot("source", list(stores)).agg(F.sum("total_sales"))
-    cols = [F.coalesce(F.col(f"`{s}`"), F.lit(0)).cast("bigint") for s in stores]
-    out = dates.join(wide, "date", "left").select(
-        "date", *[c.alias(f"{s} 売上") for c, s in zip(cols, stores)],
-        sum(cols[1:], cols[0]).alias("合計 売上") if cols else F.lit(0).alias("合計 売上"))
-    return out.orderBy("date")
+    """AGG13: one row per date in the data; one column per configured store; total (D19).
+
+    One per-(date, store, order) aggregate over all lines, then conditional
+    sums by date: dates whose orders all belong to other stores stay, with zeros.
+    """
+    k = tuple(dict.fromkeys(("order_date", "source", *key)))
+    orders = first_orders(lines.filter(F.col("order_date").isNotNull()), k, money=("order_net_sales",))
+    cols = [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("order_net_sales"))), F.lit(0)).cast("bigint")
+            for s in stores]
+    wide = orders.groupBy(F.col("order_date").alias("date")).agg(
+        *[c.alias(f"{s} 売上") for c, s in zip(cols, stores)])
+    total = sum([F.col(f"`{s} 売上`") for s in stores[1:]], F.col(f"`{stores[0]} 売上`")) if stores \
+        else F.lit(0).cast("bigint")
+    return wide.withColumn("合計 売上", total).orderBy("date")
 
 
 def daily_average(sales: Column, start, end) -> Column:

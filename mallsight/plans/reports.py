@@ -49,11 +49,10 @@ def tag_periods(lines: DataFrame, periods: list[W.Period], date_col: str = "orde
 def kpi_by(tagged: DataFrame, group, key=DEFAULT_KEY) -> DataFrame:
     """sales / orders (deduplicated inside each group) and items per group."""
     k = tuple(dict.fromkeys((*group, *key)))
-    orders = A.first_orders(tagged, k, money=("order_net_sales",))
-    o = orders.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
-                                   F.count(F.lit(1)).alias("orders"))
-    i = tagged.groupBy(*group).agg(F.sum("quantity").alias("items"))
-    return o.join(i, list(group), "full")
+    per = A.orders_with_lines(tagged, k, money=("order_net_sales",))
+    return per.groupBy(*group).agg(F.sum("order_net_sales").alias("sales"),
+                                   F.count(F.lit(1)).alias("orders"),
+                                   F.sum("_items").alias("items"))
 
 
 def _periods(as_of: dt.date):
@@ -171,14 +170,13 @@ def daily_report_dataset(lines: DataFrame, target: dt.date, key=DEFAULT_KEY) ->
 
     def stats(group):
         k = tuple(dict.fromkeys((*group, *key)))
-        orders = A.first_orders(tagged, k, money=("order_net_sales",))
-        o = orders.groupBy(*group).agg(
+        per = A.orders_with_lines(tagged, k, money=("order_net_sales",))
+        return per.groupBy(*group).agg(
             A._count_orders(k, group).alias("total_orders"),
             F.sum("order_net_sales").alias("total_sales"),
-            F.avg("order_net_sales").alias("avg_order_value"))
-        i = tagged.groupBy(*group).agg(F.sum("quantity").alias("total_items"),
-                                       F.min("ingest_seq").alias("first_seq"))
-        return o.join(i, list(group), "full")
+            F.avg("order_net_sales").alias("avg_order_value"),
+            F.sum("_items").alias("total_items"),
+            F.min("_first_seq").alias("first_seq"))
 
     total = stats(("section",)).select(F.lit("total").alias("scope"),
                                        F.lit(None).cast("string").alias("source"), "*")
