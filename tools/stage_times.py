@@ -11,12 +11,23 @@ import os
 import sys
 
 
+def _lines(f):
+    if f.endswith(".zstd"):
+        import io
+        import zstandard
+        with open(f, "rb") as fh:
+            text = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(fh), encoding="utf-8")
+            yield from text
+    else:
+        with open(f, encoding="utf-8") as fh:
+            yield from fh
+
+
 def events(path):
     files = sorted(glob.glob(os.path.join(path, "events_*"))) if os.path.isdir(path) else [path]
     for f in files:
-        with open(f) as fh:
-            for line in fh:
-                yield json.loads(line)
+        for line in _lines(f):
+            yield json.loads(line)
 
 
 def main():
