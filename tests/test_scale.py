@@ -58,3 +58,14 @@ def test_cluster_conf_sizes():
     c = cluster_conf(100 << 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_bucketed_lines_remove_the_order_exchange(spark):
+    from mallsight.sinks import write_bucketed_lines
+    lines = star_lines(spark, SF_SMALL, product=False, store=False)
+    write_bucketed_lines(lines, "lines_bucketed_t", 4)
+    t = spark.table("lines_bucketed_t")
+    out = A.summary_stats(t)
+    plan = _exec_plan(out)
+    assert "hashpartitioning(order_number" not in plan
+    assert out.first().total_sales == A.summary_stats(lines).first().total_sales
