@@ -220,8 +220,8 @@ p AS (SELECT gk, arg_min(item_name, (ingest_seq, line_seq, item_id)) FILTER (WHE
              sum(quantity) AS quantity, sum(subtotal) AS total_sales
       FROM g WHERE gk IS NOT NULL GROUP BY gk),
 top AS (SELECT *, row_number() OVER (ORDER BY total_sales DESC, gk) AS rn FROM p QUALIFY rn <= 5)
-SELECT 1 AS line_no, '期間: ' || coalesce(CAST(period_start AS VARCHAR), 'None') || ' 〜 '
-       || coalesce(CAST(period_end AS VARCHAR), 'None') AS text FROM st
+SELECT 1 AS line_no, '期間: ' || coalesce(CAST(period_start AS VARCHAR) || ' 00:00:00', 'None') || ' 〜 '
+       || coalesce(CAST(period_end AS VARCHAR) || ' 00:00:00', 'None') AS text FROM st
 UNION ALL SELECT 2, '総注文数: ' || format('{{:,}}', total_orders) || '件' FROM st
 UNION ALL SELECT 3, '総売上: ' || {_yen('total_sales')} FROM st
 UNION ALL SELECT 4, '総商品数: ' || format('{{:,}}', total_items) || '個' FROM st
@@ -239,8 +239,8 @@ _WK_S, _WK_E = W.last_week(STAR_AS_OF)
 
 @query("rpt7_summary_table", oracle=f"""
 WITH lines AS ({star_lines_sql(product=False, store=False)}), {_summary_cte(_window_where(_WK_S, _WK_E))}
-SELECT 1 AS row_no, '集計期間' AS "項目", coalesce(CAST(period_start AS VARCHAR), '-') || ' 〜 '
-       || coalesce(CAST(period_end AS VARCHAR), '-') AS "値" FROM st
+SELECT 1 AS row_no, '集計期間' AS "項目", coalesce(CAST(period_start AS VARCHAR) || ' 00:00:00', '-') || ' 〜 '
+       || coalesce(CAST(period_end AS VARCHAR) || ' 00:00:00', '-') AS "値" FROM st
 UNION ALL SELECT 2, '総注文数', CAST(total_orders AS VARCHAR) FROM st
 UNION ALL SELECT 3, '総売上', {_yen('total_sales')} FROM st
 UNION ALL SELECT 4, '総商品数', CAST(total_items AS VARCHAR) FROM st

@@ -276,11 +276,16 @@ def report_text(lines_df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # RPT6 / RPT7: CLI summary and key/value summary table
 # ---------------------------------------------------------------------------
+def _stamp_text(c: str):
+    # dates print as midnight timestamps in the summary texts ('2024-01-15 00:00:00')
+    return F.concat(F.col(c).cast("string"), F.lit(" 00:00:00"))
+
+
 def summary_kv(stats: DataFrame, updated_at: dt.datetime) -> DataFrame:
     """RPT7: six (項目, 値) rows from a one-row AGG9 result; the update time is a parameter."""
     s = stats.select(
-        F.concat(F.coalesce(F.col("period_start").cast("string"), F.lit("-")), F.lit(" 〜 "),
-                 F.coalesce(F.col("period_end").cast("string"), F.lit("-"))).alias("v1"),
+        F.concat(F.coalesce(_stamp_text("period_start"), F.lit("-")), F.lit(" 〜 "),
+                 F.coalesce(_stamp_text("period_end"), F.lit("-"))).alias("v1"),
         F.col("total_orders").cast("string").alias("v2"), yen("total_sales").alias("v3"),
         F.col("total_items").cast("string").alias("v4"), yen("avg_order_value").alias("v5"),
         F.lit(updated_at.strftime("%Y-%m-%d %H:%M:%S")).alias("v6"))
@@ -293,8 +298,8 @@ def cli_summary(lines: DataFrame, start: dt.date, end: dt.date, top_n: int = 5)
     """RPT6: the console summary as (line_no, text): period, totals, top products."""
     stats = A.summary_stats(lines)
     head = stats.select(F.expr(
-        "stack(5, 1, concat('期間: ', coalesce(cast(period_start as string), 'None'), ' 〜 ', "
-        "coalesce(cast(period_end as string), 'None')), "
+        "stack(5, 1, concat('期間: ', coalesce(concat(cast(period_start as string), ' 00:00:00'), 'None'), "
+        "' 〜 ', coalesce(concat(cast(period_end as string), ' 00:00:00'), 'None')), "
         "2, concat('総注文数: ', format_number(total_orders, 0), '件'), "
         "3, concat('総売上: ¥', format_number(cast(total_sales as double), 0)), "
         "4, concat('総商品数: ', format_number(total_items, 0), '個'), "

@@ -45,7 +45,7 @@ def test_weekly_monthly_full(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "monthly" / "sales_202405")).count() == 4
     text = [r.text for r in J.run_full(lines, "2024-05-01", "2024-05-31", dt.date(2024, 6, 1),
                                        str(tmp_path / "full"), str(tmp_path / "full_tables")).collect()]
-    assert text[0] == "期間: 2024-05-14 〜 2024-05-20" and text[2] == "総売上: ¥400"
+    assert text[0] == "期間: 2024-05-14 00:00:00 〜 2024-05-20 00:00:00" and text[2] == "総売上: ¥400"
 
 
 def test_encoding_fallback_to_utf8(spark, tmp_path):
