@@ -546,3 +546,17 @@ def snk5_summary_bundle(spark, sf_dir):
     root = unique_dir(spark, "summary_bundle")
     summary_bundle(t["daily"], t["monthly"], t["products"], t["summary"], root)
     return spark.read.parquet(f"{root}/{SUMMARY_TABLES[3]}")
+
+
+# ------------------------------------------------------------------ SRC2
+@query("src2_period_documents", oracle=f"""
+WITH lines AS ({star_lines_sql()})
+SELECT {_cols(_CMP_COLS)} FROM lines
+WHERE order_datetime >= TIMESTAMP '1998-03-01 00:00:00' AND order_datetime < TIMESTAMP '1998-04-01 00:00:00'""")
+def src2_period_documents(spark, sf_dir):
+    """SRC2 + FLT2: documents whose order time falls in [start, end), flattened."""
+    from ..functions.time import ntz, parse_offset_time
+    docs = R.read_order_json(spark, landed_r_orders(spark, sf_dir))
+    t = parse_offset_time("orderDatetime")
+    window = docs.filter((t >= ntz(dt.datetime(1998, 3, 1))) & (t < ntz(dt.datetime(1998, 4, 1))))
+    return flatten_r(window).select(*_CMP_COLS)
