@@ -134,3 +134,8 @@ def test_m_pages(spark):
     assert rows["b"].order_datetime == dt.datetime(2024, 1, 10, 9, 0)
     assert rows["d"].order_datetime is None and rows["a"].total_price == 110
     assert F is not None
+
+
+def test_r_numeric_item_id_reads_as_text(spark):
+    docs = [_order("1", [{"ItemModelList": [{"itemId": 12345, "itemName": "A", "price": 10, "units": 1}]}])]
+    assert flatten_r(_r(spark, docs)).first().item_id == "12345"
