@@ -261,9 +261,8 @@ def landed_csv_export(spark, sf_dir, import_id: str) -> str:
         lines = star_lines(spark, sf_dir, drop_cancelled=False)
         return D.csv_export(lines.filter(F.col("ingest_seq") % mod == rem), layout, bump)
 
-    return land(spark, sf_dir, f"csv_export_{import_id}", build,
-                lambda df, p: df.write.mode("overwrite").option("header", True)
-                .option("encoding", enc).csv(p))
+    from ..sources.csv_export import write_export
+    return land(spark, sf_dir, f"csv_export_{import_id}", build, lambda df, p: write_export(df, p, enc))
 
 
 def landed_import_dataset(spark, sf_dir) -> str:

@@ -44,6 +44,14 @@ def _enable_legacy_charsets(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
+def write_export(df: DataFrame, path: str, encoding: str = "windows-31j") -> str:
+    """An export file set in the given encoding (header line first in every part)."""
+    if encoding.upper().replace("-", "") != "UTF8":
+        _enable_legacy_charsets(df.sparkSession)
+    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    return path
+
+
 def read_raw_export(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
     """SRC13/SRC15: an export as all-text columns, header from the file."""
     _enable_legacy_charsets(spark)

@@ -14,7 +14,6 @@ import hashlib
 import os
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
@@ -24,7 +23,7 @@ def _builder_version() -> str:
     # tie them to the code that builds them so a changed builder lands afresh.
     here = os.path.dirname(os.path.abspath(__file__))
     h = hashlib.sha1()
-    for name in ("documents.py", "adapters.py"):
+    for name in ("documents.py", "adapters.py", "csv_export.py", "../plans/queries_sources.py"):
         with open(os.path.join(here, name), "rb") as fh:
             h.update(fh.read())
     return "v-" + h.hexdigest()[:10]
@@ -34,24 +33,27 @@ LANDING_VERSION = _builder_version()
 
 
 def landed_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Landing folder for one scale directory, builder version and Spark application.
+
+    Keyed by application id so concurrent jobs sharing the checkpoint folder
+    never overwrite each other's landings.
+    """
     tag = re.sub(r"[^A-Za-z0-9.]+", "_", os.path.basename(sf_dir.rstrip("/"))) + "-" + \
         hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
-    return shared_dir(spark, "landed", LANDING_VERSION, tag, name)
+    app = re.sub(r"[^A-Za-z0-9_.-]+", "_", spark.sparkContext.applicationId)
+    return shared_dir(spark, "landed", LANDING_VERSION, app, tag, name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when a committed write (its _SUCCESS marker) is present."""
-    try:
-        spark.read.text(path + "/_SUCCESS")   # lists the path only, reads nothing
-        return True
-    except AnalysisException:
-        return False
+# Paths this driver has landed (landing paths are per application, so the
+# record never outlives the data it describes).
+_LANDED: set[str] = set()
 
 
 def land(spark: SparkSession, sf_dir: str, name: str, build, write) -> str:
     """Write ``build()`` with ``write(df, path)`` unless already landed; return the path."""
     path = landed_path(spark, sf_dir, name)
-    if not _exists(spark, path):
+    if path not in _LANDED:
         df: DataFrame = build()
         write(df, path)
+        _LANDED.add(path)
     return path
