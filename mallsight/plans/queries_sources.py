@@ -330,18 +330,33 @@ def agg16_import_summary_csv(spark, sf_dir):
     return A.import_summary(C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir)))
 
 
-@query("src13_parse_export_cp932", oracle=f"""
-WITH lines AS ({star_lines_sql(drop_cancelled=False)})
-SELECT order_number, order_datetime AS order_date, item_name, quantity, unit_price,
-       unit_price * quantity AS subtotal, total_price, point_used AS use_point,
-       coupon_used AS coupon_discount, total_price - point_used - coupon_used AS order_net_sales,
-       'Yahoo' AS source
-FROM lines WHERE ingest_seq % 3 = 0""")
-def src13_parse_export_cp932(spark, sf_dir):
-    """SRC13 + PRJ10-PRJ12: one cp932 export with Japanese headers and '1,234' amounts."""
+@query("src13_parse_exports", oracle=f"""
+WITH lines AS ({star_lines_sql(drop_cancelled=False)}),
+imp AS (
+  SELECT 0 AS imp, quantity AS q, * FROM lines WHERE ingest_seq % 3 = 0
+  UNION ALL SELECT 1, quantity, * FROM lines WHERE ingest_seq % 3 = 1
+  UNION ALL SELECT 2, quantity, * FROM lines WHERE ingest_seq % 3 = 2
+  UNION ALL SELECT 3, quantity + 1, * FROM lines WHERE ingest_seq % 10 = 0)
+SELECT order_number, order_datetime AS order_date, item_name, q AS quantity, unit_price,
+       unit_price * q AS subtotal, total_price,
+       CASE WHEN imp = 2 THEN 0 ELSE point_used END AS use_point,
+       CASE WHEN imp = 2 THEN 0 ELSE coupon_used END AS coupon_discount,
+       total_price - CASE WHEN imp = 2 THEN 0 ELSE point_used + coupon_used END AS order_net_sales,
+       'Yahoo' AS source, CAST(imp AS VARCHAR) AS import_id
+FROM imp""")
+def src13_parse_exports(spark, sf_dir):
+    """SRC13 + PRJ10-PRJ14: every landed export (cp932 Japanese headers with '1,234' amounts,
+    UTF-8+BOM English headers, UTF-8 headers without points/coupons), parsed and unioned."""
     from ..sources import csv_export as C
-    df = C.parse_order_csv(spark, landed_csv_export(spark, sf_dir, "0"), "windows-31j")
-    return df.drop("_file", "_pos")
+    parts = []
+    for import_id, (layout, *_rest) in _IMPORTS.items():
+        path = landed_csv_export(spark, sf_dir, import_id)
+        parsed = C.parse_order_csv(spark, path, D.CSV_LAYOUTS[layout][0])
+        parts.append(parsed.drop("_file", "_pos").withColumn("import_id", F.lit(import_id)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ------------------------------------------------------------------ STR1
