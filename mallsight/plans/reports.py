@@ -206,6 +206,14 @@ RPT_ALL = "【全店舗合計】"
 RPT_END = "[/info]"
 
 
+def _yoy_line(dataset: DataFrame, cur: str, prev: str, line_no: int, label: str) -> DataFrame:
+    """One comparison line from the two total rows of the dataset (no join)."""
+    totals = dataset.filter((F.col("scope") == "total") & F.col("section").isin(cur, prev))
+    pair = totals.agg(F.max(F.when(F.col("section") == cur, F.col("total_sales"))).alias("cur"),
+                      F.max(F.when(F.col("section") == prev, F.col("total_sales"))).alias("prev"))
+    return pair.select(F.lit(line_no).alias("line_no"), F.concat(F.lit(label), yoy_text("cur", "prev")).alias("text"))
+
+
 def daily_report_lines(dataset: DataFrame, target: dt.date) -> DataFrame:
     """RPT5: the report as ordered text lines (line_no, text).
 
@@ -231,10 +239,7 @@ def daily_report_lines(dataset: DataFrame, target: dt.date) -> DataFrame:
         t["day"].select(F.lit(7).alias("line_no"), F.format_string("  商品数:   %d個", "total_items").alias("text")),
     ]
     if ly_day:
-        cur = t["day"].select(F.col("total_sales").alias("cur"))
-        prev = t["ly_day"].select(F.col("total_sales").alias("prev"))
-        parts.append(cur.join(prev, how="inner").select(
-            F.lit(8).alias("line_no"), F.concat(F.lit("  前年同日比: "), yoy_text("cur", "prev")).alias("text")))
+        parts.append(_yoy_line(dataset, "day", "ly_day", 8, "  前年同日比: "))
     stores_day = dataset.filter((F.col("scope") == "store") & (F.col("section") == "day"))
     parts.append(stores_day.select(
         (F.lit(100) + F.col("store_rank")).cast("int").alias("line_no"),
@@ -251,10 +256,7 @@ def daily_report_lines(dataset: DataFrame, target: dt.date) -> DataFrame:
                           F.concat(F.lit("  売上合計: "), yen("total_sales")).alias("text")),
     ]
     if ly_month:
-        cur = t["month"].select(F.col("total_sales").alias("cur"))
-        prev = t["ly_month"].select(F.col("total_sales").alias("prev"))
-        parts.append(cur.join(prev, how="inner").select(
-            F.lit(10_006).alias("line_no"), F.concat(F.lit("  前年同期比: "), yoy_text("cur", "prev")).alias("text")))
+        parts.append(_yoy_line(dataset, "month", "ly_month", 10_006, "  前年同期比: "))
     stores_month = dataset.filter((F.col("scope") == "store") & (F.col("section") == "month"))
     parts.append(stores_month.select(
         (F.lit(10_100) + F.col("store_rank")).cast("int").alias("line_no"),
