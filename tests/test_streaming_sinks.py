@@ -71,3 +71,16 @@ def test_snapshot_dynamic_overwrite(spark, tmp_path):
     snap = read_snapshot(spark, p)
     assert sorted((r.order_number, r.order_net_sales) for r in snap.collect()) == [("a", 1), ("b", 5)]
     assert read_snapshot(spark, p, start=dt.date(2024, 1, 2)).count() == 1
+
+
+def test_stream_appends_newly_closed_days_on_rerun(spark, tmp_path):
+    src = tmp_path / "landing"
+    src.mkdir()
+    (src / "b1.json").write_text("\n".join(json.dumps(d) for d in [_doc("a", 1), _doc("b", 2, seq=1)]))
+    (src / "b2.json").write_text("\n".join(json.dumps(d) for d in [_doc("c", 5, seq=2), _doc("d", 9, seq=3)]))
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    first = run_daily_totals(spark, str(src), sink, ckpt, max_files_per_trigger=1)
+    assert sorted(r.date.day for r in first.collect()) == [1, 2, 5]
+    (src / "b3.json").write_text(json.dumps(_doc("e", 12, seq=4)))            # a later landing
+    again = run_daily_totals(spark, str(src), sink, ckpt, max_files_per_trigger=1)
+    assert sorted(r.date.day for r in again.collect()) == [1, 2, 5, 9]        # day 9 now closed, once
