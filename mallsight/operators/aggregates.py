@@ -131,10 +131,11 @@ def hour_weekday_heatmap(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     t = F.col("order_datetime")
     o = (orders.select(F.hour(t).alias("order_hour"), F.weekday(t).alias("wd"), "order_net_sales")
                .filter(F.col("order_hour").isNotNull() & F.col("wd").isNotNull()))
-    # Explicit pivot values: fixed column order and zero columns for unseen weekdays.
-    p = o.groupBy("order_hour").pivot("wd", list(range(7))).agg(F.sum("order_net_sales"))
-    return p.select("order_hour", *[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(n)
-                                    for i, n in enumerate(WEEKDAY_NAMES)]).orderBy("order_hour")
+    # Pivot by conditional sums: fixed column order, zero for unseen weekdays, and a
+    # single hash aggregation (groupBy().pivot() plans two levels plus PivotFirst).
+    return o.groupBy("order_hour").agg(*[
+        F.coalesce(F.sum(F.when(F.col("wd") == i, F.col("order_net_sales"))), F.lit(0)).cast("bigint").alias(n)
+        for i, n in enumerate(WEEKDAY_NAMES)]).orderBy("order_hour")
 
 
 def summary_stats(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
