@@ -9,7 +9,9 @@ Input order is explicit (D1): ``ingest_seq`` orders documents, ``line_seq``
 orders lines inside a document, ``item_id`` breaks the remaining ties.  Lines
 of one document share every order attribute, so the first *document* of a key
 is found with ``ingest_seq`` alone, a single BIGINT that keeps the aggregation
-buffer fixed-width (hash aggregation, no sort).
+buffer fixed-width (hash aggregation, no sort).  Whole-row picks
+(``keep_first`` / ``keep_last``) carry string payloads, so Spark plans them as
+sort-based aggregates; they still combine map-side and spill safely.
 """
 
 from __future__ import annotations
