@@ -128,7 +128,7 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
 
     * total: Pay.TotalPrice, else Detail.TotalPrice, else top-level TotalPrice (first non-zero)
     * net = total - UsePoint - GiftCardDiscount
-    * item: Quantity (empty/0 -> 1), UnitPrice (-> 0), SubTotal: absent -> price x qty,
+    * item: Quantity (empty/absent -> 1), UnitPrice (-> 0), SubTotal: absent -> price x qty,
       empty element -> 0; an order without items gets one synthetic line (qty 1, total)
     * bad time -> ``fallback_ts`` (default NULL: quarantine); a non-numeric amount
       quarantines the whole order.
@@ -171,8 +171,9 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
                 .select("*", F.posexplode_outer("items").alias("item_pos", "item"))
                 .filter(F.col("no_items") | F.col("item").isNotNull()))   # null items are skipped
     it = F.col("item")
-    qty_v = _strict_int(it.getField("Quantity"))[0]
-    qty = F.when(qty_v == 0, _lit_long(1)).otherwise(qty_v)
+    # ``int(text or 1)``: empty or missing text -> 1; the text "0" stays 0
+    q_txt = F.trim(it.getField("Quantity"))
+    qty = F.when(F.coalesce(q_txt, F.lit("")) == "", _lit_long(1)).otherwise(q_txt.try_cast("bigint"))
     unit = _strict_int(it.getField("UnitPrice"))[0]
     sub = F.when(it.getField("SubTotal").isNull(), unit * qty).otherwise(
         _strict_int(it.getField("SubTotal"))[0])

@@ -139,3 +139,12 @@ def test_m_pages(spark):
 def test_r_numeric_item_id_reads_as_text(spark):
     docs = [_order("1", [{"ItemModelList": [{"itemId": 12345, "itemName": "A", "price": 10, "units": 1}]}])]
     assert flatten_r(_r(spark, docs)).first().item_id == "12345"
+
+
+def test_y_zero_quantity_text_stays_zero(spark):
+    doc = ("<OrderInfo><OrderId>Z</OrderId><OrderTime>20240115103000</OrderTime><TotalPrice>5</TotalPrice>"
+           "<Item><Title>a</Title><UnitPrice>10</UnitPrice><Quantity>0</Quantity></Item>"
+           "<Item><Title>b</Title><UnitPrice>10</UnitPrice></Item></OrderInfo>")
+    lines, _ = flatten_y(_y(spark, [doc]))
+    got = {r.item_name: (r.quantity, r.subtotal) for r in lines.collect()}
+    assert got == {"a": (0, 0), "b": (1, 10)}
