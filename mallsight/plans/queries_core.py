@@ -529,3 +529,49 @@ def fn13_daily_display_table(spark, sf_dir):
         yen("total_sales").alias("売上"), compact_yen("total_sales").alias("売上_略"),
         F.when(F.coalesce(prev, F.lit(0)) == 0, F.lit(None).cast("double"))
          .otherwise((F.col("total_sales") - prev) * 100.0 / prev).alias("change_pct"))
+
+
+# ------------------------------------------------------------------ event-table variants
+@query("agg4_product_sales_events", oracle=f"""
+WITH {_lines_cte('events')}, {_PRODUCT_SQL}
+SELECT item_name, quantity, total_sales, order_count, item_number, item_id
+FROM firsts ORDER BY total_sales DESC, gk""")
+def agg4_product_sales_events(spark, sf_dir):
+    """AGG4 over sub-day event orders (product key = item id, names change per event type)."""
+    return A.product_sales_sorted(event_lines(spark, sf_dir))
+
+
+@query("agg12_daily_store_sales_events", oracle=f"""
+WITH {_lines_cte('events')},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, order_date, order_number
+      ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines WHERE order_date IS NOT NULL) WHERE rn = 1)
+SELECT source, order_date AS date, CAST(sum(order_net_sales) AS BIGINT) AS total_sales
+FROM f GROUP BY source, order_date""")
+def agg12_daily_store_sales_events(spark, sf_dir):
+    return A.daily_store_sales(event_lines(spark, sf_dir))
+
+
+@query("agg14_total_and_store_stats_events", oracle=f"""
+WITH {_lines_cte('events')},
+tf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number
+       ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines) WHERE rn = 1),
+sf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, order_number
+       ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines) WHERE rn = 1),
+t_o AS (SELECT count(DISTINCT order_number) AS total_orders, sum(order_net_sales) AS total_sales,
+        sum(total_price) AS gross_sales, avg(order_net_sales) AS avg_order_value FROM tf),
+t_i AS (SELECT sum(quantity) AS total_items, min(order_date) AS period_start,
+        max(order_date) AS period_end FROM lines),
+s_o AS (SELECT source, count(DISTINCT order_number) AS total_orders, sum(order_net_sales) AS total_sales,
+        sum(total_price) AS gross_sales, avg(order_net_sales) AS avg_order_value FROM sf GROUP BY 1),
+s_i AS (SELECT source, sum(quantity) AS total_items, min(order_date) AS period_start,
+        max(order_date) AS period_end FROM lines GROUP BY 1)
+SELECT 'total' AS scope, CAST(NULL AS VARCHAR) AS source, total_orders,
+       CAST(total_sales AS BIGINT) AS total_sales, CAST(gross_sales AS BIGINT) AS gross_sales,
+       CAST(total_items AS BIGINT) AS total_items, avg_order_value, period_start, period_end
+FROM t_o, t_i
+UNION ALL
+SELECT 'store', s_o.source, total_orders, CAST(total_sales AS BIGINT), CAST(gross_sales AS BIGINT),
+       CAST(total_items AS BIGINT), avg_order_value, period_start, period_end
+FROM s_o JOIN s_i ON s_o.source IS NOT DISTINCT FROM s_i.source""")
+def agg14_total_and_store_stats_events(spark, sf_dir):
+    return A.total_and_store_stats(event_lines(spark, sf_dir))
