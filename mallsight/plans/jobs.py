@@ -18,19 +18,6 @@ from . import reports as RP
 from . import windows as W
 
 
-def materialize(df: DataFrame, prefix: str) -> DataFrame:
-    """Write ``df`` once under the shared checkpoint folder and read it back.
-
-    Cuts the lineage of a result that several outputs read (no recomputation
-    of the upstream scan and joins per output), and survives lost executors:
-    the written files, not cached blocks, back every later read.
-    """
-    from ..session import unique_dir
-    path = unique_dir(df.sparkSession, prefix)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _docs_in(raw_docs: DataFrame, start: dt.datetime, end: dt.datetime,
              time_col: str = "orderDatetime") -> DataFrame:
     t = parse_offset_time(time_col)
@@ -50,7 +37,7 @@ def run_daily_job(lines: DataFrame, as_of: dt.date, table: str,
 def run_weekly_job(lines: DataFrame, as_of: dt.date, tables_dir: str, updated_at: dt.datetime) -> dict:
     """RPT10: last 7 days -> daily, monthly, top-50 products and key/value summary tables."""
     s, e = W.last_week(as_of)
-    t = RP.weekly_job(materialize(time_range(lines, s, e), "weekly_lines"), as_of, updated_at)
+    t = RP.weekly_job(S.materialize(time_range(lines, s, e), "weekly_lines"), as_of, updated_at)
     return S.summary_bundle(t["daily"], t["monthly"], t["products"], t["summary"], tables_dir)
 
 
@@ -58,7 +45,7 @@ def run_monthly_job(lines: DataFrame, as_of: dt.date, out_dir: str,
                     raw_docs: DataFrame | None = None) -> DataFrame:
     """RPT11: previous month -> raw JSON + line CSV; returns the month's summary stats."""
     s, e = W.previous_month(as_of)
-    t = RP.monthly_job(materialize(time_range(lines, s, e), "monthly_lines"), as_of)
+    t = RP.monthly_job(S.materialize(time_range(lines, s, e), "monthly_lines"), as_of)
     tag = s.strftime("%Y%m")
     if raw_docs is not None:
         S.write_json(_docs_in(raw_docs, s, e), f"{out_dir}/orders_{tag}")
@@ -74,7 +61,7 @@ def run_full(lines: DataFrame, start: str, end: str, as_of: dt.date, out_dir: st
     Returns the console summary lines (RPT6) for the range.
     """
     s, e = W.cli_range(as_of, start=start, end=end)
-    r = RP.full_run(materialize(time_range(lines, s, e), "run_lines"), start, end, as_of)
+    r = RP.full_run(S.materialize(time_range(lines, s, e), "run_lines"), start, end, as_of)
     stamp = S.stamp("run", updated_at or dt.datetime.combine(as_of, dt.time()))
     if raw_docs is not None:
         S.write_json(_docs_in(raw_docs, s, e), f"{out_dir}/orders_{stamp}")

@@ -220,6 +220,9 @@ def daily_report_lines(dataset: DataFrame, target: dt.date) -> DataFrame:
     Built from the RPT4 dataset; store lines follow first appearance.  One
     string for posting is ``array_join`` over the sorted lines (small).
     """
+    from ..sinks import materialize
+    # every line below reads the dataset: write it once (a few dozen rows)
+    dataset = materialize(dataset, "report_dataset")
     wd = WEEKDAY_NAMES[target.weekday()]
     m, d = target.month, target.day
     day, month, ly_day, ly_month = report_periods(target)

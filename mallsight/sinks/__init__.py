@@ -125,3 +125,16 @@ def write_bucketed_lines(lines: DataFrame, table: str, buckets: int, mode: str =
     (lines.write.mode(mode).format("parquet")
           .bucketBy(buckets, "order_number").sortBy("order_number").saveAsTable(table))
     return table
+
+
+def materialize(df: DataFrame, prefix: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a result that several outputs read (no recomputation
+    of the upstream scans and joins per output) and survives lost executors:
+    written files, not cached blocks, back every later read.
+    """
+    from ..session import unique_dir
+    path = unique_dir(df.sparkSession, prefix)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
