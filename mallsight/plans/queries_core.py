@@ -575,3 +575,36 @@ SELECT 'store', s_o.source, total_orders, CAST(total_sales AS BIGINT), CAST(gros
 FROM s_o JOIN s_i ON s_o.source IS NOT DISTINCT FROM s_i.source""")
 def agg14_total_and_store_stats_events(spark, sf_dir):
     return A.total_and_store_stats(event_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ AGG11 single store / D1 store key
+@query("agg11_source_kpi_single", oracle=f"""
+WITH {_lines_cte(product=False)},
+p AS (SELECT * FROM lines WHERE order_date BETWEEN {_d(MTD.start)} AND {_d(MTD.end)}
+      AND source = '{STAR_STORES[0]}'),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number
+      ORDER BY ingest_seq, line_seq, item_id) AS rn FROM p) WHERE rn = 1)
+SELECT CAST(coalesce((SELECT sum(order_net_sales) FROM f), 0) AS BIGINT) AS sales,
+       (SELECT count(*) FROM f) AS orders""")
+def agg11_source_kpi_single(spark, sf_dir):
+    """AGG11: sales and orders of one store for [start, end] (dedup inside the store)."""
+    lines = FL.source_eq(star_lines(spark, sf_dir, product=False), STAR_STORES[0])
+    return A.period_kpi(lines, MTD.start, MTD.end).select("sales", "orders")
+
+
+@query("agg2_daily_sales_store_key", oracle=f"""
+WITH {_lines_cte(product=False)},
+first_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, order_number
+               ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines) WHERE rn = 1),
+d AS (SELECT order_date AS date, count(DISTINCT order_number) AS order_count,
+             CAST(sum(order_net_sales) AS BIGINT) AS total_sales,
+             CAST(sum(total_price) AS BIGINT) AS gross_sales,
+             CAST(sum(coupon_used) AS BIGINT) AS coupon_total
+      FROM first_rows WHERE order_date IS NOT NULL GROUP BY 1),
+i AS (SELECT order_date AS date, CAST(sum(quantity) AS BIGINT) AS item_count
+      FROM lines WHERE order_date IS NOT NULL GROUP BY 1)
+SELECT d.date, d.order_count, d.total_sales, d.gross_sales, d.coupon_total, i.item_count
+FROM d LEFT JOIN i ON d.date = i.date""")
+def agg2_daily_sales_store_key(spark, sf_dir):
+    """AGG2 with the store-scoped dedup key (source, order_number) recommended by D1."""
+    return A.daily_sales(star_lines(spark, sf_dir, product=False), key=G.STORE_KEY)
