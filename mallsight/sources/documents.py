@@ -67,6 +67,10 @@ def r_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("p_size") < 5, F.lit(""))
              .otherwise(F.concat(F.lit("SKU-"), (F.col("p_partkey") % 500).cast("string"))).alias("itemNumber"),
             F.col("price"), F.col("units")).alias("item"))
+    # one shuffle by order key serves both nestings (package, then order) and the join
+    # with the order heads: groupings on (order, package) and on order are both
+    # satisfied by a hash partitioning on the order key alone
+    items = items.repartition("l_orderkey")
     packages = (items.groupBy("l_orderkey", "pkg")
                 .agg(F.array_sort(F.collect_list("item")).alias("items"))
                 .select("l_orderkey", F.struct(
