@@ -45,7 +45,10 @@ def flatten_r(docs: DataFrame, default_store: str = DEFAULT_STORE_R, mall: str =
     the defaults ''/0/1 (PRJ2); an empty or missing item number becomes ''.
     """
     cols = set(docs.columns)
-    seq = F.col("_ingest_seq") if "_ingest_seq" in cols else _lit_long(0)
+    # Arrival order: the landed sequence when present, else the read order
+    # (monotonically increasing within one read of the files).
+    read_order = F.monotonically_increasing_id()
+    seq = F.coalesce(F.col("_ingest_seq"), read_order) if "_ingest_seq" in cols else read_order
     store = F.coalesce(F.col("_store_name"), F.lit(default_store)) if "_store_name" in cols \
         else F.lit(default_store)
     status = F.coalesce(F.col("orderProgress"), F.lit(0))
@@ -134,6 +137,10 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
       quarantines the whole order.
     """
     info, error = y_order_info(F.col("value"))
+    if "ingest_seq" not in responses.columns:
+        responses = responses.withColumn("ingest_seq", F.lit(None).cast("bigint"))
+    # arrival order: the landed sequence when present, else the read order
+    responses = responses.withColumn("ingest_seq", F.coalesce("ingest_seq", F.monotonically_increasing_id()))
     parsed = responses.select("value", "ingest_seq", *parse_once(info.alias("o"), error.alias("error")))
     o = F.col("o")
     pay_total, b1 = _strict_int(o.getField("Pay").getField("TotalPrice"))
@@ -256,8 +263,8 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
         total.alias("total_price"), total.alias("order_net_sales"), F.lit("").alias("payment_method"),
         F.lit(None).cast("int").alias("status"), F.lit(store).alias("source"), F.lit(mall).alias("mall"),
         _lit_long(0).alias("line_seq"),
-        (F.col("set_seq").cast("bigint") * 1_000_000_000_000 + F.col("page") * 1000 + F.col("pos"))
-        .alias("ingest_seq"))
+        (F.coalesce(F.col("set_seq"), F.lit(0)).cast("bigint") * 1_000_000_000_000
+         + F.coalesce(F.col("page"), F.lit(0)) * 1000 + F.col("pos")).alias("ingest_seq"))
     return _canonical(lines)
 
 

@@ -148,3 +148,14 @@ def test_y_zero_quantity_text_stays_zero(spark):
     lines, _ = flatten_y(_y(spark, [doc]))
     got = {r.item_name: (r.quantity, r.subtotal) for r in lines.collect()}
     assert got == {"a": (0, 0), "b": (1, 10)}
+
+
+def test_r_documents_without_landed_sequence(spark, tmp_path):
+    p = tmp_path / "plain.json"
+    docs = [{"orderNumber": "1", "orderDatetime": "2024-06-15T10:00:00+0900", "goodsPrice": 1000,
+             "couponAllTotalPrice": 100,
+             "PackageModelList": [{"ItemModelList": [{"itemId": "a", "price": 450, "units": 2}]}]}]
+    p.write_text("\n".join(json.dumps(d) for d in docs))
+    from mallsight.operators import aggregates as A
+    r = A.daily_sales(flatten_r(read_order_json(spark, str(p)))).first()
+    assert (r.order_count, r.total_sales, r.item_count) == (1, 900, 2)
