@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup
+from . import (
+    decontam, licenses, line_dedup, mixing, near_dedup, quality, sharding, substring, topk, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +61,222 @@ WITH RECURSIVE {near_dup_sql("documents", 3, 85)}
 SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM near_dups""")
 def op2_minhash_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op10_substring_dedup", oracle=rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+        FROM w, unnest(range(1, CAST(len(ws) - 48 AS BIGINT))) AS u(i) WHERE len(ws) >= 50),
+firsts AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN firsts USING (h), unnest(range(0, 50)) AS o(k) WHERE lo < doc_id),
+word AS (SELECT doc_id, p, ws[p] AS x FROM w, unnest(range(1, CAST(len(ws) + 1 AS BIGINT))) AS u(p)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(cut.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op10_substring_dedup(spark, sf_dir):
+    return (substring.repeated_passages(table(spark, sf_dir, "documents"), window=50)
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return (quality.score_documents(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), "quality")
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
+@query("op3_source_mix", oracle=rf"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{W}')) AS BIGINT) AS size,
+                  md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+r AS (SELECT *, [3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w, 2 * source_size AS cap FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS place FROM r),
+l AS (SELECT *, 150 * sum(source_size) OVER () - 100 * coalesce(sum(cap) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+             sum(w) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_rest FROM o),
+f AS (SELECT min(place) AS place FROM l WHERE rest * w < 100 * cap * w_rest),
+t AS (SELECT l.source, l.source_size,
+             CASE WHEN f.place IS NULL OR l.place < f.place THEN CAST(l.cap AS DOUBLE)
+                  ELSE CAST(l.w AS DOUBLE) * CAST(x.rest AS DOUBLE) / (100.0 * CAST(x.w_rest AS DOUBLE)) END AS target
+      FROM l CROSS JOIN f LEFT JOIN l x ON x.place = f.place),
+b AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS budget FROM t),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM b),
+p AS (SELECT d.*, e.source_size, e.target, e.epochs, e.budget - e.epochs * e.source_size AS rest,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS FIRST, d.size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM p""")
+def op3_source_mix(spark, sf_dir):
+    return (mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), percent=150, limit=2)
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+#: CRC-32 (polynomial 0xEDB88320) of a blob's hex text, by table; DuckDB has no function for it.
+CRC_SQL = """
+tab AS (SELECT list(c ORDER BY n) AS t FROM (
+   SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+   FROM range(256) r(n))),
+hexed AS (SELECT text, hex(encode(text)) AS x FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents)),
+crc AS (SELECT text, CAST(xor(list_reduce(list_prepend(4294967295, list_transform(range(CAST(length(x) // 2 AS BIGINT)),
+     lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c // 256, tab.t[xor(c % 256, b) + 1])), 4294967295) AS BIGINT) AS crc
+   FROM hexed, tab)"""
+
+
+@query("op4_sharding", oracle=rf"""
+WITH {CRC_SQL},
+d AS (SELECT doc_id, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) + 16 AS BIGINT) AS size,
+             CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+b AS (SELECT *, sum(size) OVER () AS total,
+             sum(size) OVER (ORDER BY h, doc_id NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               - sum(size) OVER (PARTITION BY h, doc_id) AS below
+      FROM (SELECT * FROM d)),
+p AS (SELECT *, CAST(40 * below // total AS INT) AS shard FROM b)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM p JOIN crc USING (text)""")
+def op4_sharding(spark, sf_dir):
+    return (sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40, overhead=16)
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
+@query("op5_line_dedup", oracle=r"""
+WITH l AS (SELECT doc_id, source, i, string_split(text, chr(10))[i] AS raw, trim(string_split(text, chr(10))[i], ' ' || chr(9) || chr(13)) AS line
+           FROM documents, unnest(range(1, CAST(len(string_split(text, chr(10))) + 1 AS BIGINT))) AS u(i)),
+bad AS (SELECT line FROM l WHERE line <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 4),
+k AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY i) AS text, count(*) AS kept FROM l ANTI JOIN bad USING (line) GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.kept, 0) AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN k USING (doc_id)""")
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"), sites=4)
+
+
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of one repository per source: every 10th id is a licence file, and
+    ids divisible by 1000 or 100 lie one or two directories higher than the others."""
+    n = F.col("doc_id")
+    name = F.when(n % 10 == 0, F.concat(F.lit("LICENSE-"), n)).otherwise(F.concat(n, F.lit(".txt")))
+    folder = F.when(n % 1000 == 0, F.lit("")).when(n % 100 == 0, F.concat(F.expr("doc_id div 1000"), F.lit("/"))) \
+        .otherwise(F.concat(F.expr("doc_id div 1000"), F.lit("/"), F.expr("doc_id div 100"), F.lit("/")))
+    return docs.select(F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), folder, name).alias("path"), "text")
+
+
+def _template_sql() -> str:
+    return ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())
+
+
+_TERM = r"([0-9]+(?:\.[0-9]+)+|[\p{L}\p{N}]+)"
+
+
+@query("op6_license_scan", oracle=rf"""
+WITH tpl AS (SELECT license, unnest(list_distinct(regexp_extract_all(lower(notice), '{_TERM}'))) AS term FROM (VALUES {_template_sql()}) v(license, notice)),
+f AS (SELECT concat(coalesce(source, 'none'), '/', CASE WHEN doc_id % 1000 = 0 THEN '' WHEN doc_id % 100 = 0 THEN concat(doc_id // 1000, '/')
+        ELSE concat(doc_id // 1000, '/', doc_id // 100, '/') END,
+        CASE WHEN doc_id % 10 = 0 THEN concat('LICENSE-', doc_id) ELSE concat(doc_id, '.txt') END) AS path, text FROM documents),
+raw AS (SELECT path, i, list_distinct(regexp_extract_all(lower(ls[i]), '{_TERM}')) AS terms
+        FROM (SELECT path, string_split(coalesce(text, ''), chr(10)) AS ls FROM f), unnest(range(1, CAST(len(ls) + 1 AS BIGINT))) AS u(i)),
+ln AS (SELECT * FROM raw WHERE len(terms) > 0),
+total AS (SELECT count(*) AS n FROM ln),
+lt AS (SELECT path, i, len(terms) AS n_terms, unnest(terms) AS term FROM ln),
+df AS (SELECT term, count(*) AS n FROM lt GROUP BY 1),
+v AS (SELECT DISTINCT tpl.term, ln((1.0 + total.n) / (1.0 + coalesce(df.n, 0))) + 1.0 AS idf FROM tpl LEFT JOIN df USING (term), total),
+norm AS (SELECT license, sqrt(sum(idf * idf)) AS norm FROM tpl JOIN v USING (term) GROUP BY 1),
+sq AS (SELECT path, i, any_value(n_terms) AS n_terms, count(*) AS known, sum(idf * idf) AS known_sq FROM lt JOIN v USING (term) GROUP BY 1, 2),
+dot AS (SELECT path, i, license, sum(idf * idf) AS dot FROM lt JOIN v USING (term) JOIN tpl USING (term) GROUP BY 1, 2, 3),
+sc AS (SELECT path, i, license, round(dot / (sqrt(known_sq + (n_terms - known) * pow(ln(1.0 + total.n) + 1.0, 2)) * norm), 6) AS score
+       FROM dot JOIN sq USING (path, i) JOIN norm USING (license), total),
+own AS (SELECT path, license, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, i, license) AS rn
+        FROM sc WHERE score >= 0.8) WHERE rn = 1),
+fd AS (SELECT DISTINCT path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM f),
+ld AS (SELECT dir, license, score FROM (SELECT dir, license, score, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS rn
+        FROM own JOIN fd USING (path) WHERE regexp_matches(path, '/LICENSE-[0-9]+$')) WHERE rn = 1),
+inh AS (SELECT path, ld.dir, ld.license, ld.score, row_number() OVER (PARTITION BY path ORDER BY length(ld.dir) DESC) AS rn
+        FROM fd JOIN ld ON fd.dir = ld.dir OR starts_with(fd.dir, ld.dir || '/'))
+SELECT fd.path, coalesce(own.license, inh.license) AS license, coalesce(own.score, inh.score) AS score,
+       CASE WHEN own.path IS NOT NULL THEN 'own' WHEN inh.path IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN own.path IS NULL THEN inh.dir END AS license_dir
+FROM fd LEFT JOIN own USING (path) LEFT JOIN (SELECT * FROM inh WHERE rn = 1) inh USING (path)""")
+def op6_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(document_files(table(spark, sf_dir, "documents")))
+
+
+@query("op7_exact_topk", oracle="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(list_zip(q.e, x.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id AND len(q.e) = len(x.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def op7_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10, scale=1024)
+
+
+_WORDS_SQL = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+
+def contaminated_sql(docs: str) -> str:
+    """CTEs ending in ``leaks(doc_id, item_id, item_shingles, shared)``."""
+    gram = lambda k: (f"list_transform(range(1, CAST(greatest(len(ws) - {k} + 2, 1) AS BIGINT)), "
+                      f"lambda i: array_to_string(ws[i:i + {k} - 1], ' '))")
+    return f"""
+iw AS (SELECT item_id, {_WORDS_SQL} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+ish AS (SELECT DISTINCT item_id, least(len(ws), 5) AS k, unnest({gram("least(len(ws), 5)")}) AS sh FROM iw WHERE len(ws) > 0),
+isz AS (SELECT item_id, count(*) AS n FROM ish GROUP BY 1),
+dw AS (SELECT doc_id, {_WORDS_SQL} AS ws FROM {docs} WHERE doc_id IS NOT NULL),
+dsh AS (SELECT DISTINCT doc_id, k, unnest({gram("k")}) AS sh FROM dw, (SELECT DISTINCT k FROM ish)),
+leaks AS (SELECT doc_id, item_id, n AS item_shingles, count(*) AS shared FROM dsh JOIN ish USING (k, sh) JOIN isz USING (item_id)
+          GROUP BY 1, 2, 3 HAVING count(*) * 100 >= n * 80)"""
+
+
+@query("op8_decontaminate", oracle=f"WITH {contaminated_sql('documents')} SELECT * FROM leaks")
+def op8_decontaminate(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Explicit URL rules of op9.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def _rule_sql() -> tuple[str, str]:
+    rule = verdict = ""
+    for r, says in sorted(URL_RULES.items(), key=lambda x: (-len(x[0]), x[0])):
+        host, path = r[:r.index("/")], r[r.index("/"):]
+        fits = f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN "
+        rule, verdict = rule + fits + f"'{r}' ", verdict + fits + f"'{says}' "
+    return f"CASE {rule}END", f"CASE {verdict}END"
+
+
+_RULE, _VERDICT = _rule_sql()
+
+
+@query("op9_url_filter", oracle=rf"""
+WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, rest, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+tk AS (SELECT page_id, url, list_distinct(list_concat(
+    CASE WHEN contains(url, '://') AND instr(url, '://') > 1 THEN ['s:' || translate(string_split(url, '://')[1], '{UPPER}', '{LOWER}')] ELSE [] END,
+    list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x),
+    list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'p:' || x),
+    list_transform(list_filter(list_transform(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+        lambda x: string_split(x, '=')[1]), lambda x: x <> ''), lambda x: 'q:' || x))) AS tokens FROM p),
+lab AS (SELECT t.page_id, t.tokens, l.quality = 0 AS block FROM tk t JOIN labels l ON l.doc_id = t.page_id
+        WHERE l.quality IS NOT NULL AND (len(t.tokens) > 0 OR l.quality = 0)),
+need AS (SELECT greatest(5, CAST(ceil(count(*) / 1000.0) AS BIGINT)) AS least FROM lab),
+one AS (SELECT page_id, block, unnest(tokens) AS a FROM lab),
+sets AS (SELECT [a] AS s, block, page_id FROM one UNION ALL
+         SELECT [x.a, y.a], x.block, x.page_id FROM one x JOIN one y ON x.page_id = y.page_id AND x.a < y.a),
+mined AS (SELECT s, count(*) AS n, count(*) FILTER (WHERE block) AS b FROM sets GROUP BY 1),
+rules AS (SELECT s FROM mined, need WHERE b >= least AND b * 100 >= n * 80),
+fired AS (SELECT DISTINCT url FROM tk, rules WHERE list_has_all(tokens, s))
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, {_RULE} AS rule,
+       coalesce({_VERDICT}, CASE WHEN fired.url IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, fired.url IS NOT NULL AS mined
+FROM p LEFT JOIN fired USING (url)""")
+def op9_url_filter(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("block"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
