@@ -105,3 +105,11 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: i
              .groupBy("doc_id", "item_id").agg(F.count("*").alias("shared")))
     return (found.join(sizes, "item_id").filter(F.col("shared") * 100 >= F.col("n") * percent)
             .select("doc_id", "item_id", F.col("n").alias("item_shingles"), "shared"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold an item (columns of ``docs``)."""
+    bad = landed(contaminated(docs, items, shingle, percent, id_col=id_col, text_col=text_col)
+                 .select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
+    return docs.join(bad, docs[id_col] == bad["bad_id"], "left_anti")

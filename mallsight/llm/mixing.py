@@ -57,11 +57,12 @@ def random_key(id_col: Column, seed: str) -> Column:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 150, limit: int = 2,
         seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken, carry...)``, a row for every input row.
+    """``(doc_id, source, size, source_size, target, taken, copies, carry...)``, a row for every input row.
 
     ``size`` is the number of words, ``taken`` the words the mix takes of the row, repeats
     counted: whole epochs plus the row's part of the last one.  Per source ``taken`` sums to
-    the target, rounded to whole words; one row at most is cut.  Rows are ordered by random
+    the target, rounded to whole words; one row at most is cut.  ``copies`` is the same mix in
+    whole documents: the row at the cut counts when at least half of it fits.  Rows are ordered by random
     key, then id, then size, so reruns agree; rows equal in all three are interchangeable.
     NULL texts have size 0 and NULL sources form one source, last in order.  Empty input
     gives an empty result.  ``carry`` names further columns to keep (a struct ``carried``).
@@ -87,5 +88,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 15
     return (rows.withColumn("before", before).withColumn("epochs", epochs)
             .withColumn("taken", F.col("epochs") * F.col("size")
                         + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before"))))
+            .withColumn("copies", F.col("epochs") + F.when((rest > 0) & (2 * F.col("before") + F.col("size") <= 2 * rest), 1)
+                        .otherwise(0))
             .select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
+                    F.col("copies").cast("int").alias("copies"),
                     *(["carried"] if carry else [])))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent: int = 150, limit: int = 2,
+                    seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source") -> DataFrame:
+    """The mix as documents: each row of ``docs`` as often as ``copies`` says (columns of ``docs``)."""
+    rows = mix(docs, weights, percent, limit, seed, id_col, text_col, source_col, carry=tuple(docs.columns))
+    return (rows.filter("copies > 0").select("carried", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("carried.*"))

@@ -231,3 +231,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "rep", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each near-duplicate group (columns of ``docs``).
+
+    The smallest id stays.  Rows equal in id and text are one row afterwards; different texts
+    under one id stay while one of them does.  Rows without an id stay.
+    """
+    found = near_duplicates(docs, shingle, percent, id_col=id_col, text_col=text_col)
+    per_id = landed(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("found_id"))
+                    .agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept-ids")
+    removed = per_id.filter(~F.col("kept")).select("found_id")
+    repeated = per_id.filter(F.col("kept") & (F.col("n") > 1)).select("found_id")
+    same = docs[id_col].cast("long") == F.col("found_id")
+    once = (docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
+    return docs.join(removed.unionByName(repeated), same, "left_anti").unionByName(once)

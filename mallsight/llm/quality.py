@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import WORD_CACHE, landed, mix64
 
 #: Documented bound of the training sample: labelled documents, smallest id hashes first.
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 3000
 BUCKETS = 2**17
 DIM, EPOCHS, RATE = 12, 6, 0.6
 GRAMS = (2, 3, 4)
@@ -181,3 +181,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "qualit
     return (docs.withColumn("score", model.scorer()(F.col(text_col).cast("binary")))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
             .withColumn("held_out", held_out(F.col(id_col))))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_docs: int = TRAIN_DOCS,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score below 0.5 (columns of ``docs``)."""
+    model = train(docs, labels, label_col, train_docs, id_col, text_col)
+    return docs.filter(model.scorer()(F.col(text_col).cast("binary")) >= 0.5)

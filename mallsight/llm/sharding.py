@@ -146,3 +146,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, tolera
             .select("doc_id", "size", "text_crc32", F.expr(f"cast(part div {split} as int)").alias("shard"),
                     (F.col("start") + F.col("rank") - 1).cast("long").alias("slot"),
                     *(["carried"] if carry else [])))
+
+
+def sharded_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with ``shard``, ``slot`` and ``n_bytes``; existing columns of these names are replaced."""
+    new = ["shard", "slot", "n_bytes"]
+    rows = shard_by_bytes(docs, shards, id_col=id_col, text_col=text_col, carry=tuple(docs.columns))
+    return rows.select(*[F.col("carried")[c].alias(c) for c in docs.columns if c not in new],
+                       "shard", "slot", F.col("size").alias("n_bytes"))
