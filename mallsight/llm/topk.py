@@ -24,7 +24,7 @@ QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
 LEVELS = (2, 8)
 #: Rows scored exactly first, for a starting threshold.
 SEED_ROWS = 64
-#: Largest component that keeps sums of products exact in double precision for short vectors.
+#: Scores saturate at the BIGINT range.
 LONG = 2**63 - 1
 
 
@@ -75,10 +75,13 @@ def search_block(q_ids, q, x_ids, x, k: int):
             for a, b in zip(sx, sq):
                 bound = a[left] @ b[i]
                 left = left[bound * (1 + 1e-9) + np.abs(bound).max(initial=0) * 1e-9 + 1e-6 >= floor]
-        scores = np.array([sum(u * v for u, v in zip(x[j], q[i])) for j in left] + [0], dtype=object)[:-1] \
-            if not exact else x[left] @ q[i]
+        if exact:
+            scores = x[left] @ q[i]
+        else:
+            scores = np.array([max(-LONG - 1, min(LONG, sum(u * v for u, v in zip(x[j], q[i])))) for j in left] + [0],
+                              dtype=object)[:-1]
         for j in best(scores, x_ids[left], k):
-            out.append((qid, int(x_ids[left[j]]), max(-LONG - 1, min(LONG, int(scores[j])))))
+            out.append((qid, int(x_ids[left[j]]), int(scores[j])))
     return out
 
 

@@ -80,7 +80,7 @@ def test_posterior_floor_is_safe():
     matches = (rng.random((200_000, near_dedup.N_HASHES)) < 0.85).cumsum(axis=1)
     for n, floor in floors.items():
         assert (matches[:, n - 1] < floor).sum() <= 3
-        assert floor > 0.5 * n
+        assert floor >= 0.4 * n  # and it prunes
 
 
 def test_minhash_estimates_jaccard():
