@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 from .time import col
 
 
+# A decimal number, optionally signed and with an exponent; surrounding blanks allowed.
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def clean_int(c, default: int = 0) -> Column:
     """PRJ11/FN16: '1,200' -> 1200, '12.7' -> 12, 'nan'/''/junk -> default.
 
-    Both casts are ``try_`` so text such as ``nan`` or ``inf`` cannot raise
-    under ANSI; the double -> bigint cast truncates toward zero.
+    The text itself must be a decimal number ('12d' and '0x1p3' are junk).
+    Whole numbers are cast directly, so 16-digit amounts stay exact; others
+    truncate toward zero.  All casts are ``try_`` (ANSI-safe).
     """
     txt = F.regexp_replace(col(c).cast("string"), ",", "")
-    as_double = txt.try_cast("double")
-    return F.coalesce(as_double.try_cast("bigint"), F.lit(default).cast("bigint"))
+    whole = F.when(txt.rlike(_INTEGER), F.trim(txt).try_cast("bigint"))
+    fraction = F.when(txt.rlike(_NUMBER), txt.try_cast("double")).try_cast("bigint")
+    return F.coalesce(whole, fraction, F.lit(default).cast("bigint"))
 
 
 def first_nonzero(*cols) -> Column:

@@ -60,10 +60,14 @@ def parse_wall_clock(s, fmt: str) -> Column:
 def parse_offset_time(s) -> Column:
     """FN1/FN3: ISO-8601 text with an offset (+0900, +09:00, Z) -> JST NTZ.
 
-    Text without an offset is read as JST wall clock; bad or empty -> NULL.
+    Date and time are separated by ``T`` or one blank; seconds, or the whole
+    time of day (midnight), may be missing.  Text without an offset is read as
+    JST wall clock; bad or empty -> NULL.
     """
     s = F.nullif(F.trim(col(s)), F.lit(""))
-    base = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}) (?=\d)", "$1T")
+    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00")
+    base = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS]"
     with_offset = F.coalesce(*[F.try_to_timestamp(s, F.lit(base + z)) for z in ("XXX", "XX", "X")])
     return F.coalesce(instant_to_jst(with_offset), parse_wall_clock(s, base))
 

@@ -229,24 +229,31 @@ def top_products_per_store(lines: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_product_share(lines: DataFrame, n: int = 10) -> DataFrame:
-    """AGG18/WIN4: share of each of the top-n products, merged by 30-char short name."""
+    """AGG18/WIN4: share of each of the top-n products, merged by 30-char short name.
+
+    NULL shares when the top products sum to 0.
+    """
     top = top_products(lines, n).withColumn("short_name", short_name("item_name"))
     merged = top.groupBy("short_name").agg(F.sum("total_sales").alias("total_sales"))
     return merged.withColumn(
-        "share", F.col("total_sales") / F.sum("total_sales").over(Window.partitionBy()))
+        "share", F.try_divide(F.col("total_sales"), F.sum("total_sales").over(Window.partitionBy())))
 
 
 # ---------------------------------------------------------------------------
 # Period / store KPIs (AGG10-AGG17)
 # ---------------------------------------------------------------------------
 def period_filter(lines: DataFrame, start, end) -> DataFrame:
-    """FLT7: inclusive date range on the order date.
+    """FLT7: inclusive date range on the order date; a bound of None is open.
 
     Stated on ``order_datetime`` (a half-open day range) so it reaches the scan.
     """
     import datetime as _dt
     t = F.col("order_datetime")
-    return lines.filter((t >= ntz(start)) & (t < ntz(start if end is None else end + _dt.timedelta(days=1))))
+    if start is not None:
+        lines = lines.filter(t >= ntz(start))
+    if end is not None:
+        lines = lines.filter(t < ntz(end + _dt.timedelta(days=1)))
+    return lines
 
 
 def period_kpi(lines: DataFrame, start, end, key=DEFAULT_KEY, group=()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.money import first_nonzero
 from ..functions.time import ntz, parse_compact_time, parse_offset_time, with_time_parts
-from ..schema import ORDER_LINE_COLUMNS, Y_ORDER_INFO
+from ..schema import ORDER_LINE_COLUMNS, Y_ITEM, Y_ORDER_INFO
 from ..sources.adapters import CANCELLED
 from .grain import keep_first
 
@@ -23,8 +23,11 @@ from .grain import keep_first
 MALL_R, MALL_Y, MALL_M = "R", "Y", "M"
 DEFAULT_STORE_R = "楽天"
 STORE_Y = "Yahoo"
-# Positions of a line inside a document: package index x LINE_STRIDE + item index.
-LINE_STRIDE = 1_000_000
+# Positions of a line inside a document: package index x LINE_STRIDE + item index
+# (array positions are 32-bit, so the two never overlap).
+LINE_STRIDE = 2**31
+# Positions of a node: status set, page, place on the page.
+PAGE_STRIDE, SET_STRIDE = 2**31, 2**56
 
 
 def _lit_long(v) -> Column:
@@ -84,26 +87,39 @@ def flatten_r(docs: DataFrame, default_store: str = DEFAULT_STORE_R, mall: str =
 # ---------------------------------------------------------------------------
 # Y: XML order detail responses
 # ---------------------------------------------------------------------------
-_ROOT_TAG = r"^\s*(?:<\?xml[^>]*\?>\s*)?<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)"
+# Name of the root element; a declaration, comments and a document type may come first.
+_ROOT_TAG = (r"(?s)^\s*(?:<\?xml[^>]*\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
+             r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)")
 _XML_OPTS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
-_DEPTH2 = T.StructType([T.StructField("OrderInfo", Y_ORDER_INFO)])
-_DEPTH3 = T.StructType([T.StructField("Result", _DEPTH2)])
+_RESULT = T.StructType([T.StructField("OrderInfo", Y_ORDER_INFO)])
+# The places of an order below any root element, in the order they are looked up.
+_ENVELOPE = T.StructType([T.StructField("ResultSet", T.StructType([T.StructField("Result", _RESULT)])),
+                          T.StructField("Result", _RESULT), T.StructField("OrderInfo", Y_ORDER_INFO)])
+_NO_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+_ERROR = r"<(?:[\w.-]+:)?Error[\s/>]"
+_ERROR_MESSAGE = r"(?s)<(?:[\w.-]+:)?Error(?:\s[^>]*)?>.*?<(?:[\w.-]+:)?Message(?:\s[^>]*)?>([^<]*)<"
+# Fixed value: message of an error element without one.
+UNKNOWN_ERROR = "Unknown error"
 
 
 def y_order_info(value: Column) -> tuple[Column, Column]:
     """SRC7-SRC9: (OrderInfo struct, error message) of one XML response.
 
-    The root tag picks the one parse to run (ResultSet.Result.OrderInfo,
-    Result.OrderInfo or a bare OrderInfo); ``<Error>`` responses yield their
-    message.  Malformed XML gives a NULL order.
+    Below a root of any name the order is looked up at ResultSet.Result.OrderInfo,
+    Result.OrderInfo and OrderInfo (one parse); a root OrderInfo is the order
+    itself.  An ``Error`` element at any depth, with or without a namespace,
+    yields its message.  Malformed XML gives a NULL order.
     """
     root = F.regexp_extract(value, _ROOT_TAG, 1)
-    info = (F.when(root == "ResultSet", F.from_xml(value, _DEPTH3, _XML_OPTS).getField("Result")
-                   .getField("OrderInfo"))
-             .when(root == "Result", F.from_xml(value, _DEPTH2, _XML_OPTS).getField("OrderInfo"))
-             .when(root == "OrderInfo", F.from_xml(value, Y_ORDER_INFO, _XML_OPTS)))
-    error = F.when(root == "Error", F.coalesce(
-        F.xpath_string(value, F.lit("/Error/Message")), F.lit("")))
+    env = F.when(root != "OrderInfo", F.from_xml(value, _ENVELOPE, _XML_OPTS))
+    info = F.coalesce(env.getField("ResultSet").getField("Result").getField("OrderInfo"),
+                      env.getField("Result").getField("OrderInfo"), env.getField("OrderInfo"),
+                      F.when(root == "OrderInfo", F.from_xml(value, Y_ORDER_INFO, _XML_OPTS)))
+    text = F.regexp_replace(value, _NO_MARKUP, "")
+    message = F.nullif(F.regexp_extract(text, _ERROR_MESSAGE, 1), F.lit(""))
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        message = F.replace(message, F.lit(entity), F.lit(char))
+    error = F.when(text.rlike(_ERROR), F.coalesce(message, F.lit(UNKNOWN_ERROR)))
     return info, error
 
 
@@ -152,7 +168,9 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
     ts = parse_compact_time(o.getField("OrderTime"))
     if fallback_ts is not None:
         ts = F.coalesce(ts, ntz(fallback_ts))
-    items = o.getField("Item")
+    # an empty <Item/> is no item
+    items = F.filter(o.getField("Item"), lambda x: F.coalesce(
+        *[x.getField(f) for f in Y_ITEM.fieldNames()]).isNotNull())
     n_items = F.coalesce(F.size(items), F.lit(0))
 
     def bad_item(x):
@@ -203,16 +221,23 @@ def flatten_y(responses: DataFrame, fallback_ts=None, store: str = STORE_Y,
 # ---------------------------------------------------------------------------
 # M: GraphQL connection pages
 # ---------------------------------------------------------------------------
+# Message of a page that is no GraphQL response.
+UNREADABLE_PAGE = "unreadable page"
+
+
 def m_nodes_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SRC11: pages (``value`` JSON, ``set_seq``, ``page``) -> (nodes, failed pages).
 
-    A page with an ``errors`` array is a failed request; its nodes are not used.
+    A page with an ``errors`` array is a failed request, and so is one without
+    ``data`` (truncated or not JSON); their nodes are not used.
     """
     from ..schema import M_PAGE
     p = pages.select("set_seq", "page", *parse_once(F.from_json("value", M_PAGE).alias("p")))
-    failed = p.filter(F.col("p.errors").isNotNull() | F.col("p").isNull()).select(
-        "set_seq", "page", F.col("p.errors").getItem(0).getField("message").alias("message"))
-    nodes = (p.filter(F.col("p.errors").isNull() & F.col("p").isNotNull())
+    good = F.col("p.errors").isNull() & F.col("p.data").isNotNull()
+    failed = p.filter(~good).select("set_seq", "page", F.when(
+        F.col("p.errors").isNull(), F.lit(UNREADABLE_PAGE)).otherwise(F.get(F.col("p.errors"), F.lit(0)).getField("message"))
+        .alias("message"))
+    nodes = (p.filter(good)
               .select("set_seq", "page", F.posexplode("p.data.orders.edges").alias("pos", "edge"))
               .select("set_seq", "page", "pos", F.col("edge.node").alias("node")))
     return nodes, failed
@@ -254,6 +279,7 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
                                 "set_seq", "page", "pos"])
     price = F.coalesce(F.col("product.price"), _lit_long(0))
     total = F.coalesce(F.col("payment.totalPrice"), _lit_long(0))
+    page = F.coalesce(F.col("page"), F.lit(0)).cast("bigint")
     lines = first.select(
         F.coalesce(F.col("orderNumber"), F.col("id")).alias("order_number"), "order_datetime",
         F.col("product.id").alias("item_id"), F.coalesce(F.col("product.name"), F.lit("")).alias("item_name"),
@@ -263,8 +289,9 @@ def flatten_m(nodes: DataFrame, start=None, end=None, store: str = MALL_M,
         total.alias("total_price"), total.alias("order_net_sales"), F.lit("").alias("payment_method"),
         F.lit(None).cast("int").alias("status"), F.lit(store).alias("source"), F.lit(mall).alias("mall"),
         _lit_long(0).alias("line_seq"),
-        (F.coalesce(F.col("set_seq"), F.lit(0)).cast("bigint") * 1_000_000_000_000
-         + F.coalesce(F.col("page"), F.lit(0)) * 1000 + F.col("pos")).alias("ingest_seq"))
+        (F.coalesce(F.col("set_seq"), F.lit(0)).cast("bigint") * SET_STRIDE
+         + F.when(page < SET_STRIDE // PAGE_STRIDE, page).otherwise(F.raise_error(F.lit("page number out of range")).cast("bigint"))
+         * PAGE_STRIDE + F.col("pos")).alias("ingest_seq"))
     return _canonical(lines)
 
 

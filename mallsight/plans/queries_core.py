@@ -372,7 +372,7 @@ def lim4_preview_rows(spark, sf_dir):
 @query("win1_keep_first_line", oracle=f"""
 WITH {_lines_cte()}
 SELECT {_LINE_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY order_number
-       ORDER BY ingest_seq, line_seq, item_id) AS rn FROM lines) WHERE rn = 1""")
+       ORDER BY ingest_seq, line_seq, item_id, quantity, unit_price, shipping_charge) AS rn FROM lines) WHERE rn = 1""")
 def win1_keep_first_line(spark, sf_dir):
     lines = star_lines(spark, sf_dir)
     return G.keep_first(lines, ("order_number",))

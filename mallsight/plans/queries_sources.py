@@ -496,9 +496,10 @@ SELECT d.date, order_count, total_sales, gross_sales, coupon_total, item_count F
 def src18_prefer_imported_csv(spark, sf_dir):
     """SRC18: imported CSV rows when there are any, else the XML API lines; then daily sales."""
     from ..sources import csv_export as C
-    csv_lines = C.imports_as_order_lines(C.load_saved_imports(spark, landed_import_dataset(spark, sf_dir)))
+    root = landed_import_dataset(spark, sf_dir)
+    csv_lines = C.imports_as_order_lines(C.load_saved_imports(spark, root, keep_order=True))
     api_lines, _ = y_lines(spark, sf_dir)
-    return A.daily_sales(R.prefer_first_nonempty(csv_lines, api_lines))
+    return A.daily_sales(R.prefer_first_nonempty(csv_lines, api_lines, probe=spark.read.parquet(root)))
 
 
 # ------------------------------------------------------------------ WIN3 / SET4

@@ -289,8 +289,8 @@ def _stamp_text(c: str):
 def summary_kv(stats: DataFrame, updated_at: dt.datetime) -> DataFrame:
     """RPT7: six (項目, 値) rows from a one-row AGG9 result; the update time is a parameter."""
     s = stats.select(
-        F.concat(F.coalesce(_stamp_text("period_start"), F.lit("-")), F.lit(" 〜 "),
-                 F.coalesce(_stamp_text("period_end"), F.lit("-"))).alias("v1"),
+        F.concat(F.coalesce(_stamp_text("period_start"), F.lit("None")), F.lit(" 〜 "),
+                 F.coalesce(_stamp_text("period_end"), F.lit("None"))).alias("v1"),
         F.col("total_orders").cast("string").alias("v2"), yen("total_sales").alias("v3"),
         F.col("total_items").cast("string").alias("v4"), yen("avg_order_value").alias("v5"),
         F.lit(updated_at.strftime("%Y-%m-%d %H:%M:%S")).alias("v6"))

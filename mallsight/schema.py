@@ -45,9 +45,9 @@ ORDER_LINE = T.StructType([
 
 ORDER_LINE_COLUMNS = [f.name for f in ORDER_LINE.fields]
 
-# Columns that fix "input order" of lines; ties on all of them are rows
-# that agree on every attribute any first/last operator returns.
-LINE_ORDER = ["ingest_seq", "line_seq", "item_id"]
+# Columns that fix "input order" of lines; the amounts break the ties of lines
+# that share document, position and item, so a whole-row pick is determined.
+LINE_ORDER = ["ingest_seq", "line_seq", "item_id", "quantity", "unit_price", "shipping_charge"]
 
 # ---------------------------------------------------------------------------
 # Marketplace R: nested order document (JSON)

@@ -46,14 +46,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     On a cluster the operator of the cluster names a shared folder in
-    ``spark.checkpoint.dir``; we use it as is.  Only a session without one
-    (tests, the local bench) gets a fresh scratch folder.
+    ``spark.checkpoint.dir``; we use it as is.  A session without one gets a
+    fresh scratch folder only when its master is ``local[...]`` (driver and tasks
+    share one disk); on a cluster it is an error, because every executor would
+    write to its own disk.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="mallsight-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()

@@ -1,18 +1,22 @@
 """Result sinks (SNK1-SNK8): CSV, JSON, named tables, summary bundle, snapshots.
 
 Writers never funnel a result through one task: a CSV "file" is a directory
-of part files.  Emptiness guards use ``head(1)``, a bounded probe.
+of part files.  Every sink runs its plan once; whether it was empty is observed
+by the write itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BOM = "\ufeff"
+#: CSV options under which text comes back as written: doubled quotes, line breaks and blanks kept.
+CSV_EXACT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _is_path(target: str) -> bool:
@@ -33,13 +37,14 @@ def _dates_as_text(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "overwrite") -> str:
     """SNK1/SNK7: header CSV; UTF-8 with a byte-order mark on the header line.
 
-    The mark is carried by the first column name; ``spark.read.csv`` and the
-    readers here strip it again.
+    Text is written exactly: blanks at the ends stay, quotes are doubled (RFC
+    4180).  The mark is carried by the first column name; ``spark.read.csv``
+    and the readers here strip it again.
     """
     out = df
     if bom and df.columns:
         out = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    out.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    out.write.mode(mode).options(**CSV_EXACT).option("header", True).option("encoding", "UTF-8").csv(path)
     return path
 
 
@@ -49,33 +54,49 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with an observer of its row count: the write itself tells whether it was empty."""
+    rows = Observation("rows")
+    return df.observe(rows, F.count(F.lit(1)).alias("n")), rows
+
+
 def overwrite_table(df: DataFrame, target: str, dates_as_text: bool = True) -> bool:
     """SNK3: replace a named table (or parquet path); an empty input keeps the old contents.
 
-    Returns whether anything was written.
+    The plan runs once, into a staging folder; staged rows then replace the
+    target, or are discarded when there are none.  Returns whether anything was
+    written.
     """
-    if not df.head(1):
-        return False
-    out = _dates_as_text(df) if dates_as_text else df
-    w = out.write.mode("overwrite")
-    if _is_path(target):
-        w.parquet(target)
-    else:
-        w.saveAsTable(target)
-    return True
+    from ..session import unique_dir
+    spark = df.sparkSession
+    out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    staging = target.rstrip("/") + f"__staging_{uuid.uuid4().hex[:8]}" if _is_path(target) else unique_dir(spark, "staging")
+    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out.write.parquet(staging)
+        if not rows.get["n"]:
+            return False
+        if _is_path(target):
+            fs.delete(path(target), True)
+            if not fs.rename(path(staging), path(target)):
+                raise OSError(f"cannot move {staging} to {target}")
+        else:
+            spark.read.parquet(staging).write.mode("overwrite").saveAsTable(target)
+        return True
+    finally:
+        fs.delete(path(staging), True)
 
 
 def append_table(df: DataFrame, target: str, dates_as_text: bool = True) -> bool:
-    """SNK4: append rows; empty input is a no-op."""
-    if not df.head(1):
-        return False
-    out = _dates_as_text(df) if dates_as_text else df
+    """SNK4: append rows in one execution; empty input adds no rows.  Returns whether there were any."""
+    out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
     w = out.write.mode("append")
     if _is_path(target):
         w.parquet(target)
     else:
         w.saveAsTable(target)
-    return True
+    return rows.get["n"] > 0
 
 
 # Names of the four summary tables.
@@ -101,16 +122,16 @@ def export_csvs(daily: DataFrame, products: DataFrame, lines: DataFrame, target_
 
 
 def write_snapshot(lines: DataFrame, path: str) -> bool:
-    """SNK8: order lines partitioned by order_date; only the dates present are replaced."""
-    if not lines.head(1):
-        return False
-    # Range-partition on (date, order): each task holds a run of dates, so files
-    # come out about one per date instead of one per (task, date); the order
-    # number in the range key splits a hot date across several tasks.
-    (lines.repartitionByRange("order_date", "order_number")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("order_date").parquet(path))
-    return True
+    """SNK8: order lines partitioned by order_date; only the dates present are replaced.
+
+    One execution: the rebalance hint gathers a date's rows in one task and AQE
+    splits a hot date over several; an empty input replaces nothing.
+    """
+    out, rows = _counted(lines)
+    (out.hint("rebalance", "order_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("order_date").parquet(path))
+    return rows.get["n"] > 0
 
 
 def stamp(prefix: str, at: dt.datetime) -> str:

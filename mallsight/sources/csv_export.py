@@ -10,14 +10,15 @@ across imports.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import clean_int
 from ..functions.time import ntz, parse_lenient_time
 from ..schema import IMPORTED_ORDER
-from .readers import _empty
+from ..sinks import CSV_EXACT
+from .readers import CORRUPT, _empty, corrupt_rows, path_exists, well_formed
 
 # Accepted header names per canonical column, in precedence order.
 HEADER_ALIASES = {
@@ -48,17 +49,37 @@ def write_export(df: DataFrame, path: str, encoding: str = "windows-31j") -> str
     """An export file set in the given encoding (header line first in every part)."""
     if encoding.upper().replace("-", "") != "UTF8":
         _enable_legacy_charsets(df.sparkSession)
-    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    df.write.mode("overwrite").options(**CSV_EXACT).option("header", True).option("encoding", encoding).csv(path)
     return path
 
 
-def read_raw_export(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
-    """SRC13/SRC15: an export as all-text columns, header from the file."""
+# without column pruning every row's field count is checked, whatever columns are used
+_READ = CSV_EXACT | {"header": "true", "multiLine": "true", "mode": "PERMISSIVE", "columnPruning": "false"}
+
+
+def read_raw_export(spark: SparkSession, path, encoding: str = "windows-31j") -> DataFrame:
+    """SRC13/SRC15: an export as all-text columns, header from the file; the well-formed rows."""
+    return read_raw_export_checked(spark, path, encoding)[0]
+
+
+def read_raw_export_checked(spark: SparkSession, path, encoding: str = "windows-31j") -> tuple[DataFrame, DataFrame]:
+    """SRC13/SRC15: (well-formed rows as text columns, rows with a wrong number of fields).
+
+    RFC 4180: fields in double quotes may hold commas, doubled quotes and line
+    breaks; blanks are kept.  The second frame has ``value`` (the row's text) and
+    ``file_name``.  ``path`` is one path or a list.  A file is one task (line
+    breaks inside fields), so exports are cut into files of moderate size.
+    Sets ``spark.sql.legacy.javaCharsets`` in the session: Spark accepts cp932
+    only with it.
+    """
     _enable_legacy_charsets(spark)
-    df = (spark.read.option("header", True).option("encoding", encoding)
-          .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
+    head = spark.read.options(**_READ).option("encoding", encoding).option("inferSchema", False).csv(path)
     # a UTF-8 byte-order mark can survive on the first header name
-    return df.toDF(*[c.lstrip(BOM) for c in df.columns])
+    names = [c.lstrip(BOM) for c in head.columns]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
+    raw = (spark.read.schema(schema).options(**_READ).option("encoding", encoding)
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return well_formed(raw, names[0]), corrupt_rows(raw, names[0])
 
 
 def canonicalize(raw: DataFrame) -> DataFrame:
@@ -106,20 +127,55 @@ def _strip_replacement_chars(df: DataFrame) -> DataFrame:
     return df.select(*[F.regexp_replace(F.col(f"`{c}`"), "\ufffd", "").alias(c) for c in df.columns])
 
 
+def undecodable_files(spark: SparkSession, path: str, encoding: str) -> list[str]:
+    """Files under ``path`` whose bytes are not valid in ``encoding`` (the decoder left U+FFFD).
+
+    One aggregation over the text; the driver receives file names only.
+    """
+    _enable_legacy_charsets(spark)
+    lines = (spark.read.schema("value string").option("sep", "\u0001").option("quote", "")
+             .option("encoding", encoding).csv(path))
+    hits = lines.filter(F.col("value").contains("\ufffd")).select(F.col("_metadata.file_path").alias("f")).distinct()
+    return sorted(r.f for r in hits.collect())
+
+
+def _all_files(spark: SparkSession, path: str) -> list[str]:
+    return sorted(r.f for r in spark.read.text(path).select(F.col("_metadata.file_path").alias("f")).distinct().collect())
+
+
 def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
     """SRC13 + PRJ10-PRJ14: decode with ``encoding``, else UTF-8 ignoring bad bytes.
 
-    The header decides: when the declared encoding yields no recognisable
-    required header, the export is read again as UTF-8 (the header is the only
-    part Spark reads at plan time).
+    Every file is decided by its content: files that are not valid in the
+    declared encoding are read as UTF-8.  Rows with a wrong number of fields are
+    left to ``quarantined_rows``.
     """
-    raw = read_raw_export(spark, path, encoding)
-    present = set(raw.columns)
-    ok = all(any(a in present for a in HEADER_ALIASES[k]) for k in REQUIRED)
-    if not ok and encoding.upper().replace("-", "") != "UTF8":
-        raw = _strip_replacement_chars(read_raw_export(spark, path, "UTF-8"))
-        raw = raw.toDF(*[c.replace("\ufffd", "") for c in raw.columns])
-    return canonicalize(raw)
+    parts = [canonicalize(raw) for raw, _ in _decoded(spark, path, encoding)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def quarantined_rows(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
+    """SRC13: rows of an export with a wrong number of fields (``value``, ``file_name``)."""
+    parts = [bad for _, bad in _decoded(spark, path, encoding)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _decoded(spark: SparkSession, path: str, encoding: str) -> list[tuple[DataFrame, DataFrame]]:
+    if encoding.upper().replace("-", "") == "UTF8":
+        return [read_raw_export_checked(spark, path, encoding)]
+    other = undecodable_files(spark, path, encoding)
+    if not other:
+        return [read_raw_export_checked(spark, path, encoding)]
+    good = [f for f in _all_files(spark, path) if f not in set(other)]
+    raw, bad = read_raw_export_checked(spark, other, "UTF-8")
+    raw = _strip_replacement_chars(raw).toDF(*[c.replace("\ufffd", "") for c in raw.columns])
+    return ([read_raw_export_checked(spark, good, encoding)] if good else []) + [(raw, bad)]
 
 
 # File name pattern of saved imports.
@@ -133,30 +189,42 @@ def save_import_csv(df: DataFrame, root: str, import_id: str) -> str:
     return write_csv(df.select(*cols), f"{root}/yahoo_orders_{import_id}.csv")
 
 
+def _saved_imports(spark: SparkSession, root: str) -> list[str]:
+    """Saved imports under ``root``: plain files, or folders of part files (one name per import)."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{SAVED_GLOB}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(str(f.getPath().toString()) for f in (found or []))
+
+
 def load_saved_csv(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
-    """SRC14 (file form): every saved import under ``root`` matching the glob; unreadable files skipped.
+    """SRC14 (file form): every saved import under ``root`` that matches the pattern.
 
-    Import order = file (directory) name, which carries the save timestamp;
-    then keep-last per (order_number, item_name) and optional bounds (FLT10).
+    Imports are plain ``yahoo_orders_<stamp>.csv`` files or folders of that name;
+    columns are matched by header name, absent ones are NULL.  Import order =
+    name, which carries the save timestamp; then keep-last per (order_number,
+    item_name) and optional bounds (FLT10).
     """
     from ..operators.grain import keep_last
     cols = [f.name for f in IMPORTED_ORDER.fields if f.name not in ("import_id", "row_seq", "file_name")]
-    try:
-        raw = (spark.read.option("header", True).option("encoding", "UTF-8")
-               .option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-               .option("pathGlobFilter", "part-*.csv").csv(root))
-    except AnalysisException:
+    by_header: dict[tuple, list[str]] = {}
+    for path in _saved_imports(spark, root):       # one header line each
+        by_header.setdefault(tuple(read_raw_export(spark, path, "UTF-8").columns), []).append(path)
+    typed = None
+    for header, paths in by_header.items():
+        raw = read_raw_export(spark, paths, "UTF-8")
+        text = lambda c: F.col(c) if c in header else F.lit(None).cast("string")  # noqa: B023, E731
+        imp = F.regexp_extract(F.col("_metadata.file_path"), r"/(yahoo_orders_[^/]+)\.csv(?:/|$)", 1)
+        part = raw.select(
+            text("order_number").alias("order_number"), parse_lenient_time(text("order_date")).alias("order_date"),
+            text("item_name").alias("item_name"),
+            *[clean_int(text(c)).alias(c) for c in ("quantity", "unit_price", "subtotal")],
+            text("total_price").try_cast("bigint").alias("total_price"),
+            *[clean_int(text(c)).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
+            text("source").alias("source"), imp.alias("import_id"), F.col("_metadata.file_name").alias("file_name"),
+            F.monotonically_increasing_id().alias("row_seq"))
+        typed = part if typed is None else typed.unionByName(part)
+    if typed is None:
         return _empty(spark, IMPORTED_ORDER).select(*cols)
-    raw = raw.toDF(*[c.lstrip(BOM) for c in raw.columns])
-    path = F.col("_metadata.file_path")
-    imp = F.regexp_extract(path, r"/(yahoo_orders_[^/]+)\.csv/", 1)
-    typed = raw.select(
-        "order_number", parse_lenient_time("order_date").alias("order_date"), "item_name",
-        *[clean_int(c).alias(c) for c in ("quantity", "unit_price", "subtotal")],
-        F.col("total_price").try_cast("bigint").alias("total_price"),
-        *[clean_int(c).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
-        "source", imp.alias("import_id"), F.col("_metadata.file_name").alias("file_name"),
-        F.monotonically_increasing_id().alias("row_seq")).filter(F.col("import_id") != "")
     last = keep_last(typed, ("order_number", "item_name"), ("import_id", "file_name", "row_seq"),
                      columns=["order_number", "item_name", *[c for c in cols if c not in
                                                              ("order_number", "item_name")]])
@@ -184,33 +252,43 @@ def save_imports(df: DataFrame, root: str, mode: str = "append") -> None:
        .partitionBy("import_id").parquet(root))
 
 
-def load_saved_imports(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
+def load_saved_imports(spark: SparkSession, root: str, start=None, end=None, keep_order: bool = False) -> DataFrame:
     """SRC14 + WIN2 + FLT10: all imports; last row per (order_number, item_name); optional bounds.
 
     Import ids sort in arrival order (timestamped names); inside an import the
     row order is (file name, position).  Rows whose time failed to parse drop
-    out only when a bound is given.
+    out only when a bound is given.  ``keep_order`` adds those three columns.
     """
     from ..operators.grain import keep_last
-    cols = [f.name for f in IMPORTED_ORDER.fields if f.name not in ("import_id", "row_seq", "file_name")]
-    try:
-        df = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - a missing dataset reads as empty
-        return _empty(spark, IMPORTED_ORDER).select(*cols)
-    last = keep_last(df, ("order_number", "item_name"), ("import_id", "file_name", "row_seq"),
-                     columns=["order_number", "item_name", *[c for c in cols if c not in
+    order = ["import_id", "file_name", "row_seq"]
+    cols = [f.name for f in IMPORTED_ORDER.fields if f.name not in order]
+    out = [*cols, *order] if keep_order else cols
+    if not path_exists(spark, root):
+        return _empty(spark, IMPORTED_ORDER).select(*out)
+    df = spark.read.parquet(root)
+    last = keep_last(df, ("order_number", "item_name"), order,
+                     columns=["order_number", "item_name", *[c for c in out if c not in
                                                              ("order_number", "item_name")]])
     if start is not None:
         last = last.filter(F.col("order_date") >= ntz(start))
     if end is not None:
         last = last.filter(F.col("order_date") <= ntz(end))
-    return last.select(*cols)
+    return last.select(*out)
 
 
 def imports_as_order_lines(df: DataFrame) -> DataFrame:
-    """Imported CSV rows -> canonical order lines (one document per import row)."""
+    """Imported CSV rows -> canonical order lines (one document per import row).
+
+    With the order columns of ``load_saved_imports(keep_order=True)`` the rows of
+    an order keep their arrival order; without them all rows tie.
+    """
     from ..functions.time import with_time_parts
     from ..schema import ORDER_LINE_COLUMNS
+    seq = F.lit(0).cast("bigint")
+    if {"import_id", "file_name", "row_seq"} <= set(df.columns):
+        # only the order inside one order number matters (a few rows each)
+        arrival = Window.partitionBy("order_number").orderBy(F.col("import_id").cast("string"), "file_name", "row_seq")
+        seq = F.row_number().over(arrival).cast("bigint")
     lines = df.select(
         "order_number", F.col("order_date").alias("order_datetime"),
         F.lit(None).cast("string").alias("item_id"), "item_name", F.lit("").alias("item_number"),
@@ -218,5 +296,5 @@ def imports_as_order_lines(df: DataFrame) -> DataFrame:
         F.col("coupon_discount").alias("coupon_used"), F.lit(0).cast("bigint").alias("shipping_charge"),
         "total_price", "order_net_sales", F.lit("").alias("payment_method"),
         F.lit(None).cast("int").alias("status"), "source", F.lit("Y").alias("mall"),
-        F.lit(0).cast("bigint").alias("line_seq"), F.lit(0).cast("bigint").alias("ingest_seq"))
+        F.lit(0).cast("bigint").alias("line_seq"), seq.alias("ingest_seq"))
     return with_time_parts(lines).select(*ORDER_LINE_COLUMNS)

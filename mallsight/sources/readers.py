@@ -1,19 +1,21 @@
 """Readers of landed marketplace documents (SRC1-SRC12, SRC15-SRC18).
 
 All readers take an explicit schema (no inference) and return lazy
-DataFrames.  A missing location gives an empty DataFrame of the same schema,
-as the reference's "missing file -> empty" rule.
+DataFrames.  A missing location gives an empty DataFrame of the same schema
+("missing file -> empty"); every other failure (permission, damaged file,
+wrong schema) raises.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import R_ORDER, R_SEARCH_PAGE
 
+#: Document sequences of one store stay below this (epoch microseconds do, for 2,000 years).
+STORE_STRIDE = 2**56
 R_ORDER_LANDED = T.StructType(R_ORDER.fields + [T.StructField("_ingest_seq", T.LongType())])
 
 
@@ -21,17 +23,66 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a glob pattern, names anything in its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+# Amounts arrive as JSON numbers with or without decimals; they are read as
+# decimals and truncated, so 1000.0 is 1000 and not a missing value.
+_AMOUNT = T.DecimalType(20, 2)
+CORRUPT = "_corrupt"
+
+
+def _with_decimals(schema: T.DataType) -> T.DataType:
+    if isinstance(schema, T.StructType):
+        return T.StructType([T.StructField(f.name, f.dataType if f.name.startswith("_") else _with_decimals(f.dataType))
+                             for f in schema.fields])
+    if isinstance(schema, T.ArrayType):
+        return T.ArrayType(_with_decimals(schema.elementType))
+    return _AMOUNT if isinstance(schema, T.LongType) else schema
+
+
 def read_order_json(spark: SparkSession, path: str, multi_line: bool = False,
                     schema: T.StructType = R_ORDER_LANDED) -> DataFrame:
-    """SRC1: R order documents.
+    """SRC1: R order documents; the readable ones of ``read_order_json_checked``."""
+    return read_order_json_checked(spark, path, multi_line, schema)[0]
+
+
+def _any_length(column: str):
+    # always true; Spark refuses to read the corrupt-record column alone, so
+    # filters on it also refer to a parsed column
+    return F.length(F.concat_ws("", F.col(f"`{column}`").cast("string"))) >= 0
+
+
+def well_formed(raw: DataFrame, column: str) -> DataFrame:
+    """The records of a text-format read that are not malformed, without the corrupt-record column."""
+    return raw.filter(F.col(CORRUPT).isNull() & _any_length(column)).drop(CORRUPT)
+
+
+def corrupt_rows(raw: DataFrame, column: str) -> DataFrame:
+    """``value`` and ``file_name`` of the malformed records of a text-format read."""
+    return raw.filter(F.col(CORRUPT).isNotNull() & _any_length(column)).select(
+        F.col(CORRUPT).alias("value"), F.col("_metadata.file_name").alias("file_name"))
+
+
+def read_order_json_checked(spark: SparkSession, path: str, multi_line: bool = False,
+                            schema: T.StructType = R_ORDER_LANDED) -> tuple[DataFrame, DataFrame]:
+    """SRC1: (R order documents, quarantine of malformed ones as ``value``, ``file_name``).
 
     ``multi_line=True`` reads a pretty-printed JSON array per file (one task per
     file); landed data is JSON lines, split across tasks by size.
     """
-    try:
-        return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    except AnalysisException:
-        return _empty(spark, schema)
+    if not path_exists(spark, path):
+        return _empty(spark, schema), _empty(spark, T.StructType([T.StructField("value", T.StringType()),
+                                                                  T.StructField("file_name", T.StringType())]))
+    wide = T.StructType(_with_decimals(schema).fields + [T.StructField(CORRUPT, T.StringType())])
+    raw = (spark.read.schema(wide).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    good = well_formed(raw, schema.fieldNames()[0]).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return good, corrupt_rows(raw, schema.fieldNames()[0])
 
 
 def read_store_orders(spark: SparkSession, root: str, stores) -> DataFrame:
@@ -39,30 +90,27 @@ def read_store_orders(spark: SparkSession, root: str, stores) -> DataFrame:
 
     Landed as ``root/store=<name>/``; one scan with partition pruning on the
     store list.  ``_ingest_seq`` becomes (store position, document position) so
-    keep-first semantics follow store order first, like the reference's union.
+    keep-first semantics follow store order first; sequences that do not fit
+    below ``STORE_STRIDE`` raise an error.
     """
     stores = list(stores)
-    # StructType.add mutates; build a new schema
     schema = T.StructType(R_ORDER_LANDED.fields + [T.StructField("store", T.StringType())])
-    try:
-        df = spark.read.schema(schema).json(root)
-    except AnalysisException:
-        return _empty(spark, schema).drop("store")
-    df = df.filter(F.col("store").isin(stores))
+    df = read_order_json(spark, root, schema=schema).filter(F.col("store").isin(stores))
     pos = F.lit(None).cast("bigint")
     for i, s in reversed(list(enumerate(stores))):
         pos = F.when(F.col("store") == s, F.lit(i).cast("bigint")).otherwise(pos)
+    seq = F.col("_ingest_seq")
+    fits = F.when(seq.between(0, STORE_STRIDE - 1), seq).when(seq.isNotNull(), F.raise_error(
+        F.concat(F.lit("document sequence out of range: "), seq)).cast("bigint"))
     return (df.withColumn("_store_name", F.coalesce("_store_name", "store"))
-              .withColumn("_ingest_seq", pos * 1_000_000_000_000 + F.col("_ingest_seq"))
-              .drop("store"))
+              .withColumn("_ingest_seq", pos * STORE_STRIDE + fits).drop("store"))
 
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     """SRC3: concatenated id lists of all search pages (one row per order number)."""
-    try:
-        pages = spark.read.schema(R_SEARCH_PAGE).json(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return _empty(spark, T.StructType([T.StructField("order_number", T.StringType())]))
+    pages = spark.read.schema(R_SEARCH_PAGE).json(path)
     return pages.select(F.explode("orderNumberList").alias("order_number"))
 
 
@@ -79,19 +127,17 @@ def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     travels with each document.
     """
     schema = "value string, ingest_seq bigint"
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return _empty(spark, T._parse_datatype_string(schema))
+    return spark.read.schema(schema).json(path)
 
 
 def read_graphql_pages(spark: SparkSession, path: str) -> DataFrame:
     """SRC11: GraphQL pages landed as ``{set_seq, page, value}`` JSON lines."""
     schema = "set_seq int, page bigint, value string"
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return _empty(spark, T._parse_datatype_string(schema))
+    return spark.read.schema(schema).json(path)
 
 
 def read_table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
@@ -103,21 +149,15 @@ def read_table_or_empty(spark: SparkSession, name: str, schema: T.StructType) ->
 
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """SRC16 for path-named tables: the table, or an empty one of ``schema`` when absent."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return _empty(spark, schema)
+    return spark.read.parquet(path) if path_exists(spark, path) else _empty(spark, schema)
 
 
 def read_snapshot(spark: SparkSession, path: str, start=None, end=None,
                   schema: T.StructType | None = None) -> DataFrame:
     """SRC17: result snapshot partitioned by ``order_date``; bounds prune partitions."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
+    if schema is not None and not path_exists(spark, path):
         return _empty(spark, schema)
+    df = spark.read.parquet(path)
     if start is not None:
         df = df.filter(F.col("order_date") >= F.lit(start))
     if end is not None:
@@ -125,9 +165,10 @@ def read_snapshot(spark: SparkSession, path: str, start=None, end=None,
     return df
 
 
-def prefer_first_nonempty(primary: DataFrame, fallback: DataFrame) -> DataFrame:
+def prefer_first_nonempty(primary: DataFrame, fallback: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     """SRC18: the primary source when it has any row, else the fallback.
 
-    One ``head(1)`` probe on the driver (a bounded read), then a lazy plan.
+    ``probe`` is a cheap frame that has rows exactly when ``primary`` has (its
+    stored rows, before any aggregation): one ``head(1)`` reads one row of it.
     """
-    return primary if primary.head(1) else fallback
+    return primary if (primary if probe is None else probe).head(1) else fallback

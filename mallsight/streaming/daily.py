@@ -11,7 +11,8 @@ document with its item count -> groupBy(window(1 day)) -> append to parquet.
   time is the JST wall clock read as UTC (exact microsecond arithmetic).
 * Append mode emits a day once the watermark passes its end; open days stay in
   state.  Events older than the watermark of their micro-batch are dropped, the
-  standard late-data rule; land files in time order when running many batches.
+  standard late-data rule, and ``run_daily_totals`` counts them: a run that
+  dropped any raises.  Land files in time order when running many batches.
 * The checkpoint lives under the shared checkpoint folder, so a restarted
   driver resumes where the stream stopped and a lost executor only re-runs
   its tasks.
@@ -58,9 +59,9 @@ def daily_totals_stream(stream: DataFrame, watermark: str = "1 day") -> DataFram
 
     Deduplication runs in two stages so a hot order number (say the empty one
     on a third of all documents) never lands whole in one task: first per
-    (number, salt) where the salt hashes the document's content (identical
-    re-fetches share it), then per number over at most ``DEDUP_SALTS``
-    survivors per number and batch.
+    (number, salt) where the salt hashes the document's content and sequence,
+    then per number over at most ``DEDUP_SALTS`` survivors per number and batch.
+    Copies that differ in content: the first to arrive counts.
     """
     units, n_items = _items_in_document()
     goods = F.coalesce(F.col("goodsPrice"), F.lit(0).cast("bigint"))
@@ -69,14 +70,14 @@ def daily_totals_stream(stream: DataFrame, watermark: str = "1 day") -> DataFram
                              F.col("_ingest_seq")), F.lit(DEDUP_SALTS))
     docs = (stream.filter(F.coalesce(F.col("orderProgress"), F.lit(0)) != CANCELLED)
             .select("*", *parse_once(event_time(parse_offset_time("orderDatetime")).alias("event_time")))
-            .filter(F.col("event_time").isNotNull())
+            # documents without lines give no row (D15), so they must not win the deduplication
+            .withColumn("_n_items", n_items)
+            .filter(F.col("event_time").isNotNull() & (F.col("_n_items") > 0))
             .withColumn("_salt", salt)
             .withWatermark("event_time", watermark)
             .dropDuplicatesWithinWatermark(["orderNumber", "_salt"])
             .dropDuplicatesWithinWatermark(["orderNumber"])
-            .select("orderNumber", "event_time", goods.alias("goods"), coupon.alias("coupon"),
-                    units.alias("units"), n_items.alias("n_items"))
-            .filter(F.col("n_items") > 0))           # documents without lines give no row (D15)
+            .select("orderNumber", "event_time", goods.alias("goods"), coupon.alias("coupon"), units.alias("units")))
     agg = docs.groupBy(F.window("event_time", "1 day")).agg(
         F.count("orderNumber").alias("order_count"),
         F.sum(F.col("goods") - F.col("coupon")).alias("total_sales"),
@@ -88,20 +89,41 @@ def daily_totals_stream(stream: DataFrame, watermark: str = "1 day") -> DataFram
                       "coupon_total", "item_count")
 
 
+class LateRowsError(RuntimeError):
+    """Rows arrived after their day was closed and were left out of the totals."""
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_daily_totals(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                     watermark: str = "1 day", max_files_per_trigger: int | None = None) -> DataFrame:
+                     watermark: str = "1 day", max_files_per_trigger: int | None = None,
+                     allow_late: bool = False) -> DataFrame:
     """Run the stream over everything landed so far (availableNow) and read the sink.
 
     Rerunning with the same checkpoint processes only new files and appends
-    only newly closed days (exactly once into the file sink).
+    only newly closed days (exactly once into the file sink).  State lives in
+    RocksDB on the executors' disks, not in their heaps.  ``max_files_per_trigger``
+    bounds a batch; files must then land in time order.  Rows that come after
+    the watermark has closed their day are counted, and raise ``LateRowsError``
+    unless ``allow_late``: the totals in the sink lack them.
     """
     reader = spark.readStream.schema(R_ORDER_LANDED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source)
-    q = (daily_totals_stream(stream, watermark).writeStream
-         .outputMode("append").format("parquet")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, ROCKSDB)
+    try:
+        q = (daily_totals_stream(stream, watermark).writeStream
+             .outputMode("append").format("parquet")
+             .option("path", sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+    late = sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+    if late and not allow_late:
+        raise LateRowsError(f"{late} rows came after their day was closed and are not in the totals")
     return spark.read.parquet(sink)

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from mallsight.operators.flatten import flatten_m, flatten_r, flatten_y, m_nodes_from_pages
+from mallsight.operators.flatten import LINE_STRIDE, flatten_m, flatten_r, flatten_y, m_nodes_from_pages
 from mallsight.sources.readers import R_ORDER_LANDED, read_order_json
 
 
@@ -29,7 +29,7 @@ def test_r_two_packages_two_items(spark):
                          {"postagePrice": 0, "ItemModelList": items}])]
     rows = flatten_r(_r(spark, docs)).orderBy("line_seq").collect()
     assert len(rows) == 4
-    assert [r.line_seq for r in rows] == [0, 1, 1_000_000, 1_000_001]
+    assert [r.line_seq for r in rows] == [0, 1, LINE_STRIDE, LINE_STRIDE + 1]
     assert rows[0].subtotal == 200 and rows[0].order_net_sales == 4500 and rows[0].shipping_charge == 500
     assert rows[1].item_number == "" and rows[0].source == "楽天"
     assert rows[0].order_datetime == dt.datetime(2024, 1, 15, 10, 30) and rows[0].order_weekday == 0
