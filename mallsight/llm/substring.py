@@ -8,9 +8,9 @@ Two equal windows therefore share an *aligned* anchor of ``window - P + 1`` word
 documents hash, and only |D| / P of the positions are hashed (6 / 31 for 50 words).
 
 1. Word digests; texts with equal word sequences form a class, its smallest id stands for it.
-2. Anchors of every text, grouped by hash: those that occur in two classes or more are kept.
-3. Each kept anchor extends to the windows that contain it at its aligned place; their
-   128-bit hashes are grouped for the smallest id that starts each.
+2. Distinct anchor hashes of every text, grouped: those that two classes or more hold are kept.
+3. At each place of a kept anchor, it extends to the windows that contain it at its aligned
+   place; their 128-bit hashes are grouped for the smallest id that starts each.
 4. Windows whose smallest id lies below their own document's are removed; other copies in a
    class lose everything when the class has a window at all.
 """
@@ -99,16 +99,21 @@ def _digest(batches):
             names=["doc_id", "n_words", "seq_key", "class", "sha"])
 
 
-def _anchors(window: int):
-    size, period, cover = cover_for(window)
+def covered_places(n: int, size: int, period: int, cover: tuple[int, ...]) -> np.ndarray:
+    """Places of ``size``-word anchors in ``n`` words whose remainder lies in the cover."""
     covered = np.zeros(period, bool)
     covered[list(cover)] = True
+    return np.flatnonzero(covered[np.arange(n - size + 1) % period])
+
+
+def _anchors(window: int):
+    size, period, cover = cover_for(window)
 
     def run(batches):
         words, roll = WordHash(), Rolling(_BASE_A)
         seen: set[bytes] = set()
         for batch in batches:
-            hashes, keys, places = [], [], []
+            hashes, keys = [], []
             for text in batch.column("text"):
                 ws = words_of(text.as_py())
                 if len(ws) < window:
@@ -119,42 +124,43 @@ def _anchors(window: int):
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(key)
-                at = np.flatnonzero(covered[np.arange(len(ws) - size + 1) % period])
-                hashes.append(roll(words.hashes(ws), size)[at].view(np.int64))
-                keys.append(np.full(len(at), class_of(key)))
-                places.append(at.astype(np.int32))
+                at = covered_places(len(ws), size, period, cover)
+                found = np.unique(roll(words.hashes(ws), size)[at].view(np.int64))
+                hashes.append(found)
+                keys.append(np.full(len(found), class_of(key)))
             if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, keys, places)],
-                                                 names=["hash", "class", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, keys)],
+                                                 names=["hash", "class"])
     return run
 
 
 def _windows(window: int):
-    size, period, _ = cover_for(window)
+    size, period, cover = cover_for(window)
 
     def run(batches):
         words, roll_a, roll_b = WordHash(), Rolling(_BASE_A), Rolling(_BASE_B)
         for batch in batches:
-            a, b, docs, classes, starts = [], [], [], [], []
-            for text, key, doc, places in zip(*(batch.column(c) for c in ("text", "seq_key", "doc_id", "places"))):
+            a, b, docs, parts, starts = [], [], [], [], []
+            for text, key, doc, part, hashes in zip(*(batch.column(c) for c in ("text", "seq_key", "doc_id", "part", "hashes"))):
                 ws = words_of(text.as_py())
                 if len(ws) < window or sequence_key(ws) != key.as_py():
                     continue  # another text under the same id
-                at = np.asarray(places.values)
+                w = words.hashes(ws)
+                at = covered_places(len(ws), size, period, cover)
+                at = at[np.isin(roll_a(w, size)[at].view(np.int64), np.asarray(hashes.values))]
                 last = len(ws) - window
                 edge = np.zeros(last + 2, np.int64)
                 np.add.at(edge, np.maximum(at - (period - 1), 0), 1)
                 np.add.at(edge, np.minimum(at, last) + 1, -1)
                 start = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                w = words.hashes(ws)
                 a.append(roll_a(w, window)[start].view(np.int64))
                 b.append(roll_b(mix64(w ^ _SALT), window)[start].view(np.int64))
                 docs.append(np.full(len(start), doc.as_py()))
-                classes.append(np.full(len(start), class_of(key.as_py())))
+                parts.append(np.full(len(start), part.as_py(), np.int32))
                 starts.append(start.astype(np.int32))
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, docs, classes, starts)],
-                                                 names=["h1", "h2", "doc_id", "class", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, docs, parts, starts)],
+                                                 names=["h1", "h2", "doc_id", "part", "start"])
     return run
 
 
@@ -198,25 +204,28 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     named = digest.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     classes = landed(named.groupBy("seq_key", "class").agg(F.min("doc_id").alias("first_id")), "classes")
 
-    # anchors shared by two classes or more; a class holds each hash once per place, so one
-    # hash's rows are at most the classes that hold it
-    anchors = (base.filter("doc_id is not null").select("text")
-               .mapInArrow(_anchors(window), "hash long, class long, at int"))
+    # anchors held by two classes or more; a class holds each hash once, so the rows of one
+    # hash are at most the classes that hold it
     same = Window.partitionBy("hash")
-    shared = anchors.select("class", "at", F.min("class").over(same).alias("lo"),
-                            F.max("class").over(same).alias("hi")).filter("lo <> hi")
-    places = landed(shared.groupBy("class").agg(F.collect_set("at").alias("places")), "places")
+    shared = (base.filter("doc_id is not null").select("text").mapInArrow(_anchors(window), "hash long, class long")
+              .select("hash", "class", F.min("class").over(same).alias("lo"), F.max("class").over(same).alias("hi"))
+              .filter("lo <> hi"))
+    anchors = landed(shared.groupBy("class").agg(F.collect_set("hash").alias("hashes")), "shared-anchors")
     free_shuffles(spark)
 
-    found = landed(classes.withColumnRenamed("first_id", "doc_id").join(places, "class"), "found")
+    # ``part`` tells the texts of a repeated id apart (0 elsewhere)
+    numbered = F.row_number().over(Window.partitionBy("first_id").orderBy("seq_key")) - 1
+    found = landed(classes.withColumn("part", numbered).withColumnRenamed("first_id", "doc_id")
+                   .join(anchors, "class").drop("class"), "found")
     texts = landed(base.join(found, "doc_id"), "passage-texts")
     free_shuffles(spark)
-    windows = landed(texts.mapInArrow(_windows(window), "h1 long, h2 long, doc_id long, class long, start int"), "windows")
+    windows = landed(texts.mapInArrow(_windows(window), "h1 long, h2 long, doc_id long, part int, start int"), "windows")
     firsts = landed(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                     .filter("lo <> hi").drop("hi"), "firsts")
+    free_shuffles(spark)
     cuts = (windows.join(firsts, ["h1", "h2"]).filter("lo < doc_id")
-            .groupBy("class").agg(F.collect_set("start").alias("starts")))
-    cut = landed(texts.join(cuts, "class").select("seq_key", "text", "starts")
+            .groupBy("doc_id", "part").agg(F.collect_set("start").alias("starts")))
+    cut = landed(texts.join(cuts, ["doc_id", "part"]).select("seq_key", "text", "starts")
                  .mapInArrow(_cut(window), "seq_key binary, n_cut long, kept_text string, cut_sha string")
                  .dropDuplicates(["seq_key"]), "cut")
     free_shuffles(spark)
