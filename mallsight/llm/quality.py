@@ -1,8 +1,8 @@
 """Quality classifier on supervised subword embeddings.
 
 A document is the average of learned vectors of its hashed features: words, character
-n-grams of words, and word pairs (a word that repeats its predecessor is one feature of its
-own).  A softmax over the average gives the class; vectors and output weights are trained
+n-grams of words (over UTF-8 bytes, with word ends marked), and word pairs (a word that
+repeats its predecessor is one feature of its own).  A softmax over the average gives the class; vectors and output weights are trained
 together by plain stochastic gradient descent in numpy on a bounded sample of the labelled
 documents.  Because both layers are linear, scoring needs one number per feature.
 """
@@ -23,49 +23,74 @@ from .common import WORD_CACHE, landed, mix64
 
 #: Documented bound of the training sample: labelled documents, smallest id hashes first.
 TRAIN_DOCS = 3000
-BUCKETS = 2**17
+BUCKETS = 2**17     # a power of two; bucket BUCKETS is that of a word that repeats its predecessor
 DIM, EPOCHS, RATE = 12, 6, 0.6
 GRAMS = (2, 3, 4)
-REPEAT = 0          # the bucket of a word that repeats its predecessor
-_PAIR = np.uint64(0xD6E8FEB86659FD93)
+#: Words that a scoring task gathers before it computes their texts' scores.
+CHUNK_WORDS = 200_000
+_PAIR, _MASK = np.uint64(0xD6E8FEB86659FD93), np.uint64(BUCKETS - 1)
 
 
-class Features(dict):
-    """Word -> (hash, buckets of the word and its character n-grams); bounded cache."""
+def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word; and, per feature of the words, the word's place and the bucket.
 
-    def __missing__(self, word: bytes):
-        if len(self) >= WORD_CACHE // 4:
-            self.clear()
-        marked = b"<" + word + b">"
-        grams = {marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-        h = xxhash.xxh3_64_intdigest(word)
-        hashes = [h] + [xxhash.xxh3_64_intdigest(g, seed=1) for g in sorted(grams)]
-        out = self[word] = (h, [1 + x % (BUCKETS - 1) for x in hashes])
-        return out
+    Features are the word itself and the n-grams of ``<word>``, computed for all words at once.
+    """
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    text = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint64)
+    word = np.repeat(np.arange(len(words)), size)
+    left = np.cumsum(size)[word] - np.arange(len(text))      # bytes from here to the word's end
+    places, buckets = [np.arange(len(words))], [(mix64(h) & _MASK).astype(np.int64)]
+    code = text
+    for n in range(2, max(GRAMS) + 1):
+        code = code[:-1] | (text[n - 1:] << np.uint64(8 * (n - 1)))
+        if n in GRAMS:
+            at = np.flatnonzero(left[:len(code)] >= n)
+            places.append(word[at])
+            buckets.append((mix64(code[at] + np.uint64(n << 40)) & _MASK).astype(np.int64))
+    return h, np.concatenate(places), np.concatenate(buckets)
 
 
 def pair_buckets(h: np.ndarray) -> np.ndarray:
     """Bucket of every pair of neighbouring words."""
-    pairs = 1 + (mix64(h[:-1] * _PAIR + h[1:]) % np.uint64(BUCKETS - 1)).astype(np.int64)
-    return np.where(h[:-1] == h[1:], REPEAT, pairs)
+    return np.where(h[:-1] == h[1:], BUCKETS, (mix64(h[:-1] * _PAIR + h[1:]) & _MASK).astype(np.int64))
+
+
+class Vocabulary(dict):
+    """Numbers words as they come; ``pending`` are those without features yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.pending: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self)
+        self.pending.append(word)
+        return k
+
+    def numbers(self, text: bytes | None) -> np.ndarray:
+        words = text.split() if text else []
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def bag(text: bytes | None, cache: Features) -> tuple[np.ndarray, np.ndarray]:
+def bag(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text and their shares of all its features."""
-    words = text.split() if text else []
-    if not words:
+    words = Vocabulary()
+    k = words.numbers(text)
+    if not len(k):
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    found = [cache[w] for w in words]
-    h = np.fromiter((f[0] for f in found), np.uint64, len(found))
-    at = np.concatenate([np.fromiter((b for f in found for b in f[1]), np.int64), pair_buckets(h)])
-    buckets, n = np.unique(at, return_counts=True)
-    return buckets.astype(np.int32), (n / len(at)).astype(np.float32)
+    h, place, bucket = word_grams(words.pending)
+    pairs = pair_buckets(h[k])
+    weight = np.concatenate([np.bincount(k)[place], np.ones(len(pairs), np.int64)])
+    buckets, inverse = np.unique(np.concatenate([bucket, pairs]), return_inverse=True)
+    n = np.bincount(inverse, weights=weight)
+    return buckets.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
 def _bags(batches):
-    cache = Features()
     for batch in batches:
-        bags = [bag(t.as_py(), cache) for t in batch.column("text")]
+        bags = [bag(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"),
              pa.array([b for b, _ in bags], pa.list_(pa.int32())), pa.array([s for _, s in bags], pa.list_(pa.float32()))],
@@ -84,32 +109,36 @@ class Model:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            ids: dict[bytes, int] = {}
-            cache = Features()
-            h, total, count = (np.zeros(WORD_CACHE, t) for t in (np.uint64, np.float64, np.int64))
-            for texts in batches:
-                out = np.empty(len(texts))
-                for i, text in enumerate(texts):
-                    words = text.split() if text else []
-                    logit = bias
-                    if words:
-                        new = {w for w in words if w not in ids} if len(ids) < WORD_CACHE else set()
-                        if len(ids) + len(new) >= WORD_CACHE:
-                            ids.clear()
-                            new = set(words)
-                        if len(new) >= WORD_CACHE:  # one text with more distinct words than the cache holds
-                            at, share = bag(text, cache)
-                            out[i] = bias + float(weights[at] @ share)
-                            continue
-                        for w in new:
-                            k = ids[w] = len(ids)
-                            h[k], at = cache[w]
-                            total[k], count[k] = weights[at].sum(), len(at)
-                        k = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-                        pairs = weights[pair_buckets(h[k])]
-                        logit += (total[k].sum() + pairs.sum()) / (count[k].sum() + len(pairs))
-                    out[i] = logit
-                yield pd.Series(1 / (1 + np.exp(-np.clip(out, -50, 50))))
+            words = Vocabulary()
+            known = [np.empty(0, t) for t in (np.uint64, np.float64, np.int64)]  # hash, sum of weights, features
+
+            def logits(texts: list[np.ndarray]) -> list[float]:
+                if words.pending:
+                    h, place, bucket = word_grams(words.pending)
+                    n = len(words.pending)
+                    new = h, np.bincount(place, weights[bucket], n), np.bincount(place, minlength=n)
+                    known[:] = [np.concatenate(x) for x in zip(known, new)]
+                    words.pending.clear()
+                h, total, count = known
+                out = []
+                for k in texts:
+                    pairs = weights[pair_buckets(h[k])]
+                    out.append(bias + (total[k].sum() + pairs.sum()) / max(1, count[k].sum() + len(pairs)))
+                if len(words) > WORD_CACHE:
+                    words.clear()
+                    known[:] = [x[:0] for x in known]
+                return out
+
+            for batch in batches:
+                out, chunk, n = [], [], 0
+                for text in batch:
+                    chunk.append(words.numbers(text))
+                    n += len(chunk[-1])
+                    if n >= CHUNK_WORDS:
+                        out += logits(chunk)
+                        chunk, n = [], 0
+                out += logits(chunk)
+                yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -50, 50))))
         return score
 
 
@@ -118,7 +147,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
 
     No examples: every score is 0.5."""
     rng = np.random.default_rng(seed)
-    vec = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    vec = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     steps, at = EPOCHS * len(labels), 0
     for _ in range(EPOCHS):
@@ -138,7 +167,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
                 # a document's features move together: scale the step by their spread
                 vec[b] -= (rate / np.sqrt(s @ s)) * np.outer(s, back)
     return Model((vec @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0])) if len(labels) \
-        else Model(np.zeros(BUCKETS, np.float32), 0.0)
+        else Model(np.zeros(BUCKETS + 1, np.float32), 0.0)
 
 
 def held_out(id_col: Column) -> Column:

@@ -52,14 +52,15 @@ def test_quality_without_labels_and_rows(spark):
 def test_scorer_equals_model_beyond_its_cache(monkeypatch):
     """Texts with more distinct words than the cache: same score as the plain sum over features."""
     monkeypatch.setattr(quality, "WORD_CACHE", 64)
+    monkeypatch.setattr(quality, "CHUNK_WORDS", 50)
     rng = np.random.default_rng(0)
-    model = quality.Model(rng.normal(size=quality.BUCKETS).astype(np.float32), 0.25)
+    model = quality.Model(rng.normal(size=quality.BUCKETS + 1).astype(np.float32), 0.25)
     import pandas as pd
     texts = [b" ".join(b"w%d" % rng.integers(0, n) for _ in range(m)) for n, m in ((10, 5), (40, 60), (30, 50), (500, 300), (10, 4))]
-    got = next(model.scorer().func(iter([pd.Series([*texts, None, b""])])))
-    cache = quality.Features()
+    got = pd.concat(model.scorer().func(iter([pd.Series([*texts, None, b""]), pd.Series(texts)])), ignore_index=True)
+    assert got[:5].tolist() == pytest.approx(got[7:].tolist())
     for text, p in zip(texts, got):
-        at, share = quality.bag(text, cache)
+        at, share = quality.bag(text)
         assert math.isclose(p, 1 / (1 + math.exp(-(0.25 + float(model.weights[at].astype(float) @ share)))), rel_tol=1e-4)
     assert got[5] == got[6] == pytest.approx(1 / (1 + math.exp(-0.25)))
 
