@@ -1,6 +1,8 @@
 """Brute-force versions and small frames for the operator tests."""
 
+import hashlib
 import re
+import zlib
 
 from pyspark.sql import types as T
 
@@ -72,3 +74,20 @@ def passages_removed(rows, window):
                 gone[p:p + window] = [True] * window
         out.append((i, [w for w, g in zip(ws, gone) if not g]))
     return out
+
+
+def shard_statement(rows, shards, overhead):
+    """(doc_id, size, crc32, shard, slot) by one pass over all rows in key order."""
+    keyed = []
+    for i, t in rows:
+        b = (t or "").encode()
+        keyed.append((int(hashlib.md5(b).hexdigest()[:15], 16), -2**63 if i is None else i, len(b) + overhead, i, zlib.crc32(b)))
+    keyed.sort(key=lambda k: k[:2])
+    total, below, before, out, fill = sum(k[2] for k in keyed), 0, 0, [], {}
+    for n, k in enumerate(keyed):
+        before = below if n == 0 or keyed[n - 1][:2] != k[:2] else before
+        s = before * shards // total
+        out.append((k[3], k[2], k[4], s, fill.get(s, 0)))
+        fill[s] = fill.get(s, 0) + 1
+        below += k[2]
+    return out

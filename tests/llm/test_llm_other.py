@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import docs_df, words
+from helpers import docs_df, shard_statement, words
 from pyspark.sql import functions as F
 
 from mallsight.llm import decontam, licenses, mixing, quality, sharding, topk, url_filter
@@ -118,23 +118,6 @@ def test_mix_of_nothing(spark):
 
 
 # ------------------------------------------------------------------ sharding
-def shard_statement(rows, shards, overhead):
-    import hashlib
-    keyed = []
-    for i, t in rows:
-        b = (t or "").encode()
-        keyed.append((int(hashlib.md5(b).hexdigest()[:15], 16), -2**63 if i is None else i, len(b) + overhead, i, zlib.crc32(b)))
-    keyed.sort(key=lambda k: k[:2])
-    total, below, before, out, fill = sum(k[2] for k in keyed), 0, 0, [], {}
-    for n, k in enumerate(keyed):
-        before = below if n == 0 or keyed[n - 1][:2] != k[:2] else before
-        s = before * shards // total
-        out.append((k[3], k[2], k[4], s, fill.get(s, 0)))
-        fill[s] = fill.get(s, 0) + 1
-        below += k[2]
-    return out
-
-
 @pytest.mark.parametrize("shards,split", [(1, 1), (7, 3), (40, None)])
 def test_shards_equal_the_statement(spark, shards, split):
     rng = random.Random(shards)
