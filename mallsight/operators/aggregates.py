@@ -9,11 +9,10 @@ timestamp over a BIGINT ordering), so Spark plans a HashAggregate that combines
 map-side: even a key carrying a third of all lines leaves one partial row per
 task before the shuffle.  No window, no join on lines.
 
-Line-grain quantities are summed straight from the lines by calendar value
-(partial aggregation again, one row per value and task), and the two small
-calendar-keyed results are joined on that value (AQE turns it into a
-broadcast at runtime; both sides hold one row per day / month).  Calendar
-parts are always derived from ``order_datetime`` (schema invariant:
+Line-grain quantities ride along: results with both grains aggregate once by
+(order, calendar value), mark each order's first row in that reduced frame and
+sum conditionally, so the facts are read and joined once.  Calendar parts are
+always derived from ``order_datetime`` (schema invariant:
 order_date/hour/month/weekday are functions of it).
 """
 
@@ -76,66 +75,89 @@ TIME_PARTS = {
 }
 
 
-def _by_time(orders: DataFrame, lines: DataFrame | None, part: str, key, money_out) -> DataFrame:
-    """Group first documents (and, when given, line quantities) by a calendar part.
+def _first_per_order(lines: DataFrame, part: str, key, money, items: bool) -> DataFrame:
+    """One row per (key, calendar value): money of its first document, Σ quantity, and whether
+    it is the key's first row (``_first``).
 
-    Item counts come straight from the lines: a map-side partial sum per
-    calendar value, so that branch only shuffles one row per value and task.
+    One pass over the lines: the aggregate combines map-side, and the window sees at most one
+    row per calendar value of a key, however hot the key is.
     """
     t = TIME_PARTS[part](F.col("order_datetime"))
-    o = (orders.withColumn(part, t).filter(F.col(part).isNotNull())
-               .groupBy(part).agg(_count_orders(key, (part,)).alias("order_count"), *money_out))
-    if lines is None:
-        return o
-    i = (lines.select(t.alias(part), "quantity").filter(F.col(part).isNotNull())
-              .groupBy(part).agg(F.sum("quantity").alias("item_count")))
-    return o.join(i, part, "left")
-
-
-def daily_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
-    """AGG2 (+JON1): date, order_count, total_sales, gross_sales, coupon_total, item_count."""
-    orders = first_orders(lines, key)
-    out = _by_time(orders, lines, "date", key, [
-        F.sum("order_net_sales").alias("total_sales"),
-        F.sum("total_price").alias("gross_sales"),
-        F.sum("coupon_used").alias("coupon_total")])
-    return out.select("date", "order_count", "total_sales", "gross_sales", "coupon_total",
-                      "item_count").orderBy("date")
+    per = lines.groupBy(*key, t.alias(part)).agg(
+        F.min("ingest_seq").alias("_seq"), *[F.min_by(m, "ingest_seq").alias(m) for m in money],
+        *([F.sum("quantity").alias("_items")] if items else []))
+    earliest = Window.partitionBy(*key).orderBy("_seq", F.col(part).asc_nulls_last())
+    return per.withColumn("_first", F.row_number().over(earliest) == 1)
 
 
-def monthly_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
-    """AGG3 (+JON2): month, order_count, total_sales, item_count."""
-    orders = first_orders(lines, key, money=("order_net_sales",))
-    out = _by_time(orders, lines, "month", key, [F.sum("order_net_sales").alias("total_sales")])
-    return out.select("month", "order_count", "total_sales", "item_count").orderBy("month")
+def _by_time(lines: DataFrame, part: str, key, money: dict, items: bool, group=()) -> DataFrame:
+    """First documents (and line quantities) grouped by a calendar part, inside ``group``.
 
+    ``money`` maps output names to order-level columns.  Values without any first document
+    have no row.  Item counts follow each line's own date.
+    """
+    key = tuple(dict.fromkeys((*group, *key)))
+    per = _first_per_order(lines, part, key, tuple(money.values()), items).filter(F.col(part).isNotNull())
+    number = F.when(F.col("_first"), F.col("order_number"))
+    plain = set(key) - set(group) - {"order_number"} == set()
+    return (per.groupBy(*group, part).agg(
+        (F.count(number) if plain else F.count_distinct(number)).alias("order_count"),
+        *[F.sum(F.when(F.col("_first"), F.col(c))).alias(n) for n, c in money.items()],
+        F.max(F.col("_first")).alias("_any"),
+        *([F.sum("_items").alias("item_count")] if items else []))
+        .filter("_any").drop("_any"))
 
-def hourly_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
-    """AGG6: hour, order_count, total_sales."""
-    orders = first_orders(lines, key, money=("order_net_sales",))
-    out = _by_time(orders, None, "hour", key, [F.sum("order_net_sales").alias("total_sales")])
-    return out.select("hour", "order_count", "total_sales").orderBy("hour")
+
+NET = {"total_sales": "order_net_sales"}
+
+
+def daily_sales(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
+    """AGG2 (+JON1): date, order_count, total_sales, gross_sales, coupon_total, item_count (per ``group``)."""
+    out = _by_time(lines, "date", key, NET | {"gross_sales": "total_price", "coupon_total": "coupon_used"}, True, group)
+    return out.select(*group, "date", "order_count", "total_sales", "gross_sales", "coupon_total",
+                      "item_count").orderBy(*group, "date")
 
 
-def weekday_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
-    """AGG7: weekday (0=Mon), order_count, total_sales, weekday_name."""
+def monthly_sales(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
+    """AGG3 (+JON2): month, order_count, total_sales, item_count (per ``group``)."""
+    out = _by_time(lines, "month", key, NET, True, group)
+    return out.select(*group, "month", "order_count", "total_sales", "item_count").orderBy(*group, "month")
+
+
+def _first_by_time(lines: DataFrame, part: str, key, group) -> DataFrame:
+    # no line quantities: first documents alone, one hash aggregate per order
+    key = tuple(dict.fromkeys((*group, *key)))
     orders = first_orders(lines, key, money=("order_net_sales",))
-    out = _by_time(orders, None, "weekday", key, [F.sum("order_net_sales").alias("total_sales")])
-    return out.select("weekday", "order_count", "total_sales",
-                      weekday_name("weekday").alias("weekday_name")).orderBy("weekday")
+    return (orders.withColumn(part, TIME_PARTS[part](F.col("order_datetime"))).filter(F.col(part).isNotNull())
+            .groupBy(*group, part).agg(_count_orders(key, (*group, part)).alias("order_count"),
+                                       F.sum("order_net_sales").alias("total_sales")))
+
 
+def hourly_sales(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
+    """AGG6: hour, order_count, total_sales (per ``group``)."""
+    out = _first_by_time(lines, "hour", key, group)
+    return out.select(*group, "hour", "order_count", "total_sales").orderBy(*group, "hour")
 
-def hour_weekday_heatmap(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
-    """AGG8: one row per hour seen, one column per weekday 月..日 (Σ net, 0 fill)."""
+
+def weekday_sales(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
+    """AGG7: weekday (0=Mon), order_count, total_sales, weekday_name (per ``group``)."""
+    out = _first_by_time(lines, "weekday", key, group)
+    return out.select(*group, "weekday", "order_count", "total_sales",
+                      weekday_name("weekday").alias("weekday_name")).orderBy(*group, "weekday")
+
+
+def hour_weekday_heatmap(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
+    """AGG8: one row per hour seen, one column per weekday 月..日 (Σ net, 0 fill), per ``group``."""
+    key = tuple(dict.fromkeys((*group, *key)))
     orders = first_orders(lines, key, money=("order_net_sales",))
     t = F.col("order_datetime")
-    o = (orders.select(F.hour(t).alias("order_hour"), F.weekday(t).alias("wd"), "order_net_sales")
+    o = (orders.select(*group, F.hour(t).alias("order_hour"), F.weekday(t).alias("wd"), "order_net_sales")
                .filter(F.col("order_hour").isNotNull() & F.col("wd").isNotNull()))
     # Pivot by conditional sums: fixed column order, zero for unseen weekdays, and a
     # single hash aggregation (groupBy().pivot() plans two levels plus PivotFirst).
-    return o.groupBy("order_hour").agg(*[
+    return o.groupBy(*group, "order_hour").agg(*[
         F.coalesce(F.sum(F.when(F.col("wd") == i, F.col("order_net_sales"))), F.lit(0)).cast("bigint").alias(n)
-        for i, n in enumerate(WEEKDAY_NAMES)]).orderBy("order_hour")
+        for i, n in enumerate(WEEKDAY_NAMES)]).orderBy(*group, "order_hour")
 
 
 def summary_stats(lines: DataFrame, key=DEFAULT_KEY, group=()) -> DataFrame:
@@ -329,13 +351,30 @@ def total_and_store_stats(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
     """AGG14: summary stats for the whole set (scope='total') and for each store.
 
     The total deduplicates by ``key`` across stores, each store inside itself,
-    exactly as filtering per store would; both come from one union of two
-    aggregations over the same lines.
+    exactly as filtering per store would.  One aggregate per (store, key) reads
+    the lines once; its rows, tagged with both scopes, roll up from there.
     """
-    total = summary_stats(lines, key).select(F.lit("total").alias("scope"),
-                                             F.lit(None).cast("string").alias("source"), "*")
-    per = summary_stats(lines, key, group=("source",)).select(F.lit("store").alias("scope"), "*")
-    return total.unionByName(per)
+    money = ("order_net_sales", "total_price")
+    per = orders_with_lines(lines, tuple(dict.fromkeys(("source", *key))), money=money)
+    # an empty row makes the total appear (with zeros) when there are no lines
+    per = per.unionByName(lines.sparkSession.range(1).select(F.lit(None).cast("string").alias("order_number")),
+                          allowMissingColumns=True)
+    own = [F.col(c).alias(f"_key_{c}") for c in key]
+    scoped = (per.select(F.explode(F.array(F.lit("total"), F.lit("store"))).alias("scope"), "source", *own,
+                         *money, "_first_seq", "_items", "_dmin", "_dmax")
+              .filter((F.col("scope") == "total") | F.col("_first_seq").isNotNull())
+              .withColumn("source", F.when(F.col("scope") == "store", F.col("source"))))
+    orders = scoped.groupBy("scope", "source", *[f"_key_{c}" for c in key]).agg(
+        *[F.min_by(m, "_first_seq").alias(m) for m in money], F.sum("_items").alias("_items"),
+        F.min("_dmin").alias("_dmin"), F.max("_dmax").alias("_dmax"))
+    out = orders.groupBy("scope", "source").agg(
+        (F.count if tuple(key) == ("order_number",) else F.count_distinct)("_key_order_number").alias("total_orders"),
+        F.sum("order_net_sales").alias("total_sales"), F.sum("total_price").alias("gross_sales"),
+        F.avg("order_net_sales").alias("avg_order_value"), F.sum("_items").alias("total_items"),
+        F.min("_dmin").alias("period_start"), F.max("_dmax").alias("period_end"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.select("scope", "source", *[zero(c) for c in ("total_orders", "total_sales", "gross_sales", "total_items")],
+                      F.coalesce("avg_order_value", F.lit(0.0)).alias("avg_order_value"), "period_start", "period_end")
 
 
 def import_summary(df: DataFrame, date_col: str = "order_date") -> DataFrame:

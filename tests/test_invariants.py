@@ -32,8 +32,10 @@ def test_store_sums_equal_total_when_numbers_are_store_unique(spark):
     assert _sum(per, "total_sales") == total.total_sales and _sum(per, "total_orders") == total.total_orders
 
 
-def test_one_order_number_exchange_in_daily(spark):
+def test_order_number_exchanges_in_daily(spark):
+    """Lines by (order, day), then the reduced rows by order; the facts are joined once."""
     df = A.daily_sales(star_lines(spark, SF_MID, product=False, store=False))
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(order_number") <= 1
+    assert plan.count("hashpartitioning(order_number") <= 2
+    assert plan.count("Join") == 1
