@@ -27,5 +27,5 @@ def query(name: str, oracle: str | None = None):
 
 def load_all():
     """Import the modules that register queries."""
-    from . import queries_core, queries_reports, queries_sources  # noqa: F401  (order matters)
+    from . import queries_core, queries_reports, queries_sources, queries_more  # noqa: F401  (order matters)
     return QUERIES, ORACLE

@@ -183,9 +183,13 @@ SAVED_GLOB = "yahoo_orders_*.csv"
 
 
 def save_import_csv(df: DataFrame, root: str, import_id: str) -> str:
-    """SNK6 (file form): canonical rows as UTF-8+BOM CSV under ``root/yahoo_orders_<id>.csv/``."""
+    """SNK6 (file form): canonical rows as UTF-8+BOM CSV under ``root/yahoo_orders_<id>.csv/``.
+
+    Times are written as ``yyyy-MM-dd HH:mm:ss``, a layout the loader reads.
+    """
     from ..sinks import write_csv
-    cols = [c for c in df.columns if not c.startswith("_")]
+    cols = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t == "timestamp_ntz" else F.col(c)
+            for c, t in df.dtypes if not c.startswith("_")]
     return write_csv(df.select(*cols), f"{root}/yahoo_orders_{import_id}.csv")
 
 
