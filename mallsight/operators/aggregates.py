@@ -310,9 +310,8 @@ def source_kpi(lines: DataFrame, start, end, stores=None, key=DEFAULT_KEY) -> Da
 
 
 def store_dim(spark, stores) -> DataFrame:
-    """M10: the configured stores (a short parameter list), broadcast on use."""
-    return F.broadcast(spark.createDataFrame([(s, i) for i, s in enumerate(stores)],
-                                             "name string, store_seq int"))
+    """M10: the configured stores (a short parameter list)."""
+    return spark.createDataFrame([(s, i) for i, s in enumerate(stores)], "name string, store_seq int")
 
 
 def daily_store_sales(lines: DataFrame, key=DEFAULT_KEY) -> DataFrame:
@@ -343,7 +342,11 @@ def day_store_pivot(lines: DataFrame, stores, key=DEFAULT_KEY) -> DataFrame:
 
 def daily_average(sales: Column, start, end) -> Column:
     """AGG15: sales / max(days in [start, end], 1)."""
-    days = F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date")) + 1
+    return average_over(sales, F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date")) + 1)
+
+
+def average_over(sales: Column, days: Column) -> Column:
+    """AGG15 for a column of day counts."""
     return sales.cast("double") / F.greatest(days, F.lit(1))
 
 
@@ -386,8 +389,3 @@ def import_summary(df: DataFrame, date_col: str = "order_date") -> DataFrame:
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """AGG17: distinct dates / stores (sorted)."""
     return df.select(column).distinct().orderBy(column)
-
-
-def daily_average_days(sales: Column, days: Column) -> Column:
-    """AGG15 with the day count as a column: sales / max(days, 1)."""
-    return sales.cast("double") / F.greatest(days, F.lit(1))

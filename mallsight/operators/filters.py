@@ -37,13 +37,6 @@ def sorted_by_time(df: DataFrame, ts: str = "order_datetime") -> DataFrame:
     return df.orderBy(F.col(ts).asc_nulls_last())
 
 
-def undated_or_between(df: DataFrame, start, end, ts: str = "order_datetime") -> DataFrame:
-    """FLT6: keep rows with no usable time, else [start, end] inclusive."""
-    t = F.col(ts)
-    return df.filter(t.isNull() | ((t >= ntz(start)) &
-                                   (t <= ntz(end))))
-
-
 def date_between(df: DataFrame, start, end, date_col: str = "order_date") -> DataFrame:
     """FLT7: inclusive date mask."""
     return df.filter(F.col(date_col).between(F.lit(start), F.lit(end)))
@@ -59,15 +52,6 @@ def source_eq(df: DataFrame, source: str) -> DataFrame:
     return df.filter(F.col("source") == source)
 
 
-def optional_range(df: DataFrame, start=None, end=None, ts: str = "order_date") -> DataFrame:
-    """FLT10: each bound optional; NULL times drop out only when a bound is set."""
-    if start is not None:
-        df = df.filter(F.col(ts) >= F.lit(start))
-    if end is not None:
-        df = df.filter(F.col(ts) <= F.lit(end))
-    return df
-
-
 def skip_empty_ids(df: DataFrame, col: str) -> DataFrame:
     """FLT11: drop NULL or empty ids."""
     return df.filter(F.nullif(F.col(col), F.lit("")).isNotNull())

@@ -13,6 +13,5 @@ STAR_AS_OF = dt.date(1998, 6, 16)
 EVENTS_AS_OF = dt.date(2024, 1, 20)
 # Configured stores (M10): a short list, as in a store configuration file.
 STAR_STORES = ["NATION_0", "NATION_1", "NATION_2"]
-EVENT_STORES = ["purchase", "signup", "click"]
 # Malls (marketplaces) used by the mall KPI on the star tables.
 STAR_MALLS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]

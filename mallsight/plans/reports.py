@@ -105,12 +105,12 @@ def yoy_panel(lines: DataFrame, as_of: dt.date, key=DEFAULT_KEY) -> DataFrame:
     frame = lines.sparkSession.createDataFrame(
         [(p.name, p.start, p.end, p.days) for p in (y, m)],
         "period string, start date, end date, days int")
-    out = _fill(F.broadcast(frame).join(stats, "period", "left"),
+    out = _fill(frame.join(stats, "period", "left"),
                 {"sales", "orders", "items", "ly_sales", "ly_orders", "ly_items"})
     diff, rate = delta("sales", "ly_sales")
     return out.select("period", "start", "end", "sales", "orders", "items", "ly_sales", "ly_orders",
                       "ly_items", diff.cast("bigint").alias("diff"), rate.alias("rate"),
-                      A.daily_average_days(F.col("sales"), F.col("days")).alias("daily_average"))
+                      A.average_over(F.col("sales"), F.col("days")).alias("daily_average"))
 
 
 def store_yoy_panel(lines: DataFrame, as_of: dt.date, stores, key=DEFAULT_KEY) -> DataFrame:
@@ -125,12 +125,12 @@ def store_yoy_panel(lines: DataFrame, as_of: dt.date, stores, key=DEFAULT_KEY) -
     frame = lines.sparkSession.createDataFrame(
         [(s, i, p.name, p.days) for i, s in enumerate(stores) for p in (y, m)],
         "source string, store_seq int, period string, days int")
-    out = _fill(F.broadcast(frame).join(stats, ["source", "period"], "left"),
+    out = _fill(frame.join(stats, ["source", "period"], "left"),
                 {"sales", "orders", "items", "ly_sales", "ly_orders"})
     diff, rate = delta("sales", "ly_sales")
     return out.select("source", "store_seq", "period", "sales", "orders", "ly_sales", "ly_orders",
                       diff.cast("bigint").alias("diff"), rate.alias("rate"),
-                      A.daily_average_days(F.col("sales"), F.col("days")).alias("daily_average"))
+                      A.average_over(F.col("sales"), F.col("days")).alias("daily_average"))
 
 
 def mall_kpi(lines: DataFrame, as_of: dt.date, malls, key=DEFAULT_KEY) -> DataFrame:
@@ -140,7 +140,7 @@ def mall_kpi(lines: DataFrame, as_of: dt.date, malls, key=DEFAULT_KEY) -> DataFr
     stats = kpi_by(tagged, ("mall", "period"), key)
     frame = lines.sparkSession.createDataFrame(
         [(mall, p.name) for mall in malls for p in (y, m)], "mall string, period string")
-    out = F.broadcast(frame).join(stats, ["mall", "period"], "left")
+    out = frame.join(stats, ["mall", "period"], "left")
     return _fill(out.select("mall", "period", "sales", "orders"), {"sales", "orders"})
 
 
@@ -185,7 +185,7 @@ def daily_report_dataset(lines: DataFrame, target: dt.date, key=DEFAULT_KEY) ->
     rows = total.drop("first_seq").unionByName(per, allowMissingColumns=True)
     # every section appears in the total scope, zero-filled (missing year-ago -> zeros)
     frame = lines.sparkSession.createDataFrame([(p.name,) for p in periods], "section string")
-    totals = (F.broadcast(frame).join(rows.filter(F.col("scope") == "total"), "section", "left")
+    totals = (frame.join(rows.filter(F.col("scope") == "total"), "section", "left")
               .withColumn("scope", F.lit("total")))
     stores = rows.filter(F.col("scope") == "store")
     out = totals.unionByName(stores, allowMissingColumns=True)

@@ -11,14 +11,13 @@ Join plan (scale notes)
 * Dimensions are joined LEFT on their primary key, so an adapter without a
   dimension returns exactly the same lines; callers that do not need product
   or store columns skip those joins (``product=False`` / ``store=False``).
-* ``nation ⋈ region`` is fixed-size by definition (25 x 5 rows) and is the only
-  side broadcast by hand.  ``part`` and ``customer`` grow with the data: the
+* ``nation ⋈ region`` is fixed-size by definition (25 x 5 rows).  ``part`` and ``customer`` grow with the data: the
   planner broadcasts them only under ``spark.sql.autoBroadcastJoinThreshold``
   (static estimate) or AQE's runtime size check, and sort-merge joins otherwise.
 * ``orders`` is enriched with its store first (orders-sized join) and then
   joined to ``lineitem`` on the order key, so the line-sized side is shuffled
-  once on ``l_orderkey``; the order-grain aggregates downstream shuffle on the
-  same key.
+  once on ``l_orderkey``.  The order-grain aggregates group by the text number
+  and shuffle again, after combining map-side.
 """
 
 from __future__ import annotations
@@ -43,7 +42,7 @@ def _store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     # nation and region have a fixed row count (25 / 5) at every scale factor.
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left") \
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left") \
         .select("n_nationkey", F.col("n_name").alias("source"), F.col("r_name").alias("mall"))
 
 
