@@ -18,7 +18,10 @@ from ..session import unique_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Entries a task keeps in its word cache before starting afresh (bounds worker memory).
-WORD_CACHE = 300_000
+WORD_CACHE = 100_000
+
+#: Files of a landed table, at most, for each core of the cluster.
+FILES_PER_CORE = 4
 
 _LANDED: list[tuple[SparkSession, str]] = []
 
@@ -27,12 +30,13 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back (cuts lineage).
 
     The folder is the one ``spark.checkpoint.dir`` names, so a lost executor costs only
-    the tasks it was running.  Tables go when ``release`` is called or the driver ends.
+    the tasks it was running.  Partitions merge to a few per core, so that narrow tables do
+    not become thousands of files.  Tables go when ``release`` is called or the driver ends.
     """
     spark = df.sparkSession
     path = unique_dir(spark, f"llm-{label}")
     _LANDED.append((spark, path))
-    df.write.parquet(path)
+    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,9 +62,16 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def word_list(text) -> F.Column:
-    """Words of a text column as an array (NULL text: empty array)."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
+#: Rows (two BIGINTs wide at most) up to which a join broadcasts a counted side, about 40 MB.
+BROADCAST_ROWS = 500_000
+
+
+def beside(df: DataFrame) -> DataFrame:
+    """``df`` for the narrow side of a join: broadcast when a count finds it small, else shuffled.
+
+    Small sides then never make Spark shuffle the texts on the other side.  ``df`` should be a
+    landed table, so that counting it is cheap."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def word_count(text) -> F.Column:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, free_shuffles, landed, mix64
+from .common import WordHash, beside, free_shuffles, landed, mix64
 
 #: Perfect difference sets by modulus (every residue is a difference of two members).
 COVERS = {
@@ -217,7 +217,9 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     numbered = F.row_number().over(Window.partitionBy("first_id").orderBy("seq_key")) - 1
     found = landed(classes.withColumn("part", numbered).withColumnRenamed("first_id", "doc_id")
                    .join(anchors, "class").drop("class"), "found")
-    texts = landed(base.join(found, "doc_id"), "passage-texts")
+    # only the texts that hold a kept anchor are shuffled
+    wanted = landed(found.select("doc_id").distinct(), "wanted")
+    texts = landed(base.join(beside(wanted), "doc_id", "left_semi").join(found, "doc_id"), "passage-texts")
     free_shuffles(spark)
     windows = landed(texts.mapInArrow(_windows(window), "h1 long, h2 long, doc_id long, part int, start int"), "windows")
     firsts = landed(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -228,10 +230,12 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     cut = landed(texts.join(cuts, ["doc_id", "part"]).select("seq_key", "text", "starts")
                  .mapInArrow(_cut(window), "seq_key binary, n_cut long, kept_text string, cut_sha string")
                  .dropDuplicates(["seq_key"]), "cut")
+    # one narrow row per class, joined once: a large class's rows can then be split over tasks
+    verdicts = landed(classes.drop("class").join(cut, "seq_key", "left"), "verdicts")
     free_shuffles(spark)
 
     copy = F.col("first_id") < F.col("doc_id")
-    return (digest.drop("class").join(classes.drop("class"), "seq_key", "left").join(cut, "seq_key", "left")
+    return (digest.drop("class").join(verdicts, "seq_key", "left")
             .select("doc_id", "n_words",
                     F.when(copy, F.col("n_words")).when(F.col("doc_id").isNull(), 0)
                     .otherwise(F.coalesce("n_cut", F.lit(0))).cast("long").alias("n_removed"),
