@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, free_shuffles, landed, shingle_hashes
+from .common import WordHash, beside, free_shuffles, landed, shingle_hashes
 from .components import connected_components
 
 BANDS, ROWS = 24, 5
@@ -179,12 +179,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     bands = landed(bands, "bands")
     leaders = landed(bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
                      .filter("n > 1").drop("n"), "leaders")
-    members = landed(bands.join(leaders, "key"), "members")
+    members = landed(bands.join(beside(leaders), "key"), "members")
     free_shuffles(spark)
     wanted = landed(members.select("id").distinct(), "wanted")
-    texts = base.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
+    texts = base.withColumnRenamed("doc_id", "id").join(beside(wanted), "id", "left_semi")
     sets = texts.mapInArrow(_full_sets(shingle), "id long, shingles binary").dropDuplicates(["id"])
-    feats = landed(sets.join(reps.join(wanted, "id", "left_semi"), "id"), "features")
+    feats = landed(sets.join(reps.join(beside(wanted), "id", "left_semi"), "id"), "features")
     free_shuffles(spark)
 
     # first search: each document and the smallest id it shares a bucket with
@@ -224,12 +224,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     final = (comps.unionByName(merged.join(comps, "id", "left_anti"))
              .join(merged.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left")
              .select(F.col("id").alias("rep"), F.coalesce("top", "component").alias("top")))
-    final = landed(final, "groups")
+    # one narrow row per set, joined once: a large class's rows can then be split over tasks
+    groups = landed(classes.join(final, "rep", "left").select("set_key", F.coalesce("top", "rep").alias("top")), "groups")
     free_shuffles(spark)
-    return (signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-            .join(final, "rep", "left")
+    return (signed.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
             .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "rep", "doc_id")).alias("component_id"))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
@@ -241,10 +241,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, i
     under one id stay while one of them does.  Rows without an id stay.
     """
     found = near_duplicates(docs, shingle, percent, id_col=id_col, text_col=text_col)
-    per_id = landed(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("found_id"))
+    per_id = landed(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__found_id"))
                     .agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept-ids")
-    removed = per_id.filter(~F.col("kept")).select("found_id")
-    repeated = per_id.filter(F.col("kept") & (F.col("n") > 1)).select("found_id")
-    same = docs[id_col].cast("long") == F.col("found_id")
-    once = (docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
-    return docs.join(removed.unionByName(repeated), same, "left_anti").unionByName(once)
+    removed = landed(per_id.filter(~F.col("kept")).select("__found_id"), "removed-ids")
+    repeated = landed(per_id.filter(F.col("kept") & (F.col("n") > 1)).select("__found_id"), "repeated-ids")
+    same = F.col(id_col).cast("long") == F.col("__found_id")
+    once = docs.join(beside(repeated), same, "left_semi").dropDuplicates([id_col, text_col])
+    return (docs.join(beside(removed), same, "left_anti").join(beside(repeated), same, "left_anti")
+            .unionByName(once))
