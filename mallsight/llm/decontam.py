@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import landed
+from .common import beside, landed
 
 #: Size partitions of the items: (most shingles, permutations).  None: all shingles are kept; open end.
 PARTITIONS = ((16, None), (64, 24), (None, 48))
@@ -92,16 +92,16 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: i
     def doc_shingles(df):
         arrays = [shingles("words", k) for k in widths] or [F.array().cast("array<bigint>")]
         return df.select("doc_id", F.size("words").alias("n_words"),
-                         F.explode(F.concat(*arrays) if len(arrays) > 1 else arrays[0]).alias("sh"))
+                         F.explode(F.array_distinct(F.concat(*arrays))).alias("sh"))
 
-    hits = (doc_shingles(worded).join(minima, "sh")
+    hits = (doc_shingles(worded).join(beside(minima), "sh")
             .filter(F.col("n_words") * 100 >= F.col("n") * percent)  # the size rule
             .select("doc_id", "item_id", "sh", "weight", "need").distinct())
     pairs = landed(hits.groupBy("doc_id", "item_id", "need").agg(F.sum("weight").alias("held"))
                    .filter("held >= need").select("doc_id", "item_id"), "candidate-pairs")
     # exact containment of the candidate pairs
-    found = (doc_shingles(worded.join(pairs.select("doc_id").distinct(), "doc_id")).select("doc_id", "sh").distinct()
-             .join(of_item, "sh").join(pairs, ["doc_id", "item_id"])
+    found = (doc_shingles(worded.join(beside(landed(pairs.select("doc_id").distinct(), "candidates")), "doc_id")).select("doc_id", "sh").distinct()
+             .join(beside(of_item), "sh").join(pairs, ["doc_id", "item_id"])
              .groupBy("doc_id", "item_id").agg(F.count("*").alias("shared")))
     return (found.join(sizes, "item_id").filter(F.col("shared") * 100 >= F.col("n") * percent)
             .select("doc_id", "item_id", F.col("n").alias("item_shingles"), "shared"))
@@ -111,5 +111,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, shingle: int = 5, perce
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold an item (columns of ``docs``)."""
     bad = landed(contaminated(docs, items, shingle, percent, id_col=id_col, text_col=text_col)
-                 .select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs[id_col] == bad["bad_id"], "left_anti")
+                 .select(F.col("doc_id").alias("__bad_id")).distinct(), "contaminated")
+    return docs.join(beside(bad), F.col(id_col) == F.col("__bad_id"), "left_anti")
