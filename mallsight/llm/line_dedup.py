@@ -57,9 +57,10 @@ def drop_boilerplate(docs: DataFrame, sites: int = 4, id_col: str = "doc_id", te
     bad = landed(spread_lines(lines, sites), "boilerplate")
     # which texts hold which boilerplate lines: joined by line hash, gathered by text digest
     text_key = F.md5(F.col("text"))
-    held = (base.filter("text is not null").select(text_key.alias("text_key"), one).filter("line <> ''")
-            .select("text_key", *hashed, "line").join(bad, ["h1", "h2"])
-            .groupBy("text_key").agg(F.collect_set("line").alias("bad")))
+    # landed, so that the join below has plain exchanges and a large group of copies can be split
+    held = landed(base.filter("text is not null").select(text_key.alias("text_key"), one).filter("line <> ''")
+                  .select("text_key", *hashed, "line").join(bad, ["h1", "h2"])
+                  .groupBy("text_key").agg(F.collect_set("line").alias("bad")), "held-lines")
     raw = F.split(F.col("text"), "\n")
     keep = F.filter(raw, lambda x: F.col("bad").isNull() | ~F.array_contains("bad", F.btrim(x, F.lit(" \t\r"))))
     return (base.select("doc_id", "text", text_key.alias("text_key")).join(held, "text_key", "left")
