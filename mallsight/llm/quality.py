@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import WORD_CACHE, landed, mix64
 
 #: Documented bound of the training sample: labelled documents, smallest id hashes first.
-TRAIN_DOCS = 3000
+TRAIN_DOCS = 2000
 BUCKETS = 2**17     # a power of two; bucket BUCKETS is that of a word that repeats its predecessor
 DIM, EPOCHS, RATE = 12, 6, 0.6
 GRAMS = (2, 3, 4)
@@ -170,6 +170,18 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
         else Model(np.zeros(BUCKETS + 1, np.float32), 0.0)
 
 
+def _fit_task(batches):
+    """Train in one task on the rows of the sample (in id order); one row with the model."""
+    bags, labels = [], []
+    for batch in batches:
+        for b, s, y in zip(batch.column("buckets"), batch.column("shares"), batch.column("label")):
+            bags.append((np.array(b.values), np.array(s.values)))
+            labels.append(y.as_py())
+    model = fit(bags, np.array(labels, np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])],
+                                     names=["weights", "bias"])
+
+
 def held_out(id_col: Column) -> Column:
     """Rows kept from training: crc32 of the id as text leaves 1 modulo 3 (NULL ids: not held out)."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -180,8 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_
     """Fit on at most ``train_docs`` labelled documents that are not held out.
 
     The sample is the documents of smallest id hash, the same on every run; of repeated labels
-    the smallest counts, NULL labels and ids are left out.  The driver receives the sample's
-    feature shares (at most ``BUCKETS`` numbers a document), never its texts.
+    the smallest counts, NULL labels and ids are left out.  Features are computed where the
+    texts are; one task trains on them, and the driver receives the model alone.
     """
     known = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -192,9 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")) \
         .join(F.broadcast(sample), "doc_id")
     found = texts.mapInArrow(_bags, "doc_id long, label int, buckets array<int>, shares array<float>")
-    table = found.toArrow().sort_by("doc_id")
-    bags = [(np.asarray(b.values), np.asarray(s.values)) for b, s in zip(table["buckets"], table["shares"])]
-    return fit(bags, np.asarray(table["label"]))
+    row = (found.repartition(1).sortWithinPartitions("doc_id", "buckets")
+           .mapInArrow(_fit_task, "weights binary, bias double").first())
+    return Model(np.frombuffer(row.weights, np.float32), row.bias) if row else fit([], np.empty(0, np.int64))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "quality", train_docs: int = TRAIN_DOCS,
