@@ -29,6 +29,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0",
 }
+EVERY_LINE = "\n"
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice)([-._].*)?$"
 
 
@@ -51,9 +52,11 @@ def notices(files: DataFrame, templates: dict[str, str], percent: int) -> DataFr
     lines = (files.select("path", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
              .select("path", "line_no", terms_of(F.col("line")).alias("terms")).filter(F.size("terms") > 0)
              .select("path", "line_no", F.size("terms").alias("n_terms"), F.array_intersect("terms", words).alias("known")))
-    seen = landed(lines.select(F.explode("known").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-                  .unionByName(lines.agg(F.count("*").alias("n")).select(F.lit("\n").alias("term"), "n")), "term-lines")
-    total = int(seen.filter(F.col("term") == "\n").first().n)
+    # one pass counts the lines of every known term and, under a term no line has, all lines
+    seen = landed(lines.select(F.explode(F.concat("known", F.array(F.lit(EVERY_LINE)))).alias("term"))
+                  .groupBy("term").agg(F.count("*").alias("n")), "term-lines")
+    counted = seen.filter(F.col("term") == EVERY_LINE).first()
+    total = counted.n if counted else 0
     idf = lambda n: F.log((F.lit(1.0) + total) / (F.lit(1.0) + n)) + 1.0
     weight = (of_template.select("term").distinct().join(seen, "term", "left")
               .select("term", idf(F.coalesce("n", F.lit(0)).cast("double")).alias("idf")))
