@@ -1,16 +1,16 @@
 """MinHash near-duplicate detection with sequential Bayesian verification.
 
 1. One pass turns each text into its set of word shingles, a digest of that set and a
-   MinHash signature; documents with equal sets collapse to one representative.
-2. Signature bands bucket the representatives.  Members of a bucket are candidates.
+   MinHash signature; documents with equal sets collapse to one class, named by the set.
+2. Signature bands bucket the classes.  Members of a bucket are candidates.
 3. Candidates are compared in signature batches.  After each batch a pair is dropped when
    the posterior probability that its similarity reaches the threshold (uniform prior,
    Beta posterior) falls below ``miss``.  Survivors are confirmed on their full sets.
-4. Buckets never expand into all pairs.  First each document meets the smallest id of its
+4. Buckets never expand into all pairs.  First each class meets the smallest one of its
    buckets (a star), the links found contract to components, and only buckets that still
    hold several components are searched again: members outside the bucket's main component
    against all members, in blocks of bounded size.
-5. Connected components of the links give the groups.
+5. Connected components of the links give the groups, named by their smallest document id.
 
 Misses: with 24 bands of 5 values two texts at similarity 0.85 share no bucket with
 probability 8e-7 and at 0.8 with 7e-5; pruning adds ``miss`` per batch.
@@ -87,9 +87,9 @@ def _full_sets(k: int):
     def run(batches):
         shingles = _sets(k)
         for batch in batches:
-            out = [shingles(t.as_py()).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(out, pa.binary())],
-                                             names=["id", "shingles"])
+            out = [s.tobytes() for s in map(shingles, (t.as_py() for t in batch.column("text"))) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in out], pa.binary()),
+                                              pa.array(out, pa.binary())], names=["set_key", "shingles"])
     return run
 
 
@@ -167,12 +167,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     signed = landed(base.mapInArrow(_sign(shingle), SIGNED), "signed")
-    # equal sets: one representative each
+    # equal sets: one class each, named ``id`` by its set (a document id may stand for several classes)
+    name = F.xxhash64("set_key").alias("id")
     classes = landed(signed.filter("doc_id is not null and set_key is not null")
-                     .groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
+                     .groupBy("set_key").agg(F.min("doc_id").alias("rep")).select("set_key", name, "rep"), "classes")
     reps = (signed.select("doc_id", "set_key", "sig")
-            .join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
-            .select(F.col("doc_id").alias("id"), "sig").dropDuplicates(["id"]))
+            .join(classes.select(F.col("rep").alias("doc_id"), "set_key", "id"), ["doc_id", "set_key"])
+            .select("id", "sig").dropDuplicates(["id"]))
     bands = reps.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("band", "key"))
@@ -182,12 +183,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     members = landed(bands.join(beside(leaders), "key"), "members")
     free_shuffles(spark)
     wanted = landed(members.select("id").distinct(), "wanted")
-    texts = base.withColumnRenamed("doc_id", "id").join(beside(wanted), "id", "left_semi")
-    sets = texts.mapInArrow(_full_sets(shingle), "id long, shingles binary").dropDuplicates(["id"])
+    holders = landed(classes.join(beside(wanted), "id", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "holders")
+    texts = base.join(beside(holders), "doc_id", "left_semi")
+    sets = (texts.mapInArrow(_full_sets(shingle), "set_key binary, shingles binary")
+            .select(name, "shingles").dropDuplicates(["id"]))
     feats = landed(sets.join(reps.join(beside(wanted), "id", "left_semi"), "id"), "features")
     free_shuffles(spark)
 
-    # first search: each document and the smallest id it shares a bucket with
+    # first search: each class and the smallest class it shares a bucket with
     star = landed(members.filter("id <> leader").groupBy("id").agg(F.min("leader").alias("leader")), "star")
     salted = star.select(F.col("leader").alias("g1"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("g2"), "id")
     rows = (salted.select("g1", "g2", F.lit(0).alias("role"), "id")
@@ -223,9 +226,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     merged = connected_components(contracted)
     final = (comps.unionByName(merged.join(comps, "id", "left_anti"))
              .join(merged.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left")
-             .select(F.col("id").alias("rep"), F.coalesce("top", "component").alias("top")))
+             .select("id", F.coalesce("top", "component").alias("top")))
+    # components of classes take their smallest document id only now
+    linked = landed(final.join(classes.select("id", "rep"), "id"), "linked-classes")
+    firsts = landed(linked.groupBy("top").agg(F.min("rep").alias("first")), "first-documents")
+    linked = linked.join(beside(firsts), "top").select("id", "first")
     # one narrow row per set, joined once: a large class's rows can then be split over tasks
-    groups = landed(classes.join(final, "rep", "left").select("set_key", F.coalesce("top", "rep").alias("top")), "groups")
+    groups = landed(classes.join(linked, "id", "left").select("set_key", F.coalesce("first", "rep").alias("top")), "groups")
     free_shuffles(spark)
     return (signed.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
             .select("doc_id", "n_shingles",

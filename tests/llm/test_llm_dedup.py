@@ -64,6 +64,15 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dedup.near_duplicates(docs_df(spark, []), 3, 85).count() == 0
 
 
+def test_near_duplicates_of_different_texts_under_one_id(spark):
+    """Both texts of id 1 stand for a class; each keeps its own links."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "alone")]
+    got = near_dedup.near_duplicates(docs_df(spark, rows), 3, 85).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     rows = [(1, "a b c d e f"), (2, "A b c d e f"), (2, "other text of some words here"), (3, "x"), (3, "x"), (None, "x"), (4, None)]
     docs = docs_df(spark, rows)
