@@ -32,7 +32,9 @@ def spread_lines(lines: DataFrame, sites: int) -> DataFrame:
     often = landed(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= sites)
                    .select("h1", "h2"), "frequent-lines")
     seen = lines.join(often, ["h1", "h2"])
-    sketches = landed(seen.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
+    # sketches ignore empty texts, so they take a hash of the site; '' is a site, NULL is none
+    site = F.when(F.col("site").isNotNull(), F.xxhash64("site"))
+    sketches = landed(seen.groupBy("h1", "h2").agg(F.hll_sketch_agg(site, LG_K).alias("sketch"))
                       .select("h1", "h2", F.hll_sketch_estimate("sketch").alias("estimate")), "site-spread")
     near = sketches.filter(F.col("estimate").between(low, high)).select("h1", "h2")
     exact = (lines.join(near, ["h1", "h2"]).filter(F.col("site").isNotNull()).select("h1", "h2", "site").distinct()

@@ -157,6 +157,12 @@ def test_line_spread(spark):
     assert line_dedup.drop_boilerplate(docs_df(spark, [])).count() == 0
 
 
+def test_line_spread_counts_an_empty_site(spark):
+    rows = [(i, f"shared\nown {i}", s) for i, s in enumerate(["a", "b", "c", ""])]
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs_df(spark, rows), sites=4).collect()}
+    assert got == {i: f"own {i}" for i in range(4)}
+
+
 def test_line_spread_beyond_the_exact_band(spark):
     """400 sites: the sketch alone decides; just below and at the threshold the exact count does."""
     rows = [(i, "on all\n" + ("on 49\n" if i < 49 else "") + ("on 50" if i < 50 else "none"), f"s{i}") for i in range(400)]
