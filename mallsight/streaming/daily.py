@@ -24,6 +24,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import ntz, parse_offset_time
 from ..operators.flatten import parse_once
@@ -93,6 +94,24 @@ class LateRowsError(RuntimeError):
     """Rows arrived after their day was closed and were left out of the totals."""
 
 
+#: Batches whose progress Spark keeps during a run, at least; it is read every second.
+RETAINED = 1000
+
+
+def _late_rows(q: StreamingQuery, retained: int) -> int:
+    """Waits for ``q`` and sums the rows that the watermark dropped over all of its batches."""
+    late: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(1)
+        seen = {p.batchId: sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in q.recentProgress}
+        if seen and (min(seen) > max(late) + 1 if late else len(seen) >= retained):
+            q.stop()
+            raise LateRowsError("batches ran faster than their progress was read: late rows are not known")
+        late.update(seen)
+    return sum(late.values())
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -112,18 +131,21 @@ def run_daily_totals(spark: SparkSession, source: str, sink: str, checkpoint: st
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+    retention = "spark.sql.streaming.numRecentProgressUpdates"
+    retained = max(int(spark.conf.get(retention, "100")), RETAINED)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, retention: str(retained)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         q = (daily_totals_stream(stream, watermark).writeStream
              .outputMode("append").format("parquet")
              .option("path", sink).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-        q.awaitTermination()
+        late = _late_rows(q, retained)
     finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
-    late = sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if late and not allow_late:
         raise LateRowsError(f"{late} rows came after their day was closed and are not in the totals")
     return spark.read.parquet(sink)

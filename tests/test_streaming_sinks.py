@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import os
 
+import pytest
 from conftest import lines_df
 from mallsight import sinks as S
 from mallsight.operators import aggregates as A
 from mallsight.operators.flatten import flatten_r
 from mallsight.sources.readers import read_order_json, read_snapshot
 from mallsight.streaming import run_daily_totals
+from mallsight.streaming.daily import LateRowsError
 
 
 def _doc(num, day, units=(1,), seq=0, status=100):
@@ -84,3 +87,20 @@ def test_stream_appends_newly_closed_days_on_rerun(spark, tmp_path):
     (src / "b3.json").write_text(json.dumps(_doc("e", 12, seq=4)))            # a later landing
     again = run_daily_totals(spark, str(src), sink, ckpt, max_files_per_trigger=1)
     assert sorted(r.date.day for r in again.collect()) == [1, 2, 5, 9]        # day 9 now closed, once
+
+
+def test_stream_counts_late_rows_of_batches_no_longer_retained(spark, tmp_path):
+    src = tmp_path / "landing"
+    src.mkdir()
+    days = [1, 9, 10, 1, 11, 12]  # the fourth batch is late; its progress is gone at the end
+    for n, day in enumerate(days):
+        f = src / f"b{n}.json"
+        f.write_text(json.dumps(_doc(f"o{n}", day, seq=n)))
+        os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
+    keep = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(keep, "1")
+    try:
+        with pytest.raises(LateRowsError):
+            run_daily_totals(spark, str(src), str(tmp_path / "sink"), str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    finally:
+        spark.conf.unset(keep)
