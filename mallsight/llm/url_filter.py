@@ -3,7 +3,7 @@
 A URL becomes a set of tokens (scheme, host labels, path segments, query names).  Spark's
 FP-growth mines the token combinations that go along with the block label; combinations
 with enough support and confidence become rules, which match through an inverted index from
-token to rule.  Explicit rules come first.  Only DataFrame functions and Spark ML run.
+their rarest token.  Explicit rules come first.  Only DataFrame functions and Spark ML run.
 """
 
 from __future__ import annotations
@@ -60,33 +60,44 @@ def tokens_of(url: Column) -> Column:
         marked("q:", F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)))))
 
 
-def mine_block_rules(labelled: DataFrame, min_pages: int, min_permille: int, min_percent: int,
-                     max_tokens: int) -> DataFrame:
-    """``(tokens, pages, blocked)`` of the mined rules from ``labelled(tokens, block)``.
+def _fires(rule: str, tokens: str) -> Column:
+    return F.size(F.array_except(rule, tokens)) == 0
 
-    A rule is a set of up to ``max_tokens`` tokens that at least ``min_pages`` labelled pages
-    and ``min_permille`` per mille of them carry along with the block label, and of whose
-    pages at least ``min_percent`` % are blocked.
+
+def mine_block_rules(labelled: DataFrame, min_pages: int, min_permille: int, min_percent: int) -> DataFrame:
+    """``(tokens, pages, blocked, token)`` of the mined rules from ``labelled(tokens, block)``.
+
+    A rule is a set of any number of tokens that at least ``min_pages`` labelled pages and
+    ``min_permille`` per mille of them carry along with the block label, and of whose pages at
+    least ``min_percent`` % are blocked.  Rules that hold a smaller rule are left out: the
+    smaller one fires wherever they do.  ``token`` is the rule's rarest token.
     """
     marked = landed(labelled.select(F.when(F.col("block"), F.concat("tokens", F.array(F.lit(BLOCKED))))
                                     .otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0), "transactions")
     n = marked.count()
     least = max(min_pages, -(-n * min_permille // 1000))
     if n < least:
-        return marked.sparkSession.createDataFrame([], "tokens array<string>, pages long, blocked long")
+        return marked.sparkSession.createDataFrame([], "tokens array<string>, pages long, blocked long, token string")
     # FP-growth rounds support * n up; half a page less keeps the count whole
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(marked)
-    sets = landed(model.freqItemsets.filter(F.size("items") <= max_tokens + 1)
-                  .select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    sets = landed(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     both = (sets.filter(F.array_contains("items", BLOCKED) & (F.size("items") > 1))
             .select(F.array_remove("items", BLOCKED).alias("items"), F.col("freq").alias("blocked")))
-    return (both.join(sets.withColumnRenamed("freq", "pages"), "items")
-            .filter(F.col("blocked") * 100 >= F.col("pages") * min_percent)
-            .select(F.col("items").alias("tokens"), "pages", "blocked"))
+    found = landed(both.join(sets.withColumnRenamed("freq", "pages"), "items")
+                   .filter(F.col("blocked") * 100 >= F.col("pages") * min_percent)
+                   .select(F.xxhash64("items").alias("rule_id"), F.col("items").alias("tokens"), "pages", "blocked"), "found-rules")
+    single = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    held = found.select("rule_id", F.explode("tokens").alias("token"))
+    rarest = held.join(single, "token").groupBy("rule_id").agg(F.min_by("token", F.struct("freq", "token")).alias("token"))
+    keyed = landed(found.join(rarest, "rule_id"), "keyed-rules")
+    smaller = keyed.select("token", F.col("tokens").alias("part"))
+    larger = (found.select("rule_id", "tokens", F.explode("tokens").alias("token")).join(smaller, "token")
+              .filter((F.size("part") < F.size("tokens")) & _fires("part", "tokens")).select("rule_id").distinct())
+    return keyed.join(larger, "rule_id", "left_anti").select("tokens", "pages", "blocked", "token")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], min_pages: int = 5, min_permille: int = 1,
-          min_percent: int = 80, max_tokens: int = 2, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+          min_percent: int = 80, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``(page_id, host, path, rule, verdict, mined)`` for every row of ``pages``.
 
     ``labels(id, block)`` says which page ids are known to be blocked; ids may repeat (a page
@@ -99,11 +110,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], min_pages:
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     known = labels.filter("id is not null and block is not null").select(F.col("id").alias("page_id"), "block")
     mined = landed(mine_block_rules(base.join(known, "page_id").select(tokens_of(url).alias("tokens"), "block"),
-                                    min_pages, min_permille, min_percent, max_tokens), "url-rules")
-    index = mined.select(F.xxhash64("tokens").alias("rule_id"), F.size("tokens").alias("needs"), F.explode("tokens").alias("token"))
-    fired = (base.select("url").filter("url is not null").distinct().select("url", F.explode(tokens_of(url)).alias("token"))
-             .join(index, "token").groupBy("url", "rule_id", "needs").agg(F.count("*").alias("has"))
-             .filter("has = needs").select("url").distinct().withColumn("mined", F.lit(True)))
+                                    min_pages, min_permille, min_percent), "url-rules")
+    # a rule meets the URLs that hold its rarest token
+    fired = (base.select("url").filter("url is not null").distinct()
+             .select("url", tokens_of(url).alias("of_url")).select("url", "of_url", F.explode("of_url").alias("token"))
+             .join(mined.select("token", "tokens"), "token").filter(_fires("tokens", "of_url"))
+             .select("url").distinct().withColumn("mined", F.lit(True)))
     host, path = host_of(url), path_of(url)
     rule, verdict = explicit_rule(F.col("host"), F.col("path"), rules)
     return (base.join(fired, "url", "left")

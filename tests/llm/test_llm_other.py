@@ -256,6 +256,29 @@ def test_urls(spark):
     assert {r.verdict for r in url_filter.judge(pages, labels.limit(0), rules).filter("page_id >= 100").collect()} == {"allow"}
 
 
+def test_mined_rules_of_every_length(spark):
+    """Mined verdicts against all subsets of the tokens; one block rule needs three tokens."""
+    import itertools
+    triple = [("bad", "win", "ref")]
+    halves = [("bad", "win", "x"), ("bad", "y", "ref"), ("z", "win", "ref")]
+    rows = [(f"http://{h}/{p}?{q}=1&n{i}=2", (h, p, q) in triple) for i in range(12) for h, p, q in triple + halves]
+    rows += [(f"http://h{i % 3}/p{i % 2}?q{i % 5}", i % 7 < 3) for i in range(60)]
+    rows += [("http://bad/win?new=1", None), ("http://bad/win?new=1&ref=2", None)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows) if b is not None], "id long, block boolean")
+    got = {r.page_id: r.mined for r in url_filter.judge(pages, labels, {}).collect()}
+    tokens = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_filter.tokens_of(F.col("url")).alias("t")).collect()}
+    n_pages, blocked = {}, {}
+    for i, (_, b) in enumerate(rows):
+        for k in range(1, len(tokens[i]) + 1) if b is not None else ():
+            for s in itertools.combinations(sorted(tokens[i]), k):
+                n_pages[s] = n_pages.get(s, 0) + 1
+                blocked[s] = blocked.get(s, 0) + b
+    rules = [set(s) for s, n in n_pages.items() if blocked[s] >= 5 and blocked[s] * 100 >= n * 80]
+    assert got == {i: any(r <= tokens[i] for r in rules) for i in tokens}
+    assert got[len(rows) - 1] and not got[len(rows) - 2] and min(map(len, rules)) == 3
+
+
 def test_word_hash_cache_is_bounded(monkeypatch):
     from mallsight.llm import common
     monkeypatch.setattr(common, "WORD_CACHE", 10)
