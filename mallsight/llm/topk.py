@@ -22,7 +22,7 @@ from .common import landed
 QUERY_BLOCK, CANDIDATE_BLOCK = 2048, 16384
 #: Segments per vector, coarse to fine.
 LEVELS = (2, 8)
-#: Rows scored exactly first, for a starting threshold.
+#: Rows scored exactly first, for a starting threshold (``k`` of them if that is more).
 SEED_ROWS = 64
 #: Scores saturate at the BIGINT range.
 LONG = 2**63 - 1
@@ -68,10 +68,9 @@ def search_block(q_ids, q, x_ids, x, k: int):
         sq = [segment_stats(q, s) for s in LEVELS]
     for i, qid in enumerate(q_ids.tolist()):
         left = np.flatnonzero(x_ids != qid)
-        if exact and len(left) > SEED_ROWS:
-            head = left[:SEED_ROWS]
-            seed = np.sort(x[head] @ q[i])[::-1]
-            floor = seed[min(k, len(seed)) - 1]
+        if exact and len(left) > max(SEED_ROWS, k):
+            head = left[:max(SEED_ROWS, k)]
+            floor = np.sort(x[head] @ q[i])[::-1][k - 1]
             for a, b in zip(sx, sq):
                 bound = a[left] @ b[i]
                 left = left[bound * (1 + 1e-9) + np.abs(bound).max(initial=0) * 1e-9 + 1e-6 >= floor]

@@ -279,6 +279,19 @@ def test_mined_rules_of_every_length(spark):
     assert got[len(rows) - 1] and not got[len(rows) - 2] and min(map(len, rules)) == 3
 
 
+def test_topk_of_more_than_the_seed_rows():
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.normal(size=(400, 32)) * 1024)
+    x *= np.linspace(0.2, 3, 400)[:, None].round(1)
+    x = np.floor(x)
+    q, ids = np.floor(rng.normal(size=(5, 32)) * 1024), np.arange(400)
+    found = topk.search_block(np.arange(1000, 1005), q, ids, x, 100)
+    for i in range(5):
+        scores = x @ q[i]
+        want = [(1000 + i, int(j), int(scores[j])) for j in np.lexsort((ids, -scores))[:100]]
+        assert [f for f in found if f[0] == 1000 + i] == want
+
+
 def test_word_hash_cache_is_bounded(monkeypatch):
     from mallsight.llm import common
     monkeypatch.setattr(common, "WORD_CACHE", 10)
