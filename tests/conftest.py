@@ -6,9 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,12 +16,3 @@ def spark():
                              "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="mallsight-wh-")})
     yield s
     s.stop()
-
-
-def lines_df(spark, rows):
-    """Canonical order lines from partial dicts (missing columns -> NULL)."""
-    from mallsight.functions.time import with_time_parts
-    from mallsight.schema import ORDER_LINE, ORDER_LINE_COLUMNS
-    full = [tuple(r.get(c) for c in ORDER_LINE_COLUMNS) for r in rows]
-    df = spark.createDataFrame(full, ORDER_LINE)
-    return with_time_parts(df).select(*ORDER_LINE_COLUMNS)

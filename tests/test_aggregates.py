@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import lines_df
+from order_lines import lines_df
 from mallsight.operators import aggregates as A
 from mallsight.operators.grain import STORE_KEY
 from mallsight.plans import reports as RP

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from order_lines import lines_df
 from mallsight import sinks as S
 from mallsight.functions.money import clean_int
 from mallsight.functions.time import parse_offset_time

@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import SF_SMALL
+from order_lines import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

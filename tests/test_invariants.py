@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from order_lines import SF_MID
 from mallsight.operators import aggregates as A
 from mallsight.sources.adapters import event_lines, star_lines
 

@@ -3,7 +3,7 @@
 import datetime as dt
 import json
 
-from conftest import lines_df
+from order_lines import lines_df
 from mallsight.plans import jobs as J
 from mallsight.sources import csv_export as C
 from mallsight.sources.readers import R_ORDER_LANDED, read_table_or_empty

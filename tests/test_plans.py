@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from order_lines import SF_SMALL
 
 
 def _plan(df):

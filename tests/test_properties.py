@@ -11,7 +11,7 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import lines_df
+from order_lines import lines_df
 from mallsight.operators import aggregates as A
 
 DAYS = [dt.datetime(2024, 1, d, h) for d in (1, 2, 3) for h in (0, 13)] + [None]

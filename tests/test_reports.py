@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL, lines_df
+from order_lines import SF_SMALL, lines_df
 from mallsight.plans import reports as RP
 from mallsight.plans import windows as W
 from mallsight.sources.adapters import star_lines

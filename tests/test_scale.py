@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from order_lines import SF_SMALL
 from mallsight.operators import aggregates as A
 from mallsight.sources.adapters import star_lines
 

@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import lines_df
+from order_lines import lines_df
 from mallsight import sinks as S
 from mallsight.operators import aggregates as A
 from mallsight.operators.flatten import flatten_r
