@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import docs_df, near_dup_components, passages_removed, shingle_set, words
+from llm_helpers import docs_df, near_dup_components, passages_removed, shingle_set, words
 from pyspark.sql import functions as F
 
 from mallsight.llm import components, line_dedup, near_dedup, substring

@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import docs_df, shard_statement, words
+from llm_helpers import docs_df, shard_statement, words
 from pyspark.sql import functions as F
 
 from mallsight.llm import decontam, licenses, mixing, quality, sharding, topk, url_filter

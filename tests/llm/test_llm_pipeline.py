@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from helpers import docs_df, near_dup_components, shard_statement, words
+from llm_helpers import docs_df, near_dup_components, shard_statement, words
 
 import corpus_pipeline as P
 from mallsight.llm import quality, queries
