@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontam, licenses, line_dedup, mixing, near_dedup, quality, sharding, substring, topk, url_filter,
+    conversation_trie, decontam, divergence, licenses, line_dedup, mixing, near_dedup, quality, secrets, sharding, substring, topk,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,3 +281,65 @@ FROM p LEFT JOIN fired USING (url)""")
 def op9_url_filter(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("block"))
     return url_filter.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
+@query("op11_secret_scan")
+def op11_secret_scan(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("spans", lambda s: s.kind != "novel")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+@query("op12_conversation_trie", oracle=rf"""
+WITH RECURSIVE t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS i
+      FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (SELECT list(c ORDER BY n) AS t FROM (
+   SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+   FROM range(256) r(n))),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, CAST(xor(list_reduce(list_prepend(4294967295, list_transform(range(length(CAST(conv_id AS VARCHAR))),
+        lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i + 1, 1)) AS BIGINT))), lambda x, b: xor(x // 256, bits.t[xor(x % 256, b) + 1])), 4294967295) AS BIGINT) % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM t), bits),
+turns AS (SELECT c.conv_id, 0 AS part, t.i, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+          UNION ALL SELECT c.conv_id, 1, t.i, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS d FROM turns),
+seq(conv_id, d, pre, text) AS (SELECT conv_id, CAST(0 AS BIGINT), sha256(''), '' FROM c
+  UNION ALL SELECT s.conv_id, r.d, sha256(concat(s.pre, '|', length(r.role), ':', r.role, r.text)), r.text FROM seq s JOIN r ON r.conv_id = s.conv_id AND r.d = s.d + 1),
+m AS (SELECT s.*, min(s.conv_id) OVER (PARTITION BY s.d, s.pre) AS node, max(s.d) OVER (PARTITION BY s.conv_id) AS last FROM seq s),
+up AS (SELECT m.*, p.node AS parent FROM m LEFT JOIN m p ON p.conv_id = m.conv_id AND p.d = m.d - 1),
+n AS (SELECT node AS conv_id, d AS depth, min(parent) AS parent_conv_id, count(*) AS n_convs,
+             (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(min(text), '{W}')) END AS saved,
+             sha256(coalesce(string_agg(CAST(up.conv_id AS VARCHAR), ',' ORDER BY up.conv_id) FILTER (WHERE d = last), '')) AS ends_sha256
+      FROM up GROUP BY 1, 2),
+k AS (SELECT n.*, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.parent_conv_id = n.conv_id) AS n_children FROM n),
+above AS (SELECT DISTINCT a.node AS conv_id, a.d AS depth, b.node AS below, b.d AS below_depth FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.d >= a.d),
+s AS (SELECT a.conv_id, a.depth, count(*) FILTER (WHERE k.n_children = 0) AS n_leaves, sum(k.saved) AS saved_tokens
+      FROM above a JOIN k ON k.conv_id = a.below AND k.depth = a.below_depth GROUP BY 1, 2)
+SELECT conv_id, depth, parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM k JOIN s USING (conv_id, depth)""")
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_source_divergence", oracle=rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+lt AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+gt AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN lt USING (lang, term) GROUP BY 1, 2, 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM lt GROUP BY 1),
+g AS (SELECT x.lang, x.source, coalesce(sum(gt.n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN gt USING (lang, source) GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, lt.term, coalesce(gt.n, 0) AS n, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(gt.n, 0) + 1)) // (CAST(g.total AS HUGEINT) + l.v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (lt.n + 1)) // (CAST(l.total AS HUGEINT) + l.v) AS q
+      FROM g JOIN l USING (lang) JOIN lt USING (lang) LEFT JOIN gt USING (lang, source, term)),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+       FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pv.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""")
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
