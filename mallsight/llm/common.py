@@ -26,17 +26,18 @@ FILES_PER_CORE = 4
 _LANDED: list[tuple[SparkSession, str]] = []
 
 
-def landed(df: DataFrame, label: str) -> DataFrame:
+def landed(df: DataFrame, label: str, merge: bool = True) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back (cuts lineage).
 
     The folder is the one ``spark.checkpoint.dir`` names, so a lost executor costs only
     the tasks it was running.  Partitions merge to a few per core, so that narrow tables do
-    not become thousands of files.  Tables go when ``release`` is called or the driver ends.
+    not become thousands of files; with ``merge`` off the plan's own partitions are written, whose
+    size does not grow with the table.  Tables go when ``release`` is called or the driver ends.
     """
     spark = df.sparkSession
     path = unique_dir(spark, f"llm-{label}")
     _LANDED.append((spark, path))
-    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    (df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism) if merge else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -98,7 +98,7 @@ def _terms(groups: DataFrame, kept: DataFrame, top: int) -> DataFrame:
     cells = (kept.groupBy(*GROUP, "n", "lang_n").agg(F.count("*").alias("terms")).join(groups, GROUP)
              .select(*GROUP, "n", "lang_n", "terms", share("n", "total", "kept").alias("p"), share("lang_n", "lang_total", "kept").alias("q"))
              .filter("p > q").select(*GROUP, "n", "lang_n", "terms", excess("p", "q").alias("value")))
-    cells = landed(cells, "count-cells")
+    cells = landed(cells, "count-cells", merge=False)
     falling = Window.partitionBy(*GROUP).orderBy(F.col("value").desc())
     # a class holds a term at least, so the first ``top`` classes of a group are enough
     classes = (cells.groupBy(*GROUP, "value").agg(F.sum("terms").alias("terms"))
@@ -126,10 +126,10 @@ def audit(docs: DataFrame, min_docs: int = 3, top: int = 200, text_col: str = "t
     Other columns are ignored.  Sums stay in BIGINT below 8 * 10^9 kept terms a language.
     """
     base = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    counted = landed(term_counts(base, ("lang", "source")), "group-terms")
+    counted = landed(term_counts(base, ("lang", "source")), "group-terms", merge=False)
     in_lang = landed(counted.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-                     .filter(F.col("docs") >= min_docs).drop("docs"), "lang-terms")
-    kept = landed(counted.drop("docs").join(in_lang, ["lang", "term"]), "kept-terms")
+                     .filter(F.col("docs") >= min_docs).drop("docs"), "lang-terms", merge=False)
+    kept = landed(counted.drop("docs").join(in_lang, ["lang", "term"]), "kept-terms", merge=False)
     of_lang = in_lang.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     of_group = kept.groupBy(*GROUP).agg(F.sum("n").alias("total"))
     groups = landed(base.select(*GROUP).distinct().join(of_group, GROUP, "left").join(of_lang, "lang", "left")

@@ -25,6 +25,9 @@ LOCAL = 16_384
 
 
 def _rank_locally(batches):
+    batches = list(batches)
+    if not batches:
+        return
     rows = pa.Table.from_batches(batches)
     a, after, dist = (rows.column(c).to_numpy().copy() for c in range(3))
     order = np.argsort(a)

@@ -3,7 +3,7 @@
 Base spans come from three patterns.  Beyond them, a string that stands close behind a sensitive
 word is a candidate.  Its *marginal size* is what it adds to a zstandard frame primed with the
 corpus' identifiers and the text around the candidate: names, paths and prose are made of pieces
-and letters the compressor has seen, keys are not.  A candidate that costs more than a byte for
+and letters the compressor has seen, keys are not.  A candidate that costs a whole byte for
 every byte is reported as ``novel``.
 
 The identifier dictionary is counted over all texts (letter runs, lower-cased, in two documents
@@ -40,7 +40,7 @@ LETTER = re.compile("[A-Za-z]")
 #: the code points before and after it that prime the compressor.
 REACH, LEAST, AROUND = 64, 16, 2048
 #: Marginal bytes for each byte of a candidate from which it is novel.
-NOVEL = 1.1
+NOVEL = 1.0
 #: Compression level: the fastest that still finds the primed pieces.
 LEVEL = 3
 DICTIONARY_BYTES, DICTIONARY_WORDS = 64 << 10, 16_384
