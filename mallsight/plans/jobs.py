@@ -26,9 +26,12 @@ def _docs_in(raw_docs: DataFrame, start: dt.datetime, end: dt.datetime,
 
 def run_daily_job(lines: DataFrame, as_of: dt.date, table: str,
                   raw_docs: DataFrame | None = None, raw_dir: str | None = None) -> bool:
-    """RPT9: yesterday's daily totals appended to ``table``; the day's raw documents to JSON."""
+    """RPT9: yesterday's daily totals appended to ``table``; the day's raw documents to JSON.
+
+    The day is the run key: running the job again replaces the day's row (``sinks.append_run``).
+    """
     s, e = W.previous_day(as_of)
-    wrote = S.append_table(RP.daily_job(lines, as_of), table)
+    wrote = S.append_run(RP.daily_job(lines, as_of), table, run=s.date().isoformat())
     if raw_docs is not None and raw_dir is not None:
         S.write_json(_docs_in(raw_docs, s, e), f"{raw_dir}/{S.stamp('orders', dt.datetime.combine(as_of, dt.time()))}")
     return wrote

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ..operators import aggregates as A
 from ..operators.flatten import flatten_m, flatten_r, flatten_y, m_nodes_from_pages
@@ -530,6 +532,10 @@ def snk2_json_roundtrip(spark, sf_dir):
     return spark.read.schema(og.schema).json(path)
 
 
+DAILY_TABLE = _parse_datatype_string("date string, order_count bigint, total_sales bigint, gross_sales bigint, "
+                                     "coupon_total bigint, item_count bigint")
+
+
 @query("snk4_append_daily_job", oracle=f"""
 SELECT strftime(date, '%Y-%m-%d') AS date, order_count, total_sales, gross_sales, coupon_total, item_count
 FROM ({ORACLE['agg2_daily_sales']})
@@ -544,10 +550,53 @@ def snk4_append_daily_job(spark, sf_dir):
     lines = star_lines(spark, sf_dir, product=False, store=False)
     for as_of in (dt.date(1998, 6, 15), dt.date(1998, 6, 16)):
         append_table(daily_job(lines, as_of), target)      # an empty day appends nothing
-    schema = "date string, order_count bigint, total_sales bigint, gross_sales bigint, " \
-             "coupon_total bigint, item_count bigint"
-    from pyspark.sql.types import _parse_datatype_string
-    return R.read_parquet_or_empty(spark, target, _parse_datatype_string(schema))
+    return R.read_parquet_or_empty(spark, target, DAILY_TABLE)
+
+
+_ALL_DAYS = f"""
+SELECT strftime(date, '%Y-%m-%d') AS date, order_count, total_sales, gross_sales, coupon_total, item_count
+FROM ({ORACLE['agg2_daily_sales']})"""
+
+
+@query("snk4_append_twice", oracle=f"""{_ALL_DAYS}
+WHERE date BETWEEN DATE '1998-06-12' AND DATE '1998-06-15'""")
+def snk4_append_twice(spark, sf_dir):
+    """RPT9 + SNK4: four days' jobs, the middle two run again (one of them first on half the lines): a row a day."""
+    from ..plans.jobs import run_daily_job
+    from ..session import unique_dir
+    from ..sinks import ROWS
+    from ..sinks.published import read_published
+    from ..sources.adapters import star_lines
+    target = unique_dir(spark, "daily_ledger")
+    lines = star_lines(spark, sf_dir, product=False, store=False)
+    for day, seen in ((13, lines), (14, lines), (15, lines.filter("ingest_seq % 2 = 0")), (14, lines), (15, lines), (16, lines)):
+        run_daily_job(seen, dt.date(1998, 6, day), target)
+    return read_published(spark, target, ROWS, schema=DAILY_TABLE)
+
+
+@query("snk3_versioned_publish", oracle=f"""
+SELECT 2 AS version, 'daily' AS name, date, order_count, total_sales FROM ({_ALL_DAYS})
+UNION ALL SELECT 2, 'monthly', month, order_count, total_sales FROM ({ORACLE['agg3_monthly_sales']})
+UNION ALL SELECT 1, 'daily', date, order_count, total_sales FROM ({_ALL_DAYS}) WHERE date < '1996-01-01'
+UNION ALL SELECT 1, 'monthly', month, order_count, total_sales FROM ({ORACLE['agg3_monthly_sales']}) WHERE month < '1996-01'""")
+def snk3_versioned_publish(spark, sf_dir):
+    """SNK3 + SNK5: two tables published together, replaced by a second commit; both versions read back.
+
+    A third publish of empty tables leaves them as they are."""
+    from functools import reduce
+
+    from ..session import unique_dir
+    from ..sinks.published import publish, read_published, versions
+    from ..sources.adapters import star_lines
+    root = unique_dir(spark, "published")
+    lines = star_lines(spark, sf_dir, product=False, store=False)
+    for part in (lines.filter("order_datetime < TIMESTAMP_NTZ '1996-01-01 00:00:00'"), lines, lines.limit(0)):
+        publish(spark, root, {"daily": A.daily_sales(part), "monthly": A.monthly_sales(part)})
+    daily, monthly = ((name, c) for name, c in (("daily", "date"), ("monthly", "month")))
+    return reduce(DataFrame.unionByName, [
+        read_published(spark, root, name, version=v).select(F.lit(v).alias("version"), F.lit(name).alias("name"), F.col(c).alias("date"),
+                                                            "order_count", "total_sales")
+        for v in versions(spark, root) for name, c in (daily, monthly)])
 
 
 @query("snk5_summary_bundle", oracle=ORACLE.get("rpt7_summary_table"))
@@ -556,12 +605,13 @@ def snk5_summary_bundle(spark, sf_dir):
     from ..plans.reports import weekly_job
     from ..session import unique_dir
     from ..sinks import SUMMARY_TABLES, summary_bundle
+    from ..sinks.published import read_published
     from ..sources.adapters import star_lines
     from .params import STAR_AS_OF
     t = weekly_job(star_lines(spark, sf_dir), STAR_AS_OF, dt.datetime(1998, 6, 16, 6, 0, 0))
     root = unique_dir(spark, "summary_bundle")
     summary_bundle(t["daily"], t["monthly"], t["products"], t["summary"], root)
-    return spark.read.parquet(f"{root}/{SUMMARY_TABLES[3]}")
+    return read_published(spark, root, SUMMARY_TABLES[3])
 
 
 # ------------------------------------------------------------------ SRC2

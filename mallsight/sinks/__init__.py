@@ -63,33 +63,72 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def overwrite_table(df: DataFrame, target: str, dates_as_text: bool = True) -> bool:
     """SNK3: replace a named table (or parquet path); an empty input keeps the old contents.
 
-    The plan runs once, into a staging folder; staged rows then replace the
-    target, or are discarded when there are none.  Returns whether anything was
-    written.
+    The plan runs once, into a folder of its own.  At a path the old folder is moved aside, the new
+    one in, and the old one deleted last; if moving in fails, the old one moves back.  (Readers
+    that must never find the path empty use ``published.publish``.)  A named table is switched to
+    the new folder by its catalog entry; the version before stays on disk until the next
+    overwrite.  Returns whether anything was written.
     """
-    from ..session import unique_dir
     spark = df.sparkSession
-    out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
     path = spark._jvm.org.apache.hadoop.fs.Path
-    staging = target.rstrip("/") + f"__staging_{uuid.uuid4().hex[:8]}" if _is_path(target) else unique_dir(spark, "staging")
-    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    named = not _is_path(target)
+    home = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{target.replace('.', '_')}__versions" if named else ""
+    new = f"{home}/{uuid.uuid4().hex}" if named else target.rstrip("/") + f"__new_{uuid.uuid4().hex[:8]}"
+    fs = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
     try:
-        out.write.parquet(staging)
+        out.write.parquet(new)
         if not rows.get["n"]:
+            fs.delete(path(new), True)
             return False
-        if _is_path(target):
-            fs.delete(path(target), True)
-            if not fs.rename(path(staging), path(target)):
-                raise OSError(f"cannot move {staging} to {target}")
-        else:
-            spark.read.parquet(staging).write.mode("overwrite").saveAsTable(target)
-        return True
-    finally:
-        fs.delete(path(staging), True)
+    except BaseException:
+        fs.delete(path(new), True)
+        raise
+    if named:
+        _switch_location(spark, target, new, home)
+    else:
+        _swap_folders(fs, path, new, target.rstrip("/"))
+    return True
+
+
+def _swap_folders(fs, path, new: str, target: str) -> None:
+    """Move ``new`` to ``target``; what was there is deleted only after that, or moved back."""
+    old = target + f"__old_{uuid.uuid4().hex[:8]}"
+    had = fs.exists(path(target))
+    if had and not fs.rename(path(target), path(old)):
+        raise OSError(f"cannot move {target} aside; the new rows are in {new}")
+    if not fs.rename(path(new), path(target)):
+        if had:
+            fs.rename(path(old), path(target))
+        raise OSError(f"cannot move {new} to {target}; the old rows are in place, the new ones in {new}")
+    if had:
+        fs.delete(path(old), True)
+
+
+def _switch_location(spark, table: str, new: str, home: str) -> None:
+    """Point a catalog table at folder ``new`` and drop its versions but this one and the one before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = ""
+    if spark.catalog.tableExists(table):
+        before = next((r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name == "Location"), "")
+        if [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in spark.read.parquet(new).schema]:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+        else:  # another schema needs another entry; the rows are on disk already
+            spark.sql(f"DROP TABLE {table}")
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{new}'")
+    spark.catalog.refreshTable(table)
+    for s in fs.listStatus(path(home)):
+        name = s.getPath().getName()
+        if name != new.rsplit("/", 1)[1] and name != before.rstrip("/").rsplit("/", 1)[-1]:
+            fs.delete(s.getPath(), True)
 
 
 def append_table(df: DataFrame, target: str, dates_as_text: bool = True) -> bool:
-    """SNK4: append rows in one execution; empty input adds no rows.  Returns whether there were any."""
+    """SNK4: append rows in one execution; empty input adds no rows.  Returns whether there were any.
+
+    Running it again adds the rows again; ``append_run`` does not."""
     out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
     w = out.write.mode("append")
     if _is_path(target):
@@ -99,20 +138,47 @@ def append_table(df: DataFrame, target: str, dates_as_text: bool = True) -> bool
     return rows.get["n"] > 0
 
 
+#: Table name under which a root that holds one published table keeps it.
+ROWS = "rows"
+
+
+def append_run(df: DataFrame, target: str, run: str, dates_as_text: bool = True) -> bool:
+    """SNK4: append the rows of run ``run``; running it again replaces that run's rows.
+
+    A path holds a published table ``rows`` (one part a run, one commit a write).  A named table
+    is partitioned by ``run``, and only the run's own partition is overwritten.  An empty input
+    leaves the table as it is.  Returns whether there were any rows.
+    """
+    spark = df.sparkSession
+    if _is_path(target):
+        from .published import publish
+        return publish(spark, target, {ROWS: df}, run=run, dates_as_text=dates_as_text)[ROWS]
+    from ..session import unique_dir
+    out, rows = _counted(_dates_as_text(df) if dates_as_text else df)
+    staged, key = unique_dir(spark, "run"), run.replace("\\", "\\\\").replace("'", "\\'")
+    out.write.parquet(staged)
+    if not rows.get["n"]:
+        return False
+    part = spark.read.parquet(staged)
+    if not spark.catalog.tableExists(target):
+        part.withColumn("run", F.lit(run)).write.partitionBy("run").saveAsTable(target)
+    else:
+        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION (run = '{key}') SELECT * FROM {{part}}", part=part)
+    return True
+
+
 # Names of the four summary tables.
 SUMMARY_TABLES = ("日別売上", "月別売上", "商品別売上", "サマリー")
 
 
 def summary_bundle(daily: DataFrame, monthly: DataFrame, products: DataFrame, kv: DataFrame,
                    target_dir: str) -> dict[str, bool]:
-    """SNK5: daily, monthly, top-50 products and the key/value summary as four tables."""
-    names = dict(zip(("daily", "monthly", "products", "summary"), SUMMARY_TABLES))
-    return {
-        names["daily"]: overwrite_table(daily, f"{target_dir}/{names['daily']}"),
-        names["monthly"]: overwrite_table(monthly, f"{target_dir}/{names['monthly']}"),
-        names["products"]: overwrite_table(products.limit(50), f"{target_dir}/{names['products']}"),
-        names["summary"]: overwrite_table(kv, f"{target_dir}/{names['summary']}"),
-    }
+    """SNK5: daily, monthly, top-50 products and the key/value summary, published in one commit.
+
+    Readers (``published.read_published``) see the four tables of one run, never of two."""
+    from .published import publish
+    frames = (daily, monthly, products.limit(50), kv)
+    return publish(daily.sparkSession, target_dir, dict(zip(SUMMARY_TABLES, frames)))
 
 
 def export_csvs(daily: DataFrame, products: DataFrame, lines: DataFrame, target_dir: str) -> list[str]:

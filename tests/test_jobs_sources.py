@@ -4,7 +4,9 @@ import datetime as dt
 import json
 
 from order_lines import lines_df
+from mallsight import sinks as S
 from mallsight.plans import jobs as J
+from mallsight.sinks.published import read_published
 from mallsight.sources import csv_export as C
 from mallsight.sources.readers import R_ORDER_LANDED, read_table_or_empty
 
@@ -30,7 +32,8 @@ def test_daily_job_appends_and_saves_raw(spark, tmp_path):
     table = str(tmp_path / "daily")
     assert J.run_daily_job(_lines(spark), dt.date(2024, 5, 16), table, _docs(spark), str(tmp_path / "raw"))
     assert not J.run_daily_job(_lines(spark), dt.date(2024, 5, 2), table)          # empty day: no-op
-    rows = spark.read.parquet(table).collect()
+    assert J.run_daily_job(_lines(spark), dt.date(2024, 5, 16), table)             # again: the day's row is replaced
+    rows = read_published(spark, table, S.ROWS).collect()
     assert [(r.date, r.order_count, r.item_count) for r in rows] == [("2024-05-15", 2, 4)]
     raw = spark.read.json(str(tmp_path / "raw" / "orders_20240516_000000"))
     assert sorted(r.orderNumber for r in raw.collect()) == ["o1", "o2"]
