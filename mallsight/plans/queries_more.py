@@ -226,16 +226,59 @@ _QUOTED = """'"' || item_name || '", x' || chr(10) || ' y '"""
 
 @query("src13_quoted_fields", oracle=f"""
 SELECT order_number, {_QUOTED} AS item_name, quantity, unit_price, total_price
-FROM ({star_lines_sql(drop_cancelled=False)}) WHERE ingest_seq % 9 = 0""")
+FROM ({star_lines_sql(drop_cancelled=False)})""")
 def src13_quoted_fields(spark, sf_dir):
-    """SRC13: names with quotes, commas, line breaks and blanks in a cp932 export."""
-    def build():
-        lines = star_lines(spark, sf_dir, drop_cancelled=False).filter("ingest_seq % 9 = 0")
-        return D.csv_export(lines.withColumn("item_name", F.concat(F.lit('"'), "item_name", F.lit('", x\n y '))), 0)
-    path = land(spark, sf_dir, "csv_quoted", build, lambda df, p: C.write_export(df, p))
+    """SRC13: names with quotes, commas, line breaks and blanks in a cp932 export of all lines."""
+    path = land(spark, sf_dir, "csv_quoted", lambda: _quoted_export(spark, sf_dir), lambda df, p: C.write_export(df, p))
+    return C.parse_order_csv(spark, path).select("order_number", "item_name", "quantity", "unit_price", "total_price")
+
+
+def _quoted_export(spark, sf_dir) -> DataFrame:
+    lines = star_lines(spark, sf_dir, drop_cancelled=False)
+    return D.csv_export(lines.withColumn("item_name", F.concat(F.lit('"'), "item_name", F.lit('", x\n y '))), 0)
+
+
+@query("src13_split_quoted", oracle=f"""
+SELECT order_number, {_QUOTED} AS item_name, quantity, unit_price, total_price
+FROM ({star_lines_sql(drop_cancelled=False)})""")
+def src13_split_quoted(spark, sf_dir):
+    """SRC13: all lines in one file with line breaks inside fields, read in byte ranges by many tasks."""
+    path = land(spark, sf_dir, "csv_one_file", lambda: _quoted_export(spark, sf_dir).coalesce(1), lambda df, p: C.write_export(df, p))
     return C.parse_order_csv(spark, path).select("order_number", "item_name", "quantity", "unit_price", "total_price")
 
 
+@query("src13_mixed_headers", oracle=f"""
+SELECT order_number, item_name, quantity, unit_price, total_price FROM ({star_lines_sql(drop_cancelled=False)})""")
+def src13_mixed_headers(spark, sf_dir):
+    """SRC13 + PRJ10: one folder whose files order and name their columns differently, in two charsets."""
+    def save(lines, path):
+        for i, (layout, turned) in enumerate(((0, False), (0, True), (1, True))):
+            df = D.csv_export(lines.filter(F.col("ingest_seq") % 3 == i), layout)
+            if turned:
+                df = df.select(*[F.col(c).alias(c.lstrip(C.BOM)) for c in reversed(df.columns)])
+                df = df.withColumnRenamed(df.columns[0], C.BOM + df.columns[0]) if layout == 1 else df
+            df.write.mode("append").options(**C.CSV_EXACT, header=True, encoding=D.CSV_LAYOUTS[layout][0]).csv(path)
+    path = land(spark, sf_dir, "csv_mixed_headers", lambda: star_lines(spark, sf_dir, drop_cancelled=False), save)
+    return C.parse_order_csv(spark, path).select("order_number", "item_name", "quantity", "unit_price", "total_price")
+
+
+@query("src1_json_array_file", oracle=f"""
+SELECT {", ".join(_CMP_COLS)} FROM ({_BASE})""")
+def src1_json_array_file(spark, sf_dir):
+    """SRC1: all order documents as one indented JSON array in one file, read in byte ranges by many tasks."""
+    from ..sources.split_records import read_json_objects
+
+    def build():
+        docs = D.r_documents(spark, sf_dir)
+        first = docs.agg(F.min("_ingest_seq").alias("first"))
+        rows = docs.crossJoin(F.broadcast(first)).select(  # one row, the opening bracket's place
+            F.col("_ingest_seq").alias("at"), F.concat(F.when(F.col("_ingest_seq") == F.col("first"), "[").otherwise(","),
+                                                       F.to_json(F.struct(*docs.columns), {"pretty": "true"})).alias("value"))
+        return rows.unionByName(spark.range(1).select(F.lit(2**62).alias("at"), F.lit("]").alias("value"))).orderBy("at").select("value")
+    path = land(spark, sf_dir, "r_array", build, lambda df, p: df.coalesce(1).write.mode("overwrite").text(p))
+    return flatten_r(read_json_objects(spark, path, R.R_ORDER_LANDED)[0]).select(*_CMP_COLS)
+
+
 @query("snk6_file_roundtrip", oracle=f"""{_CSV_KEEP_LAST}
 SELECT {_CSV_COLS} FROM last""")
 def snk6_file_roundtrip(spark, sf_dir):

@@ -10,15 +10,17 @@ across imports.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.money import clean_int
 from ..functions.time import ntz, parse_lenient_time
 from ..schema import IMPORTED_ORDER
-from ..sinks import CSV_EXACT
-from .readers import CORRUPT, _empty, corrupt_rows, path_exists, well_formed
+from ..sinks import CSV_EXACT, materialize
+from .readers import _empty, path_exists
+from .split_records import csv_records, field_count, pieces
 
 # Accepted header names per canonical column, in precedence order.
 HEADER_ALIASES = {
@@ -53,129 +55,144 @@ def write_export(df: DataFrame, path: str, encoding: str = "windows-31j") -> str
     return path
 
 
-# without column pruning every row's field count is checked, whatever columns are used
-_READ = CSV_EXACT | {"header": "true", "multiLine": "true", "mode": "PERMISSIVE", "columnPruning": "false"}
+@contextmanager
+def _lenient_decoding(spark: SparkSession):
+    """Expressions analysed inside accept cp932 and turn undecodable bytes into U+FFFD; the session is left as it was."""
+    flags = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    before = {f: spark.conf.get(f, None) for f in flags}
+    for f in flags:
+        spark.conf.set(f, "true")
+    try:
+        yield
+    finally:
+        for f, v in before.items():
+            spark.conf.unset(f) if v is None else spark.conf.set(f, v)
+
+
+_UTF8 = "UTF-8"
+#: Field parser: RFC 4180, blanks kept, an empty field is NULL.
+_FIELDS = CSV_EXACT | {"mode": "PERMISSIVE"}
+
+
+def _fields(text, n: int):
+    """The first ``n`` fields of a record as an array (absent ones NULL)."""
+    schema = ", ".join(f"c{i} string" for i in range(n))
+    row = F.from_csv(text, F.lit(schema), _FIELDS)
+    return F.array(*[row[f"c{i}"] for i in range(n)])
+
+
+def _export_rows(spark: SparkSession, path, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """(records, files) of an export: every file by its own header and its own charset.
+
+    ``records``: ``file, file_name, position, value, header, n_fields, fields`` of the records below
+    the headers.  ``files``: one row a file, ``file, bad, header, n_fields``.  A file is UTF-8 (undecodable bytes dropped)
+    when its bytes are not valid in ``encoding``.  Files are read in byte ranges by many tasks
+    (``split_records``); one pass finds charsets and headers, one reads the records.
+    """
+    lines = pieces(spark, path, "\n")
+    raw = F.col("piece").cast("binary")
+    declared_utf8 = encoding.upper().replace("-", "") == "UTF8"
+    with _lenient_decoding(spark):
+        bad = F.lit(False) if declared_utf8 else F.max(F.decode(raw, encoding).contains("\ufffd"))
+        ranges = lines.groupBy("file", "block").agg(bad.alias("bad"), F.min("pos").alias("first"),
+                                                    F.min_by(F.when(F.col("block") == 0, raw), "pos").alias("head"))
+        ranges = materialize(ranges, "csv_ranges")  # one row a byte range
+
+        def decoded(b):
+            if declared_utf8:
+                return F.decode(b, _UTF8)
+            return F.when(F.col("bad"), F.replace(F.decode(b, _UTF8), F.lit("\ufffd"), F.lit(""))).otherwise(F.decode(b, encoding))
+        files = ranges.groupBy("file").agg(F.max("bad").alias("bad"), F.max("head").alias("head"))
+        files = files.withColumn("head", F.regexp_replace(decoded(F.col("head")), f"^{BOM}|\r$", ""))
+        n = files.agg(F.max(field_count(F.col("head")))).first()[0] or 1
+        files = materialize(files.select("file", "bad", _fields(F.col("head"), n).alias("header"), field_count(F.col("head")).alias("n_fields"))
+                            .withColumn("header", F.slice("header", F.lit(1), F.col("n_fields"))), "csv_files")
+        records = (csv_records(lines).join(ranges.select("file", "block", "first"), ["file", "block"]).join(files, "file")
+                   .filter((F.col("block") > 0) | (F.col("pos") > F.col("first")))
+                   .withColumn("value", F.regexp_replace(decoded(F.col("text").cast("binary")), "\r$", "")))
+    # a byte range has no more lines than bytes, so this rises through the file
+    position = F.col("block") + F.col("pos") - F.col("first")
+    records = records.select("file", "file_name", position.alias("position"), "value", "header", "n_fields", _fields(F.col("value"), n).alias("fields"))
+    return records, files
+
+
+def _right_width():
+    return field_count(F.col("value")) == F.col("n_fields")
 
 
 def read_raw_export(spark: SparkSession, path, encoding: str = "windows-31j") -> DataFrame:
-    """SRC13/SRC15: an export as all-text columns, header from the file; the well-formed rows."""
+    """SRC13/SRC15: an export as all-text columns, header from the files; the well-formed rows."""
     return read_raw_export_checked(spark, path, encoding)[0]
 
 
 def read_raw_export_checked(spark: SparkSession, path, encoding: str = "windows-31j") -> tuple[DataFrame, DataFrame]:
     """SRC13/SRC15: (well-formed rows as text columns, rows with a wrong number of fields).
 
-    RFC 4180: fields in double quotes may hold commas, doubled quotes and line
-    breaks; blanks are kept.  The second frame has ``value`` (the row's text) and
-    ``file_name``.  ``path`` is one path or a list.  A file is one task (line
-    breaks inside fields), so exports are cut into files of moderate size.
-    Sets ``spark.sql.legacy.javaCharsets`` in the session: Spark accepts cp932
-    only with it.
+    RFC 4180: fields in double quotes may hold commas, doubled quotes and line breaks; blanks are
+    kept, empty fields are NULL.  Columns are matched by each file's own header, so files may order
+    them differently; a column that a file lacks is NULL there.  Columns come in the order of the
+    first file that has them.  The second frame has ``value`` (the row's text) and ``file_name``.
+    ``path`` is one path or a list.
     """
-    _enable_legacy_charsets(spark)
-    head = spark.read.options(**_READ).option("encoding", encoding).option("inferSchema", False).csv(path)
-    # a UTF-8 byte-order mark can survive on the first header name
-    names = [c.lstrip(BOM) for c in head.columns]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(schema).options(**_READ).option("encoding", encoding)
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    return well_formed(raw, names[0]), corrupt_rows(raw, names[0])
+    records, files = _export_rows(spark, path, encoding)
+    names = (files.select("file", F.posexplode("header").alias("at", "name")).groupBy("name").agg(F.min(F.struct("file", "at")).alias("seen"))
+             .orderBy("seen").collect())  # column names only
+    raw = records.filter(_right_width()).select(*[_named(r.name).alias(r.name) for r in names])
+    return raw, records.filter(~_right_width()).select("value", "file_name")
 
 
-def canonicalize(raw: DataFrame) -> DataFrame:
-    """PRJ10-PRJ14: canonical columns, cleaned numbers, defaults, net sales.
+def _named(column: str):
+    """The field under a header name, NULL when the file has no such column."""
+    return F.get("fields", (F.array_position("header", column) - 1).cast("int"))
 
-    Raises ``ValueError`` at plan time when a required column is missing.
-    """
-    present = set(raw.columns)
-    found = {k: [a for a in v if a in present] for k, v in HEADER_ALIASES.items()}
-    missing = [k for k in REQUIRED if not found[k]]
+
+def _require(missing: list[str], where: str = "") -> None:
     if missing:
-        raise ValueError(f"required columns missing: {missing}")
-
-    def pick(k):
-        return F.coalesce(*[F.col(f"`{a}`") for a in found[k]]) if found[k] else None
-
-    number = {k: clean_int(pick(k)) for k in ("quantity", "unit_price", "subtotal", "total_price",
-                                              "use_point", "coupon_discount") if found[k]}
-    qty = number.get("quantity", F.lit(1).cast("bigint"))          # absent column -> 1 (D20)
-    unit = number.get("unit_price", F.lit(0).cast("bigint"))
-    sub = number.get("subtotal", unit * qty)
-    point = number.get("use_point", F.lit(0).cast("bigint"))
-    coupon = number.get("coupon_discount", F.lit(0).cast("bigint"))
-    if "total_price" in number:
-        total = number["total_price"]
-        net = total - point - coupon
-    else:
-        total = F.lit(None).cast("bigint")
-        net = sub
-    return raw.select(
-        pick("order_number").alias("order_number"),
-        parse_lenient_time(pick("order_date")).alias("order_date"),
-        (pick("item_name") if found["item_name"] else F.lit(UNKNOWN_ITEM)).alias("item_name"),
-        qty.alias("quantity"), unit.alias("unit_price"), sub.alias("subtotal"),
-        total.alias("total_price"), point.alias("use_point"), coupon.alias("coupon_discount"),
-        net.alias("order_net_sales"), F.lit(CSV_SOURCE).alias("source"),
-        # position inside the file, for keep-last between rows of one import
-        F.col("_metadata.file_name").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"))
-
-
-def _strip_replacement_chars(df: DataFrame) -> DataFrame:
-    # UTF-8 decoding "ignoring errors": undecodable bytes vanish instead of
-    # leaving U+FFFD behind.
-    return df.select(*[F.regexp_replace(F.col(f"`{c}`"), "\ufffd", "").alias(c) for c in df.columns])
-
-
-def undecodable_files(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    """Files under ``path`` whose bytes are not valid in ``encoding`` (the decoder left U+FFFD).
-
-    One aggregation over the text; the driver receives file names only.
-    """
-    _enable_legacy_charsets(spark)
-    lines = (spark.read.schema("value string").option("sep", "\u0001").option("quote", "")
-             .option("encoding", encoding).csv(path))
-    hits = lines.filter(F.col("value").contains("\ufffd")).select(F.col("_metadata.file_path").alias("f")).distinct()
-    return sorted(r.f for r in hits.collect())
+        raise ValueError(f"required columns missing{where}: {missing}")
 
 
-def _all_files(spark: SparkSession, path: str) -> list[str]:
-    return sorted(r.f for r in spark.read.text(path).select(F.col("_metadata.file_path").alias("f")).distinct().collect())
+def _canonical(text, has) -> list:
+    """PRJ10-PRJ14: canonical columns, cleaned numbers, defaults, net sales.
+
+    ``text(name)`` is the field under a header name, ``has(k)`` whether the file has any of the
+    accepted names of canonical column ``k``.
+    """
+    pick = {k: F.coalesce(*[text(a) for a in v]) for k, v in HEADER_ALIASES.items()}
+
+    def number(k, absent):
+        return F.when(has(k), clean_int(pick[k])).otherwise(absent)
+    qty = number("quantity", F.lit(1).cast("bigint"))              # absent column -> 1 (D20)
+    unit = number("unit_price", F.lit(0).cast("bigint"))
+    sub = number("subtotal", unit * qty)
+    point = number("use_point", F.lit(0).cast("bigint"))
+    coupon = number("coupon_discount", F.lit(0).cast("bigint"))
+    total = number("total_price", F.lit(None).cast("bigint"))
+    net = F.when(has("total_price"), total - point - coupon).otherwise(sub)
+    return [pick["order_number"].alias("order_number"), parse_lenient_time(pick["order_date"]).alias("order_date"),
+            F.when(has("item_name"), pick["item_name"]).otherwise(F.lit(UNKNOWN_ITEM)).alias("item_name"),
+            qty.alias("quantity"), unit.alias("unit_price"), sub.alias("subtotal"), total.alias("total_price"),
+            point.alias("use_point"), coupon.alias("coupon_discount"), net.alias("order_net_sales"), F.lit(CSV_SOURCE).alias("source")]
 
 
 def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
     """SRC13 + PRJ10-PRJ14: decode with ``encoding``, else UTF-8 ignoring bad bytes.
 
-    Every file is decided by its content: files that are not valid in the
-    declared encoding are read as UTF-8.  Rows with a wrong number of fields are
-    left to ``quarantined_rows``.
+    Every file is read by its own header and decided by its own content: files that are not valid
+    in the declared encoding are read as UTF-8.  Rows with a wrong number of fields are left to
+    ``quarantined_rows``.  A file without a required column raises ``ValueError``.
     """
-    parts = [canonicalize(raw) for raw, _ in _decoded(spark, path, encoding)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    records, files = _export_rows(spark, path, encoding)
+    lacks = [F.when(~F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k]))), F.lit(k)) for k in REQUIRED]
+    short = files.select("file", F.array_compact(F.array(*lacks)).alias("missing")).filter(F.size("missing") > 0).first()
+    if short is not None:
+        _require(short.missing, f" in {short.file}")
+    has = lambda k: F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k])))
+    return records.filter(_right_width()).select(*_canonical(_named, has), F.col("file_name").alias("_file"), F.col("position").alias("_pos"))
 
 
 def quarantined_rows(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
     """SRC13: rows of an export with a wrong number of fields (``value``, ``file_name``)."""
-    parts = [bad for _, bad in _decoded(spark, path, encoding)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _decoded(spark: SparkSession, path: str, encoding: str) -> list[tuple[DataFrame, DataFrame]]:
-    if encoding.upper().replace("-", "") == "UTF8":
-        return [read_raw_export_checked(spark, path, encoding)]
-    other = undecodable_files(spark, path, encoding)
-    if not other:
-        return [read_raw_export_checked(spark, path, encoding)]
-    good = [f for f in _all_files(spark, path) if f not in set(other)]
-    raw, bad = read_raw_export_checked(spark, other, "UTF-8")
-    raw = _strip_replacement_chars(raw).toDF(*[c.replace("\ufffd", "") for c in raw.columns])
-    return ([read_raw_export_checked(spark, good, encoding)] if good else []) + [(raw, bad)]
+    return _export_rows(spark, path, encoding)[0].filter(~_right_width()).select("value", "file_name")
 
 
 # File name pattern of saved imports.
@@ -210,25 +227,18 @@ def load_saved_csv(spark: SparkSession, root: str, start=None, end=None) -> Data
     """
     from ..operators.grain import keep_last
     cols = [f.name for f in IMPORTED_ORDER.fields if f.name not in ("import_id", "row_seq", "file_name")]
-    by_header: dict[tuple, list[str]] = {}
-    for path in _saved_imports(spark, root):       # one header line each
-        by_header.setdefault(tuple(read_raw_export(spark, path, "UTF-8").columns), []).append(path)
-    typed = None
-    for header, paths in by_header.items():
-        raw = read_raw_export(spark, paths, "UTF-8")
-        text = lambda c: F.col(c) if c in header else F.lit(None).cast("string")  # noqa: B023, E731
-        imp = F.regexp_extract(F.col("_metadata.file_path"), r"/(yahoo_orders_[^/]+)\.csv(?:/|$)", 1)
-        part = raw.select(
-            text("order_number").alias("order_number"), parse_lenient_time(text("order_date")).alias("order_date"),
-            text("item_name").alias("item_name"),
-            *[clean_int(text(c)).alias(c) for c in ("quantity", "unit_price", "subtotal")],
-            text("total_price").try_cast("bigint").alias("total_price"),
-            *[clean_int(text(c)).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
-            text("source").alias("source"), imp.alias("import_id"), F.col("_metadata.file_name").alias("file_name"),
-            F.monotonically_increasing_id().alias("row_seq"))
-        typed = part if typed is None else typed.unionByName(part)
-    if typed is None:
+    paths = _saved_imports(spark, root)
+    if not paths:
         return _empty(spark, IMPORTED_ORDER).select(*cols)
+    text = _named
+    typed = _export_rows(spark, paths, "UTF-8")[0].filter(_right_width()).select(
+        text("order_number").alias("order_number"), parse_lenient_time(text("order_date")).alias("order_date"),
+        text("item_name").alias("item_name"),
+        *[clean_int(text(c)).alias(c) for c in ("quantity", "unit_price", "subtotal")],
+        text("total_price").try_cast("bigint").alias("total_price"),
+        *[clean_int(text(c)).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
+        text("source").alias("source"), F.regexp_extract("file", r"/(yahoo_orders_[^/]+)\.csv(?:/|$)", 1).alias("import_id"),
+        "file_name", F.col("position").alias("row_seq"))
     last = keep_last(typed, ("order_number", "item_name"), ("import_id", "file_name", "row_seq"),
                      columns=["order_number", "item_name", *[c for c in cols if c not in
                                                              ("order_number", "item_name")]])
