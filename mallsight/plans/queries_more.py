@@ -24,6 +24,7 @@ from ..sources.landing import land, landed_path
 from ..sources.tables import read_table
 from .catalog import ORACLE, query
 from .params import STAR_AS_OF
+from .queries_core import MTD
 from .queries_reports import _CLI_E, _CLI_END, _CLI_S, _CLI_START, _MJ_E, _MJ_S, _UPDATED, _WK_E, _WK_S, _window_where
 from .queries_sources import _CMP_COLS, _CSV_COLS, _CSV_KEEP_LAST, _IMPORTS, landed_csv_export
 
@@ -105,6 +106,44 @@ def agg14_colliding_numbers(spark, sf_dir):
     return A.total_and_store_stats(refetched_lines(spark, sf_dir))
 
 
+# ------------------------------------------------------------------ day states
+_PERIODS = ((MTD.start, MTD.end), (dt.date(1997, 1, 1), dt.date(1997, 12, 31)), (dt.date(1992, 1, 1), dt.date(1999, 12, 31)),
+            (dt.date(1998, 6, 15), dt.date(1998, 6, 15)))
+
+
+def _landed_states(spark, sf_dir) -> str:
+    from ..operators.day_states import write_day_states
+    return land(spark, sf_dir, "day_states", lambda: refetched_lines(spark, sf_dir), write_day_states)
+
+
+def _over_periods(name: str, columns: str) -> str:
+    parts = []
+    for i, (s, e) in enumerate(_PERIODS):
+        sql = _over(name, _REFETCHED)
+        for old, new in ((MTD.start, s), (MTD.end, e)):
+            sql = sql.replace(f"DATE '{old}'", f"DATE '{new}'")
+        parts.append(f"SELECT {i} AS period, {columns} FROM ({sql})")
+    return " UNION ALL ".join(parts)
+
+
+@query("agg10_from_day_states", oracle=_over_periods("agg10_period_kpi", "sales, orders, items"))
+def agg10_from_day_states(spark, sf_dir):
+    """AGG10: four periods of the re-fetched data from published day states; no line is read for them."""
+    from ..operators import day_states as S
+    root = _landed_states(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [S.period_kpi(spark, root, s, e).select(F.lit(i).alias("period"), "sales", "orders", "items")
+                                          for i, (s, e) in enumerate(_PERIODS)])
+
+
+@query("agg11_from_day_states", oracle=_over_periods("agg11_source_kpi", "source, sales, orders"))
+def agg11_from_day_states(spark, sf_dir):
+    """AGG11: the same periods per store, deduplicated inside each store."""
+    from ..operators import day_states as S
+    root = _landed_states(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [S.period_kpi(spark, root, s, e, ("source",)).select(F.lit(i).alias("period"), "source", "sales", "orders")
+                                          for i, (s, e) in enumerate(_PERIODS)])
+
+
 # ------------------------------------------------------------------ per-store time tables
 def _store_first(lines_sql: str) -> str:
     return f"""WITH lines AS ({lines_sql}),
@@ -182,24 +221,26 @@ _XML = "<OrderInfo><OrderId>{0}</OrderId><OrderTime>{1}</OrderTime><Pay><TotalPr
 
 
 @query("src9_xml_reasons", oracle="""
-SELECT 'error_response' AS reason, 'too many requests for ' || n_name AS error, 1 AS documents FROM nation
-UNION ALL SELECT 'error_response', 'Unknown error', count(*) FROM nation
-UNION ALL SELECT 'unparsed', NULL, count(*) FROM nation
-UNION ALL SELECT 'bad_time', NULL, count(*) FROM nation
-UNION ALL SELECT 'bad_amount', NULL, count(*) FROM nation
-UNION ALL SELECT 'line', NULL, 2 * count(*) FROM nation""")
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 7 AS fault FROM orders)
+SELECT 'error_response' AS reason, 'too many requests for ' || k AS error, 1 AS documents FROM o WHERE fault = 0
+UNION ALL SELECT * FROM (SELECT 'error_response', 'Unknown error', count(*) AS n FROM o WHERE fault = 1
+  UNION ALL SELECT 'unparsed', NULL, count(*) FROM o WHERE fault = 2
+  UNION ALL SELECT 'bad_time', NULL, count(*) FROM o WHERE fault = 3
+  UNION ALL SELECT 'bad_amount', NULL, count(*) FROM o WHERE fault = 4
+  UNION ALL SELECT 'line', NULL, count(*) FROM o WHERE fault > 4) WHERE n > 0""")
 def src9_xml_reasons(spark, sf_dir):
-    """SRC7 + SRC9 + PRJ6: nested and namespaced errors, broken XML, bad values; other roots, empty items."""
-    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    """SRC7 + SRC9 + PRJ6: one document an order key, each with one kind of fault by its key.
+
+    Nested and namespaced errors, broken XML, bad values; other roots, empty items."""
+    n = read_table(spark, sf_dir, "orders", ["o_orderkey"]).withColumnRenamed("o_orderkey", "k")
     order = lambda time="19980101120000", amount="500", items="": F.format_string(
-        _XML.replace("{0}", "%s").replace("{1}", time).replace("{2}", amount).replace("{3}", items), "n_nationkey")
-    texts = [F.concat(F.lit("<ResultSet><Error><Message>too many requests for "), "n_name", F.lit("</Message></Error></ResultSet>")),
+        _XML.replace("{0}", "%s").replace("{1}", time).replace("{2}", amount).replace("{3}", items), "k")
+    texts = [F.concat(F.lit("<ResultSet><Error><Message>too many requests for "), "k", F.lit("</Message></Error></ResultSet>")),
              F.lit('<a:Answer xmlns:a="u"><a:Error/></a:Answer>'), F.lit("<ResultSet><Result><OrderInfo><OrderId>7"),
              F.concat(F.lit("<Result>"), order(time="soon"), F.lit("</Result>")), order(amount="twelve"),
              F.concat(F.lit("<!-- a comment -->\n<Answer><ResultSet><Result>"), order(items="<Item/>"), F.lit("</Result></ResultSet></Answer>")),
              F.concat(F.lit("<Answer>"), order(items="<Item/><Item><ItemId>1</ItemId><UnitPrice>500</UnitPrice></Item>"), F.lit("</Answer>"))]
-    docs = n.select(F.posexplode(F.array(*texts)).alias("pos", "value"), F.col("n_nationkey").cast("long").alias("k")) \
-        .select("value", (F.col("k") * len(texts) + F.col("pos")).alias("ingest_seq"))
+    docs = n.select(F.get(F.array(*texts), (F.col("k") % 7).cast("int")).alias("value"), F.col("k").alias("ingest_seq"))
     lines, bad = flatten_y(docs)
     rows = bad.select("reason", "error").unionByName(
         lines.filter("total_price = 500 and quantity = 1").select(F.lit("line").alias("reason"), F.lit(None).cast("string").alias("error")))
@@ -220,6 +261,36 @@ def src11_truncated_pages(spark, sf_dir):
     return rows.groupBy("message").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src3_page_gaps", oracle="""
+WITH b AS (SELECT DISTINCT strftime(o_orderdate, '%Y') AS chain, o_orderkey // 100 AS block FROM orders),
+p AS (SELECT chain, row_number() OVER (PARTITION BY chain ORDER BY block) AS page, count(*) OVER (PARTITION BY chain) AS total FROM b),
+f AS (SELECT *, page % 7 = 3 AS gone, page % 11 = 6 AS cut, CASE WHEN page % 5 = 0 THEN 2 ELSE 1 END AS copies FROM p),
+m AS (SELECT *, page - row_number() OVER (PARTITION BY chain ORDER BY page) AS island FROM f WHERE gone OR cut)
+SELECT chain, 'missing' AS kind, min(page) AS first_page, max(page) AS last_page, count(*) AS n FROM m GROUP BY chain, island
+UNION ALL SELECT chain, 'repeated', page, page, 2 FROM f WHERE copies = 2 AND NOT gone AND NOT cut
+UNION ALL SELECT NULL, 'unreadable', NULL, NULL, coalesce(sum(copies), 0) FROM f WHERE cut AND NOT gone""")
+def src3_page_gaps(spark, sf_dir):
+    """SRC3: search pages of every year with lost, repeated and cut-off ones: gaps, repeats, quarantine."""
+    from pyspark.sql import Window
+
+    def build():
+        o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+        pages = (o.groupBy(F.date_format("o_orderdate", "yyyy").alias("chain"), F.expr("o_orderkey div 100").alias("block"))
+                 .agg(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))).alias("orderNumberList")))
+        year = Window.partitionBy("chain")
+        pages = pages.withColumn("page", F.row_number().over(year.orderBy("block"))).withColumn("total", F.count("*").over(year))
+        n = F.col("page")
+        text = F.to_json(F.struct("chain", "page", "orderNumberList", F.struct(F.col("total").alias("totalPages")).alias("PaginationResponseModel")))
+        copies = F.sequence(F.lit(1), F.when(n % 5 == 0, 2).otherwise(1))
+        return pages.filter(n % 7 != 3).select(F.explode(copies), F.when(n % 11 == 6, F.substring(text, 1, 60)).otherwise(text).alias("value")).select("value")
+    path = land(spark, sf_dir, "r_search_chains", build, lambda df, p: df.write.mode("overwrite").text(p))
+    pages, bad = R.read_search_pages_checked(spark, path)
+    gaps = R.page_gaps(pages.select("chain", "page", F.col("PaginationResponseModel.totalPages").alias("total_pages")))
+    none = lambda t: F.lit(None).cast(t)
+    return gaps.unionByName(bad.agg(F.count("*").alias("n")).select(
+        none("string").alias("chain"), F.lit("unreadable").alias("kind"), none("long").alias("first_page"), none("long").alias("last_page"), "n"))
+
+
 # ------------------------------------------------------------------ text that CSV must carry
 _QUOTED = """'"' || item_name || '", x' || chr(10) || ' y '"""
 

@@ -8,7 +8,7 @@ wrong schema) raises.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,11 +107,45 @@ def read_store_orders(spark: SparkSession, root: str, stores) -> DataFrame:
 
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
-    """SRC3: concatenated id lists of all search pages (one row per order number)."""
+    """SRC3: concatenated id lists of the readable search pages (one row per order number)."""
+    return read_search_pages_checked(spark, path)[0].select(F.explode("orderNumberList").alias("order_number"))
+
+
+def read_search_pages_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """SRC3: (search pages, quarantine of unreadable ones as ``value``, ``file_name``).
+
+    A page has ``chain`` (the search it belongs to), ``page`` from 1, and the response's columns.
+    """
+    schema = T.StructType([T.StructField("chain", T.StringType()), T.StructField("page", T.LongType()), *R_SEARCH_PAGE.fields])
     if not path_exists(spark, path):
-        return _empty(spark, T.StructType([T.StructField("order_number", T.StringType())]))
-    pages = spark.read.schema(R_SEARCH_PAGE).json(path)
-    return pages.select(F.explode("orderNumberList").alias("order_number"))
+        return _empty(spark, schema), _empty(spark, T._parse_datatype_string("value string, file_name string"))
+    wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    raw = spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return well_formed(raw, "page"), corrupt_rows(raw, "page")
+
+
+def page_gaps(pages: DataFrame) -> DataFrame:
+    """SRC3/SRC6/SRC11: what is wrong with paged reads: ``(chain, kind, first_page, last_page, n)``.
+
+    ``pages`` has ``chain, page, total_pages``, one row for each readable page.  ``missing`` is a run of
+    ``n`` absent pages between 1 and the largest total the chain's pages state (or its last page, if
+    none does); ``repeated`` a page read ``n`` times; ``beyond`` a page above the total.  A chain without any
+    readable page cannot be known.  Gaps come from neighbouring pages, so no page list is generated.
+    """
+    seen = pages.filter(F.col("page").isNotNull()).groupBy("chain", "page").agg(F.count("*").alias("n"), F.max("total_pages").alias("total"))
+    order = Window.partitionBy("chain").orderBy("page")
+    seen = (seen.withColumn("total", F.max("total").over(Window.partitionBy("chain")))
+            .withColumn("before", F.coalesce(F.lag("page").over(order), F.lit(0)))
+            .withColumn("last", F.lead("page").over(order).isNull()))
+    span = lambda a, b: F.struct(F.lit("missing").alias("kind"), a.cast("long").alias("first_page"), b.cast("long").alias("last_page"),
+                                 (b - a + 1).cast("long").alias("n"))
+    one = lambda kind: F.struct(F.lit(kind).alias("kind"), F.col("page").alias("first_page"), F.col("page").alias("last_page"), "n")
+    page, total = F.col("page"), F.col("total")
+    within = F.least(page - 1, F.coalesce(total, page - 1))
+    found = F.array(F.when(within > F.col("before"), span(F.col("before") + 1, within)),
+                    F.when(F.col("last") & (total > page), span(page + 1, total)),
+                    F.when(F.col("n") > 1, one("repeated")), F.when(page > total, one("beyond")))
+    return seen.select("chain", F.explode(F.array_compact(found)).alias("gap")).select("chain", "gap.*")
 
 
 def details_for_ids(details: DataFrame, ids: DataFrame, key: str = "orderNumber") -> DataFrame:
