@@ -133,7 +133,10 @@ b AS (SELECT *, sum(size) OVER () AS total,
              sum(size) OVER (ORDER BY h, doc_id NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                - sum(size) OVER (PARTITION BY h, doc_id) AS below
       FROM (SELECT * FROM d)),
-p AS (SELECT *, CAST(40 * below // total AS INT) AS shard FROM b)
+g AS (SELECT *, sum(size) OVER (PARTITION BY h) AS together, min(below) OVER (PARTITION BY h) AS first,
+             greatest(2 * max(size) OVER (), total // 800) AS most FROM b),
+p AS (SELECT *, CAST(CASE WHEN together <= most THEN max(CASE WHEN 2 * (below - first) <= together THEN 40 * below // total END) OVER (PARTITION BY h)
+                          ELSE 40 * below // total END AS INT) AS shard FROM g)
 SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
 FROM p JOIN crc USING (text)""")
@@ -167,30 +170,36 @@ def document_files(docs: DataFrame) -> DataFrame:
 
 
 def _template_sql() -> str:
-    return ", ".join(f"('{k}', '{v}')" for k, v in licenses.TEMPLATES.items())
+    return ", ".join(f"({i}, '{k}', '{v}')" for i, (k, v) in enumerate(licenses.TEMPLATES))
 
 
 _TERM = r"([0-9]+(?:\.[0-9]+)+|[\p{L}\p{N}]+)"
 
 
 @query("op6_license_scan", oracle=rf"""
-WITH tpl AS (SELECT license, unnest(list_distinct(regexp_extract_all(lower(notice), '{_TERM}'))) AS term FROM (VALUES {_template_sql()}) v(license, notice)),
+WITH tpl AS (SELECT template, license, unnest(list_distinct(regexp_extract_all(lower(notice), '{_TERM}'))) AS term
+             FROM (VALUES {_template_sql()}) v(template, license, notice)),
 f AS (SELECT concat(coalesce(source, 'none'), '/', CASE WHEN doc_id % 1000 = 0 THEN '' WHEN doc_id % 100 = 0 THEN concat(doc_id // 1000, '/')
         ELSE concat(doc_id // 1000, '/', doc_id // 100, '/') END,
         CASE WHEN doc_id % 10 = 0 THEN concat('LICENSE-', doc_id) ELSE concat(doc_id, '.txt') END) AS path, text FROM documents),
-raw AS (SELECT path, i, list_distinct(regexp_extract_all(lower(ls[i]), '{_TERM}')) AS terms
-        FROM (SELECT path, string_split(coalesce(text, ''), chr(10)) AS ls FROM f), unnest(range(1, CAST(len(ls) + 1 AS BIGINT))) AS u(i)),
-ln AS (SELECT * FROM raw WHERE len(terms) > 0),
+doc AS (SELECT path, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: list_distinct(regexp_extract_all(lower(x), '{_TERM}'))),
+                                 lambda t: len(t) > 0) AS ls FROM f),
+ln AS (SELECT path, unnest(ls) AS terms FROM doc),
 total AS (SELECT count(*) AS n FROM ln),
-lt AS (SELECT path, i, len(terms) AS n_terms, unnest(terms) AS term FROM ln),
-df AS (SELECT term, count(*) AS n FROM lt GROUP BY 1),
+df AS (SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM ln) GROUP BY 1),
 v AS (SELECT DISTINCT tpl.term, ln((1.0 + total.n) / (1.0 + coalesce(df.n, 0))) + 1.0 AS idf FROM tpl LEFT JOIN df USING (term), total),
-norm AS (SELECT license, sqrt(sum(idf * idf)) AS norm FROM tpl JOIN v USING (term) GROUP BY 1),
-sq AS (SELECT path, i, any_value(n_terms) AS n_terms, count(*) AS known, sum(idf * idf) AS known_sq FROM lt JOIN v USING (term) GROUP BY 1, 2),
-dot AS (SELECT path, i, license, sum(idf * idf) AS dot FROM lt JOIN v USING (term) JOIN tpl USING (term) GROUP BY 1, 2, 3),
-sc AS (SELECT path, i, license, round(dot / (sqrt(known_sq + (n_terms - known) * pow(ln(1.0 + total.n) + 1.0, 2)) * norm), 6) AS score
-       FROM dot JOIN sq USING (path, i) JOIN norm USING (license), total),
-own AS (SELECT path, license, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, i, license) AS rn
+norm AS (SELECT template, license, sqrt(sum(idf * idf)) AS norm FROM tpl JOIN v USING (term) GROUP BY 1, 2),
+known AS (SELECT list(term) AS words FROM v),
+span AS (SELECT path, ls, i, w FROM doc, (VALUES {", ".join(f"({w})" for w in licenses.WINDOWS)}) s(w), unnest(range(1, CAST(len(ls) - w + 2 AS BIGINT))) AS u(i)
+         UNION ALL SELECT path, ls, 1, {licenses.WHOLE} FROM doc WHERE len(ls) > 0 AND regexp_matches(path, '/LICENSE-[0-9]+$')),
+un AS (SELECT path, i, w, list_distinct(flatten(ls[i:i + w - 1])) AS terms FROM span),
+lt AS (SELECT path, i, w, len(terms) AS n_terms, unnest(list_intersect(terms, words)) AS term FROM un, known
+       WHERE len(list_intersect(terms, words)) * 10000 >= len(terms) * 6400),
+sq AS (SELECT path, i, w, any_value(n_terms) AS n_terms, count(*) AS known, sum(idf * idf) AS known_sq FROM lt JOIN v USING (term) GROUP BY 1, 2, 3),
+dot AS (SELECT path, i, w, template, sum(idf * idf) AS dot FROM lt JOIN v USING (term) JOIN tpl USING (term) GROUP BY 1, 2, 3, 4),
+sc AS (SELECT path, i, w, license, round(dot / (sqrt(known_sq + (n_terms - known) * pow(ln(1.0 + total.n) + 1.0, 2)) * norm), 6) AS score
+       FROM dot JOIN sq USING (path, i, w) JOIN norm USING (template), total),
+own AS (SELECT path, license, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, i, w, license) AS rn
         FROM sc WHERE score >= 0.8) WHERE rn = 1),
 fd AS (SELECT DISTINCT path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM f),
 ld AS (SELECT dir, license, score FROM (SELECT dir, license, score, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS rn

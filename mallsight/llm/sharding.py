@@ -6,7 +6,9 @@ candidate boundaries inside every open bracket, over all partitions, and narrows
 that holds a splitter; a bracket closes when its boundary is within ``tolerance`` bytes or a
 single key is left.  Then rows are exchanged once, by part, and numbered.
 
-A shard is ``split`` consecutive parts, so that no task holds a whole shard.
+A splitter inside a group of equal texts moves to the group's nearer edge, unless the group is
+larger than a stated share of a shard.  A shard is ``split`` consecutive parts, and a part falls
+into cells of the key space, so that no task holds a whole shard.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from .common import landed
 
 #: Candidate boundaries per round: over the whole key space first, then inside each bracket.
 FIRST_PROBES, PROBES = 4096, 128
+#: Exact parts at most: the driver holds so many brackets, and so many times PROBES rows a round.
+MOST_PARTS = 1024
+#: Groups of equal texts are kept whole up to 1 / GROUP_SHARE of a mean shard, or twice the largest row.
+GROUP_SHARE = 20
 KEY_BITS = 60
 LEAST_ID = -(2**63)
 _COARSE = 2**KEY_BITS // FIRST_PROBES
@@ -96,6 +102,24 @@ def splitters(keys: DataFrame, parts: int, tolerance: int = 0) -> list[tuple[int
     return out
 
 
+def whole_groups(keys: DataFrame, cuts: list, shards: int) -> list:
+    """``cuts`` between shards, those inside a group of equal digests moved to its nearer edge.
+
+    Groups larger than ``group_limit`` stay cut.  One row a cut reaches the driver."""
+    inside = [(k, *c) for k, c in enumerate(cuts) if c is not None and c[1] != LEAST_ID]
+    if not inside:
+        return cuts
+    spark = keys.sparkSession
+    size = keys.agg(F.sum("size").alias("total"), F.max("size").alias("largest")).first()
+    limit = max(2 * size.largest, size.total // (shards * GROUP_SHARE))
+    small = F.broadcast(spark.createDataFrame(inside, "k int, h long, cut long"))
+    out = list(cuts)
+    for r in keys.join(small, "h").groupBy("k", "h").agg(F.sum("size").alias("size"), F.sum(F.when(F.col("d") < F.col("cut"), F.col("size"))).alias("below")).collect():
+        if r["size"] <= limit:
+            out[r.k] = (r.h, LEAST_ID) if 2 * (r.below or 0) <= r["size"] else (r.h + 1, LEAST_ID)
+    return out
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, tolerance: int = 0,
                    split: int | None = None, id_col: str = "doc_id", text_col: str = "text",
                    carry: tuple[str, ...] = ()) -> DataFrame:
@@ -104,14 +128,19 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, tolera
     ``size`` = UTF-8 bytes of the text + ``overhead`` (NULL text: no bytes, crc32 of "").
     Rows in order of (text digest, id) fill shards of near equal bytes: a row whose key has
     b of B bytes strictly below it goes to shard floor(shards * b / B) (``tolerance`` 0).
-    So equal texts stay together but for the splitters that cut a large group, and rows
-    equal in text and id are never parted.  ``slot`` numbers a shard's rows from 0 in key
-    order.  NULL ids sort first.  Empty input gives an empty result.  ``split`` (parts per
-    shard, default from the session's shuffle partitions) does not change the result.
-    ``carry`` names further columns to keep (a struct ``carried``).
+    Equal texts stay together: a group of at most 1 / GROUP_SHARE of a mean shard, or twice the
+    largest row, goes whole to the shard of its last key that has at most half of the group below
+    it.  Larger groups are cut at the byte; rows equal in text and id are never parted.  ``slot``
+    numbers a shard's rows from 0 in key order.  NULL ids sort first.  Empty input gives an empty
+    result.  ``split`` (exact parts per shard, by default from the session's shuffle partitions,
+    MOST_PARTS in all) does not change the result.  ``carry`` names further columns to keep (a
+    struct ``carried``).
     """
     spark = docs.sparkSession
-    split = split or max(1, -(-2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
+    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    split = split or max(1, min(-(-wanted // shards), MOST_PARTS // shards))
+    # parts that are too few for the session's partitions fall into cells of equal key ranges
+    cell_bits = (wanted - 1).bit_length() if shards * split < wanted else 0
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        (F.octet_length(text) + overhead).cast("long").alias("size"),
@@ -121,7 +150,16 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, tolera
                        *([F.struct(*carry).alias("carried")] if carry else []))
     keys = landed(base.select("h", "d", "size"), "shard-keys")
     parts = shards * split
-    cuts = [c for c in splitters(keys, parts, tolerance) if c is not None]
+    cuts = splitters(keys, parts, tolerance)
+    between = whole_groups(keys, cuts[split - 1::split], shards)
+    far = (2**KEY_BITS, LEAST_ID)  # beyond every key
+    low = (0, LEAST_ID)
+    for k in range(parts - 1):  # cuts within a shard stay between the shard's own
+        s = k // split
+        left = (between[s - 1] or far) if s > 0 else low
+        right = (between[s] or far) if s < shards - 1 else far
+        cuts[k] = right if k % split == split - 1 else min(max(cuts[k] or far, left), right)
+    cuts = [c for c in cuts if c < far]
     # part of a row = splitters at or below its key: those of lower coarse cells by count,
     # those of its own cell by comparison (one row per coarse cell, FIRST_PROBES at most)
     by_cell: dict[int, list] = {}
@@ -134,15 +172,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, tolera
     small = spark.createDataFrame(cells, "coarse int, lower int, cuts array<struct<h:bigint,d:bigint>>")
     placed = (base.withColumn("coarse", F.expr(f"cast(h div {_COARSE} as int)")).join(F.broadcast(small), "coarse")
               .withColumn("part", F.col("lower") + F.expr("size(filter(cuts, c -> c.h < h or (c.h = h and c.d <= d)))")))
-    # rows of earlier parts of the same shard: one row per part
+    cell = F.shiftright("h", KEY_BITS - cell_bits).cast("int") if cell_bits else F.lit(0)
+    placed = placed.withColumn("cell", cell)
+    # rows of earlier parts and cells of the same shard: one row for each part and cell
     tally = keys.withColumn("coarse", F.expr(f"cast(h div {_COARSE} as int)")).join(F.broadcast(small), "coarse") \
-        .select((F.col("lower") + F.expr("size(filter(cuts, c -> c.h < h or (c.h = h and c.d <= d)))")).alias("part")) \
-        .groupBy("part").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy(F.expr(f"part div {split}")).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tally.select(F.col("part").alias("s_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    in_part = Window.partitionBy("part").orderBy("h", "d")
+        .select((F.col("lower") + F.expr("size(filter(cuts, c -> c.h < h or (c.h = h and c.d <= d)))")).alias("part"), cell.alias("cell")) \
+        .groupBy("part", "cell").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(F.expr(f"part div {split}")).orderBy("part", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = tally.select(F.col("part").alias("s_part"), F.col("cell").alias("s_cell"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    in_part = Window.partitionBy("part", "cell").orderBy("h", "d")
     return (placed.withColumn("rank", F.row_number().over(in_part))
-            .join(F.broadcast(starts), F.col("part") == F.col("s_part"))
+            .join(F.broadcast(starts), (F.col("part") == F.col("s_part")) & (F.col("cell") == F.col("s_cell")))
             .select("doc_id", "size", "text_crc32", F.expr(f"cast(part div {split} as int)").alias("shard"),
                     (F.col("start") + F.col("rank") - 1).cast("long").alias("slot"),
                     *(["carried"] if carry else [])))

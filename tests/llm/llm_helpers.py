@@ -83,11 +83,21 @@ def shard_statement(rows, shards, overhead):
         b = (t or "").encode()
         keyed.append((int(hashlib.md5(b).hexdigest()[:15], 16), -2**63 if i is None else i, len(b) + overhead, i, zlib.crc32(b)))
     keyed.sort(key=lambda k: k[:2])
-    total, below, before, out, fill = sum(k[2] for k in keyed), 0, 0, [], {}
+    total, below, rows = sum(k[2] for k in keyed), 0, []
     for n, k in enumerate(keyed):
-        before = below if n == 0 or keyed[n - 1][:2] != k[:2] else before
-        s = before * shards // total
+        before = below if n == 0 or keyed[n - 1][:2] != k[:2] else rows[-1][1]
+        rows.append((k, before))
+        below += k[2]
+    most = max(2 * max((k[2] for k in keyed), default=0), total // (20 * shards))
+    groups = {}
+    for k, before in rows:
+        groups.setdefault(k[0], []).append((k[2], before))
+    out, fill = [], {}
+    for k, before in rows:
+        group = groups[k[0]]
+        size, first = sum(s for s, _ in group), group[0][1]
+        at = max(b for _, b in group if 2 * (b - first) <= size) if size <= most else before
+        s = at * shards // total
         out.append((k[3], k[2], k[4], s, fill.get(s, 0)))
         fill[s] = fill.get(s, 0) + 1
-        below += k[2]
     return out

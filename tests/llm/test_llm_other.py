@@ -9,7 +9,7 @@ import pytest
 from llm_helpers import docs_df, shard_statement, words
 from pyspark.sql import functions as F
 
-from mallsight.llm import decontam, licenses, mixing, quality, sharding, topk, url_filter
+from mallsight.llm import decontam, license_texts, licenses, mixing, quality, sharding, topk, url_filter
 from mallsight.llm.common import WordHash
 
 
@@ -132,6 +132,20 @@ def test_shards_equal_the_statement(spark, shards, split):
     assert len(set(docs.columns)) == len(docs.columns) and docs.count() == len(rows)
 
 
+def test_small_groups_are_not_parted(spark, monkeypatch):
+    rows = [(i, f"{i % 100:03d}" * (20 + i % 100)) for i in range(1000)]  # a hundred groups of ten
+    for most in (1024, 8):  # few exact parts: cells do the rest
+        monkeypatch.setattr(sharding, "MOST_PARTS", most)
+        got = sharding.shard_by_bytes(docs_df(spark, rows), 8).collect()
+        assert sorted((r.doc_id, *r[1:]) for r in got) == sorted(shard_statement(rows, 8, 16))
+    limit = max(2 * max(r["size"] for r in got), sum(r["size"] for r in got) // 160)
+    shards, size = {}, {}
+    for r in got:
+        shards.setdefault(r.doc_id % 100, set()).add(r.shard)
+        size[r.doc_id % 100] = size.get(r.doc_id % 100, 0) + r["size"]
+    assert all(len(s) == 1 for g, s in shards.items() if size[g] <= limit)
+
+
 def test_sharding_within_a_tolerance(spark):
     rows = [(i, "x" * (i % 50)) for i in range(2000)]
     got = sharding.shard_by_bytes(docs_df(spark, rows), 8, tolerance=2000, split=1).groupBy("shard").agg(F.sum("size").alias("b")).collect()
@@ -142,7 +156,8 @@ def test_sharding_within_a_tolerance(spark):
 
 # ------------------------------------------------------------------ licences
 def test_license_inheritance(spark):
-    mit, gpl, apache = (licenses.TEMPLATES[k] + "." for k in ("MIT", "GPL-3.0", "Apache-2.0"))
+    notice = dict(reversed(license_texts.LINES))
+    mit, gpl, apache = (notice[k] + "." for k in ("MIT", "GPL-3.0", "Apache-2.0"))
     prose = "some words of prose that fill\nthe lines of the file " * 20
     files = [("a/LICENSE", mit), ("a/x.txt", prose), ("a/b/y.txt", prose), ("a/b/c/LICENSE.md", prose + "\n" + gpl),
              ("a/b/c/z.txt", prose), ("a/b/c/own.txt", apache.upper() + "\n" + prose), ("q/r.txt", prose), ("ab/r.txt", ""),
@@ -159,6 +174,82 @@ def test_license_inheritance(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def license_of(spark, files):
+    df = spark.createDataFrame(files, "path string, text string")
+    return {r.path: (r.license, r.origin) for r in licenses.scan_licenses(df).collect()}
+
+
+def test_headers_files_and_identifiers_are_found(spark):
+    bodies = {}
+    for i, t in license_texts.BLOCKS:
+        bodies.setdefault(i, []).append(t)
+    wrap = lambda t, n, mark="": "\n".join(mark + " ".join(t.split()[i:i + n]) for i in range(0, len(t.split()), n))
+    code = "\n".join(f"value_{i} = compute(value_{i - 1}, {i})" for i in range(400))
+    files = [("m/LICENSE", "MIT License\n\nCopyright (c) 2024 Somebody Else\n\n" + wrap(bodies["MIT"][0], 12)), ("m/src/a.py", code),
+             ("s/a.py", "# SPDX-License-Identifier: MIT\n" + code), ("s/b.py", code + "\n// SPDX-License-Identifier: GPL-3.0\n"),
+             ("g/COPYING", wrap(bodies["GPL-3.0"][1], 9) + "\n" + code), ("g/x/y/z.c", code),
+             ("h/a.c", code + "\n" + wrap(bodies["Apache-2.0"][0], 11, " * ") + "\n" + code), ("h/b.c", code),
+             ("w/a.c", "/*\n" + wrap(license_texts.LINES[6][1], 7, " * ") + "\n */\n" + code),
+             ("b/LICENSE.txt", wrap(bodies["BSD-3-Clause"][0], 13)), ("b2/LICENSE.txt", wrap(bodies["BSD-2-Clause"][0], 13)),
+             ("long/a.txt", code * 30 + "\n" + wrap(bodies["GPL-2.0"][0], 10) + "\n" + code * 30)]
+    got = license_of(spark, files)
+    assert got["m/LICENSE"] == ("MIT", "own") and got["m/src/a.py"] == ("MIT", "inherited")
+    assert got["s/a.py"] == ("MIT", "own") and got["s/b.py"] == ("GPL-3.0", "own")
+    assert got["g/COPYING"] == ("GPL-3.0", "own") and got["g/x/y/z.c"] == ("GPL-3.0", "inherited")
+    assert got["h/a.c"] == ("Apache-2.0", "own") and got["h/b.c"] == (None, None)
+    assert got["w/a.c"] == ("MPL-2.0", "own")
+    assert got["b/LICENSE.txt"] == ("BSD-3-Clause", "own") and got["b2/LICENSE.txt"] == ("BSD-2-Clause", "own")
+    assert got["long/a.txt"] == ("GPL-2.0", "own")
+
+
+def best_units(files, templates, percent):
+    """Every line, window and licence file against every template, without prefilter or index."""
+    import re
+    terms = lambda t: list(dict.fromkeys(re.findall(r"[0-9]+(?:\.[0-9]+)+|[^\W_]+", t.lower())))
+    docs = {p: [t for t in map(terms, (text or "").split("\n")) if t] for p, text in files}
+    total, df = sum(map(len, docs.values())), {}
+    for ls in docs.values():
+        for t in (t for line in ls for t in line):
+            df[t] = df.get(t, 0) + 1
+    vocabulary = {t for _, text in templates for t in terms(text)}
+    idf = lambda t: math.log((1 + total) / (1 + (df.get(t, 0) if t in vocabulary else 0))) + 1
+    out = {}
+    for p, ls in docs.items():
+        spans = [(i, w, ls[i:i + w]) for w in licenses.WINDOWS for i in range(len(ls) - w + 1)]
+        if re.match(licenses.LICENSE_FILE, p.rsplit("/", 1)[-1]) and ls:
+            spans.append((0, licenses.WHOLE, ls))
+        found = []
+        for i, w, unit in spans:
+            u = {t for line in unit for t in line}
+            for license, text in templates:
+                v = set(terms(text))
+                score = sum(idf(t) ** 2 for t in u & v) / math.sqrt(sum(idf(t) ** 2 for t in u) * sum(idf(t) ** 2 for t in v))
+                if round(score, 6) >= percent / 100:
+                    found.append((-round(score, 6), i, w, license))
+        if found:
+            out[p] = (min(found)[3], -min(found)[0])
+    return out
+
+
+def test_license_scores_equal_brute_force(spark):
+    rng = random.Random(6)
+    templates = [("A", "alpha beta gamma delta"), ("B", "beta gamma delta epsilon zeta eta"), ("C", "one 2.0 three four five six seven eight nine ten"),
+                 ("T1", "tie breaker text"), ("T2", "tie breaker text")]
+    words = [w for _, t in templates for w in t.split()] + ["noise", "other", "the"]
+    files = []
+    for i in range(60):
+        lines = [" ".join(rng.choices(words, k=rng.randint(0, 6))) for _ in range(rng.randint(0, 12))]
+        if i % 3 == 0:
+            text = rng.choice(templates)[1].split()
+            lines[len(lines) // 2:len(lines) // 2] = [" ".join(text[k:k + 3]) for k in range(0, len(text), 3)]
+        files.append((f"d{i % 7}/{'LICENSE' if i % 5 == 0 else 'f'}-{i}", "\n".join(lines) if i % 11 else None))
+    got = {r.path: (r.license, r.score) for r in licenses.notices(spark.createDataFrame(files, "path string, text string"), templates, 80).collect()}
+    want = best_units(files, templates, 80)
+    assert got.keys() == want.keys() and len(want) > 15
+    assert all(got[p][0] == want[p][0] and abs(got[p][1] - want[p][1]) < 2e-6 for p in want), (got, want)
+    assert any(v[0] == "T1" for v in want.values()) and not any(v[0] == "T2" for v in want.values())
+
+
 # ------------------------------------------------------------------ top-k
 def test_topk_equals_brute_force(spark):
     rng = random.Random(4)
@@ -183,6 +274,25 @@ def test_topk_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), df).count() == 0 and topk.top_k(df, df.limit(0)).count() == 0
 
 
+def test_topk_in_many_blocks_and_pruning(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 150)
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(600, 16)).cumsum(axis=1)  # smooth vectors: segments tell much
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 60 = 0")
+    got = {}
+    for r in topk.top_k(df, asked, k=5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    x = np.floor(m * 1024)
+    for q in range(0, 600, 60):
+        scores = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(600), -scores)) if i != q][:5]
+        assert sorted(got[q]) == [(n + 1, i, int(scores[i])) for n, i in enumerate(order)]
+    left = [r.candidates for r in topk.pruned_shares(df, asked, k=5).orderBy("level").collect()]
+    assert left[0] == 10 * 599 and left == sorted(left, reverse=True) and left[-1] < left[0] / 5
+
+
 def test_segment_bounds_hold():
     rng = np.random.default_rng(1)
     m, q = np.floor(rng.normal(size=(200, 50)) * 1024), np.floor(rng.normal(size=(20, 50)) * 1024)
