@@ -234,20 +234,49 @@ def product_sales_by_id_name(lines: DataFrame) -> DataFrame:
         .orderBy(F.desc("total_sales"), "item_id", "item_name"))
 
 
+_TEXTS = ("item_name", "item_number", "item_id")
+_PRODUCT_COLS = ("item_name", "quantity", "total_sales", "order_count", "item_number", "item_id")
+
+
+def _product_numbers(lines: DataFrame, group=()) -> DataFrame:
+    """AGG4 without its texts: sums, distinct orders, and for each text the first document that has it.
+
+    All buffers are numbers, so the aggregate is hashed and no name travels with a partial row."""
+    g = lines.withColumn("_group_key", product_key()).filter(F.col("_group_key").isNotNull())
+    return g.groupBy(*group, "_group_key").agg(
+        F.sum("quantity").alias("quantity"), F.sum("subtotal").alias("total_sales"), F.count_distinct("order_number").alias("order_count"),
+        *[F.min(F.when(F.col(c).isNotNull(), F.col("ingest_seq"))).alias(f"_{c}_at") for c in _TEXTS])
+
+
+def _with_first_texts(winners: DataFrame, lines: DataFrame, group=()) -> DataFrame:
+    """``winners`` of ``_product_numbers`` with their texts, fetched from the lines of their first documents only."""
+    key = [*group, "_group_key"]
+    ats = [F.col(f"_{c}_at") for c in _TEXTS]
+    text = (lines.withColumn("_group_key", product_key()).select(*key, "ingest_seq", "line_seq", *[F.col(c).alias(f"_t_{c}") for c in _TEXTS])
+            .withColumnsRenamed({k: f"_k_{k}" for k in key}))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    met = winners.join(text, same & F.col("ingest_seq").isin(*ats), "left")
+    order = Window.partitionBy(*key).orderBy("ingest_seq", "line_seq", "_t_item_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = [F.first(f"_t_{c}", ignorenulls=True).over(order).alias(c) for c in _TEXTS]
+    one = F.row_number().over(Window.partitionBy(*key).orderBy("ingest_seq", "line_seq", "_t_item_id")).alias("_one")
+    return met.select(*winners.columns, *first, one).filter("_one = 1").drop("_one")
+
+
 def top_products(lines: DataFrame, n: int) -> DataFrame:
-    """LIM1-LIM3: the n best products (TakeOrderedAndProject: per-task top-n, then merge)."""
-    return (product_sales(lines)
-            .orderBy(F.desc("total_sales"), F.asc("_group_key")).limit(n)
-            .select("item_name", "quantity", "total_sales", "order_count", "item_number", "item_id"))
+    """LIM1-LIM3: the n best products (TakeOrderedAndProject: per-task top-n, then merge).
+
+    Numbers first; only the winners fetch their texts, in a second pass over the lines."""
+    best = _product_numbers(lines).orderBy(F.desc("total_sales"), F.asc("_group_key")).limit(n)
+    return _with_first_texts(best, lines).orderBy(F.desc("total_sales"), F.asc("_group_key")).select(*_PRODUCT_COLS)
 
 
 def top_products_per_store(lines: DataFrame, n: int = 10) -> DataFrame:
-    """LIM3 for every store at once: row_number over the per-store product table."""
-    p = product_sales(lines, group=("source",))
+    """LIM3 for every store at once: row_number over the per-store product numbers, then the winners' texts."""
     w = Window.partitionBy("source").orderBy(F.desc("total_sales"), F.asc("_group_key"))
-    return (p.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-             .select("source", "rank", "item_name", "quantity", "total_sales", "order_count",
-                     "item_number", "item_id"))
+    best = _product_numbers(lines, ("source",)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return _with_first_texts(best, lines, ("source",)).select("source", "rank", *_PRODUCT_COLS)
 
 
 def top_product_share(lines: DataFrame, n: int = 10) -> DataFrame:

@@ -16,12 +16,13 @@ and picks the first document of each repeated order, without reading a line agai
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks import materialize
 from ..sinks.published import publish, read_published
+from .grain import numbered
 
 MONEY = ("order_net_sales", "total_price")
 CELL = ["date", "source"]
@@ -34,13 +35,7 @@ SCHEMAS = {"days": "date date, source string, order_net_sales bigint, total_pric
 def numbered_orders(cells: DataFrame) -> DataFrame:
     """``(order_number, n, cells)``: orders numbered from 1 by (first day, order number), and their cells."""
     orders = cells.groupBy("order_number").agg(F.min("date").alias("first_day"), F.count("*").alias("cells"))
-    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(orders.repartitionByRange(n, "first_day", "order_number").withColumn("pid", F.spark_partition_id()), "numbered_orders")
-    sizes = ranged.groupBy("pid").agg(F.count("*").alias("size"))  # one row a range
-    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("pid", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy("pid").orderBy("first_day", "order_number"))
-    return ranged.join(F.broadcast(starts), "pid").select("order_number", (F.col("start") + place).alias("n"), "cells")
+    return numbered(orders, ("first_day", "order_number")).select("order_number", "n", "cells")
 
 
 def day_states(lines: DataFrame) -> dict[str, DataFrame]:

@@ -16,7 +16,7 @@ sort-based aggregates; they still combine map-side and spill safely.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import LINE_ORDER
@@ -77,3 +77,20 @@ def priority_first(df: DataFrame, key: str, status: str, order_cols, columns=Non
     """WIN3: one row per id; the best status wins, then the first in arrival order."""
     ranked = df.withColumn("_rank", status_rank(status))
     return keep_first(ranked, (key,), ("_rank", *order_cols), columns=columns or df.columns)
+
+
+def numbered(df: DataFrame, order_cols, name: str = "n") -> DataFrame:
+    """``df`` with ``name``: the row's place, from 1, in the order of ``order_cols`` over the whole frame.
+
+    A distributed rank: rows are sorted in ranges (written once, so that the ranges stay as they
+    are), counted per range, and numbered within.  No key gathers in one task, and the broadcast
+    offsets have one row a range.
+    """
+    from ..sinks import materialize
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_range", F.spark_partition_id()), "numbered")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols))
+    return ranged.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + place).drop("_range", "_start")

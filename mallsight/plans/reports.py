@@ -168,30 +168,32 @@ def daily_report_dataset(lines: DataFrame, target: dt.date, key=DEFAULT_KEY) ->
     periods = [p for p in (day, month, ly_day, ly_month) if p]
     tagged = tag_periods(lines, periods).withColumnRenamed("period", "section")
 
-    def stats(group):
-        k = tuple(dict.fromkeys((*group, *key)))
-        per = A.orders_with_lines(tagged, k, money=("order_net_sales",))
-        return per.groupBy(*group).agg(
-            A._count_orders(k, group).alias("total_orders"),
-            F.sum("order_net_sales").alias("total_sales"),
-            F.avg("order_net_sales").alias("avg_order_value"),
-            F.sum("_items").alias("total_items"),
-            F.min("_first_seq").alias("first_seq"))
-
-    total = stats(("section",)).select(F.lit("total").alias("scope"),
-                                       F.lit(None).cast("string").alias("source"), "*")
-    per = (stats(("section", "source")).filter(F.col("section").isin("day", "month"))
-           .select(F.lit("store").alias("scope"), "*"))
-    rows = total.drop("first_seq").unionByName(per, allowMissingColumns=True)
+    # one state for each order, store and section; both scopes roll up from it in one pass
+    numbers = tuple(k for k in dict.fromkeys((*key, "order_number")) if k != "source")
+    cells = tagged.groupBy("section", "source", *numbers).agg(
+        F.min("ingest_seq").alias("seq"), F.min_by("order_net_sales", "ingest_seq").alias("net"), F.sum("quantity").alias("items"))
+
+    def first_of(columns):
+        return F.row_number().over(Window.partitionBy("section", *columns).orderBy("seq", "source")) == 1
+    cells = cells.withColumn("_paid", first_of(key)).withColumn("_counted", first_of(("order_number",)))
+
+    def state(scope, source, paid, counted):
+        net = F.when(paid, F.col("net"))
+        return F.struct(F.lit(scope).alias("scope"), source.alias("source"), F.when(counted & F.col("order_number").isNotNull(), 1).otherwise(0).alias("orders"),
+                        net.alias("net"), net.isNotNull().cast("int").alias("paid"), F.col("items").alias("items"), F.col("seq").alias("seq"))
+    none = F.lit(None).cast("string")
+    states = cells.select("section", F.explode(F.array(state("total", none, F.col("_paid"), F.col("_counted")),
+                                                       state("store", F.col("source"), F.lit(True), F.lit(True)))).alias("s")).select("section", "s.*")
     # every section appears in the total scope, zero-filled (missing year-ago -> zeros)
     frame = lines.sparkSession.createDataFrame([(p.name,) for p in periods], "section string")
-    totals = (frame.join(rows.filter(F.col("scope") == "total"), "section", "left")
-              .withColumn("scope", F.lit("total")))
-    stores = rows.filter(F.col("scope") == "store")
-    out = totals.unionByName(stores, allowMissingColumns=True)
+    rows = (states.filter((F.col("scope") == "total") | F.col("section").isin("day", "month"))
+            .unionByName(frame.select("section", F.lit("total").alias("scope")), allowMissingColumns=True)
+            .groupBy("section", "scope", "source").agg(
+                F.sum("orders").alias("total_orders"), F.sum("net").alias("total_sales"), F.sum("items").alias("total_items"),
+                F.try_divide(F.sum("net").cast("double"), F.sum("paid")).alias("avg_order_value"), F.min("seq").alias("first_seq")))
     rank = F.when(F.col("scope") == "store", F.row_number().over(
         Window.partitionBy("section", "scope").orderBy("first_seq", "source")))
-    return out.select(
+    return rows.select(
         "section", "scope", "source", rank.alias("store_rank"),
         F.coalesce("total_orders", F.lit(0)).cast("bigint").alias("total_orders"),
         F.coalesce("total_sales", F.lit(0)).cast("bigint").alias("total_sales"),

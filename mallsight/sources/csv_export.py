@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import clean_int
@@ -297,12 +297,13 @@ def imports_as_order_lines(df: DataFrame) -> DataFrame:
     an order keep their arrival order; without them all rows tie.
     """
     from ..functions.time import with_time_parts
+    from ..operators.grain import numbered
     from ..schema import ORDER_LINE_COLUMNS
     seq = F.lit(0).cast("bigint")
     if {"import_id", "file_name", "row_seq"} <= set(df.columns):
-        # only the order inside one order number matters (a few rows each)
-        arrival = Window.partitionBy("order_number").orderBy(F.col("import_id").cast("string"), "file_name", "row_seq")
-        seq = F.row_number().over(arrival).cast("bigint")
+        # a rank over all rows: one order number (an empty one, say) may stand on any share of them
+        df = numbered(df.withColumn("import_id", F.col("import_id").cast("string")), ("import_id", "file_name", "row_seq"), "_arrival")
+        seq = F.col("_arrival").cast("bigint")
     lines = df.select(
         "order_number", F.col("order_date").alias("order_datetime"),
         F.lit(None).cast("string").alias("item_id"), "item_name", F.lit("").alias("item_number"),

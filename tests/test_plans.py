@@ -48,3 +48,19 @@ def test_no_dimension_is_broadcast_by_hand(spark, registry):
     from mallsight.sources import adapters
     src = inspect.getsource(adapters)
     assert "F.broadcast(" not in src      # the size threshold decides for every dimension
+
+
+def test_top_products_carry_no_text_through_the_aggregate(spark, registry):
+    for name in ("lim1_top5_products", "lim3_top10_per_store", "agg18_top_product_share"):
+        df = registry[name](spark, SF_SMALL)
+        df.collect()
+        p = _plan(df)
+        assert "SortAggregate" not in p, name
+        assert p.count("lineitem") == 2 or "ReusedExchange" in p, "numbers, then the winners' texts"
+
+
+def test_report_reads_each_fact_once(spark, registry):
+    import re
+    p = _plan(registry["rpt4_daily_report_dataset"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", p)
+    assert scans.count("lineitem") == 1 and scans.count("orders") == 1, scans

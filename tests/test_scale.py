@@ -72,3 +72,25 @@ def test_bucketed_lines_remove_the_order_exchange(spark):
     plan = _exec_plan(out)
     assert "hashpartitioning(order_number" not in plan
     assert out.first().total_sales == A.summary_stats(lines).first().total_sales
+
+
+def test_distributed_rank_splits_a_hot_key(spark):
+    """A third of all rows under one number: places are exact and no task holds that number whole."""
+    from mallsight.operators.grain import numbered
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "").otherwise(F.col("id").cast("string")).alias("order_number"),
+                               ((F.col("id") * 7919) % n).alias("at"))
+    got = numbered(df, ("at",))
+    assert got.filter("n <> at + 1").count() == 0 and got.count() == n
+    shares = [r["count"] for r in got.filter("order_number = ''").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 1 and max(shares) <= 2 * sorted(shares)[len(shares) // 2]
+
+
+def test_imported_lines_keep_their_arrival_order(spark):
+    from mallsight.sources.csv_export import imports_as_order_lines
+    rows = [("" if i % 3 else f"o{i}", f"2024011{i % 2}", f"f{i % 4}", i) for i in range(90)]
+    df = spark.createDataFrame(rows, "order_number string, import_id string, file_name string, row_seq long").selectExpr(
+        "*", "timestamp_ntz'2024-01-01 00:00:00' order_date", "'x' item_name", "1L quantity", "1L unit_price", "1L subtotal", "1L total_price",
+        "0L use_point", "0L coupon_discount", "1L order_net_sales", "'Yahoo' source")
+    got = [r.order_number for r in imports_as_order_lines(df).orderBy("ingest_seq").collect()]
+    assert got == [n for n, *_ in sorted(rows, key=lambda r: r[1:])]
