@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql import types as T
 
 from ..operators import aggregates as A
 from ..operators.flatten import flatten_m, flatten_r, flatten_y, m_nodes_from_pages
@@ -532,8 +532,8 @@ def snk2_json_roundtrip(spark, sf_dir):
     return spark.read.schema(og.schema).json(path)
 
 
-DAILY_TABLE = _parse_datatype_string("date string, order_count bigint, total_sales bigint, gross_sales bigint, "
-                                     "coupon_total bigint, item_count bigint")
+DAILY_TABLE = T.StructType([T.StructField("date", T.StringType())] + [
+    T.StructField(c, T.LongType()) for c in ("order_count", "total_sales", "gross_sales", "coupon_total", "item_count")])
 
 
 @query("snk4_append_daily_job", oracle=f"""
