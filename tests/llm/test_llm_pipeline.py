@@ -107,7 +107,7 @@ def test_registry():
     for n in range(1, 11):
         assert len([k for k in q if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in q and "pipeline" not in o and set(o) <= set(q)
-    assert set(queries.QUERIES) - set(o) == {"op1_quality_classifier"}
+    assert set(queries.QUERIES) - set(o) == {"op1_quality_classifier", "op11_secret_scan"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
