@@ -22,6 +22,7 @@ from ..sources import readers as R
 from ..sources.adapters import event_lines, event_lines_sql, star_lines, star_lines_sql
 from ..sources.landing import land, landed_path
 from ..sources.tables import read_table
+from ..sources.xml_records import xml_paths, xml_quarantine, xml_rows, xml_table
 from .catalog import ORACLE, query
 from .params import STAR_AS_OF
 from .queries_core import MTD
@@ -247,6 +248,62 @@ def src9_xml_reasons(spark, sf_dir):
     return rows.groupBy("reason", "error").agg(F.count(F.lit(1)).alias("documents"))
 
 
+# one document an order; items stand once or several times, options are empty, text or nested
+_ANY_XML = """
+WITH i AS (SELECT l_orderkey AS k, l_partkey AS part, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS n,
+             count(*) OVER (PARTITION BY l_orderkey) AS of FROM lineitem),
+t AS (SELECT k, part, 'Info/' || CASE WHEN of > 1 THEN 'Item[' || (n - 1) || ']' ELSE 'Item' END AS item FROM i WHERE k % 11 <> 0 AND k % 13 <> 0)"""
+
+
+def _any_xml(spark, sf_dir) -> str:
+    """Written rows of documents whose shapes differ: the parser runs once for both parts."""
+    def build():
+        k = F.col("o_orderkey")
+        orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+        items = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+                 .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                 .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("items")))
+        option = lambda x: F.when(x % 3 == 0, F.lit("<Option/>")).when(
+            x % 3 == 1, F.format_string("<Option>size %s</Option>", x)).otherwise(F.format_string("<Option><Size> %s </Size></Option>", x))
+        item = lambda x: F.concat(F.lit("<Item no='1'><Part>"), x["l_partkey"].cast("string"), F.lit("</Part>"),
+                                  option(x["l_partkey"]), F.lit("</Item>"))
+        body = F.concat(F.format_string("<Info><!-- x --><Id>%s</Id><Status><![CDATA[<%s>]]></Status>", k, F.col("o_orderstatus")),
+                        F.array_join(F.transform(F.coalesce("items", F.array().cast(items.schema["items"].dataType)), item), ""), F.lit("</Info>"))
+        text = (F.when(k % 11 == 0, F.concat(F.lit("<Answer>"), body))
+                .when(k % 13 == 0, F.format_string("<Answer><Error><Message>no order %s</Message></Error></Answer>", k))
+                .when(k % 2 == 0, F.concat(F.lit("<a:Answer xmlns:a='u' xmlns='v'>"), body, F.lit("</a:Answer>")))
+                .otherwise(F.concat(F.lit("<?xml version='1.0' encoding='UTF-8'?>\n<Answer>"), body, F.lit("</Answer>"))))
+        return xml_rows(orders.join(items, "o_orderkey", "left").select(text.alias("value"), k.alias("ingest_seq")))
+    return land(spark, sf_dir, "any_xml_rows", build, lambda df, p: df.write.mode("overwrite").parquet(p))
+
+
+@query("src8_any_xml", oracle=_ANY_XML + """
+SELECT o_orderkey AS ingest_seq, 'Info/Id' AS path, 'Info/Id' AS tag_path, CAST(o_orderkey AS VARCHAR) AS value, NULL AS reason
+  FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0
+UNION ALL SELECT o_orderkey, 'Info/Status', 'Info/Status', '<' || o_orderstatus || '>', NULL FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0
+UNION ALL SELECT k, item || '/Part', 'Info/Item/Part', CAST(part AS VARCHAR), NULL FROM t
+UNION ALL SELECT k, item || '/Option', 'Info/Item/Option', CASE WHEN part % 3 = 1 THEN 'size ' || part END, NULL FROM t WHERE part % 3 < 2
+UNION ALL SELECT k, item || '/Option/Size', 'Info/Item/Option/Size', ' ' || part || ' ', NULL FROM t WHERE part % 3 = 2
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, 'unparsed' FROM orders WHERE o_orderkey % 11 = 0
+UNION ALL SELECT o_orderkey, NULL, NULL, 'no order ' || o_orderkey, 'error_response' FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0""")
+def src8_any_xml(spark, sf_dir):
+    """SRC8: XML without a schema as path / value rows; broken documents and errors set aside."""
+    rows = spark.read.parquet(_any_xml(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    bad = xml_quarantine(rows).select("ingest_seq", none.alias("path"), none.alias("tag_path"),
+                                      F.when(F.col("reason") == "error_response", F.col("error")).alias("value"), "reason")
+    return xml_paths(rows).drop("pos").withColumn("reason", none).unionByName(bad)
+
+
+@query("src8_any_xml_items", oracle=_ANY_XML + """
+SELECT k AS ingest_seq, item, CAST(part AS VARCHAR) AS part, CASE WHEN part % 3 = 1 THEN 'size ' || part END AS note,
+  CASE WHEN part % 3 = 2 THEN ' ' || part || ' ' END AS size FROM t""")
+def src8_any_xml_items(spark, sf_dir):
+    """SRC8: list entries of schema-free XML as a table, the same for one entry and for many."""
+    paths = xml_paths(spark.read.parquet(_any_xml(spark, sf_dir)))
+    return xml_table(paths, {"part": "Part", "note": "Option", "size": "Option/Size"}, each="Info/Item")
+
+
 @query("src11_truncated_pages", oracle="""
 WITH n AS (SELECT o_orderstatus AS s, o_orderkey // 100 AS page FROM orders
            UNION ALL SELECT 'O', o_orderkey // 100 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 5 = 0)
