@@ -47,10 +47,13 @@ def refetched_documents(spark, sf_dir) -> DataFrame:
     return d.unionByName(changed).unionByName(dated).unionByName(second)
 
 
-def refetched_lines(spark, sf_dir) -> DataFrame:
-    path = land(spark, sf_dir, "r_refetched", lambda: refetched_documents(spark, sf_dir),
+def landed_refetched(spark, sf_dir) -> str:
+    return land(spark, sf_dir, "r_refetched", lambda: refetched_documents(spark, sf_dir),
                 lambda df, p: df.write.mode("overwrite").json(p))
-    return flatten_r(R.read_order_json(spark, path))
+
+
+def refetched_lines(spark, sf_dir) -> DataFrame:
+    return flatten_r(R.read_order_json(spark, landed_refetched(spark, sf_dir)))
 
 
 _NEXT = "order_datetime + INTERVAL 1 DAY"
@@ -107,6 +110,22 @@ def agg14_colliding_numbers(spark, sf_dir):
     return A.total_and_store_stats(refetched_lines(spark, sf_dir))
 
 
+@query("str1_with_corrections", oracle=f"""
+WITH r AS ({_REFETCHED}), f AS (SELECT order_number, min(ingest_seq) AS first FROM r GROUP BY 1),
+d AS (SELECT any_value(order_date) AS date, any_value(order_net_sales) AS net, any_value(total_price) AS gross,
+        any_value(coupon_used) AS coupon, sum(quantity) AS units
+      FROM r JOIN f ON r.order_number = f.order_number AND ingest_seq = first GROUP BY r.order_number)
+SELECT date, count(*) AS order_count, CAST(sum(net) AS BIGINT) AS total_sales, CAST(sum(gross) AS BIGINT) AS gross_sales,
+  CAST(sum(coupon) AS BIGINT) AS coupon_total, CAST(sum(units) AS BIGINT) AS item_count FROM d GROUP BY 1""")
+def str1_with_corrections(spark, sf_dir):
+    """STR1: copies land in any order over several micro-batches; the lowest sequence of an order counts."""
+    from ..session import unique_dir
+    from ..streaming import current_totals, run_with_corrections
+    out = unique_dir(spark, "stream_corrected")    # a fresh sink + checkpoint per run
+    return current_totals(run_with_corrections(spark, landed_refetched(spark, sf_dir), out + "/sink", out + "/checkpoint",
+                                               max_files_per_trigger=4))
+
+
 # ------------------------------------------------------------------ day states
 _PERIODS = ((MTD.start, MTD.end), (dt.date(1997, 1, 1), dt.date(1997, 12, 31)), (dt.date(1992, 1, 1), dt.date(1999, 12, 31)),
             (dt.date(1998, 6, 15), dt.date(1998, 6, 15)))
