@@ -3,7 +3,7 @@
 A URL becomes a set of tokens (scheme, host labels, path segments, query names).  Spark's
 FP-growth mines the token combinations that go along with the block label; combinations
 with enough support and confidence become rules, which match through an inverted index from
-their rarest token.  Explicit rules come first.  Only DataFrame functions and Spark ML run.
+their rarest token; tokens that always stand together are mined as one.  Explicit rules come first.  Only DataFrame functions and Spark ML run.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import landed
+from .common import beside, landed
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Item that marks a transaction as labelled "block"; no URL token has its form.
@@ -60,40 +60,74 @@ def tokens_of(url: Column) -> Column:
         marked("q:", F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)))))
 
 
-def _fires(rule: str, tokens: str) -> Column:
-    return F.size(F.array_except(rule, tokens)) == 0
+def _fires(rule: str, names: str) -> Column:
+    return F.size(F.array_except(rule, names)) == 0
 
 
-def mine_block_rules(labelled: DataFrame, min_pages: int, min_permille: int, min_percent: int) -> DataFrame:
-    """``(tokens, pages, blocked, token)`` of the mined rules from ``labelled(tokens, block)``.
+def _none(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
+def mine_block_rules(labelled: DataFrame, min_pages: int, min_permille: int, min_percent: int) -> tuple[DataFrame, DataFrame]:
+    """``rules(names, rarest)`` and ``named(token, name)`` mined from ``labelled(tokens, block)``.
 
     A rule is a set of any number of tokens that at least ``min_pages`` labelled pages and
     ``min_permille`` per mille of them carry along with the block label, and of whose pages at
-    least ``min_percent`` % are blocked.  Rules that hold a smaller rule are left out: the
-    smaller one fires wherever they do.  ``token`` is the rule's rarest token.
+    least ``min_percent`` % are blocked.  Only what can decide a verdict is mined:
+
+    * A token that is a rule by itself is not mined further: a set that holds it fires where it does.
+    * Tokens carried by exactly the same labelled pages share one ``name`` (the smallest), told by
+      their page counts and 128 bits of exclusive or of row hashes.  Any of them stands for the name, so
+      twenty query names of one site are one item instead of a million sets.
+    * Sets that hold a smaller rule are left out.
+
+    Tokens that stand together on nearly the same pages are still mined one by one.  A rule fires
+    on a URL that holds a token of each of its names; ``rarest`` is its rarest name.
     """
-    marked = landed(labelled.select(F.when(F.col("block"), F.concat("tokens", F.array(F.lit(BLOCKED))))
-                                    .otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0), "transactions")
-    n = marked.count()
+    rows = landed(labelled.select("tokens", "block").filter(F.col("block") | (F.size("tokens") > 0))
+                  .withColumn("row", F.monotonically_increasing_id()), "labelled-urls")
+    n = rows.count()
     least = max(min_pages, -(-n * min_permille // 1000))
+    held = rows.select("row", "block", F.explode("tokens").alias("token"))
+    counts = landed(held.groupBy("token").agg(F.count("*").alias("pages"), F.count_if("block").alias("blocked"),
+                                              F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y"))
+                    .filter(F.col("blocked") >= least), "url-tokens")
+    alone = F.col("blocked") * 100 >= F.col("pages") * min_percent
+    single = counts.filter(alone).select(F.array("token").alias("names"), F.col("token").alias("rarest"))
+    same = ["pages", "x", "y"]
+    others = counts.filter(~alone)
+    classes = landed(others.join(others.groupBy(*same).agg(F.min("token").alias("name")), same).select("token", "name", "pages"), "url-names")
+    names = classes.filter("token = name").select("token")
+    items = (held.join(beside(names), "token").groupBy("row", "block").agg(F.collect_list("token").alias("items"))
+             .select(F.when(F.col("block"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items")).alias("items")))
+    marked = landed(items, "transactions")
+    found = _mined(marked, least, min_percent)
+    held_names = found.select("rule_id", F.explode("names").alias("name"))
+    freq = classes.filter("token = name").select("name", "pages")
+    rarest = held_names.join(freq, "name").groupBy("rule_id").agg(F.min_by("name", F.struct("pages", "name")).alias("rarest"))
+    keyed = landed(found.join(rarest, "rule_id"), "keyed-rules")
+    smaller = keyed.select("rarest", F.col("names").alias("part"))
+    larger = (found.select("rule_id", "names", F.explode("names").alias("rarest")).join(smaller, "rarest")
+              .filter((F.size("part") < F.size("names")) & _fires("part", "names")).select("rule_id").distinct())
+    rules = landed(keyed.join(larger, "rule_id", "left_anti").select("names", "rarest").unionByName(single), "url-rules")
+    used = rules.select(F.explode("names").alias("name")).distinct()
+    every = classes.select("token", "name").unionByName(single.select(F.col("rarest").alias("token"), F.col("rarest").alias("name")))
+    return rules, landed(every.join(used, "name", "left_semi").select("token", "name"), "rule-tokens")
+
+
+def _mined(marked: DataFrame, least: int, min_percent: int) -> DataFrame:
+    """``(rule_id, names)`` of the sets of two names or more that block, by FP-growth over ``marked(items)``."""
+    n = marked.count()
     if n < least:
-        return marked.sparkSession.createDataFrame([], "tokens array<string>, pages long, blocked long, token string")
+        return _none(marked, "rule_id long, names array<string>")
     # FP-growth rounds support * n up; half a page less keeps the count whole
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(marked)
     sets = landed(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    both = (sets.filter(F.array_contains("items", BLOCKED) & (F.size("items") > 1))
+    both = (sets.filter(F.array_contains("items", BLOCKED) & (F.size("items") > 2))
             .select(F.array_remove("items", BLOCKED).alias("items"), F.col("freq").alias("blocked")))
-    found = landed(both.join(sets.withColumnRenamed("freq", "pages"), "items")
-                   .filter(F.col("blocked") * 100 >= F.col("pages") * min_percent)
-                   .select(F.xxhash64("items").alias("rule_id"), F.col("items").alias("tokens"), "pages", "blocked"), "found-rules")
-    single = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    held = found.select("rule_id", F.explode("tokens").alias("token"))
-    rarest = held.join(single, "token").groupBy("rule_id").agg(F.min_by("token", F.struct("freq", "token")).alias("token"))
-    keyed = landed(found.join(rarest, "rule_id"), "keyed-rules")
-    smaller = keyed.select("token", F.col("tokens").alias("part"))
-    larger = (found.select("rule_id", "tokens", F.explode("tokens").alias("token")).join(smaller, "token")
-              .filter((F.size("part") < F.size("tokens")) & _fires("part", "tokens")).select("rule_id").distinct())
-    return keyed.join(larger, "rule_id", "left_anti").select("tokens", "pages", "blocked", "token")
+    return landed(both.join(sets.withColumnRenamed("freq", "pages"), "items")
+                  .filter(F.col("blocked") * 100 >= F.col("pages") * min_percent)
+                  .select(F.xxhash64("items").alias("rule_id"), F.col("items").alias("names")), "found-rules")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], min_pages: int = 5, min_permille: int = 1,
@@ -103,18 +137,19 @@ def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], min_pages:
     ``labels(id, block)`` says which page ids are known to be blocked; ids may repeat (a page
     is labelled once for each row) and NULLs take no part.  A page takes its longest explicit
     rule's verdict; else ``block`` if a mined rule's tokens all occur in its URL (``mined``),
-    else ``allow``.  NULL URLs and URLs without ``://`` have empty host and path and no
+    else ``allow``.  A URL may hold any number of tokens; a repeated one counts once.  NULL URLs and URLs without ``://`` have empty host and path and no
     tokens.  Empty tables give no mined rules or an empty result; other columns are ignored.
     """
     url = F.col("url")
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     known = labels.filter("id is not null and block is not null").select(F.col("id").alias("page_id"), "block")
-    mined = landed(mine_block_rules(base.join(known, "page_id").select(tokens_of(url).alias("tokens"), "block"),
-                                    min_pages, min_permille, min_percent), "url-rules")
-    # a rule meets the URLs that hold its rarest token
-    fired = (base.select("url").filter("url is not null").distinct()
-             .select("url", tokens_of(url).alias("of_url")).select("url", "of_url", F.explode("of_url").alias("token"))
-             .join(mined.select("token", "tokens"), "token").filter(_fires("tokens", "of_url"))
+    rules_mined, named = mine_block_rules(base.join(known, "page_id").select(tokens_of(url).alias("tokens"), "block"),
+                                          min_pages, min_permille, min_percent)
+    # only tokens that rules name go on; a rule meets the URLs that hold its rarest name
+    of_url = (base.select("url").filter("url is not null").distinct().select("url", F.explode(tokens_of(url)).alias("token"))
+              .join(beside(named), "token").groupBy("url").agg(F.collect_set("name").alias("of_url")))
+    fired = (of_url.select("url", "of_url", F.explode("of_url").alias("rarest"))
+             .join(rules_mined, "rarest").filter(_fires("names", "of_url"))
              .select("url").distinct().withColumn("mined", F.lit(True)))
     host, path = host_of(url), path_of(url)
     rule, verdict = explicit_rule(F.col("host"), F.col("path"), rules)

@@ -389,6 +389,29 @@ def test_mined_rules_of_every_length(spark):
     assert got[len(rows) - 1] and not got[len(rows) - 2] and min(map(len, rules)) == 3
 
 
+def test_tokens_that_always_stand_together(spark):
+    """24 tokens on the same pages are mined as one: no set of all their subsets, the same verdicts."""
+    many = "&".join(f"q{i}=1" for i in range(24))
+    rows = [(f"http://h{i % 3}/win?{many}&u{i}=1", True) for i in range(10)]           # with the path: blocked
+    rows += [(f"http://h{i % 3}/x?{many}", False) for i in range(10)]                  # without it: half of all
+    rows += [(f"http://h{i % 3}/win?z=1", False) for i in range(10)]
+    spam = "&".join(f"s{i}=1" for i in range(24))
+    rows += [(f"http://h{i % 3}/y?{spam}", True) for i in range(10)]                   # each token a rule by itself
+    n = len(rows)
+    rows += [("http://a/win?q7=1", None), ("http://a/x?q7=1&q8=2", None), ("http://a/win", None), ("http://a/b?s3=1", None), ("http://a/y", None)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows) if b is not None], "id long, block boolean")
+    got = {r.page_id: r.mined for r in url_filter.judge(pages, labels, {}).collect()}
+    assert [got[i] for i in range(n)] == [i < 10 or i >= 30 for i in range(n)]
+    assert [got[n + i] for i in range(5)] == [True, False, False, True, True]
+    rules, named = url_filter.mine_block_rules(
+        pages.join(labels.withColumnRenamed("id", "page_id"), "page_id").select(url_filter.tokens_of(F.col("url")).alias("tokens"), "block"), 5, 1, 80)
+    pairs = {tuple(r.names) for r in rules.collect() if len(r.names) > 1}
+    names = {r.token: r.name for r in named.collect()}
+    assert pairs == {("p:win", "q:q0")} and all(names[f"q:q{i}"] == "q:q0" for i in range(24))
+    assert {names[f"q:s{i}"] for i in range(24)} == {f"q:s{i}" for i in range(24)}     # rules by themselves
+
+
 def test_topk_of_more_than_the_seed_rows():
     rng = np.random.default_rng(3)
     x = np.floor(rng.normal(size=(400, 32)) * 1024)
