@@ -30,7 +30,7 @@ from .components import connected_components
 BANDS, ROWS = 24, 5
 N_HASHES = BANDS * ROWS
 BATCH = 24
-#: Block sizes of a bucket's second search: minority members x members.
+#: Block sizes: followers of a leader in the first search (about), minority members x members in the second.
 MINOR_BLOCK, MEMBER_BLOCK = 256, 512
 SIGNED = "doc_id long, n_shingles long, set_key binary, sig binary"
 
@@ -192,7 +192,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
 
     # first search: each class and the smallest class it shares a bucket with
     star = landed(members.filter("id <> leader").groupBy("id").agg(F.min("leader").alias("leader")), "star")
-    salted = star.select(F.col("leader").alias("g1"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("g2"), "id")
+    # a leader's followers are split into as many groups as their count needs
+    crowded = landed(star.groupBy("leader").agg(F.ceil(F.count("*") / MINOR_BLOCK).alias("groups")).filter("groups > 1"), "crowded")
+    salted = (star.join(beside(crowded), "leader", "left")
+              .select(F.col("leader").alias("g1"), F.pmod(F.xxhash64("id"), F.coalesce("groups", F.lit(1))).alias("g2"), "id"))
     rows = (salted.select("g1", "g2", F.lit(0).alias("role"), "id")
             .unionByName(salted.select("g1", "g2", F.lit(1).alias("role"), F.col("g1").alias("id")).distinct())
             .select("g1", "g2", F.lit(0).alias("g3"), F.lit(0).alias("band"), "role", "id", F.col("id").alias("comp")))

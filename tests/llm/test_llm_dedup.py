@@ -55,6 +55,26 @@ def test_near_duplicates_of_a_large_group(spark):
     assert got == near_dup_components(rows, 3, 85)
 
 
+def test_near_duplicates_of_a_crowded_leader(spark, monkeypatch):
+    """A third of all rows follow one leader; followers spread over groups of a few rows each."""
+    monkeypatch.setattr(near_dedup, "MINOR_BLOCK", 8)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join(base[:i % 3] + [f"x{i}"] + base[i % 3:])) for i in range(100)]
+    rows += [(i, " ".join(f"w{rng.randrange(10_000)}" for _ in range(30))) for i in range(100, 300)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs_df(spark, rows), 3, 85).collect()}
+    assert got == near_dup_components(rows, 3, 85)
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    """Texts of 60,000 words: the last words decide, so no prefix stands for the whole."""
+    base = [f"b{i * 7919 % 50_021}" for i in range(60_000)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:-500] + ["end"] * 3)),
+            (3, " ".join(base[:40_000] + [f"other{i}" for i in range(20_000)])), (4, "x" * 1_000_000), (5, "x" * 1_000_000)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs_df(spark, rows), 3, 85).collect()}
+    assert got == near_dup_components(rows, 3, 85) == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4}
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(None, "a b c d"), (1, None), (2, ""), (3, "a b c d"), (3, "a b c d"), (4, "A B C d"), (5, None)]
     got = near_dedup.near_duplicates(docs_df(spark, rows), 3, 85).collect()
@@ -135,6 +155,20 @@ def test_passages_equal_brute_force(spark, window):
             assert got[i].kept_text == " ".join(kept)
 
 
+def test_passages_of_very_long_texts(spark):
+    """A passage at the far end of a text of 60,000 words, and one held by a third of all rows."""
+    long = [f"l{i}" for i in range(60_000)]
+    passage = [f"p{i}" for i in range(55)]
+    rows = [(1, " ".join(long + passage)), (2, " ".join(["a", *passage, "b"])), (3, " ".join(long[59_930:]))]
+    rows += [(i, " ".join([f"u{i}", *passage[:52]])) for i in range(10, 40)]
+    rows += [(i, " ".join(f"v{i * 100 + j}" for j in range(60))) for i in range(40, 100)]
+    got = {r.doc_id: r for r in substring.repeated_passages(docs_df(spark, rows), 50).collect()}
+    for i, kept in passages_removed(rows, 50):
+        n = len(words(dict(rows)[i]))
+        assert (got[i].n_words, got[i].n_removed) == (n, n - len(kept)), i
+        assert got[i].kept_sha256 == hashlib.sha256(" ".join(kept).encode()).hexdigest()
+
+
 def test_passages_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(None, text), (9, text), (9, text), (9, "y " + text), (5, text + " z"), (6, None), (7, ""), (12, text)]
