@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    signed = landed(base.mapInArrow(_sign(shingle), SIGNED), "signed")
+    signed = landed(base.mapInArrow(_sign(shingle), SIGNED), "signed", merge=False)
     # equal sets: one class each, named ``id`` by its set (a document id may stand for several classes)
     name = F.xxhash64("set_key").alias("id")
     classes = landed(signed.filter("doc_id is not null and set_key is not null")
@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     texts = base.join(beside(holders), "doc_id", "left_semi")
     sets = (texts.mapInArrow(_full_sets(shingle), "set_key binary, shingles binary")
             .select(name, "shingles").dropDuplicates(["id"]))
-    feats = landed(sets.join(reps.join(beside(wanted), "id", "left_semi"), "id"), "features")
+    feats = landed(sets.join(reps.join(beside(wanted), "id", "left_semi"), "id"), "features", merge=False)
     free_shuffles(spark)
 
     # first search: each class and the smallest class it shares a bucket with
