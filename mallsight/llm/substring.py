@@ -200,7 +200,7 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    digest = landed(base.mapInArrow(_digest, "doc_id long, n_words long, seq_key binary, class long, sha string"), "digest")
+    digest = landed(base.mapInArrow(_digest, "doc_id long, n_words long, seq_key binary, class long, sha string"), "digest", merge=False)
     named = digest.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     classes = landed(named.groupBy("seq_key", "class").agg(F.min("doc_id").alias("first_id")), "classes")
 
@@ -219,9 +219,9 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
                    .join(anchors, "class").drop("class"), "found")
     # only the texts that hold a kept anchor are shuffled
     wanted = landed(found.select("doc_id").distinct(), "wanted")
-    texts = landed(base.join(beside(wanted), "doc_id", "left_semi").join(found, "doc_id"), "passage-texts")
+    texts = landed(base.join(beside(wanted), "doc_id", "left_semi").join(found, "doc_id"), "passage-texts", merge=False)
     free_shuffles(spark)
-    windows = landed(texts.mapInArrow(_windows(window), "h1 long, h2 long, doc_id long, part int, start int"), "windows")
+    windows = landed(texts.mapInArrow(_windows(window), "h1 long, h2 long, doc_id long, part int, start int"), "windows", merge=False)
     firsts = landed(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                     .filter("lo <> hi").drop("hi"), "firsts")
     free_shuffles(spark)
@@ -229,7 +229,7 @@ def repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
             .groupBy("doc_id", "part").agg(F.collect_set("start").alias("starts")))
     cut = landed(texts.join(cuts, ["doc_id", "part"]).select("seq_key", "text", "starts")
                  .mapInArrow(_cut(window), "seq_key binary, n_cut long, kept_text string, cut_sha string")
-                 .dropDuplicates(["seq_key"]), "cut")
+                 .dropDuplicates(["seq_key"]), "cut", merge=False)
     # one narrow row per class, joined once: a large class's rows can then be split over tasks
     verdicts = landed(classes.drop("class").join(cut, "seq_key", "left"), "verdicts")
     free_shuffles(spark)
