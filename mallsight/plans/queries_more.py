@@ -23,7 +23,7 @@ from ..sources.adapters import event_lines, event_lines_sql, star_lines, star_li
 from ..sources.landing import land, landed_path
 from ..sources.tables import read_table
 from ..sources.xml_records import xml_paths, xml_quarantine, xml_rows, xml_table
-from .catalog import ORACLE, query
+from .catalog import ORACLE, QUERIES, query
 from .params import STAR_AS_OF
 from .queries_core import MTD
 from .queries_reports import _CLI_E, _CLI_END, _CLI_S, _CLI_START, _MJ_E, _MJ_S, _UPDATED, _WK_E, _WK_S, _window_where
@@ -409,6 +409,28 @@ def src13_mixed_headers(spark, sf_dir):
     return C.parse_order_csv(spark, path).select("order_number", "item_name", "quantity", "unit_price", "total_price")
 
 
+@query("prj14_required_columns", oracle=f"""
+WITH l AS ({star_lines_sql(drop_cancelled=False)})
+SELECT CASE ingest_seq % 3 WHEN 0 THEN '' WHEN 1 THEN 'order_number' ELSE 'order_date' END AS missing,
+       count(*) AS n_records, CAST(sum(CASE WHEN ingest_seq % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_parsed,
+       CAST(sum(CASE WHEN ingest_seq % 3 = 0 THEN quantity END) AS BIGINT) AS quantity
+FROM l GROUP BY 1""")
+def prj14_required_columns(spark, sf_dir):
+    """PRJ14: one folder, files without an order number or an order date beside whole ones; the whole ones parse."""
+    def save(lines, path):
+        for i, gone in enumerate((None, "order_number", "order_date")):
+            df = D.csv_export(lines.filter(F.col("ingest_seq") % 3 == i), 0)
+            kept = [c for c in df.columns if gone is None or c.lstrip(C.BOM) not in C.HEADER_ALIASES[gone]]
+            df.select(*kept).write.mode("append").options(**C.CSV_EXACT, header=True, encoding=D.CSV_LAYOUTS[0][0]).csv(path)
+    path = land(spark, sf_dir, "csv_short_headers", lambda: star_lines(spark, sf_dir, drop_cancelled=False), save)
+    files = (C.required_columns(spark, path).groupBy(F.array_join("missing", ",").alias("missing"))
+             .agg(F.sum("n_records").alias("n_records")))
+    parsed = C.parse_order_csv(spark, path, skip_incomplete=True).agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
+    whole = F.col("missing") == ""
+    return files.crossJoin(F.broadcast(parsed)).select(  # one row of totals
+        "missing", "n_records", F.when(whole, F.col("n")).otherwise(0).cast("bigint").alias("n_parsed"), F.when(whole, F.col("quantity")).alias("quantity"))
+
+
 @query("src1_json_array_file", oracle=f"""
 SELECT {", ".join(_CMP_COLS)} FROM ({_BASE})""")
 def src1_json_array_file(spark, sf_dir):
@@ -549,3 +571,50 @@ def rpt9_raw_documents(spark, sf_dir):
                   raw_docs=D.r_documents(spark, sf_dir), raw_dir=f"{root}/raw")
     name = stamp("orders", dt.datetime.combine(STAR_AS_OF, dt.time()))
     return R.read_order_json(spark, f"{root}/raw/{name}").select(F.col("orderNumber").alias("order_number"))
+
+
+@query("flt12_empty_input_guards", oracle=f"""
+SELECT strftime(date, '%Y-%m-%d') AS date, order_count, total_sales, false AS overwritten, false AS appended
+FROM ({ORACLE['agg2_daily_sales']})""")
+def flt12_empty_input_guards(spark, sf_dir):
+    """FLT12: an empty result neither replaces a table nor adds to it."""
+    from ..session import unique_dir
+    from ..sinks import append_table, overwrite_table
+    target = unique_dir(spark, "guarded")
+    daily = A.daily_sales(star_lines(spark, sf_dir, product=False, store=False))
+    overwrite_table(daily, target)
+    none = daily.filter("order_count < 0")
+    overwritten, appended = overwrite_table(none, target), append_table(none, target)
+    return spark.read.parquet(target).select("date", "order_count", "total_sales", F.lit(overwritten).alias("overwritten"),
+                                             F.lit(appended).alias("appended"))
+
+
+@query("fn5_strict_dates", oracle="""
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+t AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_number, CASE o_orderkey % 7
+  WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%Y/%m/%d')
+  WHEN 2 THEN year(d) || '-' || month(d) || '-' || day(d) WHEN 3 THEN strftime(d, '%Y') || '-13-' || strftime(d, '%d')
+  WHEN 4 THEN strftime(d, '%Y-%m-%d') || ' 00:00:00' WHEN 5 THEN strftime(d, '%Y') || '-02-' || strftime(d, '%d')
+  ELSE '' END AS text FROM d)
+SELECT order_number, text,
+  CASE WHEN regexp_full_match(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN try_cast(text AS DATE) END AS date FROM t""")
+def fn5_strict_dates(spark, sf_dir):
+    """FN5: every order's date as text in seven spellings; only real dates written yyyy-MM-dd are read."""
+    from ..functions.time import parse_iso_date
+    d, kind = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 7
+    spelled = (F.when(kind == 0, F.date_format(d, "yyyy-MM-dd")).when(kind == 1, F.date_format(d, "yyyy/MM/dd"))
+               .when(kind == 2, F.concat_ws("-", F.year(d), F.month(d), F.day(d)))
+               .when(kind == 3, F.concat(F.date_format(d, "yyyy"), F.lit("-13-"), F.date_format(d, "dd")))
+               .when(kind == 4, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 00:00:00")))
+               .when(kind == 5, F.concat(F.date_format(d, "yyyy"), F.lit("-02-"), F.date_format(d, "dd"))).otherwise(""))
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    return orders.select(F.col("o_orderkey").cast("string").alias("order_number"), spelled.alias("text"),
+                         parse_iso_date(spelled).alias("date"))
+
+
+@query("fn19_report_message", oracle=f"""
+SELECT string_agg(text, chr(10) ORDER BY line_no) AS message FROM ({ORACLE['rpt5_daily_report_text']})""")
+def fn19_report_message(spark, sf_dir):
+    """FN19: the daily report as the one message that is sent."""
+    from .reports import report_text
+    return report_text(QUERIES["rpt5_daily_report_text"](spark, sf_dir))

@@ -174,18 +174,35 @@ def _canonical(text, has) -> list:
             point.alias("use_point"), coupon.alias("coupon_discount"), net.alias("order_net_sales"), F.lit(CSV_SOURCE).alias("source")]
 
 
-def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
+def _lacking():
+    """Required canonical columns for which a file's header has none of the accepted names."""
+    return F.array_compact(F.array(*[F.when(~F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k]))), F.lit(k))
+                                     for k in REQUIRED]))
+
+
+def required_columns(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
+    """PRJ14: ``(file, missing, n_records)``, one row a file; ``missing`` is empty where the file can be parsed."""
+    records, files = _export_rows(spark, path, encoding)
+    counts = records.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return (files.select("file", _lacking().alias("missing")).join(counts, "file", "left")
+            .select("file", "missing", F.coalesce("n", F.lit(0)).alias("n_records")))
+
+
+def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j", skip_incomplete: bool = False) -> DataFrame:
     """SRC13 + PRJ10-PRJ14: decode with ``encoding``, else UTF-8 ignoring bad bytes.
 
     Every file is read by its own header and decided by its own content: files that are not valid
     in the declared encoding are read as UTF-8.  Rows with a wrong number of fields are left to
-    ``quarantined_rows``.  A file without a required column raises ``ValueError``.
+    ``quarantined_rows``.  A file without a required column raises ``ValueError``, or with
+    ``skip_incomplete`` is left to ``required_columns``.
     """
     records, files = _export_rows(spark, path, encoding)
-    lacks = [F.when(~F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k]))), F.lit(k)) for k in REQUIRED]
-    short = files.select("file", F.array_compact(F.array(*lacks)).alias("missing")).filter(F.size("missing") > 0).first()
-    if short is not None:
-        _require(short.missing, f" in {short.file}")
+    if skip_incomplete:
+        records = records.filter(F.size(_lacking()) == 0)
+    else:
+        short = files.select("file", _lacking().alias("missing")).filter(F.size("missing") > 0).first()
+        if short is not None:
+            _require(short.missing, f" in {short.file}")
     has = lambda k: F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k])))
     return records.filter(_right_width()).select(*_canonical(_named, has), F.col("file_name").alias("_file"), F.col("position").alias("_pos"))
 

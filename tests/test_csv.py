@@ -51,6 +51,15 @@ def test_missing_required_column(spark, tmp_path):
         C.parse_order_csv(spark, p, "UTF-8")
 
 
+def test_incomplete_files_are_reported_and_skipped(spark, tmp_path):
+    for name, text in (("a", "注文ID,注文日,商品名\nO1,2024-01-10,x\n"), ("b", "商品名,注文ID\ny,O2\nz,O3\n"), ("c", "商品名\n"), ("d", "")):
+        _write(tmp_path / f"{name}.csv", text, "utf-8")
+    rows = {r.file.rsplit("/", 1)[1]: (r.missing, r.n_records) for r in C.required_columns(spark, str(tmp_path), "UTF-8").collect()}
+    assert rows["a.csv"] == ([], 1) and rows["b.csv"] == (["order_date"], 2)
+    assert rows["c.csv"] == (["order_number", "order_date"], 0)
+    assert [r.order_number for r in C.parse_order_csv(spark, str(tmp_path), "UTF-8", skip_incomplete=True).collect()] == ["O1"]
+
+
 def test_import_dataset_keep_last(spark, tmp_path):
     root = str(tmp_path / "imports")
     first = _write(tmp_path / "a.csv", "注文ID,注文日,商品名,数量\nO1,2024-01-10,x,1\nO1,2024-01-10,x,2\n"
