@@ -191,6 +191,17 @@ def test_line_spread(spark):
     assert line_dedup.drop_boilerplate(docs_df(spark, [])).count() == 0
 
 
+def test_line_spread_of_very_long_texts(spark):
+    """The last of 50,000 lines, and one line of a million characters, are judged like any other."""
+    wide = "x" * 1_000_000
+    rows = [(i, "\n".join([*(f"own {i} {j}" for j in range(50_000 if i == 0 else 5)), wide, "shared"]), f"s{i}") for i in range(4)]
+    rows.append((9, f"{wide}y\nshared", "s9"))
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.drop_boilerplate(docs_df(spark, rows), sites=4).collect()}
+    for i, text, _ in rows:
+        kept = [x for x in text.split("\n") if x not in (wide, "shared")]
+        assert got[i] == (text.count("\n") + 1, text.count("\n") + 1 - len(kept), "\n".join(kept)), i
+
+
 def test_line_spread_counts_an_empty_site(spark):
     rows = [(i, f"shared\nown {i}", s) for i, s in enumerate(["a", "b", "c", ""])]
     got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs_df(spark, rows), sites=4).collect()}

@@ -65,6 +65,48 @@ def test_scorer_equals_model_beyond_its_cache(monkeypatch):
     assert got[5] == got[6] == pytest.approx(1 / (1 + math.exp(-0.25)))
 
 
+def test_training_steps_follow_numerical_gradients(monkeypatch):
+    """Each step of ``fit`` moves every parameter against the loss's finite differences."""
+    monkeypatch.setattr(quality, "BUCKETS", 6)
+    monkeypatch.setattr(quality, "DIM", 3)
+    monkeypatch.setattr(quality, "EPOCHS", 3)
+    bags = [(np.array(b), np.array(s, np.float32)) for b, s in (([0, 2, 5], [.5, .3, .2]), ([1, 2], [.6, .4]), ([4], [1.0]), ([], []))]
+    bags = [(b.astype(np.int64), s) for b, s in bags]
+    labels = np.array([1, 0, 1, 0])
+    rng = np.random.default_rng(7)
+    vec = rng.uniform(-1 / 3, 1 / 3, (7, 3)).astype(np.float32).astype(np.float64)
+    out, bias = np.zeros((3, 2)), np.zeros(2)
+
+    def loss(i):
+        b, s = bags[i]
+        z = s.astype(np.float64) @ vec[b] @ out + bias
+        return np.log(np.exp(z).sum()) - z[labels[i]]
+
+    def gradient(x, i):
+        g = np.zeros_like(x)
+        for k in np.ndindex(*x.shape):
+            old = x[k]
+            x[k] = old + 1e-5
+            up = loss(i)
+            x[k] = old - 1e-5
+            g[k] = (up - loss(i)) / 2e-5
+            x[k] = old
+        return g
+    at = 0
+    for _ in range(3):
+        for i in rng.permutation(4):
+            rate = quality.RATE * (1 - at / 12)
+            at += 1
+            of_vec, of_out, of_bias = (gradient(x, i) for x in (vec, out, bias))
+            spread = np.sqrt((bags[i][1].astype(np.float64) ** 2).sum()) or 1.0
+            vec -= rate / spread * of_vec
+            out -= rate * of_out
+            bias -= 0.1 * rate * of_bias
+    model = quality.fit(bags, labels)
+    assert np.allclose(model.weights, vec @ (out[:, 1] - out[:, 0]), rtol=1e-3, atol=1e-4)
+    assert abs(model.bias - (bias[1] - bias[0])) < 1e-4 and np.abs(model.weights).max() > 0.01
+
+
 def test_quality_accuracy_on_held_out_rows(spark, sf_mid):
     docs = spark.read.parquet(f"{sf_mid}/documents.parquet")
     labels = spark.read.parquet(f"{sf_mid}/labels.parquet")
