@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import clean_int
 from ..functions.time import ntz, parse_lenient_time
+from ..operators.flatten import parse_once
 from ..schema import IMPORTED_ORDER
 from ..sinks import CSV_EXACT, materialize
 from .readers import _empty, path_exists
@@ -47,11 +48,11 @@ def _enable_legacy_charsets(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def write_export(df: DataFrame, path: str, encoding: str = "windows-31j") -> str:
+def write_export(df: DataFrame, path: str, encoding: str = "windows-31j", mode: str = "overwrite") -> str:
     """An export file set in the given encoding (header line first in every part)."""
     if encoding.upper().replace("-", "") != "UTF8":
         _enable_legacy_charsets(df.sparkSession)
-    df.write.mode("overwrite").options(**CSV_EXACT).option("header", True).option("encoding", encoding).csv(path)
+    df.write.mode(mode).options(**CSV_EXACT).option("header", True).option("encoding", encoding).csv(path)
     return path
 
 
@@ -74,11 +75,11 @@ _UTF8 = "UTF-8"
 _FIELDS = CSV_EXACT | {"mode": "PERMISSIVE"}
 
 
-def _fields(text, n: int):
-    """The first ``n`` fields of a record as an array (absent ones NULL)."""
+def _with_fields(df: DataFrame, n: int, name: str, text: str) -> DataFrame:
+    """``df`` with the first ``n`` fields of a record as an array (absent ones NULL); each record is parsed once."""
     schema = ", ".join(f"c{i} string" for i in range(n))
-    row = F.from_csv(text, F.lit(schema), _FIELDS)
-    return F.array(*[row[f"c{i}"] for i in range(n)])
+    return df.select("*", *parse_once(F.from_csv(F.col(text), F.lit(schema), _FIELDS).alias("_row"))) \
+        .withColumn(name, F.array(*[F.col("_row")[f"c{i}"] for i in range(n)])).drop("_row")
 
 
 def _export_rows(spark: SparkSession, path, encoding: str) -> tuple[DataFrame, DataFrame]:
@@ -105,14 +106,15 @@ def _export_rows(spark: SparkSession, path, encoding: str) -> tuple[DataFrame, D
         files = ranges.groupBy("file").agg(F.max("bad").alias("bad"), F.max("head").alias("head"))
         files = files.withColumn("head", F.regexp_replace(decoded(F.col("head")), f"^{BOM}|\r$", ""))
         n = files.agg(F.max(field_count(F.col("head")))).first()[0] or 1
-        files = materialize(files.select("file", "bad", _fields(F.col("head"), n).alias("header"), field_count(F.col("head")).alias("n_fields"))
-                            .withColumn("header", F.slice("header", F.lit(1), F.col("n_fields"))), "csv_files")
+        files = materialize(_with_fields(files, n, "header", "head").withColumn("n_fields", field_count(F.col("head")))
+                            .select("file", "bad", F.slice("header", F.lit(1), F.col("n_fields")).alias("header"), "n_fields"), "csv_files")
         records = (csv_records(lines).join(ranges.select("file", "block", "first"), ["file", "block"]).join(files, "file")
                    .filter((F.col("block") > 0) | (F.col("pos") > F.col("first")))
-                   .withColumn("value", F.regexp_replace(decoded(F.col("text").cast("binary")), "\r$", "")))
+                   .select("file", "file_name", "block", "pos", "first", "header", "n_fields",
+                           *parse_once(F.regexp_replace(decoded(F.col("text").cast("binary")), "\r$", "").alias("value"))))
     # a byte range has no more lines than bytes, so this rises through the file
     position = F.col("block") + F.col("pos") - F.col("first")
-    records = records.select("file", "file_name", position.alias("position"), "value", "header", "n_fields", _fields(F.col("value"), n).alias("fields"))
+    records = _with_fields(records.select("file", "file_name", position.alias("position"), "value", "header", "n_fields"), n, "fields", "value")
     return records, files
 
 
@@ -151,27 +153,34 @@ def _require(missing: list[str], where: str = "") -> None:
         raise ValueError(f"required columns missing{where}: {missing}")
 
 
-def _canonical(text, has) -> list:
-    """PRJ10-PRJ14: canonical columns, cleaned numbers, defaults, net sales.
+def _each(clean, *columns: str):
+    """``clean`` of each column, as an array."""
+    return F.transform(F.array(*columns), lambda c: clean(c))  # a function of two arguments would get the position too
 
-    ``text(name)`` is the field under a header name, ``has(k)`` whether the file has any of the
-    accepted names of canonical column ``k``.
+
+def _canonical(rows: DataFrame) -> DataFrame:
+    """PRJ10-PRJ14: canonical columns, cleaned numbers, defaults, net sales; ``_file`` and ``_pos`` of each record.
+
+    Each field is picked once, by the accepted names of its column in the file's own header, and
+    cleaned once; a column none of whose names the header has takes its default.
     """
-    pick = {k: F.coalesce(*[text(a) for a in v]) for k, v in HEADER_ALIASES.items()}
-
-    def number(k, absent):
-        return F.when(has(k), clean_int(pick[k])).otherwise(absent)
-    qty = number("quantity", F.lit(1).cast("bigint"))              # absent column -> 1 (D20)
-    unit = number("unit_price", F.lit(0).cast("bigint"))
-    sub = number("subtotal", unit * qty)
-    point = number("use_point", F.lit(0).cast("bigint"))
-    coupon = number("coupon_discount", F.lit(0).cast("bigint"))
-    total = number("total_price", F.lit(None).cast("bigint"))
-    net = F.when(has("total_price"), total - point - coupon).otherwise(sub)
-    return [pick["order_number"].alias("order_number"), parse_lenient_time(pick["order_date"]).alias("order_date"),
-            F.when(has("item_name"), pick["item_name"]).otherwise(F.lit(UNKNOWN_ITEM)).alias("item_name"),
-            qty.alias("quantity"), unit.alias("unit_price"), sub.alias("subtotal"), total.alias("total_price"),
-            point.alias("use_point"), coupon.alias("coupon_discount"), net.alias("order_net_sales"), F.lit(CSV_SOURCE).alias("source")]
+    has = lambda k: F.exists("header", lambda h: h.isin(*HEADER_ALIASES[k]))
+    numbers = ("quantity", "unit_price", "subtotal", "use_point", "coupon_discount", "total_price")
+    picked = rows.select("file_name", "position", *parse_once(
+        *[F.coalesce(*[_named(a) for a in v]).alias(k) for k, v in HEADER_ALIASES.items()], *[has(k).alias(f"_has_{k}") for k in (*numbers, "item_name")]))
+    # one expression over an array: written out per column, the generated code is too large to be compiled
+    cleaned = picked.select("file_name", "position", "order_number", "item_name", *[f"_has_{k}" for k in (*numbers, "item_name")], *parse_once(
+        _each(parse_lenient_time, "order_date").alias("_t"), _each(clean_int, *numbers).alias("_n")))
+    given = lambda k, value, absent: F.when(F.col(f"_has_{k}"), value).otherwise(F.lit(absent))
+    absent = {"quantity": 1, "total_price": None, "subtotal": None}                    # no quantity column -> 1 (D20)
+    cleaned = cleaned.select("file_name", "position", "order_number", F.col("_t")[0].alias("order_date"), "_has_subtotal", "_has_total_price",
+                             given("item_name", F.col("item_name"), UNKNOWN_ITEM).alias("item_name"),
+                             *[given(k, F.col("_n")[i], absent.get(k, 0)).cast("bigint").alias(k) for i, k in enumerate(numbers)])
+    cleaned = cleaned.withColumn("subtotal", F.when(F.col("_has_subtotal"), F.col("subtotal")).otherwise(F.col("unit_price") * F.col("quantity")))
+    net = F.when(F.col("_has_total_price"), F.col("total_price") - F.col("use_point") - F.col("coupon_discount")).otherwise(F.col("subtotal"))
+    return cleaned.select("order_number", "order_date", "item_name", "quantity", "unit_price", "subtotal", "total_price", "use_point",
+                          "coupon_discount", net.alias("order_net_sales"), F.lit(CSV_SOURCE).alias("source"),
+                          F.col("file_name").alias("_file"), F.col("position").alias("_pos"))
 
 
 def _lacking():
@@ -203,8 +212,7 @@ def parse_order_csv(spark: SparkSession, path: str, encoding: str = "windows-31j
         short = files.select("file", _lacking().alias("missing")).filter(F.size("missing") > 0).first()
         if short is not None:
             _require(short.missing, f" in {short.file}")
-    has = lambda k: F.arrays_overlap("header", F.array(*map(F.lit, HEADER_ALIASES[k])))
-    return records.filter(_right_width()).select(*_canonical(_named, has), F.col("file_name").alias("_file"), F.col("position").alias("_pos"))
+    return _canonical(records.filter(_right_width()))
 
 
 def quarantined_rows(spark: SparkSession, path: str, encoding: str = "windows-31j") -> DataFrame:
@@ -247,14 +255,13 @@ def load_saved_csv(spark: SparkSession, root: str, start=None, end=None) -> Data
     paths = _saved_imports(spark, root)
     if not paths:
         return _empty(spark, IMPORTED_ORDER).select(*cols)
-    text = _named
-    typed = _export_rows(spark, paths, "UTF-8")[0].filter(_right_width()).select(
-        text("order_number").alias("order_number"), parse_lenient_time(text("order_date")).alias("order_date"),
-        text("item_name").alias("item_name"),
-        *[clean_int(text(c)).alias(c) for c in ("quantity", "unit_price", "subtotal")],
-        text("total_price").try_cast("bigint").alias("total_price"),
-        *[clean_int(text(c)).alias(c) for c in ("use_point", "coupon_discount", "order_net_sales")],
-        text("source").alias("source"), F.regexp_extract("file", r"/(yahoo_orders_[^/]+)\.csv(?:/|$)", 1).alias("import_id"),
+    picked = _export_rows(spark, paths, "UTF-8")[0].filter(_right_width()).select(
+        "file", "file_name", "position", *parse_once(*[_named(c).alias(c) for c in cols]))
+    numbers = ("quantity", "unit_price", "subtotal", "use_point", "coupon_discount", "order_net_sales")
+    typed = picked.select("file", "file_name", "position", "order_number", "item_name", "total_price", "source", *parse_once(
+        _each(parse_lenient_time, "order_date").alias("_t"), _each(clean_int, *numbers).alias("_n"))).select(
+        "order_number", F.col("_t")[0].alias("order_date"), "item_name", *[F.col("_n")[i].alias(c) for i, c in enumerate(numbers)],
+        F.col("total_price").try_cast("bigint").alias("total_price"), "source", F.regexp_extract("file", r"/(yahoo_orders_[^/]+)\.csv(?:/|$)", 1).alias("import_id"),
         "file_name", F.col("position").alias("row_seq"))
     last = keep_last(typed, ("order_number", "item_name"), ("import_id", "file_name", "row_seq"),
                      columns=["order_number", "item_name", *[c for c in cols if c not in
