@@ -35,6 +35,7 @@ HEADER_ALIASES = {
     "use_point": ["ポイント利用", "UsePoint"],
     "coupon_discount": ["クーポン割引", "CouponDiscount"],
 }
+_ALIASES = [a for names in HEADER_ALIASES.values() for a in names]
 REQUIRED = ["order_number", "order_date"]
 # Default item name when the export has no name column; store label.
 UNKNOWN_ITEM = "不明"
@@ -85,8 +86,8 @@ def _with_fields(df: DataFrame, n: int, name: str, text: str) -> DataFrame:
 def _export_rows(spark: SparkSession, path, encoding: str) -> tuple[DataFrame, DataFrame]:
     """(records, files) of an export: every file by its own header and its own charset.
 
-    ``records``: ``file, file_name, position, value, header, n_fields, fields`` of the records below
-    the headers.  ``files``: one row a file, ``file, bad, header, n_fields``.  A file is UTF-8 (undecodable bytes dropped)
+    ``records``: ``file, file_name, position, value, header, at, n_fields, fields`` of the records below
+    the headers; ``at`` are the fields' places for ``_ALIASES``, found once a file.  ``files``: one row a file, ``file, bad, header, n_fields``.  A file is UTF-8 (undecodable bytes dropped)
     when its bytes are not valid in ``encoding``.  Files are read in byte ranges by many tasks
     (``split_records``); one pass finds charsets and headers, one reads the records.
     """
@@ -107,14 +108,15 @@ def _export_rows(spark: SparkSession, path, encoding: str) -> tuple[DataFrame, D
         files = files.withColumn("head", F.regexp_replace(decoded(F.col("head")), f"^{BOM}|\r$", ""))
         n = files.agg(F.max(field_count(F.col("head")))).first()[0] or 1
         files = materialize(_with_fields(files, n, "header", "head").withColumn("n_fields", field_count(F.col("head")))
-                            .select("file", "bad", F.slice("header", F.lit(1), F.col("n_fields")).alias("header"), "n_fields"), "csv_files")
+                            .select("file", "bad", F.slice("header", F.lit(1), F.col("n_fields")).alias("header"), "n_fields")
+                            .withColumn("at", F.array(*[_place(a) for a in _ALIASES])), "csv_files")
         records = (csv_records(lines).join(ranges.select("file", "block", "first"), ["file", "block"]).join(files, "file")
                    .filter((F.col("block") > 0) | (F.col("pos") > F.col("first")))
-                   .select("file", "file_name", "block", "pos", "first", "header", "n_fields",
+                   .select("file", "file_name", "block", "pos", "first", "header", "at", "n_fields",
                            *parse_once(F.regexp_replace(decoded(F.col("text").cast("binary")), "\r$", "").alias("value"))))
     # a byte range has no more lines than bytes, so this rises through the file
     position = F.col("block") + F.col("pos") - F.col("first")
-    records = _with_fields(records.select("file", "file_name", position.alias("position"), "value", "header", "n_fields"), n, "fields", "value")
+    records = _with_fields(records.select("file", "file_name", position.alias("position"), "value", "header", "at", "n_fields"), n, "fields", "value")
     return records, files
 
 
@@ -143,9 +145,19 @@ def read_raw_export_checked(spark: SparkSession, path, encoding: str = "windows-
     return raw, records.filter(~_right_width()).select("value", "file_name")
 
 
+def _place(column: str):
+    """Index of a header name's field, NULL when the file has no such column."""
+    return F.nullif(F.array_position("header", column), F.lit(0)).cast("int") - 1
+
+
 def _named(column: str):
     """The field under a header name, NULL when the file has no such column."""
-    return F.get("fields", (F.array_position("header", column) - 1).cast("int"))
+    return F.get("fields", _place(column))
+
+
+def _places(key: str):
+    """Places of a canonical column's accepted names, by precedence."""
+    return [F.get("at", F.lit(_ALIASES.index(a))) for a in HEADER_ALIASES[key]]
 
 
 def _require(missing: list[str], where: str = "") -> None:
@@ -164,10 +176,10 @@ def _canonical(rows: DataFrame) -> DataFrame:
     Each field is picked once, by the accepted names of its column in the file's own header, and
     cleaned once; a column none of whose names the header has takes its default.
     """
-    has = lambda k: F.exists("header", lambda h: h.isin(*HEADER_ALIASES[k]))
+    has = lambda k: F.coalesce(*_places(k)).isNotNull()
     numbers = ("quantity", "unit_price", "subtotal", "use_point", "coupon_discount", "total_price")
     picked = rows.select("file_name", "position", *parse_once(
-        *[F.coalesce(*[_named(a) for a in v]).alias(k) for k, v in HEADER_ALIASES.items()], *[has(k).alias(f"_has_{k}") for k in (*numbers, "item_name")]))
+        *[F.coalesce(*[F.get("fields", i) for i in _places(k)]).alias(k) for k in HEADER_ALIASES], *[has(k).alias(f"_has_{k}") for k in (*numbers, "item_name")]))
     # one expression over an array: written out per column, the generated code is too large to be compiled
     cleaned = picked.select("file_name", "position", "order_number", "item_name", *[f"_has_{k}" for k in (*numbers, "item_name")], *parse_once(
         _each(parse_lenient_time, "order_date").alias("_t"), _each(clean_int, *numbers).alias("_n")))
