@@ -8,13 +8,17 @@ before it: the parity of the quotes, and for JSON the depth of the braces.  So
 
 1. every piece is reduced to a few numbers (no text is kept), written once;
 2. sums run within ranges, then over the few rows of one row per range, then back;
-3. every piece learns the piece its record starts with, and the texts are joined by that.
+3. JSON: every piece learns the piece its record starts with, and the texts are joined by that.  CSV: the task
+   that reads a range puts its records together, and only the cut records at the ends of ranges are joined.
 
-Pieces that are records by themselves never meet a shuffle by record.
+CSV lines that are records by themselves never meet a shuffle by record.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +53,52 @@ def count_of(text: Column, mark: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
+def _assembled(batches):
+    """Records of the byte ranges in ``batches`` (``rid, open, pos, piece``, ranges whole and in file order).
+
+    ``kind`` 0 is a whole record; the first piece of text of a range that starts inside a field is 1, the
+    last one of a range that ends inside a field 2, or 1 when it began before the range.  ``open`` NULL: every line is one.
+    """
+    rid, inside, lead, held, held_pos = None, False, False, [], None
+
+    def rows(rids, poss, kinds, texts):
+        return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(poss, pa.int64()), pa.array(kinds, pa.int32()),
+                                           pa.array(texts, pa.binary()) if isinstance(texts, list) else texts], ["rid", "pos", "kind", "text"])
+    for batch in batches:
+        ids, pos = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)] if len(ids) else [0]
+        for a, b in zip(cuts, cuts[1:]):
+            if ids[a] != rid:
+                if held:
+                    yield rows([rid], [held_pos], [1 if lead else 2], [b"\n".join(held)])
+                rid, held = ids[a], []
+                inside = batch.column(1)[a].as_py()
+                lead = bool(inside)
+            pieces = batch.column(3).slice(a, b - a)
+            if inside is None:
+                ends = np.arange(b - a)
+            else:
+                after = (int(inside) + np.cumsum(pc.count_substring(pieces, '"').to_numpy(zero_copy_only=False))) % 2
+                ends, inside = np.flatnonzero(after == 0), bool(after[-1])
+            done = int(ends[-1]) + 1 if len(ends) else 0
+            if done:
+                starts = np.concatenate([[0], ends + 1])
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays([pieces.slice(0, done)])), b"\n")
+                at, kinds = pos[a + starts[:-1]], np.zeros(len(ends), dtype=np.int32)
+                if held:
+                    texts = pa.concat_arrays([pa.array([b"\n".join([*held, texts[0].as_py()])], pa.binary()), texts.slice(1)])
+                    at[0] = held_pos
+                if lead:
+                    kinds[0], lead = 1, False
+                yield rows(np.full(len(ends), rid), at, kinds, texts)
+                held = []
+            if done < b - a:
+                held_pos = held_pos if held else pos[a + done]
+                held.append(b"\n".join(pieces.slice(done).to_pylist()))
+    if held:
+        yield rows([rid], [held_pos], [1 if lead else 2], [b"\n".join(held)])
+
+
 def _prefixed(rows: DataFrame, sums: dict[str, Column]) -> DataFrame:
     """``rows`` with, for each sum, the value over all earlier ranges of the file (column of that name)."""
     per = rows.groupBy(*RANGE).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
@@ -79,28 +129,31 @@ def csv_records(lines: DataFrame) -> DataFrame:
     are never balanced (a stray quote) are left as single lines, for the field count to reject.
     Blank lines between records are dropped.
     """
-    spark = lines.sparkSession
-    quotes = materialize(lines.select("file", "block", "pos", count_of(F.col("piece"), '"').alias("q")).filter("q > 0"), "csv_quotes")
-    whole = quotes.groupBy("file").agg(F.sum("q").alias("all")).filter("all % 2 = 0").select("file")
-    odd = quotes.filter("q % 2 = 1").join(whole, "file")
+    ranges = lines.groupBy("file", "file_name", "block").agg(F.sum(quotes := count_of(F.col("piece"), '"')).alias("q"), F.max(quotes % 2).alias("odd"))
+    ranges = materialize(ranges.withColumn("rid", F.monotonically_increasing_id()), "csv_quotes")  # one row a byte range
+    crossed = ranges.groupBy("file").agg(F.sum("q").alias("all"), F.max("odd").alias("odd")).filter("all % 2 = 0 AND odd = 1").select("file")
     single = lines.select("file", "file_name", "block", "pos", F.col("piece").alias("text"))
-    if odd.isEmpty():  # no record crosses a line
+    if crossed.isEmpty():  # no record crosses a line
         return single.filter(F.trim(F.col("text"), F.lit(" \r\t")) != "")
-    # lines without quotes inside an open field belong to its record too: give every line of such files its numbers
-    marks = materialize(lines.select("file", "block", "pos", count_of(F.col("piece"), '"').alias("q")).join(whole, "file")
-                        .join(odd.select("file").distinct(), "file", "left_semi"), "csv_lines")
-    rows = _prefixed(marks.withColumn("run", F.coalesce(F.sum("q").over(_earlier()), F.lit(0))), {"ahead": F.col("q")})
-    rows = rows.withColumn("open", (F.col("ahead") + F.col("run")) % 2 == 1).withColumn("after", (F.col("ahead") + F.col("run") + F.col("q")) % 2 == 1)
-    owners = _owned(rows, ~F.col("open")).filter("open OR after").select("file", "block", "pos", "owner")
-    owners = materialize(owners, "csv_owners")
-    alone = single.join(owners.select("file", "block", "pos"), ["file", "block", "pos"], "left_anti")
-    out = alone.select(*single.columns).unionByName(_joined(lines.join(owners, ["file", "block", "pos"]), "\n").select(*single.columns))
+    ahead = F.coalesce(F.sum("q").over(_earlier("block")), F.lit(0))
+    starts = ranges.withColumn("ahead", ahead).join(crossed.withColumn("crossed", F.lit(True)), "file", "left").select(
+        "file", "file_name", "block", "rid", F.when(F.col("crossed"), F.col("ahead") % 2 == 1).alias("open"))
+    starts = F.broadcast(materialize(starts, "csv_starts"))
+    # records are put together where their range is read; no text is shuffled but the ends of ranges
+    told = lines.join(starts.drop("file_name"), ["file", "block"]).select("rid", "open", "pos", F.col("piece").cast("binary").alias("piece"))
+    parts = told.mapInArrow(_assembled, "rid long, pos long, kind int, text binary").join(starts.drop("open"), "rid")
+    parts = parts.select("file", "file_name", "block", "pos", "kind", F.col("text").cast("string").alias("text"))
+    begins = F.when(F.col("kind") == 2, F.struct("block", "pos"))
+    cut = parts.filter("kind > 0").withColumn("owner", F.last(begins, ignorenulls=True).over(Window.partitionBy("file").orderBy("block", "pos")))
+    whole = parts.filter("kind = 0").select(*single.columns)
+    out = whole.unionByName(_joined(cut.withColumnRenamed("text", "piece"), "\n").select(*single.columns))
     return out.filter(F.trim(F.col("text"), F.lit(" \r\t\n")) != "")
 
 
 def field_count(record: Column) -> Column:
     """Fields of a CSV record: separators outside quotes, and one."""
-    return count_of(F.regexp_replace(record, '"[^"]*"', ""), ",") + 1
+    unquoted = F.when(F.contains(record, F.lit('"')), F.regexp_replace(record, '"[^"]*"', "")).otherwise(record)
+    return count_of(unquoted, ",") + 1
 
 
 # ------------------------------------------------------------------ JSON arrays
