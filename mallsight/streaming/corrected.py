@@ -1,14 +1,16 @@
 """STR1 with late copies: the lowest sequence of an order counts, whenever its document arrives.
 
-readStream (JSON, explicit schema) -> drop cancelled -> one row per document ->
-transformWithState by (order number, salt) -> transformWithState by order number ->
-one row a day and micro-batch, written under the batch's number.
-
-* State is the winning document of every order number, in RocksDB.  A document that beats it
-  takes the old one's amounts back and adds its own; nothing waits for a watermark and no row is
-  dropped as late, so the sums over all batches do not depend on the order in which files land.
-* The salted stage passes a document on only when it beats the best of its salt, so a hot order
-  number reaches the second stage as at most ``SALTS`` rows a batch.
+readStream (JSON, explicit schema) -> drop cancelled -> one row per document -> the lowest document of
+every order number in the micro-batch, written under the batch's number -> after the last batch, one row
+a day and micro-batch.
+
+* What is kept of the orders are those rows, for good, beside the checkpoint.  The lowest document of an
+  order after a batch is the minimum over its rows so far; where it beats the one before, that one's
+  amounts are taken back and its own are added.  Nothing waits for a watermark and no row is dropped as
+  late, so the sums over all batches do not depend on the order in which files land.
+* The minimum of a batch is combined before the shuffle, so a hot order number leaves one row a task, and
+  one row a batch in what is kept.
+* Day changes are worked out once a run, for the batches that have none yet: from their orders' rows only.
 * A day is closed by the first batch after which the latest counted order is ``delay`` past the
   day's end.  What its sums were then, and what later batches changed, are two results of the
   same written rows (``closed_totals``, ``corrections``).
@@ -17,61 +19,26 @@ one row a day and micro-batch, written under the batch's number.
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import parse_offset_time
 from ..operators.flatten import parse_once
 from ..sources.adapters import CANCELLED
 from ..sources.readers import R_ORDER_LANDED, path_exists
-from .daily import ROCKSDB, _items_in_document, event_time
-
-# tasks need no installed copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from .daily import _items_in_document, event_time
 
-SALTS = 64
 #: What is kept of a document, in the order that decides between documents: lowest first.
 DOC = ("seq", "at", "goods", "coupon", "units")
-_DOC_TYPE = ", ".join(f"{c} long" for c in DOC)
+LOWEST = "orderNumber string, " + ", ".join(f"{c} long" for c in DOC) + ", batch_id long"
 SUMS = ("order_count", "total_sales", "gross_sales", "coupon_total", "item_count")
 DELTAS = "date date, " + ", ".join(f"{c} long" for c in SUMS) + ", seen_to long, batch_id long"
 _LAST = (1 << 63) - 1
 _DAY_MICROS = 86_400_000_000
 
 
-class LowestDocument(StatefulProcessor):
-    """Keeps the lowest document of a key and yields a row when it changes.
-
-    With ``take_back`` the beaten document leaves as well, with sign -1."""
-
-    def __init__(self, take_back: bool):
-        self.take_back = take_back
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", _DOC_TYPE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        new = min(tuple(r[c] for c in DOC) for r in rows)
-        old = tuple(self.best.get()) if self.best.exists() else None
-        if old is None or new < old:
-            self.best.update(new)
-            if self.take_back and old is not None:
-                yield Row(orderNumber=key[0], sign=-1, **dict(zip(DOC, old)))
-            yield Row(orderNumber=key[0], sign=1, **dict(zip(DOC, new)))
-
-    def close(self) -> None:
-        pass
-
-
-_CHANGE = f"orderNumber string, sign int, {_DOC_TYPE}"
-
-
-def changes_stream(stream: DataFrame) -> DataFrame:
-    """``(orderNumber, sign, seq, at, goods, coupon, units)`` from a stream of R order documents.
+def documents_stream(stream: DataFrame) -> DataFrame:
+    """``(orderNumber, seq, at, goods, coupon, units)`` from a stream of R order documents.
 
     ``at`` is the order's wall clock in microseconds.  Cancelled documents and those without a
     readable time or without items take no part; a NULL order number counts as the empty one, a
@@ -79,49 +46,75 @@ def changes_stream(stream: DataFrame) -> DataFrame:
     """
     units, n_items = _items_in_document()
     zero = F.lit(0).cast("long")
-    docs = (stream.filter(F.coalesce(F.col("orderProgress"), F.lit(0)) != CANCELLED)
+    return (stream.filter(F.coalesce(F.col("orderProgress"), F.lit(0)) != CANCELLED)
             .select("*", *parse_once(event_time(parse_offset_time("orderDatetime")).alias("event_time")))
             .filter(F.col("event_time").isNotNull() & (n_items > 0))
             .select(F.coalesce("orderNumber", F.lit("")).alias("orderNumber"),
-                    F.pmod(F.xxhash64("_ingest_seq", "orderDatetime", "goodsPrice", "_store_name"), F.lit(SALTS)).alias("salt"),
                     F.coalesce(F.col("_ingest_seq"), F.lit(_LAST)).alias("seq"), F.unix_micros("event_time").alias("at"),
                     F.coalesce("goodsPrice", zero).alias("goods"), F.coalesce("couponAllTotalPrice", zero).alias("coupon"),
                     F.coalesce(units, zero).alias("units")))
-    salted = docs.groupBy("orderNumber", "salt").transformWithState(LowestDocument(False), _CHANGE, "Append", "None")
-    return salted.groupBy("orderNumber").transformWithState(LowestDocument(True), _CHANGE, "Append", "None")
+
+
+def _lowest(docs: DataFrame) -> DataFrame:
+    """The lowest document of every order number."""
+    return docs.groupBy("orderNumber").agg(F.min(F.struct(*DOC)).alias("doc")).select("orderNumber", "doc.*")
+
+
+def _changes(lowest: DataFrame) -> DataFrame:
+    """``(batch_id, sign, *DOC)`` from rows ``LOWEST``: in each batch the documents that beat what their order
+    had before (sign 1), and what they beat (-1)."""
+    doc, before = F.struct(*DOC), Window.partitionBy("orderNumber").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    beaten = lowest.select("batch_id", doc.alias("doc"), F.min(doc).over(before).alias("old"))
+    signed = lambda sign, c: F.struct(F.lit(sign).alias("sign"), *[F.col(c)[x].alias(x) for x in DOC])
+    return (beaten.filter(F.col("old").isNull() | (F.col("doc") < F.col("old")))
+            .select("batch_id", F.inline(F.array_compact(F.array(signed(1, "doc"), F.when(F.col("old").isNotNull(), signed(-1, "old")))))))
 
 
 def _day_changes(changes: DataFrame) -> DataFrame:
-    """One row a day of one micro-batch: signed sums and the latest order added."""
+    """One row a day and micro-batch: signed sums and the latest order added."""
     signed = lambda c: F.sum(F.col("sign") * c).cast("long")
-    return changes.groupBy(F.date_from_unix_date(F.floor(F.col("at") / _DAY_MICROS).cast("int")).alias("date")).agg(
+    return changes.groupBy("batch_id", F.date_from_unix_date(F.floor(F.col("at") / _DAY_MICROS).cast("int")).alias("date")).agg(
         signed(F.lit(1)).alias("order_count"), signed(F.col("goods") - F.col("coupon")).alias("total_sales"),
         signed(F.col("goods")).alias("gross_sales"), signed(F.col("coupon")).alias("coupon_total"),
         signed(F.col("units")).alias("item_count"), F.max(F.when(F.col("sign") > 0, F.col("at"))).alias("seen_to"))
 
 
+def _batches(spark: SparkSession, path: str) -> set[int]:
+    """Numbers of the micro-batches written below ``path``."""
+    if not path_exists(spark, path):
+        return set()
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return {int(f.getPath().getName().partition("=")[2]) for f in found or []}
+
+
 def run_with_corrections(spark: SparkSession, source: str, sink: str, checkpoint: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream over everything landed so far (availableNow); the day changes of all batches so far.
 
-    Rerunning with the same checkpoint reads only new files.  The state of an order is kept for
-    good: a copy may come at any time.  Nothing landed yet gives no rows.
+    Rerunning with the same checkpoint reads only new files.  The lowest documents of each batch are
+    kept for good in ``<checkpoint>/lowest``: a copy may come at any time.  Nothing landed yet gives no rows.
     """
     reader = spark.readStream.schema(R_ORDER_LANDED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if path_exists(spark, f"{checkpoint}/state"):
+        raise ValueError(f"{checkpoint} keeps its orders in a state store, as earlier versions did: start with a new checkpoint and sink")
+    kept = f"{checkpoint}/lowest"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _day_changes(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
-    try:
-        (changes_stream(reader.json(source)).writeStream.foreachBatch(write).outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
-    finally:
-        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+        _lowest(batch).write.mode("overwrite").parquet(f"{kept}/batch_id={batch_id}")
+
+    (documents_stream(reader.json(source)).writeStream.foreachBatch(write).outputMode("append")
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+    done = _batches(spark, sink)
+    if new := sorted(_batches(spark, kept) - done):
+        lowest, is_new = spark.read.schema(LOWEST).parquet(kept), F.col("batch_id").isin(new)
+        if done:  # only the orders of the new batches
+            lowest = lowest.join(lowest.filter(is_new).select("orderNumber"), "orderNumber", "left_semi")
+        # a batch's days are one file, so its folder is there whole or not at all
+        (_day_changes(_changes(lowest).filter(is_new)).repartition("batch_id")
+         .write.mode("append").partitionBy("batch_id").parquet(sink))
     if not path_exists(spark, sink):
         return spark.createDataFrame([], DELTAS)
     return spark.read.schema(DELTAS).parquet(sink)
