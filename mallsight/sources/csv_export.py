@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import clean_int
@@ -49,11 +49,14 @@ def _enable_legacy_charsets(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def write_export(df: DataFrame, path: str, encoding: str = "windows-31j", mode: str = "overwrite") -> str:
-    """An export file set in the given encoding (header line first in every part)."""
+def write_export(df: DataFrame, path: str, encoding: str = "windows-31j", mode: str = "overwrite", compression: str = "none") -> str:
+    """An export file set in the given encoding (header line first in every part).
+
+    Compressed files are read by one task each: only for frames whose partitions are of a bounded size.
+    """
     if encoding.upper().replace("-", "") != "UTF8":
         _enable_legacy_charsets(df.sparkSession)
-    df.write.mode(mode).options(**CSV_EXACT).option("header", True).option("encoding", encoding).csv(path)
+    df.write.mode(mode).options(**CSV_EXACT).option("header", True).option("encoding", encoding).csv(path, compression=compression)
     return path
 
 
@@ -323,20 +326,40 @@ def load_saved_imports(spark: SparkSession, root: str, start=None, end=None, kee
         last = last.filter(F.col("order_date") >= ntz(start))
     if end is not None:
         last = last.filter(F.col("order_date") <= ntz(end))
-    return last.select(*out)
+    return _with_arrival(last, df).select(*out, "arrival") if keep_order else last.select(*out)
+
+
+#: Positions in one file stay below this.
+FILE_STRIDE = 2**42
+
+
+def _with_arrival(rows: DataFrame, imports: DataFrame) -> DataFrame:
+    """``rows`` of ``imports`` with ``arrival``, a number that rises with (import id as text, file name, position), NULLs first.
+
+    Only the files are ranked (one row a file), so no row is sorted or shuffled for it.
+    """
+    files = imports.select(F.col("import_id").cast("string").alias("_import"), F.col("file_name").alias("_name")).distinct()
+    files = files.withColumn("_rank", F.row_number().over(Window.orderBy("_import", "_name")).cast("bigint"))
+    known = F.col("import_id").cast("string").eqNullSafe(F.col("_import")) & F.col("file_name").eqNullSafe(F.col("_name"))
+    fits = (F.col("row_seq").between(0, FILE_STRIDE - 2) | F.col("row_seq").isNull()) & (F.col("_rank") < 2**63 // FILE_STRIDE)
+    place = F.col("_rank") * FILE_STRIDE + F.coalesce(F.col("row_seq") + 1, F.lit(0))
+    arrival = F.when(fits, place).otherwise(F.raise_error(F.lit("position or number of files out of range")).cast("bigint"))
+    return rows.join(F.broadcast(files), known, "left").withColumn("arrival", arrival)
 
 
 def imports_as_order_lines(df: DataFrame) -> DataFrame:
     """Imported CSV rows -> canonical order lines (one document per import row).
 
-    With the order columns of ``load_saved_imports(keep_order=True)`` the rows of
+    With the columns of ``load_saved_imports(keep_order=True)``, or its three order columns alone, the rows of
     an order keep their arrival order; without them all rows tie.
     """
     from ..functions.time import with_time_parts
     from ..operators.grain import numbered
     from ..schema import ORDER_LINE_COLUMNS
     seq = F.lit(0).cast("bigint")
-    if {"import_id", "file_name", "row_seq"} <= set(df.columns):
+    if "arrival" in df.columns:
+        seq = F.col("arrival")
+    elif {"import_id", "file_name", "row_seq"} <= set(df.columns):
         # a rank over all rows: one order number (an empty one, say) may stand on any share of them
         df = numbered(df.withColumn("import_id", F.col("import_id").cast("string")), ("import_id", "file_name", "row_seq"), "_arrival")
         seq = F.col("_arrival").cast("bigint")
